@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmark.llm import divergence
+from quillmark.llm import bytebpe, divergence
 from quillmark.llm.common import table
 
 
@@ -12,4 +13,8 @@ def op8_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.judge(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op8_distribution_divergence,)}
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bytebpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
+QUERIES = {f.__name__: f for f in (op8_distribution_divergence, op10_byte_bpe)}
