@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +15,22 @@ SPACE = r"[\x20\x09-\x0D]"
 NOT_SPACE = r"[^\x20\x09-\x0D]"
 
 
+ROOT = Path(__file__).resolve().parents[2]
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, unless their path has it already."""
+    sc = spark.sparkContext
+    path = [Path.cwd(), *map(Path, os.environ.get("PYTHONPATH", "").split(os.pathsep))]
+    if sc.applicationId not in _shipped and ROOT not in [p.resolve() for p in path]:
+        folder = tempfile.mkdtemp(prefix="quillmark-code-")
+        sc.addPyFile(shutil.make_archive(f"{folder}/quillmark", "zip", ROOT, "quillmark"))
+    _shipped.add(sc.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

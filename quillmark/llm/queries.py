@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmark.llm import bytebpe, divergence
+from quillmark.llm import bytebpe, divergence, packing
 from quillmark.llm.common import table
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op8_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.judge(table(spark, sf_dir, "documents"))
 
@@ -17,4 +21,4 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
-QUERIES = {f.__name__: f for f in (op8_distribution_divergence, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op7_packing, op8_distribution_divergence, op10_byte_bpe)}
