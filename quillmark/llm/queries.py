@@ -5,10 +5,18 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmark.llm import bytebpe, divergence, packing
+from quillmark.llm import bytebpe, chat_format, divergence, packing, url_graph
 from quillmark.llm.common import table
 
 
+def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.format_chat(table(spark, sf_dir, "conversations"), chat_format.SCHEMAS)
+
+
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_graph.judge(table(spark, sf_dir, "pages"), url_graph.RULES)
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -21,4 +29,4 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
-QUERIES = {f.__name__: f for f in (op7_packing, op8_distribution_divergence, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_chat_formatting, op2_url_filters, op7_packing, op8_distribution_divergence, op10_byte_bpe)}
