@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmark.llm import bytebpe, chat_format, divergence, packing, url_graph
+from quillmark.llm import bytebpe, chat_format, divergence, flac, packing, url_graph
 from quillmark.llm.common import table
 
 
@@ -25,8 +25,12 @@ def op8_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.judge(table(spark, sf_dir, "documents"))
 
 
+def op9_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flac.features(flac.encode_column(table(spark, sf_dir, "documents")))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_formatting, op2_url_filters, op7_packing, op8_distribution_divergence, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_chat_formatting, op2_url_filters, op7_packing, op8_distribution_divergence, op9_flac, op10_byte_bpe)}
