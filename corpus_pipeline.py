@@ -2,20 +2,40 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmark.llm import divergence
+from quillmark.llm import divergence, langid, packing, partenum
 from quillmark.llm.common import materialize, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the divergence from their language's references both keep."""
-    kept = divergence.judge(docs, carry=docs.columns)
-    return kept.where("kept").select(*docs.columns)
+    return divergence.judge(docs, carry=True).where("kept").select(*docs.columns)
 
 
-STAGES = [("quality rules", quality_rules)]
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents near enough to a centroid of some language."""
+    return langid.identify(docs, carry=docs.columns).where(~F.col("rejected")).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of least doc_id, of each component of the n-gram Jaccard join.
+
+    Rows that repeat a doc_id are copies too; documents without words are no one's copies.
+    """
+    first = partenum.join(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    kept = docs.join(first.withColumnRenamed("doc_id", "_kept"), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "text"])
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their places in sequences."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [("quality rules", quality_rules), ("language ID", language_id), ("n-gram Jaccard join", near_duplicates), ("packing", pack)]
 ORACLE_SQL = None
 
 

@@ -2,7 +2,7 @@
 
 A document's character-class histogram and its histogram of common words are compared with the
 reference of its language. A reference is the sum of the histograms of all documents of that
-language which pass the base rules; documents whose language has no word list are held against the
+language with words enough for the base rules; documents whose language has no word list are held against the
 sum over all documents, and by their characters alone. Everything is one pass of built-in
 functions over the text (no shuffle of texts or words); the references are at most one row for each
 word list and one more, so joining them is a broadcast of proven size.
@@ -34,7 +34,7 @@ COMMON_WORDS = {
 CLASSES = [r"\p{Ll}", SPACE, r"\p{Lu}", r"\p{Nd}", r"[.,;:!?'\"()\-]"]
 POOLED = "*"
 SYMBOLS = "#*$%&|<>"
-WINDOW = 8
+WINDOW, MIN_WORDS = 8, 20
 
 
 def _sum(c: Column) -> Column:
@@ -55,10 +55,11 @@ def _repeat_words(df: DataFrame) -> DataFrame:
     return df.withColumn("n_repeat_words", F.coalesce(_sum(gap), F.lit(0).cast("long"))).drop("_h", "_e", "_p")
 
 
-def document_statistics(documents: DataFrame) -> DataFrame:
-    """doc_id, lang, the base figures, and the two histograms of each document."""
+def document_statistics(documents: DataFrame, carry: bool = False) -> DataFrame:
+    """The base figures and the two histograms of each document; its whole row too, as _row, to carry it."""
     t = F.coalesce(F.col("text"), F.lit(""))
-    df = documents.select("doc_id", "lang", t.alias("_t"), words_of(F.col("text")).alias("_words"))
+    row = [F.struct(*[documents[c] for c in documents.columns]).alias("_row")] if carry else []
+    df = documents.select("doc_id", "lang", t.alias("_t"), words_of(F.col("text")).alias("_words"), *row)
     df = _repeat_words(df.withColumn("n_words", F.size("_words").cast("long")))
     # Each class is taken out of what the classes before it left, so that only the first sees the whole text.
     left, lengths = F.col("_t"), [F.length("_t").cast("long")]
@@ -78,6 +79,7 @@ def document_statistics(documents: DataFrame) -> DataFrame:
     df = df.withColumn("_counts", F.transform("_list", lambda w: (F.size("_common") - F.size(F.array_remove("_common", w))).cast("long")))
     return df.select(
         "doc_id",
+        *["_row"] * carry,
         F.when(known, F.col("lang")).otherwise(POOLED).alias("ref"),
         "n_words",
         (lengths[0] - F.element_at("_classes", spaces + 1)).alias("word_chars"),
@@ -86,7 +88,7 @@ def document_statistics(documents: DataFrame) -> DataFrame:
         "n_repeat_words",
         F.col("_classes").alias("char_hist"),
         F.concat("_counts", F.array(F.col("n_words") - _sum(F.col("_counts")))).alias("word_hist"),
-    ).withColumn("base_failed", (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")))
+    ).withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")))
 
 
 def _shares(c: Column) -> Column:
@@ -104,7 +106,7 @@ def js_distance(p: Column, q: Column) -> Column:
 def references(stats: DataFrame) -> DataFrame:
     """One row for each word list and one for all documents: ref, ref_chars, ref_words."""
     widest = max(map(len, COMMON_WORDS.values())) + 1
-    good = stats.where(~F.col("base_failed"))
+    good = stats.where(F.col("n_words") >= MIN_WORDS)
     sums = lambda c, n: F.array(*[F.coalesce(F.sum(F.get(F.col(c), F.lit(i))), F.lit(0)) for i in range(n)])
     made = [sums("char_hist", len(CLASSES) + 1).alias("ref_chars"), sums("word_hist", widest).alias("ref_words")]
     per = good.where(F.col("ref") != POOLED).groupBy("ref").agg(*made)
@@ -120,14 +122,26 @@ def judge(
     word_allowance: float = 0.35,
     min_words_chars: int = 20,
     min_words_common: int = 50,
+    carry: bool = False,
 ) -> DataFrame:
-    """One row per document: the base figures, both distances (null under their guard), and kept."""
-    stats = materialize(document_statistics(documents))
-    df = stats.join(F.broadcast(references(stats)), "ref", "left")
+    """One row per document: the base figures, both distances (null under their guard), and kept.
+
+    With ``carry`` the documents' columns come with kept, and nothing else. Then the figures are
+    computed again rather than written beside a second copy of all texts.
+    """
+    stats = document_statistics(documents)
+    stats = materialize(stats.select("ref", "n_words", "char_hist", "word_hist") if carry else stats)
+    refs = materialize(references(stats))
+    df = (document_statistics(documents, True) if carry else stats).join(F.broadcast(refs), "ref", "left")
     chars = F.when((F.col("n_words") >= min_words_chars) & (_sum(F.col("ref_chars")) > 0), js_distance(_shares(F.col("char_hist")), _shares(F.col("ref_chars"))))
     words = F.when((F.col("n_words") >= min_words_common) & (_sum(F.col("ref_words")) > 0), js_distance(_shares(F.col("word_hist")), _shares(F.col("ref_words"))))
     df = df.withColumn("char_distance", chars).withColumn("word_distance", words)
     root = F.sqrt(F.col("n_words"))
     limits = {"char_distance": max_char_distance + char_allowance / root, "word_distance": max_word_distance + word_allowance / root}
     near = reduce(Column.__and__, [F.coalesce(F.col(c) <= limit, F.lit(True)) for c, limit in limits.items()])
-    return df.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & near).alias("kept"), "char_distance", "word_distance")
+    # One condition over both sides of the join: a part over the texts alone would be pushed below
+    # the projections, and the optimizer would then write out each figure anew wherever it is named.
+    kept = F.when(F.col("base_failed"), F.lit(False)).otherwise(near).alias("kept")
+    if carry:
+        return df.select("_row.*", kept)
+    return df.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept, "char_distance", "word_distance")
