@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmark.llm import bytebpe, chat_format, divergence, flac, html_blocks, langid, packing, partenum, url_graph
+from quillmark.llm import bytebpe, chat_format, divergence, flac, html_blocks, katz, langid, packing, partenum, url_graph
 from quillmark.llm.common import table
 
 
@@ -21,6 +21,10 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partenum.join(table(spark, sf_dir, "documents"))
 
 
+def op4_katz_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score(table(spark, sf_dir, "documents"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.query(table(spark, sf_dir, "documents"))
 
@@ -45,4 +49,4 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_formatting, op2_url_filters, op3_ngram_jaccard, op5_language_id, op6_html_extraction, op7_packing, op8_distribution_divergence, op9_flac, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_chat_formatting, op2_url_filters, op3_ngram_jaccard, op4_katz_scoring, op5_language_id, op6_html_extraction, op7_packing, op8_distribution_divergence, op9_flac, op10_byte_bpe)}
