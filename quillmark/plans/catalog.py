@@ -1,6 +1,381 @@
-"""All registered queries of the retrieval engine, with their SQL counterparts."""
+"""All registered queries of the retrieval engine, with their SQL counterparts.
+
+The queries see the test tables as a corpus: a chunk is a row of documents, its title the first
+line, its author the language, its source the source; labels say which chunks are method cards
+(quality 1) or conflicts (toxic 1).
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quillmark.functions.folding import ASCII_LOWER, ASCII_UPPER, fold_pairs
+from quillmark.functions.text import occurrences
+from quillmark.operators import analytics, batch, compare, corpus, search, validate
+from quillmark.plans.query import parse
+
+LONG, SHORT, MIXED = "the ment Étion", "en au", "é the en ET"
+TERMS = ["the", "en", "Étion", "ment", "É", "*", "[", "of the"]
+BATCH = {"long": LONG, "short": SHORT, "mixed": MIXED, "literal": "* ? ["}
+COUNTED = ["the", "en", "Étion", "ment"]
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = _table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("_q"), F.max("toxic").alias("_t"))
+    kind = F.when(F.col("_q") == 1, "curated_method").when(F.col("_t") == 1, "conflict").otherwise("text")
+    docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("chunk_id"), F.col("source").alias("source_id"), "text", F.substring_index("text", "\n", 1).alias("title"), F.col("lang").alias("author"))
+    return docs.join(labels.withColumnRenamed("doc_id", "chunk_id"), "chunk_id", "left").withColumn("chunk_type", kind).drop("_q", "_t")
+
+
+def plain_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks without their types, for queries that don't rank."""
+    return _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("chunk_id"), F.col("source").alias("source_id"), "text", F.substring_index("text", "\n", 1).alias("title"), F.col("lang").alias("author"))
+
+
+def with_topics(c: DataFrame) -> DataFrame:
+    low = F.translate("text", ASCII_UPPER, ASCII_LOWER)
+    parts = [F.when(sum((occurrences(low, w) for w in words), F.lit(0)) > 0, t) for t, words in corpus.TOPICS.items()]
+    return c.withColumn("topics_text", F.concat_ws(" ", *parts))
+
+
+def raw_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "documents").select(F.col("source").alias("source_id"), F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("path"), "text", F.col("lang").alias("author"))
+
+
+def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "documents").select(F.col("source").alias("source_id")).distinct()
+
+
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+# ---- pieces of SQL ---------------------------------------------------------------------------
+
+CHUNKS = """chunks AS (SELECT d.doc_id AS chunk_id, d.source AS source_id, coalesce(d.text, '') AS text,
+ split_part(coalesce(d.text, ''), chr(10), 1) AS title, coalesce(d.lang, '') AS author,
+ CASE WHEN l.q = 1 THEN 'curated_method' WHEN l.t = 1 THEN 'conflict' ELSE 'text' END AS chunk_type
+ FROM documents d LEFT JOIN (SELECT doc_id, max(quality) AS q, max(toxic) AS t FROM labels GROUP BY doc_id) l USING (doc_id))"""
+
+
+def _lit(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+def _fold(c: str, kind: str) -> str:
+    src, dst = (ASCII_UPPER, ASCII_LOWER) if kind == "ascii" else fold_pairs()
+    return f"translate({c}, {_lit(src)}, {_lit(dst)})"
+
+
+FOLDED = f"folded AS (SELECT *, {', '.join(f'{_fold(c, k)} AS {c}_{k}' for c in search.FIELDS for k in ('ascii', 'unicode'))} FROM chunks)"
+
+
+def _has(t, c: str) -> str:
+    return f"contains({c}_{t.kind}, {_lit(t.folded)})"
+
+
+def _any(t) -> str:
+    return "(" + " OR ".join(_has(t, c) for c in search.FIELDS) + ")"
+
+
+def _rank_sql(q: str, where: str = "TRUE") -> str:
+    terms = parse(q)
+    prose = " OR ".join(_has(t, "text") for t in terms)
+    count = " + ".join(f"{_any(t)}::INT" for t in terms)
+    points = " + ".join(f"{w} * least((length({c}_{t.kind}) - length(replace({c}_{t.kind}, {_lit(t.folded)}, ''))) // {len(t.folded)}, {cap})" for c, (w, cap) in search.FIELDS.items() for t in terms)
+    bonus = "CASE chunk_type WHEN 'curated_method' THEN 5.0 WHEN 'conflict' THEN 2.0 ELSE 0.0 END"
+    return f"""WITH {CHUNKS}, {FOLDED}, ranked AS (SELECT chunk_id, source_id, title, author, chunk_type, ({prose})::INT AS prose_hit, ({count})::INT AS term_count,
+ CAST({points} + {bonus} AS DOUBLE) AS score FROM folded WHERE ({' OR '.join(_any(t) for t in terms)}) AND {where})"""
+
+
+def _search_sql(q: str, limit: int, where: str = "TRUE") -> str:
+    return f"{_rank_sql(q, where)} SELECT * FROM ranked ORDER BY prose_hit DESC, term_count DESC, score DESC, chunk_id LIMIT {limit}"
+
+
+def _recall_sql(q: str) -> str:
+    return f"WITH {CHUNKS}, {FOLDED} SELECT chunk_id FROM folded WHERE {' OR '.join(_any(t) for t in parse(q))}"
+
+
+def _union(rows: list[str]) -> str:
+    return " UNION ALL ".join(rows)
+
+
+# ---- search ----------------------------------------------------------------------------------
+
+
+@query(_search_sql(LONG, 40))
+def ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(chunks(spark, sf_dir), LONG, 40)
+
+
+@query(_search_sql(LONG, 40, "source_id = 'src3'"))
+def ranked_search_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(chunks(spark, sf_dir), LONG, 40, source="src3")
+
+
+@query(_search_sql(LONG, 40, "author = 'fr'"))
+def ranked_search_author(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(chunks(spark, sf_dir), LONG, 40, author="fr")
+
+
+@query(_search_sql(MIXED, 40))
+def ranked_search_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(chunks(spark, sf_dir), MIXED, 40)
+
+
+@query(_search_sql(SHORT, 8))
+def ranked_search_short(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(chunks(spark, sf_dir), SHORT)
+
+
+@query(_search_sql("* ? [ %", 40))
+def literal_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(chunks(spark, sf_dir), "* ? [ %", 40)
+
+
+@query(f"{_search_sql(LONG, 40)}".replace("SELECT * FROM ranked", "SELECT * FROM ranked WHERE FALSE"))
+def empty_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(chunks(spark, sf_dir), "  ", 40)
+
+
+@query(_recall_sql(SHORT))
+def recall_short(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.recall(plain_chunks(spark, sf_dir), SHORT).select("chunk_id")
+
+
+@query(_recall_sql(LONG))
+def recall_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.recall(plain_chunks(spark, sf_dir), LONG).select("chunk_id")
+
+
+@query(_recall_sql("*"))
+def recall_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.recall(plain_chunks(spark, sf_dir), "*").select("chunk_id")
+
+
+@query("SELECT 'x' AS side, 0::BIGINT AS chunk_id WHERE FALSE")
+def recall_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recall and the substring union, member by member: no rows where they are equal."""
+    c = plain_chunks(spark, sf_dir)
+    return analytics.set_difference(search.recall(c, "Étion").select("chunk_id"), analytics.substring_union(c, "Étion"))
+
+
+@query("SELECT 'x' AS side, 0 AS place, 0::BIGINT AS chunk_id WHERE FALSE")
+def prefix_stability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analytics.prefix_stable(chunks(spark, sf_dir), LONG, 8, 40)
+
+
+@query(_search_sql(compare.expand("the and"), 40))
+def synonym_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(chunks(spark, sf_dir), compare.expand("the and"), 40)
+
+
+@query(
+    "SELECT * FROM ("
+    + _union([f"SELECT {_lit(qid)} AS qid, * FROM ({_rank_sql(q)} SELECT (row_number() OVER (ORDER BY prose_hit DESC, term_count DESC, score DESC, chunk_id))::INT AS position, chunk_id, source_id, prose_hit, term_count, score FROM ranked)" for qid, q in BATCH.items()])
+    + ") WHERE position <= 20"
+)
+def batch_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return batch.batch_search(chunks(spark, sf_dir), BATCH, 20)
+
+
+@query(_recall_sql("Étion"))
+def posting_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = plain_chunks(spark, sf_dir)
+    return batch.posting_recall(c, batch.postings(c), "Étion").select("chunk_id")
+
+
+@query(f"{_rank_sql(LONG)} SELECT * EXCLUDE (title, author, chunk_type) FROM (SELECT *, (row_number() OVER (PARTITION BY source_id ORDER BY prose_hit DESC, term_count DESC, score DESC, chunk_id))::INT AS position FROM ranked) WHERE position <= 3")
+def compare_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare.compare_sources(chunks(spark, sf_dir), LONG)
+
+
+@query(f"{_rank_sql('**')}, top AS (SELECT source_id, count(*) AS n, min(chunk_id) AS c FROM ranked GROUP BY source_id) SELECT s.source_id, CASE WHEN n IS NULL THEN 0 ELSE least(n, 3) END AS n_hits, n IS NOT NULL AS found FROM (SELECT DISTINCT source AS source_id FROM documents) s LEFT JOIN top USING (source_id)")
+def not_found_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare.evidence(chunks(spark, sf_dir), sources(spark, sf_dir), "**").select("source_id", "n_hits", "found")
+
+
+@query(f"{_search_sql(LONG, 40)}".replace("SELECT * FROM ranked", "SELECT chunk_id, CASE chunk_type WHEN 'curated_method' THEN 'method card' ELSE 'chunk' END AS level FROM ranked"))
+def provenance_level(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare.with_level(search.search(chunks(spark, sf_dir), LONG, 40)).select("chunk_id", "level")
+
+
+# ---- counts ----------------------------------------------------------------------------------
+
+
+@query(f"WITH {CHUNKS}, {FOLDED} " + _union([f"SELECT {_lit(t)} AS term, count(*) AS hits FROM folded WHERE {_any(*parse(t))}" for t in TERMS[:7]]))
+def recall_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analytics.recall_counts(plain_chunks(spark, sf_dir), TERMS[:7])
+
+
+@query(f"WITH {CHUNKS}, {FOLDED} " + _union([f"SELECT {_lit(t)} AS term, source_id, count(*) AS hits FROM folded WHERE {_any(*parse(t))} GROUP BY source_id" for t in TERMS[:7]]))
+def hits_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analytics.hits_by_source(plain_chunks(spark, sf_dir), TERMS[:7])
+
+
+def _topics_sql() -> str:
+    low = _fold("text", "ascii")
+    return ", ".join("CASE WHEN " + " OR ".join(f"contains({low}, {_lit(w)})" for w in words) + f" THEN {_lit(t)} END" for t, words in corpus.TOPICS.items())
+
+
+def _decomposition_sql(terms: list[str]) -> str:
+    rows = []
+    for t in terms:
+        (p,) = parse(t)
+        prose, union, topics = _has(p, "text"), _any(p), f"contains(topics_text, {_lit(p.folded)})"
+        count = lambda c: f"count(*) FILTER (WHERE {c})"
+        rows.append(f"SELECT {_lit(t)} AS term, {count(prose)} AS prose, {count(f'{union} AND NOT {prose}')} AS title_author_only, {count(union)} AS union_hits, {count(f'{topics} AND NOT {union}')} AS topics_only, {count(f'{union} OR {topics}')} AS all_fields FROM labelled")
+    return f"WITH {CHUNKS}, {FOLDED}, labelled AS (SELECT *, concat_ws(' ', {_topics_sql()}) AS topics_text FROM folded) " + _union(rows)
+
+
+@query(_decomposition_sql(COUNTED))
+def field_decomposition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analytics.field_decomposition(with_topics(plain_chunks(spark, sf_dir)), COUNTED)
+
+
+@query(f"SELECT term, CASE WHEN all_fields > 0 THEN 1 - prose / all_fields END AS noise FROM ({_decomposition_sql(COUNTED)})")
+def noise_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analytics.noise_ratio(with_topics(plain_chunks(spark, sf_dir)), COUNTED)
+
+
+SMOKE = """top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY length(text) DESC, chunk_id) AS r FROM {chunks}) WHERE r <= 40),
+ g AS (SELECT DISTINCT source_id, chunk_id, substr(text, i::BIGINT, 3) AS gram FROM top, unnest(generate_series(1, length(text) - 2)) AS u(i)),
+ n AS (SELECT source_id, gram, count(*) AS n_chunks FROM g WHERE NOT regexp_matches(gram, '[ \\t\\n\\x0B\\f\\r]') GROUP BY ALL)"""
+
+
+@query(f"WITH {CHUNKS}, {SMOKE.format(chunks='chunks')} SELECT source_id, gram, n_chunks FROM (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY n_chunks DESC, gram) AS r FROM n WHERE n_chunks >= 3) WHERE r = 1")
+def smoke_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analytics.smoke_terms(plain_chunks(spark, sf_dir))
+
+
+DOMINANT = "dominant AS (SELECT source_id, author, n_chunks FROM (SELECT source AS source_id, lang AS author, count(*) AS n_chunks, row_number() OVER (PARTITION BY source ORDER BY count(*) DESC, lang) AS r FROM documents WHERE lang IS NOT NULL GROUP BY source, lang) WHERE r = 1)"
+
+
+@query(f"WITH {DOMINANT} SELECT * FROM dominant")
+def dominant_author(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analytics.dominant_author(plain_chunks(spark, sf_dir))
+
+
+@query(f"WITH {CHUNKS}, {DOMINANT}, own AS (SELECT c.* FROM chunks c JOIN dominant USING (source_id, author)), {SMOKE.format(chunks='own')} SELECT source_id, author, gram, n_chunks FROM (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY n_chunks DESC, gram) AS r FROM n WHERE n_chunks >= 3) b JOIN (SELECT source_id, author FROM dominant) USING (source_id) WHERE r = 1")
+def dominant_author_smoke(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analytics.dominant_author_smoke(plain_chunks(spark, sf_dir))
+
+
+@query("SELECT source AS source_id, count(*) AS n_chunks FROM documents GROUP BY source")
+def chunk_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analytics.chunk_counts(_table(spark, sf_dir, "documents").select(F.col("source").alias("source_id")))
+
+
+@query("SELECT source AS source_id, count(*) AS documents, count(l.doc_id) AS labelled, count(*) > 0 AND count(l.doc_id) > 0 AS nonempty FROM documents d LEFT JOIN labels l USING (doc_id) GROUP BY source")
+def source_nonempty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("source_id"))
+    return analytics.source_nonempty(sources(spark, sf_dir), {"documents": docs, "labelled": docs.join(_table(spark, sf_dir, "labels"), "doc_id").select("source_id")})
+
+
+@query("SELECT count(DISTINCT source) AS n_sources, count(DISTINCT lang) AS n_authors FROM documents")
+def distinct_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analytics.distinct_counts(plain_chunks(spark, sf_dir))
+
+
+@query(f"SELECT 'the ment Étion' AS query, 8 AS k, avg(prose_hit) AS precision FROM ({_search_sql(LONG, 8)})")
+def precision_at_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analytics.precision_at_k(chunks(spark, sf_dir), LONG)
+
+
+@query(_union([f"SELECT '{c}' AS column_name, coalesce(sum(length({c}) - length(replace({c}, chr(0), ''))), 0)::BIGINT AS nuls, count(*) FILTER (WHERE contains({c}, chr(0))) AS rows_with_nul FROM documents" for c in ("text", "lang", "source")]))
+def nul_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analytics.nul_audit(_table(spark, sf_dir, "documents"), ["text", "lang", "source"])
+
+
+# ---- corpus ----------------------------------------------------------------------------------
+
+BUILT = """raw AS (SELECT source AS source_id, source || '/' || doc_id AS path, coalesce(text, '') AS text, coalesce(nullif(trim(lang), ''), 'not identified') AS author FROM documents),
+ docs AS (SELECT 'doc-' || substr(sha256(path), 1, 12) AS doc_id, source_id, split_part(text, chr(10), 1) AS title, author, path, sha256(text) AS sha256, text FROM raw),
+ parents AS (SELECT printf('%s-p%03d', doc_id, i - 1) AS parent_id, doc_id, source_id, (i - 1)::INT AS ord, lines[i] AS text FROM (SELECT *, list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '') AS lines FROM docs) t, unnest(generate_series(1, len(lines))) AS u(i)),
+ cut AS (SELECT printf('%s-c%02d', parent_id, i) AS chunk_id, parent_id, doc_id, source_id, i::INT AS ord, substr(text, (i * 800 + 1)::BIGINT, 800) AS text FROM parents, unnest(generate_series(0, (length(text) - 1) // 800)) AS u(i))"""
+
+
+def _built(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    docs = corpus.documents_of(raw_files(spark, sf_dir))
+    parents = corpus.parents_of(docs)
+    return docs, parents, corpus.chunks_of(parents, docs)
+
+
+@query(f"WITH {BUILT} SELECT doc_id, source_id, title, author, path, sha256 FROM docs")
+def corpus_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _built(spark, sf_dir)[0].drop("text")
+
+
+@query(f"WITH {BUILT} SELECT * FROM parents")
+def paragraph_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _built(spark, sf_dir)[1]
+
+
+@query(f"WITH {BUILT} SELECT chunk_id, parent_id, doc_id, source_id, ord, text FROM cut")
+def paragraph_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _built(spark, sf_dir)[2].select("chunk_id", "parent_id", "doc_id", "source_id", "ord", "text")
+
+
+@query(f"WITH {BUILT} SELECT c.chunk_id, c.parent_id, p.ord AS parent_ord, d.path, d.sha256 FROM cut c JOIN parents p USING (parent_id) JOIN docs d ON d.doc_id = c.doc_id")
+def traceability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, parents, cut = _built(spark, sf_dir)
+    return corpus.trace(cut, parents, docs).select("chunk_id", "parent_id", "parent_ord", "path", "sha256")
+
+
+@query("SELECT * FROM (" + _union([f"SELECT doc_id AS chunk_id, '{t}' AS topic FROM documents WHERE " + " OR ".join(f"contains({_fold('text', 'ascii')}, {_lit(w)})" for w in words) for t, words in corpus.TOPICS.items()]) + ")")
+def topic_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("chunk_id"), F.explode(corpus.infer_topics(F.col("text"))).alias("topic"))
+
+
+@query(_recall_sql(MIXED))
+def indexed_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recall over an index whose folded fields are stored."""
+    return search.recall(corpus.index_of(plain_chunks(spark, sf_dir)), MIXED).select("chunk_id")
+
+
+# ---- registry and provenance -----------------------------------------------------------------
+
+
+@query("SELECT 'id_sets' AS \"check\", source_id, 'missing in ' || concat_ws(',', CASE WHEN NOT r THEN 'registry' END, CASE WHEN NOT d THEN 'directory' END, CASE WHEN NOT i THEN 'index' END) AS detail FROM (SELECT source_id, bool_or(k = 1) AS r, bool_or(k = 2) AS d, bool_or(k = 3) AS i FROM (SELECT source AS source_id, 1 AS k FROM documents UNION ALL SELECT role, 2 FROM conversations UNION ALL SELECT lang, 3 FROM documents) GROUP BY source_id) WHERE NOT (r AND d AND i)")
+def registry_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return validate.id_sets(docs.select(F.col("source").alias("source_id")), _table(spark, sf_dir, "conversations").select(F.col("role").alias("source_id")), docs.select(F.col("lang").alias("source_id")))
+
+
+def _manifest(df: DataFrame, key: str) -> DataFrame:
+    return df.select(F.col(key).cast("string").alias("path"), F.sha2("text", 256).alias("sha256"))
+
+
+@query("SELECT path, CASE WHEN o IS NULL THEN 'added' WHEN n IS NULL THEN 'removed' WHEN o = n THEN 'unchanged' ELSE 'changed' END AS state FROM (SELECT doc_id::VARCHAR AS path, sha256(text) AS o FROM documents) FULL JOIN (SELECT item_id::VARCHAR AS path, sha256(text) AS n FROM benchmark) USING (path)")
+def manifest_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return validate.manifest_diff(_manifest(_table(spark, sf_dir, "documents"), "doc_id"), _manifest(_table(spark, sf_dir, "benchmark"), "item_id"))
+
+
+@query("SELECT source AS source_id, sha256(string_agg(line, chr(10) ORDER BY line)) AS manifest_digest, count(*) AS file_count FROM (SELECT source, source || '/' || doc_id || chr(9) || sha256(text) || chr(9) || octet_length(encode(text)) AS line FROM documents) GROUP BY source")
+def manifest_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = raw_files(spark, sf_dir).select("source_id", "path", F.sha2("text", 256).alias("sha256"), F.octet_length("text").cast("long").alias("size"))
+    return validate.manifest_digest(files)
+
+
+@query("SELECT 'x' AS \"check\", 'x' AS source_id, 'x' AS detail WHERE FALSE")
+def corpus_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All checks of a freshly built corpus: no rows."""
+    docs, _, cut = _built(spark, sf_dir)
+    index = corpus.index_of(cut)
+    ids = sources(spark, sf_dir)
+    return validate.all_violations(validate.id_sets(ids, docs, cut), validate.integrity(cut), validate.fold_version(index), validate.nul_free(cut, ["text", "title", "author"]))
