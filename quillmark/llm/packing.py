@@ -19,6 +19,7 @@ often as they occur. An empty table gives an empty result. Extra columns are dro
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +32,8 @@ from quillmark.llm.common import materialize
 
 CAPACITY, GRAIN, END_ID = 4096, 64, 2
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
-REMEMBERED = 500_000
+REMEMBERED = 1_200_000
+MARKS = frozenset(".,;:!?")
 
 
 class WordTokenizer:
@@ -47,14 +49,25 @@ class WordTokenizer:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian 32-bit integers."""
         cut = [t.replace("\n", " ").split(" ") for t in texts]
-        known = self.known
-        new = list({w for words in cut for w in words if w not in known})
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = list({w for words in cut for w in words})
-        for word, ids in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            known[word] = np.array(ids.ids, "<u4").tobytes()
-        return [b"".join(map(known.__getitem__, words)) for words in cut]
+        found = [list(map(self.known.get, words)) for words in cut]
+        short = [i for i, ids in enumerate(found) if None in ids]
+        new = list({w for i in short for w, ids in zip(cut[i], found[i], strict=True) if ids is None})
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known.clear()
+        # Case is lost, and a mark after letters is a token of its own: the parts are encoded once.
+        parts = {w: (w[:-1].lower(), w[-1]) if w.isascii() and w[:-1].isalpha() and w[-1] in MARKS else (w.lower() if w.isascii() else w,) for w in new}
+        fresh: dict[str, bytes] = {}
+        for p in {p for ps in parts.values() for p in ps}:
+            if (ids := self.known.get(p)) is not None:
+                fresh[p] = ids
+        open_ = list({p for ps in parts.values() for p in ps if p not in fresh})
+        for word, ids in zip(open_, self.tokenizer.encode_batch_fast(open_, add_special_tokens=False), strict=True):
+            fresh[word] = array("I", ids.ids).tobytes()
+        fresh |= {w: b"".join([fresh[p] for p in ps]) for w, ps in parts.items()}
+        self.known.update(fresh)
+        for i in short:
+            found[i] = [ids if ids is not None else fresh[w] for w, ids in zip(cut[i], found[i], strict=True)]
+        return [b"".join(ids) for ids in found]
 
 
 _made: dict[str, WordTokenizer] = {}
