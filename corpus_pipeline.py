@@ -12,12 +12,13 @@ from quillmark.llm.common import materialize, table
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the divergence from their language's references both keep."""
-    return divergence.judge(docs, carry=True).where("kept").select(*docs.columns)
+    return divergence.judge(docs, carry=True)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents near enough to a centroid of some language."""
-    return langid.identify(docs, carry=docs.columns).where(~F.col("rejected")).select(*docs.columns)
+    whole = docs.select("doc_id", "text", "lang", F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
+    return langid.identify(whole, carry=["_row"]).where(~F.col("rejected")).select("_row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

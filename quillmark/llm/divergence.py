@@ -1,16 +1,17 @@
 """Distribution divergence: quality verdicts from Jensen-Shannon distances to language references.
 
 A document's character-class histogram and its histogram of common words are compared with the
-reference of its language. A reference is the sum of the histograms of all documents of that
-language with words enough for the base rules; documents whose language has no word list are held against the
-sum over all documents, and by their characters alone. Everything is one pass of built-in
-functions over the text (no shuffle of texts or words); the references are at most one row for each
-word list and one more, so joining them is a broadcast of proven size.
+reference of its language: the mean of the histograms, as shares, of all documents of that language
+with words enough for the base rules, so that no long text outweighs the others. Documents whose
+language has no word list are held against all such languages together, by their characters alone.
+Everything is one pass of built-in functions over the text (no shuffle of texts or words); the
+references are at most one row for each word list and one more, so joining them is a broadcast of
+proven size.
 
 Defined cases: a null text counts as empty (no words, base_failed). Repeated rows are judged one by
 one. A short text's histogram is noisy, so both limits are wider by an allowance over the root of
-its number of words. An empty table gives an empty result. Extra columns of the input are dropped; only doc_id,
-text and lang are read. Texts with fewer words than ``min_words_common`` are judged by characters
+its number of words. An empty table gives an empty result. Extra columns of the input are dropped (or
+carried, whatever their names); only doc_id, text and lang are read. Texts with fewer words than ``min_words_common`` are judged by characters
 alone, those with fewer than ``min_words_chars`` by the base rules alone.
 """
 
@@ -91,8 +92,12 @@ def document_statistics(documents: DataFrame, carry: bool = False) -> DataFrame:
     ).withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")))
 
 
+def _total(c: Column) -> Column:
+    return F.aggregate(c, F.lit(0.0), lambda a, x: a + x.cast("double"))
+
+
 def _shares(c: Column) -> Column:
-    total = _sum(c).cast("double")
+    total = _total(c)
     return F.transform(c, lambda x: F.when(total > 0, x.cast("double") / total).otherwise(F.lit(0.0)))
 
 
@@ -106,12 +111,11 @@ def js_distance(p: Column, q: Column) -> Column:
 def references(stats: DataFrame) -> DataFrame:
     """One row for each word list and one for all documents: ref, ref_chars, ref_words."""
     widest = max(map(len, COMMON_WORDS.values())) + 1
-    good = stats.where(F.col("n_words") >= MIN_WORDS)
-    sums = lambda c, n: F.array(*[F.coalesce(F.sum(F.get(F.col(c), F.lit(i))), F.lit(0)) for i in range(n)])
-    made = [sums("char_hist", len(CLASSES) + 1).alias("ref_chars"), sums("word_hist", widest).alias("ref_words")]
-    per = good.where(F.col("ref") != POOLED).groupBy("ref").agg(*made)
-    pooled = per.agg(*[F.array(*[F.coalesce(F.sum(F.get(F.col(c), F.lit(i))), F.lit(0)) for i in range(n)]).alias(c) for c, n in (("ref_chars", len(CLASSES) + 1), ("ref_words", widest))]).select(F.lit(POOLED).alias("ref"), "ref_chars", "ref_words")
-    return per.unionByName(pooled)
+    good = stats.where(F.col("n_words") >= MIN_WORDS).select("ref", _shares(F.col("char_hist")).alias("ref_chars"), _shares(F.col("word_hist")).alias("ref_words"))
+    sums = [F.array(*[F.coalesce(F.sum(F.get(F.col(c), F.lit(i))), F.lit(0.0)) for i in range(n)]).alias(c) for c, n in (("ref_chars", len(CLASSES) + 1), ("ref_words", widest))]
+    per = good.groupBy("ref").agg(*sums)
+    pooled = per.where(F.col("ref") != POOLED).agg(*sums).select(F.lit(POOLED).alias("ref"), "ref_chars", "ref_words")
+    return per.where(F.col("ref") != POOLED).unionByName(pooled)
 
 
 def judge(
@@ -126,22 +130,22 @@ def judge(
 ) -> DataFrame:
     """One row per document: the base figures, both distances (null under their guard), and kept.
 
-    With ``carry`` the documents' columns come with kept, and nothing else. Then the figures are
-    computed again rather than written beside a second copy of all texts.
+    With ``carry`` the result is the kept documents' own columns. Then the figures are computed
+    again rather than written beside a second copy of all texts.
     """
     stats = document_statistics(documents)
     stats = materialize(stats.select("ref", "n_words", "char_hist", "word_hist") if carry else stats)
     refs = materialize(references(stats))
     df = (document_statistics(documents, True) if carry else stats).join(F.broadcast(refs), "ref", "left")
-    chars = F.when((F.col("n_words") >= min_words_chars) & (_sum(F.col("ref_chars")) > 0), js_distance(_shares(F.col("char_hist")), _shares(F.col("ref_chars"))))
-    words = F.when((F.col("n_words") >= min_words_common) & (_sum(F.col("ref_words")) > 0), js_distance(_shares(F.col("word_hist")), _shares(F.col("ref_words"))))
+    chars = F.when((F.col("n_words") >= min_words_chars) & (_total(F.col("ref_chars")) > 0), js_distance(_shares(F.col("char_hist")), _shares(F.col("ref_chars"))))
+    words = F.when((F.col("n_words") >= min_words_common) & (_total(F.col("ref_words")) > 0), js_distance(_shares(F.col("word_hist")), _shares(F.col("ref_words"))))
     df = df.withColumn("char_distance", chars).withColumn("word_distance", words)
     root = F.sqrt(F.col("n_words"))
     limits = {"char_distance": max_char_distance + char_allowance / root, "word_distance": max_word_distance + word_allowance / root}
     near = reduce(Column.__and__, [F.coalesce(F.col(c) <= limit, F.lit(True)) for c, limit in limits.items()])
     # One condition over both sides of the join: a part over the texts alone would be pushed below
     # the projections, and the optimizer would then write out each figure anew wherever it is named.
-    kept = F.when(F.col("base_failed"), F.lit(False)).otherwise(near).alias("kept")
+    kept = F.when(F.col("base_failed"), F.lit(False)).otherwise(near)
     if carry:
-        return df.select("_row.*", kept)
-    return df.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept, "char_distance", "word_distance")
+        return df.where(kept).select("_row.*")
+    return df.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "char_distance", "word_distance")
