@@ -42,7 +42,8 @@ def registered_sources(spark: SparkSession, path: str) -> DataFrame:
 
 def _exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p) not in (None, [])
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p)
+    return found is not None and len(found) > 0
 
 
 def jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
