@@ -45,6 +45,22 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def _encode_words(self, words: list[str]) -> dict[str, bytes]:
+        """Words of letters alone go as one text, cut after each token that ends a word; others one by one."""
+        plain, made = [w for w in words if w.isalpha()], {}
+        if plain:
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, "<u4")
+            cut = np.split(ids, np.flatnonzero(self.ends[ids]) + 1)
+            if len(cut) == len(plain) + 1:
+                made = {w: c.tobytes() for w, c in zip(plain, cut, strict=False)}
+        rest = [w for w in words if w not in made]
+        for word, own in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+            made[word] = array("I", own.ids).tobytes()
+        return made
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian 32-bit integers."""
@@ -61,8 +77,7 @@ class WordTokenizer:
             if (ids := self.known.get(p)) is not None:
                 fresh[p] = ids
         open_ = list({p for ps in parts.values() for p in ps if p not in fresh})
-        for word, ids in zip(open_, self.tokenizer.encode_batch_fast(open_, add_special_tokens=False), strict=True):
-            fresh[word] = array("I", ids.ids).tobytes()
+        fresh |= self._encode_words(open_)
         fresh |= {w: b"".join([fresh[p] for p in ps]) for w, ps in parts.items()}
         self.known.update(fresh)
         for i in short:
