@@ -31,12 +31,16 @@ def folded_name(field: str, kind: str) -> str:
 
 
 def with_folds(chunks: DataFrame, terms: tuple[Term, ...]) -> DataFrame:
-    """Adds the folded fields that the terms need and the index has not stored."""
-    for kind in sorted({t.kind for t in terms if t.cased}):
-        for field in FIELDS:
-            if folded_name(field, kind) not in chunks.columns:
-                chunks = chunks.withColumn(folded_name(field, kind), FOLDS[kind](F.coalesce(field, F.lit(""))))
-    return chunks
+    """Adds the folded fields that the terms need and the index has not stored.
+
+    They are generated, not projected: the optimizer would write a projection out anew for every
+    term and field of a filter above it, and fold each text as often.
+    """
+    wanted = [(field, kind) for kind in sorted({t.kind for t in terms if t.cased}) for field in FIELDS if folded_name(field, kind) not in chunks.columns]
+    if not wanted:
+        return chunks
+    folds = [FOLDS[kind](F.coalesce(field, F.lit(""))).alias(folded_name(field, kind)) for field, kind in wanted]
+    return chunks.select("*", F.inline(F.array(F.struct(*folds))))
 
 
 def field_of(field: str, term: Term) -> Column:
