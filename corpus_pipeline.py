@@ -26,7 +26,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Rows that repeat a doc_id are copies too; documents without words are no one's copies.
     """
-    first = partenum.join(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    first = partenum.join(docs, count_links=False).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
     kept = docs.join(first.withColumnRenamed("doc_id", "_kept"), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
     return kept.dropDuplicates(["doc_id", "text"])
 

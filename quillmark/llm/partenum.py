@@ -14,7 +14,10 @@ number of shingles, so a bucket's size does not grow with the input. A signature
 ``few`` nodes gives their pairs; by more, its pairs with the least node, and its members. Pairs are
 verified exactly on their sets. Links make components. A wide signature's members that then are
 in different components are paired across components, where sketches allow it, and verified too, so no link between
-components is lost, yet groups of near copies never meet all against all.
+components is lost. Where a wide signature has two members in one component, pairs of that component
+may be untried; since links join members of one component only, its links are counted there: each two
+members meet once, in one pair of blocks of a bounded size, and are held against each other by whole
+hashes. Only sums per node leave a block, but that work is quadratic in a component's distinct texts.
 
 Nothing but counts reaches the driver; the ids of documents with candidates are broadcast only up
 to ``most_broadcast``, beyond it the join is shuffled.
@@ -278,13 +281,68 @@ def across(wide: DataFrame, comps: DataFrame, nodes: DataFrame, block: int = 409
     return members.groupBy("sig", "low", "high").applyInArrow(run, "x long, y long").distinct()
 
 
-def join(documents: DataFrame, per_bucket: int = 3_000_000) -> DataFrame:
-    """doc_id, n_shingles, component_id and n_links (links of its set with different sets) of every document."""
+def links_within(documents: DataFrame, members: DataFrame, block: int = 512, most_shingles: int = 1_000_000, most_broadcast: int = 1_000_000) -> DataFrame:
+    """node, n_links: how many members of its component each member (node, rep, n, comp) is similar to.
+
+    A component is dealt into blocks of about so many members and shingles at most; a node goes to each
+    pair of blocks that has its own, so each two members meet in exactly one group.
+    """
+    blocks = members.groupBy("comp").agg(F.ceil(F.greatest(F.count("*") / block, F.sum("n") / most_shingles)).cast("int").alias("_blocks"))
+    placed = materialize(members.join(blocks, "comp").select("node", "rep", "comp", "_blocks", F.pmod(F.hash("node"), F.col("_blocks")).alias("part")))
+    needed, places = placed.select("rep").distinct(), placed.drop("rep")
+    if placed.count() <= most_broadcast:
+        needed, places = F.broadcast(needed), F.broadcast(places)
+    picked = documents.select("doc_id", "text").join(needed, F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.compute  # noqa: F401
+
+        for batch in slices(batches, "text"):
+            made = [s for s in (shingles(t) for t in batch["text"].to_pylist()) if len(s)]
+            yield pa.RecordBatch.from_arrays([pa.array(map(node_of, made), pa.int64()), pa.array([s.tobytes() for s in made], pa.binary())], names=["node", "set"])
+
+    def run(group: pa.Table) -> pa.Table:
+        node, at = np.unique(group["node"].to_numpy(), return_index=True)  # repeated rows are one node
+        part, held = group["part"].to_numpy()[at], group["set"].take(pa.array(at))
+        own = [np.frombuffer(b.as_py(), np.uint64) for b in held]
+        n = np.array([len(s) for s in own], np.int64)
+        low, high = group["low"][0].as_py(), group["high"][0].as_py()
+        left, right = np.flatnonzero(part == low), np.flatnonzero(part == high)
+        _, column, holders = np.unique(np.concatenate(own), return_inverse=True, return_counts=True)
+        some = (holders > 1) & (holders < len(own))  # a shingle of one member is shared by no pair, one of all by each
+        live = some[column]
+        column, owner = (np.cumsum(some) - 1)[column[live]], np.repeat(np.arange(len(own)), n)[live]
+        order = np.argsort(column, kind="stable")
+        column, owner, width = column[order], owner[order], 4096
+        shared = np.full((len(left), len(right)), int((holders == len(own)).sum()), np.int64)
+        for start in range(0, int(some.sum()), width):
+            a, b = np.searchsorted(column, [start, start + width])
+            has = np.zeros((len(own), width), np.float32)
+            has[owner[a:b], column[a:b] - start] = 1
+            shared += (has[left] @ has[right].T).astype(np.int64)
+        links = 100 * shared >= 80 * (n[left][:, None] + n[right][None, :] - shared)
+        if low == high:
+            np.fill_diagonal(links, False)
+            nodes, sums = node[left], links.sum(axis=1)
+        else:
+            nodes, sums = np.concatenate([node[left], node[right]]), np.concatenate([links.sum(axis=1), links.sum(axis=0)])
+        return pa.table({"node": pa.array(nodes, pa.int64()), "n_links": pa.array(sums, pa.int64())})
+
+    met = picked.select("text").mapInArrow(sets, "node long, set binary").join(places, "node").withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    met = met.select("comp", F.least("part", "_other").alias("low"), F.greatest("part", "_other").alias("high"), "part", "node", "set")
+    return met.groupBy("comp", "low", "high").applyInArrow(run, "node long, n_links long").groupBy("node").agg(F.sum("n_links").alias("n_links"))
+
+
+def join(documents: DataFrame, per_bucket: int = 3_000_000, count_links: bool = True, block: int = 512) -> DataFrame:
+    """doc_id, n_shingles, component_id and n_links (links of its set with different sets) of every document.
+
+    Without count_links there is no n_links, and the work for it is not done.
+    """
     stats = materialize(sets_of(documents))
     total = stats.agg(F.sum("n_shingles")).first()[0] or 0
     packed = packed_signatures(documents, max(8, total // per_bucket + 1))
     found = materialize(candidates(packed))
-    nodes = stats.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch"))
+    nodes = stats.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch"), F.first("n_shingles").alias("n"))
     pairs = materialize(found.where("kind = 0").select("x", "y").distinct())
     links = materialize(verified(documents, nodes, pairs))
     comps = components(links)
@@ -293,8 +351,14 @@ def join(documents: DataFrame, per_bucket: int = 3_000_000) -> DataFrame:
     if not more.isEmpty():
         links = materialize(links.unionByName(verified(documents, nodes, more)))
         comps = components(links)
-    degrees = links.select(F.explode(F.array("x", "y")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
-    linked = nodes.join(comps, "node").join(degrees, "node", "left")
+    linked = nodes.join(comps, "node")
     least = linked.groupBy("comp").agg(F.min("rep").alias("component_id"))
-    of_node = nodes.join(linked.join(least, "comp").select("node", "component_id", "n_links"), "node", "left").select("node", F.coalesce("component_id", "rep").alias("component_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+    of_node = nodes.join(linked.join(least, "comp").select("node", "component_id"), "node", "left").select("node", F.coalesce("component_id", "rep").alias("component_id"))
+    if not count_links:
+        return stats.join(of_node, "node", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    untried = wide.join(comps, "node").groupBy("sig", "comp").agg(F.count("*").alias("_n")).where("_n > 1").select("comp").distinct()
+    members = materialize(linked.join(untried, "comp", "left_semi").select("node", "rep", "n", "comp"))
+    formed = links.select(F.explode(F.array("x", "y")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
+    degrees = formed.join(members, "node", "left_anti").unionByName(links_within(documents, members, block))
+    of_node = of_node.join(degrees, "node", "left").select("node", "component_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
     return stats.join(of_node, "node", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))

@@ -93,6 +93,27 @@ def test_wide_signatures_lose_no_component(spark):
     assert got == {d: find(d) for d in sets}
 
 
+def test_links_of_large_groups_equal_brute_force(spark):
+    r = random.Random(7)
+    base = [[f"w{r.randint(0, 5000)}" for _ in range(n)] for n in (100, 150, 60)]
+    rows = []
+    for i in range(70):  # near copies, all similar
+        own = list(base[0])
+        own[i] = f"x{i}"
+        rows.append((i, " ".join(own), "en"))
+    for i in range(70, 110):  # similar to some
+        rows.append((i, " ".join([*base[1][(i - 70) // 2 :], *[f"z{j}" for j in range((i - 70) % 7)]]), "en"))
+    rows += [(110, " ".join(base[2]), "en"), (111, " ".join([*base[2], "tail"]), "en"), (112, rows[3][1], "fr"), (3, rows[3][1], "en"), (None, rows[5][1] + " end", "en"), (None, rows[6][1] + " other", "en"), (113, None, "en")]
+    df = make_docs(spark, rows)
+    texts = [t for _, t in rows_of(df)]
+    sets = [frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) for w in map(words, texts)]
+    links = {a: sum(100 * len(a & b) >= 80 * len(a | b) for b in set(sets) if a and b and a != b) for a in set(sets)}
+    want = collections.Counter((d, links[s]) for (d, _), s in zip(rows_of(df), sets, strict=True))
+    assert max(links.values()) > 60
+    for options in ({}, {"block": 9}):
+        assert collections.Counter((x.doc_id, x.n_links) for x in partenum.join(df, per_bucket=2000, **options).collect()) == want
+
+
 def test_katz_equals_brute_force_and_is_normalised(spark):
     df = make_docs(spark)
     got = katz.score(df, per_bucket=300).collect()
