@@ -6,8 +6,8 @@ argument, and the plain turn after it is that call's result, so plain conversati
 way. Calls meet results in a hash join on (conversation, identifier); several results of one
 identifier are first reduced to one, so no identifier multiplies rows. Arguments are held against
 a schema of (tool, argument, type, required). A call that names another call's id in an argument
-``{"$ref": id}`` depends on it; levels of the dependency graph come from a bounded number of joined
-sweeps, and a call on a cycle (or beyond the bound) gets level -1. The order of a conversation is
+``{"$ref": id}`` depends on it; levels of the dependency graph come from joined sweeps, one a level,
+until one settles no call; a call on a cycle, or that depends on one, gets level -1. The order of a conversation is
 (level, turn, ordinal). Nothing gathers a conversation into one row or one task.
 
 Defined cases: null text is an empty text; a null conversation or turn keeps its rows, which link
@@ -54,22 +54,27 @@ def results_of(turns: DataFrame) -> DataFrame:
     return rows.groupBy("conv_id", "call_id").agg(F.min("r").alias("_r"), F.count("*").alias("n_results")).select("conv_id", "call_id", F.col("_r.c").alias("result"), F.col("_r.t").alias("result_turn"), "n_results")
 
 
-def levels(calls: DataFrame, sweeps: int = 8) -> DataFrame:
-    """conv_id, call_id, level of every call with a dependency: the longest chain of references below it."""
-    refs = calls.select("conv_id", "call_id", F.explode(F.map_values("arguments")).alias("_a")).select("conv_id", "call_id", F.regexp_extract("_a", r'^\s*\{\s*"\$ref"\s*:\s*"([^"]*)"\s*\}\s*$', 1).alias("needs")).where("needs != ''").distinct()
-    refs = materialize(refs)
-    known = refs.select("conv_id", F.col("needs").alias("call_id")).distinct().join(refs.select("conv_id", "call_id").distinct(), ["conv_id", "call_id"], "left_anti").withColumn("level", F.lit(0))
-    targets = refs.groupBy("conv_id", "call_id").agg(F.count("*").alias("_needs"))
-    done = known
-    if refs.isEmpty():
-        return targets.select("conv_id", "call_id", F.lit(0).alias("level"))
-    for i in range(sweeps):
-        reached = refs.join(done.withColumnRenamed("call_id", "needs"), ["conv_id", "needs"]).groupBy("conv_id", "call_id").agg(F.count("*").alias("_met"), F.max("level").alias("_max"))
-        whole = reached.join(targets, ["conv_id", "call_id"]).where("_met = _needs").select("conv_id", "call_id", (F.col("_max") + 1).alias("level"))
-        done = known.unionByName(whole)
-        if i % 2:
+def levels(calls: DataFrame) -> DataFrame:
+    """conv_id, call_id, level of every call with a dependency: the longest chain of references below it.
+
+    A sweep drops the references to calls settled by the one before; a call that has none left is settled.
+    """
+    key = ["conv_id", "call_id"]
+    refs = calls.select(*key, F.explode(F.map_values("arguments")).alias("_a")).select(*key, F.regexp_extract("_a", r'^\s*\{\s*"\$ref"\s*:\s*"([^"]*)"\s*\}\s*$', 1).alias("needs")).where("needs != '' and conv_id is not null and call_id is not null").distinct()
+    left = materialize(refs)
+    done = left.where("false").select(*key, F.lit(0).alias("level"))
+    if left.isEmpty():
+        return done
+    settled = materialize(left.select("conv_id", F.col("needs").alias("call_id")).distinct().join(left.select(*key).distinct(), key, "left_anti"))
+    level = 0
+    while not settled.isEmpty():
+        level += 1
+        before, left = left, materialize(left.join(settled.withColumnRenamed("call_id", "needs"), ["conv_id", "needs"], "left_anti"))
+        settled = materialize(before.select(*key).distinct().join(left.select(*key).distinct(), key, "left_anti"))
+        done = done.unionByName(settled.withColumn("level", F.lit(level)))
+        if level % 8 == 0:
             done = materialize(done)
-    return targets.join(done, ["conv_id", "call_id"], "left").select("conv_id", "call_id", F.coalesce("level", F.lit(-1)).alias("level"))
+    return done.unionByName(left.select(*key).distinct().withColumn("level", F.lit(-1)))
 
 
 def _faults(schemas: dict[str, dict[str, tuple[str, bool]]]) -> Column:

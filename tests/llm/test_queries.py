@@ -1,6 +1,7 @@
 """Operators on a session, against brute force, with nulls, empties, repeats and clashing columns."""
 
 import collections
+import json
 import math
 import random
 import re
@@ -280,6 +281,15 @@ def test_chats(spark):
     assert len(got) == 7 and chat_format.format_chat(df.limit(0), chat_format.SCHEMAS).collect() == []
 
 
+def test_levels_of_long_chains_and_cycles(spark):
+    chain = {f"c{i}": [f"c{i - 1}"] if i else [] for i in range(13)} | {"fork": ["c11", "c2"], "p": ["q"], "q": ["p"], "hangs": ["c1", "p"], "self": ["self"], "lost": ["nowhere"]}
+    calls = [{"id": c, "name": "x", "arguments": {str(i): json.dumps({"$ref": n}) for i, n in enumerate(needs)}} for c, needs in chain.items()]
+    rows = [(v, 0, "assistant", json.dumps({"tool_calls": calls[:: 1 if v else -1]})) for v in range(2)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    want = {f"c{i}": i for i in range(13)} | {"fork": 12, "p": -1, "q": -1, "hangs": -1, "self": -1, "lost": 1}
+    assert {(r.conv_id, r.call_id): r.level for r in chat_format.format_chat(df, {}).collect()} == {(v, c): n for v in range(2) for c, n in want.items()}
+
+
 def test_pipeline(spark, tmp_path):
     df = make_docs(spark)
     docs, names = df, df.columns
