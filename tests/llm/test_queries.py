@@ -261,6 +261,32 @@ def test_pages(spark):
     assert texts.count() == 10 and html_blocks.extract(df.limit(0)).collect() == []
 
 
+def test_lost_mass_returns_to_seeds(spark):
+    links = {"a.net": ["z.net"], "b.org": ["a.net", "c.org"], "d.org": ["b.org"], "c.org": ["d.org", "e.org"], "v.example.com": ["c.org", "u.org"]}
+    hosts = [*links, "z.net", "e.org", *[f"h{i}.org" for i in range(8)]]
+    path = {"z.net": "de/1", "v.example.com": "en/7", "h0.org": "es/1"}
+    df = spark.createDataFrame([(i, f"http://{h}/{path.get(h, 'x')}", " ".join(f"<a href='http://{t}/'>" for t in links.get(h, []))) for i, h in enumerate(hosts)], "page_id long, url string, html string")
+    seeds = {"trust": {"v.example.com": 1.0}, "distrust": {"z.net": 0.5, "h0.org": 0.5}}
+    edges = {"trust": [(a, b) for a in links for b in links[a]], "distrust": [(b, a) for a in links for b in links[a]]}
+    want = {}
+    for walk, seed in seeds.items():
+        every = {*hosts, "u.org"}
+        out = collections.Counter(a for a, _ in edges[walk])
+        score = dict.fromkeys(every, 0.0) | seed
+        for _ in range(300):
+            lost = sum(v for h, v in score.items() if not out[h])
+            new = {h: (0.15 + 0.85 * lost) * seed.get(h, 0) for h in every}
+            for a, b in edges[walk]:
+                new[b] += 0.85 * score[a] / out[a]
+            score = new
+        want[walk] = score
+    got = {r.host: r for r in url_graph.judge(df, url_graph.RULES).collect()}
+    for h in hosts:
+        assert (got[h].trust, got[h].distrust) == pytest.approx((want["trust"][h], want["distrust"][h]), abs=1e-3 / len(hosts))
+    assert {h for h in hosts if got[h].verdict == "block"} == {"z.net", "h0.org"} | {h for h in hosts if want["distrust"][h] * len(hosts) > 1 and want["distrust"][h] > want["trust"][h]}
+    assert got["a.net"].rule is None and got["a.net"].verdict == "block"
+
+
 def test_chats(spark):
     rows = [
         (1, 0, "assistant", '{"tool_calls":[{"id":"b","name":"respond","arguments":{"text":"{\\"$ref\\": \\"a\\"}"}},{"id":"a","name":"x","arguments":{"q":"1"}}]}'),
