@@ -4,7 +4,9 @@ A turn's text is read as JSON where it is a message with ``tool_calls`` (id, nam
 with a ``tool_call_id``. A plain user turn is a call of the tool ``respond`` with the text as its
 argument, and the plain turn after it is that call's result, so plain conversations run the same
 way. Calls meet results in a hash join on (conversation, identifier); several results of one
-identifier are first reduced to one, so no identifier multiplies rows. Arguments are held against
+identifier are first reduced to one, so no identifier multiplies rows. A result that meets no call,
+or is not the one taken, is a row of its own with that fault, and so is a turn that is neither call
+nor result: every turn is in the output. Arguments are held against
 a schema of (tool, argument, type, required). A call that names another call's id in an argument
 ``{"$ref": id}`` depends on it; levels of the dependency graph come from joined sweeps, one a level,
 until one settles no call; a call on a cycle, or that depends on one, gets level -1. The order of a conversation is
@@ -12,7 +14,8 @@ until one settles no call; a call on a cycle, or that depends on one, gets level
 
 Defined cases: null text is an empty text; a null conversation or turn keeps its rows, which link
 only to results with the same null-free key. Repeated rows stay, each with its own call; among several
-results the first by turn, then by text, is taken and n_results says how many there were. Broken
+results the first by turn, then by text, is taken, n_results says how many there were, and the others
+have rows at the call's level. Broken
 JSON counts as plain text. An empty table gives an empty result. Extra columns are dropped.
 """
 
@@ -35,23 +38,45 @@ def _message() -> Column:
 
 def turns_of(conversations: DataFrame) -> DataFrame:
     df = conversations.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text")).withColumn("_m", _message())
-    return df.withColumn("_is_call", F.col("_m.tool_calls").isNotNull()).withColumn("_is_result", F.col("_m.tool_call_id").isNotNull())
+    df = df.withColumn("_is_call", F.col("_m.tool_calls").isNotNull()).withColumn("_is_result", F.col("_m.tool_call_id").isNotNull())
+    plain = F.array(F.struct(F.concat(F.lit("turn-"), F.col("turn").cast("string")).alias("id"), F.lit("respond").alias("name"), F.create_map(F.lit("text"), F.col("text")).alias("arguments")))
+    calls = F.when(F.col("_is_call"), F.col("_m.tool_calls")).when((F.col("role") == "user") & ~F.col("_is_result"), plain)
+    answer = (F.col("role") != "user") & ~F.col("_is_call") & ~F.col("_is_result")
+    named = F.when(F.col("_is_result"), F.col("_m.tool_call_id")).when(answer, F.concat(F.lit("turn-"), (F.col("turn") - 1).cast("string")))
+    return df.withColumn("_calls", calls).withColumn("_answers", named)
 
 
 def calls_of(turns: DataFrame) -> DataFrame:
     """One row per call: conv_id, turn, ordinal, call_id, name, arguments (a map of texts)."""
-    plain = F.array(F.struct(F.concat(F.lit("turn-"), F.col("turn").cast("string")).alias("id"), F.lit("respond").alias("name"), F.create_map(F.lit("text"), F.col("text")).alias("arguments")))
-    calls = F.when(F.col("_is_call"), F.col("_m.tool_calls")).when((F.col("role") == "user") & ~F.col("_is_result"), plain)
-    return turns.select("conv_id", "turn", F.posexplode(calls).alias("ordinal", "c")).select("conv_id", "turn", "ordinal", F.col("c.id").alias("call_id"), F.col("c.name").alias("name"), F.col("c.arguments").alias("arguments"))
+    return turns.select("conv_id", "turn", F.posexplode("_calls").alias("ordinal", "c")).select("conv_id", "turn", "ordinal", F.col("c.id").alias("call_id"), F.col("c.name").alias("name"), F.col("c.arguments").alias("arguments"))
 
 
 def results_of(turns: DataFrame) -> DataFrame:
-    """One row per identifier: conv_id, call_id, result, result_turn, n_results."""
-    plain = (F.col("role") != "user") & ~F.col("_is_call") & ~F.col("_is_result")
-    named = F.when(F.col("_is_result"), F.col("_m.tool_call_id")).when(plain, F.concat(F.lit("turn-"), (F.col("turn") - 1).cast("string")))
+    """One row per different result: conv_id, call_id, r (its turn t and content c), copies."""
     content = F.when(F.col("_is_result"), F.coalesce(F.col("_m.content"), F.lit(""))).otherwise(F.col("text"))
-    rows = turns.select("conv_id", named.alias("call_id"), F.struct(F.col("turn").alias("t"), content.alias("c")).alias("r")).where(F.col("call_id").isNotNull())
-    return rows.groupBy("conv_id", "call_id").agg(F.min("r").alias("_r"), F.count("*").alias("n_results")).select("conv_id", "call_id", F.col("_r.c").alias("result"), F.col("_r.t").alias("result_turn"), "n_results")
+    rows = turns.select("conv_id", F.col("_answers").alias("call_id"), F.struct(F.col("turn").alias("t"), content.alias("c")).alias("r")).where(F.col("call_id").isNotNull())
+    return rows.groupBy("conv_id", "call_id", "r").agg(F.count("*").alias("copies"))
+
+
+def first_of(results: DataFrame) -> DataFrame:
+    """One row per identifier: conv_id, call_id, result, result_turn, n_results."""
+    return results.groupBy("conv_id", "call_id").agg(F.min("r").alias("_r"), F.sum("copies").alias("n_results")).select("conv_id", "call_id", F.col("_r.c").alias("result"), F.col("_r.t").alias("result_turn"), "n_results")
+
+
+def unlinked(turns: DataFrame, results: DataFrame, firsts: DataFrame, calls: DataFrame, depth: DataFrame) -> DataFrame:
+    """Rows of the results that no call has taken and of the turns that are neither call nor result."""
+    key = ["conv_id", "call_id"]
+    linked = calls.select(*key).distinct().withColumn("_linked", F.lit(True))
+    more = firsts.join(linked, key, "left").where("_linked is null or n_results > 1")
+    taken = more.join(depth, key, "left").select(F.col("conv_id").alias("_v"), F.col("call_id").alias("_c"), F.struct(F.col("result_turn").alias("t"), F.col("result").alias("c")).alias("_r"), "n_results", "_linked", "level")
+    rest = results.join(taken, F.col("conv_id").eqNullSafe(F.col("_v")) & (F.col("call_id") == F.col("_c")))
+    rest = rest.withColumn("_left", F.col("copies") - F.when(F.col("_linked") & F.col("r").eqNullSafe(F.col("_r")), 1).otherwise(0)).where("_left > 0")
+    rest = rest.withColumn("_each", F.explode(F.sequence(F.lit(1).cast("long"), "_left")))
+    fault = F.when(F.col("_linked"), "surplus result").otherwise("no call")
+    row = lambda level, turn, call_id, n, at, fault, *body: ["conv_id", level.alias("level"), turn.alias("turn"), F.lit(0).alias("ordinal"), call_id.alias("call_id"), F.lit(None).cast("string").alias("name"), n.alias("n_results"), at.alias("result_turn"), fault.alias("faults"), F.to_json(F.struct(*body)).alias("canonical")]
+    rest = rest.select(*row(F.coalesce("level", F.lit(0)), F.col("r.t"), F.col("call_id"), F.col("n_results"), F.col("r.t"), fault, F.col("call_id").alias("id"), F.col("r.c").alias("result")))
+    other = turns.where((F.coalesce(F.size("_calls"), F.lit(0)) <= 0) & F.col("_answers").isNull())
+    return rest.unionByName(other.select(*row(F.lit(0), F.col("turn"), F.lit(None).cast("string"), F.lit(0).cast("long"), F.lit(None).cast(turns.schema["turn"].dataType), F.lit("neither call nor result"), F.col("text").alias("content"), F.col("role"))))
 
 
 def levels(calls: DataFrame) -> DataFrame:
@@ -96,12 +121,18 @@ def _faults(schemas: dict[str, dict[str, tuple[str, bool]]]) -> Column:
 
 
 def format_chat(conversations: DataFrame, schemas: dict[str, dict[str, tuple[str, bool]]]) -> DataFrame:
-    """One row per call: its place, its result, what is wrong with it, and both as canonical JSON."""
+    """One row per call: its place, its result, what is wrong with it, and both as canonical JSON.
+
+    So too one per result without a call, per surplus result and per turn that is neither.
+    """
     turns = turns_of(conversations)
     calls = calls_of(turns)
-    df = calls.join(results_of(turns), ["conv_id", "call_id"], "left").join(levels(calls), ["conv_id", "call_id"], "left")
+    results, depth = results_of(turns), levels(calls)
+    firsts = first_of(results)
+    df = calls.join(firsts, ["conv_id", "call_id"], "left").join(depth, ["conv_id", "call_id"], "left")
     df = df.withColumn("faults", _faults(schemas)).withColumn("level", F.coalesce("level", F.lit(0))).withColumn("n_results", F.coalesce("n_results", F.lit(0).cast("long")))
     keys = F.array_sort(F.map_keys("arguments"))
     ordered = F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at("arguments", k)))
     body = F.struct(ordered.alias("arguments"), F.col("call_id").alias("id"), F.col("name"), F.col("result"))
-    return df.select("conv_id", "level", "turn", "ordinal", "call_id", "name", "n_results", "result_turn", F.concat_ws("; ", "faults").alias("faults"), F.to_json(body).alias("canonical"))
+    made = df.select("conv_id", "level", "turn", "ordinal", "call_id", "name", "n_results", "result_turn", F.concat_ws("; ", "faults").alias("faults"), F.to_json(body).alias("canonical"))
+    return unlinked(turns, results, firsts, calls, depth).unionByName(made)

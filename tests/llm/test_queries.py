@@ -316,6 +316,34 @@ def test_levels_of_long_chains_and_cycles(spark):
     assert {(r.conv_id, r.call_id): r.level for r in chat_format.format_chat(df, {}).collect()} == {(v, c): n for v in range(2) for c, n in want.items()}
 
 
+def test_every_turn_is_accounted_for(spark):
+    rows = [
+        (1, 0, "system", "be kind"),
+        (1, 1, "user", "hello"),
+        (1, 2, "assistant", "b"),
+        (1, 2, "assistant", "a"),
+        (1, 2, "assistant", "a"),
+        (1, 3, "tool", '{"tool_call_id":"gone","content":"42"}'),
+        (1, 4, None, "who"),
+        (1, 5, "assistant", '{"tool_calls":[]}'),
+        (None, 1, "assistant", "no conversation"),
+        (2, None, "assistant", "no turn"),
+    ]
+    got = chat_format.format_chat(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), chat_format.SCHEMAS).collect()
+    want = [
+        (1, 0, "turn--1", "no call", 1, '{"id":"turn--1","result":"be kind"}'),
+        (1, 1, "turn-1", "", 3, '{"arguments":{"text":"hello"},"id":"turn-1","name":"respond","result":"a"}'),
+        (1, 2, "turn-1", "surplus result", 3, '{"id":"turn-1","result":"a"}'),
+        (1, 2, "turn-1", "surplus result", 3, '{"id":"turn-1","result":"b"}'),
+        (1, 3, "gone", "no call", 1, '{"id":"gone","result":"42"}'),
+        (1, 4, None, "neither call nor result", 0, '{"content":"who"}'),
+        (1, 5, None, "neither call nor result", 0, '{"content":"{\\"tool_calls\\":[]}","role":"assistant"}'),
+        (None, 1, "turn-0", "no call", 1, '{"id":"turn-0","result":"no conversation"}'),
+        (2, None, None, "neither call nor result", 0, '{"content":"no turn","role":"assistant"}'),
+    ]
+    assert collections.Counter((r.conv_id, r.turn, r.call_id, r.faults, r.n_results, r.canonical) for r in got) == collections.Counter(want)
+
+
 def test_pipeline(spark, tmp_path):
     df = make_docs(spark)
     docs, names = df, df.columns
