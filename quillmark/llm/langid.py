@@ -4,8 +4,8 @@ A text is the vector of its hashed letter n-grams (1 to 3 letters, words apart,
 frequency damped by a root, times inverse document frequency, normalised. Document frequencies come
 from all learning documents: each task counts its own, and what is shuffled is one row per feature
 and task. Centroids come from spherical k-means over a bounded sample: at most ``per_language``
-documents of a language, those of least hash, at most ``most_languages`` languages (the most
-frequent). The score is the cosine with the nearest centroid; texts nearer to none than
+documents of a language, those of least hash, in every language. Each language's centroids are fitted
+where its sample is, and only centroids reach the driver. The score is the cosine with the nearest centroid; texts nearer to none than
 ``reject_below`` are marked rejected.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0, and rejected. Null
@@ -110,14 +110,13 @@ def cluster(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
     return c
 
 
-def fit(learning: DataFrame, per_language: int = 200, most_languages: int = 50, k: int = 3, n_features: int = FEATURES) -> tuple[np.ndarray, np.ndarray, list[str]]:
+def fit(learning: DataFrame, per_language: int = 200, k: int = 3, n_features: int = FEATURES) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """(idf, centroids, language of each centroid) from rows with doc_id, text and lang."""
     learning = learning.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
     df, n = document_frequency(learning, n_features)
     idf = np.log((1 + n) / (1 + df)) + 1
-    known = [r["lang"] for r in learning.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most_languages).collect()]
     least = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = learning.where(F.col("lang").isin(known)).select("doc_id", "lang").withColumn("_r", F.row_number().over(least)).where(F.col("_r") <= per_language)
+    ids = learning.select("doc_id", "lang").withColumn("_r", F.row_number().over(least)).where(F.col("_r") <= per_language)
     picked = learning.join(F.broadcast(ids.select("doc_id").distinct()), "doc_id", "left_semi").select("lang", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,14 +124,13 @@ def fit(learning: DataFrame, per_language: int = 200, most_languages: int = 50,
             x, has = vectors(batch["text"].to_pylist(), idf)
             yield pa.RecordBatch.from_arrays([batch["lang"].filter(pa.array(has)), pa.array([v.tobytes() for v in x], pa.binary())], names=["lang", "x"])
 
-    sample: dict[str, list[bytes]] = {}
-    for r in picked.mapInArrow(run, "lang string, x binary").collect():
-        sample.setdefault(r["lang"], []).append(bytes(r["x"]))
-    cents, langs = [], []
-    for lang in sorted(sample):
-        c = cluster(np.array([np.frombuffer(v, np.float32) for v in sorted(sample[lang])]), k)
-        cents.append(c)
-        langs += [lang] * len(c)
+    def centroids(group: pa.Table) -> pa.Table:
+        c = cluster(np.array([np.frombuffer(v, np.float32) for v in sorted(x.as_py() for x in group["x"])]), k)
+        return pa.table({"lang": pa.array([group["lang"][0].as_py()] * len(c), pa.string()), "at": pa.array(range(len(c)), pa.int32()), "c": pa.array([v.tobytes() for v in c.astype(np.float32)], pa.binary())})
+
+    made = picked.mapInArrow(run, "lang string, x binary").groupBy("lang").applyInArrow(centroids, "lang string, at int, c binary").collect()
+    made.sort(key=lambda r: (r["lang"], r["at"]))
+    cents, langs = [np.frombuffer(bytes(r["c"]), np.float32)[None] for r in made], [r["lang"] for r in made]
     return idf, np.concatenate(cents) if cents else np.zeros((0, n_features), np.float32), langs
 
 

@@ -164,6 +164,17 @@ def test_language_id(spark):
     assert {r.lang_pred for r in langid.query(df.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
+def test_language_id_learns_every_language(spark):
+    r = random.Random(3)
+    rows, names = [], [f"l{i:02}" for i in range(60)]
+    for i, name in enumerate(names):  # each language has letters of its own
+        own = [chr(0x4E00 + 20 * i + j) for j in range(20)]
+        rows += [(20 * i + j, " ".join("".join(r.choices(own, k=4)) for _ in range(30)), name) for j in range(8)]
+    got = {x.doc_id: x for x in langid.query(make_docs(spark, rows)).collect()}
+    assert {x.lang_pred for x in got.values()} == set(names)
+    assert all(got[d].lang_pred == name for d, _, name in rows)
+
+
 def test_packing_holds_every_id_once(spark):
     path = public_tokenizers.path("word_bpe_49k.json")
     df = make_docs(spark)
