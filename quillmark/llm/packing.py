@@ -6,7 +6,7 @@ lengths, so the problem is a cutting-stock problem over an exact, small histogra
 over patterns (how many pieces of each length fill a sequence) is solved by column generation: a
 knapsack by dynamic programming over the dual prices finds the next pattern. Rounded down, patterns
 become runs of sequences; what rounding leaves over, a few sequences however many documents there
-are, is filled by first fit decreasing, and the last sequences are cut at powers of two. A
+are, is filled by first fit decreasing; those sequences end where their pieces end. A
 document's piece takes the slot of its rank among pieces of its length: sequence and offset follow
 by arithmetic from a table as small as the patterns, so no piece is shuffled to meet its sequence.
 
