@@ -4,8 +4,8 @@ A document's set is its distinct 5-word shingles, hashed to 64 bits; equal sets
 fall into bands [l, l / 0.8], so a pair of similarity 0.8 lies in one band or two neighbouring ones,
 and differs in at most k = 2 r / 9 shingles, r the upper end of the pair's band. For each band the
 domain of shingles is dealt into n parts, n > k: two such sets agree wholly on more than n - k - 1
-parts, so they share the signature (band, part, what the set has in the part) of one. (Enumerating
-subsets of one part costs fewest signatures here.) Parts that are empty in a set would share
+parts, so they share the signature (band, part, what the set has in the part) of one. (Subsets of
+more parts, as PartEnum has them, are not enumerated.) Parts that are empty in a set would share
 signatures for nothing; a set with fewer than n - k of them is sure to agree with any partner on a
 part that isn't, so only the other, rare sets sign their empty parts.
 
