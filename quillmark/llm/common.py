@@ -35,9 +35,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named in spark.checkpoint.dir; a folder of our own only where that is unset (tests)."""
+    """The shared folder named in spark.checkpoint.dir; a folder of our own only where that is unset and all is one machine (tests)."""
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and sc.getCheckpointDir() is None and not sc.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="quillmark-ckpt-"))
     return named or sc.getCheckpointDir()
@@ -49,6 +51,12 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder of our own in the shared file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def lower_ascii(c: Column) -> Column:
     """A-Z lower-cased, every other character as it is."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

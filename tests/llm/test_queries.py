@@ -115,40 +115,69 @@ def test_links_of_large_groups_equal_brute_force(spark):
         assert collections.Counter((x.doc_id, x.n_links) for x in partenum.join(df, per_bucket=2000, **options).collect()) == want
 
 
-def test_katz_equals_brute_force_and_is_normalised(spark):
-    df = make_docs(spark)
-    got = katz.score(df, per_bucket=300).collect()
+@pytest.mark.parametrize(("order", "options"), [(2, {}), (3, {"most_tokens": 400, "per_bucket": 300}), (4, {"per_bucket": 500})])
+def test_katz_equals_brute_force_and_is_normalised(spark, order, options, tmp_path):
+    df = make_docs(spark).withColumn("text", F.expr("case when length(text) > 300 then concat(text, ' everywhere') else text end"))  # in nearly every text
+    path = str(tmp_path / "model")
+    got = katz.score(df, order=order, path=path, **options).collect()
     rows = [(d, [*words((t or "").lower()), None]) for d, t in rows_of(df)]
     mod = lambda d: None if d is None else zlib.crc32(str(d).encode()) % 5
     learn = [w for d, w in rows if d is not None and mod(d) != 1]
-    one = collections.Counter(x for w in learn for x in w)
-    two = collections.Counter(p for w in learn for p in zip(["<s>", *w], w, strict=False))
-    total, distinct = sum(one.values()), len(one)
-    du, dp = (katz.discounts([sum(v == r for v in c.values()) for r in range(1, 7)]) for c in (one, two))
-    unknown = 1 - sum(du[min(v, 6)] * v for v in one.values()) / total
-    p1 = lambda w: du[min(one[w], 6)] * one[w] / total if one[w] else unknown
-    context, kept, lower = collections.Counter(), collections.Counter(), collections.Counter()
-    for (h, w), n in two.items():
-        context[h] += n
-        kept[h] += dp[min(n, 6)] * n
-        lower[h] += p1(w)
-
-    def p(h, w):
-        if two[h, w]:
-            return dp[min(two[h, w], 6)] * two[h, w] / context[h]
-        return p1(w) * ((1 - kept[h] / context[h]) / (1 - lower[h]) if context[h] else 1)
-
-    for h in list(context)[:5]:
-        assert sum(p(h, w) for w in one) + p(h, "never seen") == pytest.approx(1)
+    grams = lambda w, n: zip(*[(["<s>", *w] if n > 1 else w)[i:] for i in range(n)], strict=False)
+    count = {n: collections.Counter(g for w in learn for g in grams(w, n)) for n in range(1, order + 1)}
+    d = {n: katz.discounts([sum(v == r for v in c.values()) for r in range(1, 7)]) for n, c in count.items()}
+    total, distinct = sum(count[1].values()), len(count[1])
+    unknown = 1 - sum(d[1][min(v, 6)] * v for v in count[1].values()) / total
+    after = collections.defaultdict(list)
+    for n in range(2, order + 1):
+        for g in count[n]:
+            after[g[:-1]].append(g[-1])
+    memory = {}
+
+    def kept(g):
+        c = count[len(g)][g]
+        return d[len(g)][min(c, 6)] * c / sum(count[len(g)][(*g[:-1], w)] for w in after[g[:-1]])
+
+    def alpha(h):
+        if ("weight", h) not in memory:
+            memory["weight", h] = (1 - sum(kept((*h, w)) for w in after[h])) / (1 - sum(p((*h[1:], w)) for w in after[h]))
+        return memory["weight", h]
+
+    def p(g):
+        if len(g) == 1:
+            return d[1][min(count[1][g], 6)] * count[1][g] / total if count[1][g] else unknown
+        if g not in memory:
+            memory[g] = kept(g) if count[len(g)][g] else (alpha(g[:-1]) if after[g[:-1]] else 1) * p(g[1:])
+        return memory[g]
+
+    for h in list(after)[:: len(after) // 7]:
+        assert sum(p((*h, w)) for (w,) in count[1]) + p((*h, "never seen")) == pytest.approx(1)
     want = collections.defaultdict(list)
-    for d, w in rows:
-        want[d].append((len(w), sum(one[x] > 0 for x in w), sum(math.log10((one[x] + 0.5) / (total + 0.5 * (distinct + 1))) for x in w), sum(math.log10(p(h, x)) for h, x in zip(["<s>", *w], w, strict=False))))
+    for i, w in rows:
+        led = ["<s>", *w]
+        score = sum(math.log10(p(tuple(led[max(0, j - order + 1) : j + 1]) if order > 1 else (led[j],))) for j in range(1, len(led)))
+        want[i].append((len(w), sum(count[1][x,] > 0 for x in w), sum(math.log10((count[1][x,] + 0.5) / (total + 0.5 * (distinct + 1))) for x in w), score))
     assert len(got) == len(rows)
-    for r in got:
+    for own in want.values():
+        own.sort()
+    for r in sorted(got, key=lambda r: (r.n_tokens, r.n_known, r.base_score), reverse=True):
         n, known, base, score = want[r.doc_id].pop()
         assert (r.n_tokens, r.n_known, r.train_tokens, r.held_out) == (n, known, total, mod(r.doc_id) == 1)
         assert r.base_score == pytest.approx(base) and r.score == pytest.approx(score)
+    stored = spark.read.parquet(path).where("kind in ('ngrams', 'weights')").collect()
+    for n in range(1, order + 1):
+        assert sum(int(katz.unpack(r.body)[1].sum()) for r in stored if (r.kind, r.n) == ("ngrams", n)) == sum(count[n].values())
+        assert sorted(round(x, 6) for r in stored if (r.kind, r.n) == ("weights", n) for x in katz.unpack(r.body)[1].tolist()) == sorted(round(math.log10(alpha(h)), 6) for h in after if len(h) == n - 1 and after[h])
+
+
+def test_katz_without_learning_or_rows(spark):
+    df = make_docs(spark)
     assert katz.score(df.limit(0)).collect() == []
+    unread = katz.score(df.where("doc_id is null")).collect()
+    assert [(r.score, r.train_tokens, r.n_known) for r in unread] == [(None, 0, 0)]
+    long = spark.createDataFrame([(i, "alpha beta gamma " * 400_000) for i in range(2)], "doc_id long, text string")  # 6.8 MB each
+    for r in katz.score(long, most_tokens=300_000).collect():
+        assert r.n_tokens == 1_200_001
 
 
 def test_language_id(spark):
