@@ -12,78 +12,129 @@ by arithmetic from a table as small as the patterns, so no piece is shuffled to
 
 Only the histogram reaches the driver. Ranks come from counts per (share of the pieces, length).
 
-Defined cases: a null text counts as empty, which is the end id alone. Repeated rows are packed as
-often as they occur. An empty table gives an empty result. Extra columns are dropped.
+Defined cases: a null text counts as empty, which is the end id alone. Long texts are encoded whole
+and cut. Repeated rows are packed as often as they occur, and rows that tie in everything take any of
+their ranks. A special token's string in a text is that token, as the library reads it. An empty table gives an empty result. Extra columns are dropped.
 """
 
 from __future__ import annotations
 
+import itertools
+import re
+import unicodedata
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillmark.llm.bytebpe import slices
+from quillmark.llm.bytebpe import WHITE, slices
 from quillmark.llm.common import materialize
 
 CAPACITY, GRAIN, END_ID = 4096, 64, 2
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 REMEMBERED = 1_200_000
-MARKS = frozenset(".,;:!?")
+#: The vocabulary's pattern, on lower-case text, and as it is for ASCII.
+CUT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^" + WHITE + r"\p{L}\p{N}]+").findall
+ASCII_CUT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\x09-\x0d\x20a-z0-9]+").findall
+
+
+def pieces_of(word: str) -> list[str] | tuple[str]:
+    """The pieces in which ids are merged; a word that normalising or lower-casing may change in other ways, whole in a tuple."""
+    if word.isascii():
+        return ASCII_CUT(word.lower())
+    if unicodedata.is_normalized("NFC", word) and "\u0130" not in word and "\u03a3" not in word:
+        lower = word.lower()
+        return [lower] if lower.isalpha() else CUT(lower)
+    return (word,)
 
 
 class WordTokenizer:
-    """Ids of whole texts, word by word: this vocabulary drops white space and merges within words."""
+    """Ids of whole texts as the library gives them, word by word: this vocabulary drops white space and merges within pieces of words.
 
-    def __init__(self, path: str):
+    Each batch's distinct words are looked up once. A word not met before is cut into pieces by the
+    vocabulary's own pattern, and the pieces not met before are encoded together. Texts that hold one of
+    the vocabulary's special tokens go through the library whole, since those may stand inside words.
+    """
+
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-
-    def _encode_words(self, words: list[str]) -> dict[str, bytes]:
-        """Words of letters alone go as one text, cut after each token that ends a word; others one by one."""
-        plain, made = [w for w in words if w.isalpha()], {}
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, special))).search if special else lambda _: None
+        self.remembered = remembered
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: dict[str, int] = {}  # of a word
+        self.pieces: dict[str, bytes] = {}
+        self.flat, self.used = np.zeros(1 << 20, np.uint32), 0
+        self.start, self.size = np.zeros(1 << 18, np.int64), np.zeros(1 << 18, np.int64)
+
+    def _library(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, words: list[str]) -> int:
+        """Remembers words that are not known yet; they are numbered on from what is returned."""
+        cut = list(map(pieces_of, words))
+        new = list(set(itertools.chain.from_iterable(cut)) - self.pieces.keys())
+        whole = {cut[i][0] for i, w in enumerate(words) if type(cut[i]) is tuple}
+        plain, rest = [p for p in new if p not in whole], [p for p in new if p in whole]
         if plain:
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, "<u4")
-            cut = np.split(ids, np.flatnonzero(self.ends[ids]) + 1)
-            if len(cut) == len(plain) + 1:
-                made = {w: c.tobytes() for w, c in zip(plain, cut, strict=False)}
-        rest = [w for w in words if w not in made]
-        for word, own in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-            made[word] = array("I", own.ids).tobytes()
+            ids = self._library([" ".join(plain)])[0]
+            at = [0, *(4 * np.flatnonzero(self.ends[np.frombuffer(ids, "<u4")]) + 4).tolist()]
+            if len(at) == len(plain) + 1:
+                self.pieces.update(zip(plain, [ids[a:b] for a, b in itertools.pairwise(at)], strict=True))
+            else:  # cannot be while each piece is one of the pattern's
+                rest += plain
+        self.pieces.update(zip(rest, self._library(rest), strict=True))
+        piece = self.pieces
+        made = [piece[ps[0]] if len(ps) == 1 else b"".join([piece[p] for p in ps]) for ps in cut]
+        sizes = np.fromiter(map(len, made), np.int64, len(made)) // 4
+        first, total = len(self.number), int(sizes.sum())
+        while first + len(made) > len(self.start):
+            self.start, self.size = (np.append(a, np.zeros_like(a)) for a in (self.start, self.size))
+        while self.used + total > len(self.flat):
+            self.flat = np.append(self.flat, np.zeros_like(self.flat))
+        self.size[first : first + len(made)] = sizes
+        self.start[first : first + len(made)] = self.used + np.cumsum(sizes) - sizes
+        self.flat[self.used : self.used + total] = np.frombuffer(b"".join(made), "<u4")
+        self.used += total
+        self.number.update(zip(words, range(first, first + len(made)), strict=True))
+        return first
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Each text's ids as little-endian 32-bit integers; none for null."""
+        words = pa.compute.ascii_split_whitespace(texts.fill_null(""))
+        flat = words.flatten().dictionary_encode()
+        distinct = flat.dictionary.to_pylist()
+        if len(self.number) + len(distinct) > self.remembered:
+            self._forget()
+        found = list(map(self.number.get, distinct))
+        if None in found:
+            fresh = [i for i, n in enumerate(found) if n is None]
+            first = self._learn([distinct[i] for i in fresh])
+            for n, i in enumerate(fresh, first):
+                found[i] = n
+        number = np.array(found, np.int64)[flat.indices.to_numpy()]
+        size = self.size[number]
+        ends = np.cumsum(size)
+        ids = self.flat[np.repeat(self.start[number] - ends + size, size) + np.arange(int(ends[-1]) if len(ends) else 0)].astype("<u4").tobytes()
+        at = 4 * np.append(0, ends)[words.offsets.to_numpy() - words.offsets[0].as_py()]
+        made = [ids[a:b] for a, b in itertools.pairwise(at.tolist())]
+        if any(map(self.special, distinct)):
+            for i, text in enumerate(texts.to_pylist()):
+                if text and self.special(text):
+                    made[i] = self._library([text])[0]
         return made
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Each text's ids as little-endian 32-bit integers."""
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
-        found = [list(map(self.known.get, words)) for words in cut]
-        short = [i for i, ids in enumerate(found) if None in ids]
-        new = list({w for i in short for w, ids in zip(cut[i], found[i], strict=True) if ids is None})
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-        # Case is lost, and a mark after letters is a token of its own: the parts are encoded once.
-        parts = {w: (w[:-1].lower(), w[-1]) if w.isascii() and w[:-1].isalpha() and w[-1] in MARKS else (w.lower() if w.isascii() else w,) for w in new}
-        fresh: dict[str, bytes] = {}
-        for p in {p for ps in parts.values() for p in ps}:
-            if (ids := self.known.get(p)) is not None:
-                fresh[p] = ids
-        open_ = list({p for ps in parts.values() for p in ps if p not in fresh})
-        fresh |= self._encode_words(open_)
-        fresh |= {w: b"".join([fresh[p] for p in ps]) for w, ps in parts.items()}
-        self.known.update(fresh)
-        for i in short:
-            found[i] = [ids if ids is not None else fresh[w] for w, ids in zip(cut[i], found[i], strict=True)]
-        return [b"".join(ids) for ids in found]
-
 
 _made: dict[str, WordTokenizer] = {}
 
@@ -105,9 +156,9 @@ def pieces(documents: DataFrame, path: str, capacity: int = CAPACITY, grain: int
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         tokenizer = _made.setdefault(path, WordTokenizer(path)) if path not in _made else _made[path]
         end = np.array([END_ID], "<u4").tobytes()
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 6_000_000):
             rows = []
-            for doc_id, ids in zip(batch["doc_id"].to_pylist(), tokenizer.encode([t or "" for t in batch["text"].to_pylist()]), strict=True):
+            for doc_id, ids in zip(batch["doc_id"].to_pylist(), tokenizer.encode(batch["text"]), strict=True):
                 ids += end
                 n, start = len(ids) // 4, 0
                 for length in cuts(n, capacity, grain):
@@ -138,6 +189,23 @@ def best_pattern(prices: np.ndarray, lengths: np.ndarray, capacity: int) -> np.n
     return pattern
 
 
+def inverted(a: np.ndarray) -> np.ndarray:
+    """The inverse by elimination with row pivots, in plain array arithmetic.
+
+    The linear-algebra library's threads may wait for ever in a process that has forked, as a driver has.
+    """
+    m = len(a)
+    both = np.hstack([a.astype(float), np.eye(m)])
+    for j in range(m):
+        pivot = j + int(np.abs(both[j:, j]).argmax())
+        both[[j, pivot]] = both[[pivot, j]]
+        both[j] /= both[j, j]
+        factor = both[:, j].copy()
+        factor[j] = 0
+        both -= factor[:, None] * both[j]
+    return both[:, m:]
+
+
 def solve(lengths: np.ndarray, demand: np.ndarray, capacity: int, gap: float = 1e-3, rounds: int = 800) -> tuple[np.ndarray, np.ndarray]:
     """Column generation by the revised simplex: patterns as columns, and how often each is used.
 
@@ -146,15 +214,15 @@ def solve(lengths: np.ndarray, demand: np.ndarray, capacity: int, gap: float = 1
     """
     m = len(lengths)
     basis = np.diag((capacity // lengths).astype(float))
-    inverse, x = np.linalg.inv(basis), demand / np.diag(basis)
-    least = float(lengths @ demand) / capacity
+    inverse, x = np.diag(1 / np.diag(basis)), demand / np.diag(basis)
+    least = float((lengths * demand).sum()) / capacity
     for i in range(rounds):
         prices = inverse.sum(axis=0)
         pattern = best_pattern(np.maximum(prices, 0.0), lengths, capacity)
-        worth = float(prices @ pattern)
+        worth = float((prices * pattern).sum())
         if worth <= 1 + gap or x.sum() <= (1 + gap) * least:
             break
-        step = inverse @ pattern
+        step = (inverse * pattern).sum(axis=1)
         ratios = np.where(step > 1e-9, np.maximum(x, 0) / np.where(step > 1e-9, step, 1), np.inf)
         leave = int(ratios.argmin())
         if not np.isfinite(ratios[leave]):
@@ -166,8 +234,8 @@ def solve(lengths: np.ndarray, demand: np.ndarray, capacity: int, gap: float = 1
         others = np.arange(m) != leave
         inverse[others] -= np.outer(step[others], inverse[leave])
         if i % 100 == 99:
-            inverse = np.linalg.inv(basis)
-            x = inverse @ demand
+            inverse = inverted(basis)
+            x = (inverse * demand).sum(axis=1)
     return np.rint(basis).astype(np.int64), np.maximum(x, 0)
 
 

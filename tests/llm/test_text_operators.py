@@ -6,6 +6,8 @@ import random
 import numpy as np
 import public_tokenizers
 import pyarrow.compute  # noqa: F401
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
@@ -32,10 +34,13 @@ def test_byte_bpe_equals_the_library():
 
 def test_word_tokens_equal_the_library():
     path = public_tokenizers.path("word_bpe_49k.json")
-    own, other = packing.WordTokenizer(path), Tokenizer.from_file(path)
-    other.encode_special_tokens = True
-    texts = [*random_texts(2000), "Hello, WORLD. it's <|endoftext|> ok."]
-    assert own.encode(texts) == [np.array(other.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    own, other = packing.WordTokenizer(path, remembered=3000), Tokenizer.from_file(path)
+    odd = "abcdEFG'stmlvred0123 \n\t\x1c\x85\xa0.,;!?<|>_éßİΣσς\u0345Å\u212b\u0958Ǻ\u0308ᄀ가²½Ⅷ一ǅﬁ\u200b\u3000😀𝒜\x00"
+    r = random.Random(3)
+    texts = [*random_texts(2000), "Hello, WORLD. it's <|endoftext|> ok.", "x<|startoftext|>y", *("".join(r.choices(odd, k=r.randint(0, 14))) for _ in range(5000))]
+    want = [np.array(other.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    for step in (len(texts), 700):
+        assert [x for i in range(0, len(texts), step) for x in own.encode(pa.array(texts[i : i + step]))] == want
 
 
 @pytest.mark.parametrize("n", [1, 40, 3000])
