@@ -7,6 +7,8 @@ import shutil
 import tempfile
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,3 +72,40 @@ def words_of(c: Column) -> Column:
 def crc_mod(c: Column, n: int) -> Column:
     """crc32 of a column as text, modulo n; null for null."""
     return F.crc32(c.cast("string")) % F.lit(n)
+
+
+def pack(*arrays: np.ndarray) -> bytes:
+    """Floats, counts, or ascending 64-bit hashes (as differences), byte by byte and compressed."""
+    out = []
+    for a in arrays:
+        code = 0
+        if a.dtype == np.uint64:
+            a, code = np.diff(a, prepend=np.uint64(0)), 200
+        elif a.dtype == np.float64:
+            code = 100
+        else:
+            a = a.astype(next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if not len(a) or int(a.max()) <= np.iinfo(t).max))
+        body = pa.compress(np.ascontiguousarray(a.view(np.uint8).reshape(-1, a.itemsize).T), codec="zstd", asbytes=True) if len(a) else b""
+        out.append(np.array([code + a.itemsize, len(a), len(body)], np.int64).tobytes() + body)
+    return b"".join(out)
+
+
+def unpack(body: bytes) -> list[np.ndarray]:
+    out, at = [], 0
+    while at < len(body):
+        code, n, size = np.frombuffer(body, np.int64, 3, at).tolist()
+        item, at = code % 100, at + 24
+        if n:
+            flat = np.frombuffer(pa.decompress(body[at : at + size], decompressed_size=item * n, codec="zstd", asbytes=True), np.uint8)
+            a = np.ascontiguousarray(flat.reshape(item, n).T).reshape(-1).view(np.float64 if 100 < code < 200 else f"u{item}")
+            a = np.cumsum(a, dtype=np.uint64) if code > 200 else a
+        else:
+            a = np.zeros(0, np.float64 if 100 < code < 200 else np.uint64)
+        out.append(a)
+        at += size
+    return out
+
+
+def edges(buckets: int) -> np.ndarray:
+    """Where ranges of hashes begin."""
+    return np.array([-(-(i << 64) // buckets) for i in range(buckets)], np.uint64)

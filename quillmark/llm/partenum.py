@@ -30,6 +30,7 @@ empty table gives an empty result. Extra columns are dropped.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillmark.llm.bytebpe import slices
-from quillmark.llm.common import materialize
+from quillmark.llm.common import edges, materialize, pack, unpack
 
 WORDS = 5
 K1, K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -124,8 +125,12 @@ def sets_of(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, node long, sketch binary")
 
 
-def packed_signatures(documents: DataFrame, buckets: int) -> DataFrame:
-    """(bucket, signatures, owner of each, nodes, sizes of the nodes), arrays as bytes."""
+def packed_signatures(documents: DataFrame, buckets: int, bits: int = 64) -> DataFrame:
+    """(bucket, body): a slice's signatures in a range of them, ascending, the owner of each, the owners' nodes and sizes.
+
+    A signature is cut to its first ``bits``; signatures that meet by that alone cost a comparison, not a result.
+    """
+    starts = edges(buckets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pyarrow.compute  # noqa: F401
@@ -135,37 +140,35 @@ def packed_signatures(documents: DataFrame, buckets: int) -> DataFrame:
             for text in batch["text"].to_pylist():
                 s = shingles(text)
                 node = node_of(s)
-                if node is not None and node not in seen:
-                    seen[node] = (len(s), signatures(s))
+                if node is not None and node not in seen and len(made := signatures(s)):
+                    seen[node] = (len(s), made)
             if not seen:
                 continue
             nodes, sizes = np.fromiter(seen, np.int64, len(seen)), np.array([n for n, _ in seen.values()], np.int64)
-            sigs = np.concatenate([s for _, s in seen.values()])
+            sigs = np.concatenate([s for _, s in seen.values()]) >> np.uint64(64 - bits)
             owner = np.repeat(np.arange(len(seen)), [len(s) for _, s in seen.values()])
-            bucket = (sigs % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            sigs, owner, bucket = sigs[order], owner[order], bucket[order]
-            at = np.flatnonzero(np.append(True, np.diff(bucket) != 0)) if len(bucket) else np.zeros(0, np.int64)
+            order = np.argsort(sigs, kind="stable")
+            sigs, owner = sigs[order], owner[order]
+            cut = [*np.searchsorted(sigs, starts >> np.uint64(64 - bits)).tolist(), len(sigs)]
             rows = []
-            for a, b in zip(at, [*at[1:], len(bucket)], strict=True):
-                own, index = np.unique(owner[a:b], return_inverse=True)
-                rows.append((int(bucket[a]), sigs[a:b].tobytes(), index.astype(np.uint32).tobytes(), nodes[own].tobytes(), sizes[own].astype(np.uint32).tobytes()))
-            if rows:
-                cols = list(zip(*rows, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), *[pa.array(c, pa.binary()) for c in cols[1:]]], names=["bucket", "sigs", "owners", "nodes", "sizes"])
+            for i, (a, b) in enumerate(itertools.pairwise(cut)):
+                if b > a:
+                    own, index = np.unique(owner[a:b], return_inverse=True)
+                    rows.append((i, pack(sigs[a:b], index, nodes[own].view(np.float64), sizes[own])))
+            cols = list(zip(*rows, strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.binary())], names=["bucket", "body"])
 
-    return documents.select("text").mapInArrow(run, "bucket long, sigs binary, owners binary, nodes binary, sizes binary")
+    return documents.select("text").mapInArrow(run, "bucket long, body binary")
 
 
 def candidates(packed: DataFrame, few: int = 3) -> DataFrame:
     """kind 0: a pair of nodes (x, y) that share a signature; kind 1: a wide signature x and its member y, of size n."""
 
     def run(group: pa.Table) -> pa.Table:
-        read = lambda c, kind: [np.frombuffer(b.as_py(), kind) for b in group[c]]
-        sigs = np.concatenate(read("sigs", np.uint64))
-        owners = read("owners", np.uint32)
-        nodes = np.concatenate([v[o] for v, o in zip(read("nodes", np.int64), owners, strict=True)])
-        sizes = np.concatenate([v[o] for v, o in zip(read("sizes", np.uint32), owners, strict=True)]).astype(np.int64)
+        made = [unpack(body.as_py()) for body in group["body"]]
+        sigs = np.concatenate([m[0] for m in made])
+        nodes = np.concatenate([m[2].view(np.int64)[m[1]] for m in made])
+        sizes = np.concatenate([m[3][m[1]] for m in made]).astype(np.int64)
         _, inverse, shared = np.unique(sigs, return_inverse=True, return_counts=True)
         live = shared[inverse] > 1
         sigs, nodes, sizes = sigs[live], nodes[live], sizes[live]
@@ -227,7 +230,7 @@ def verified(documents: DataFrame, nodes: DataFrame, pairs: DataFrame, most_broa
     limit that chance could have moved them over it are compared again by whole hashes.
     """
     margin = 100 * F.col("shared") - 80 * (F.col("nx") + F.col("ny") - F.col("shared"))
-    rough = materialize(_overlaps(documents, nodes, pairs, 32, most_broadcast).select("x", "y", margin.alias("margin"), (180 * (4 + (F.col("nx") + F.col("ny")) / 4096)).alias("doubt")))
+    rough = materialize(_overlaps(documents, nodes, pairs, 32, most_broadcast).select("x", "y", margin.alias("margin"), (180 * (4 + (F.col("nx") + F.col("ny")) / 4096 + F.col("nx") * F.col("ny") / (1 << 31))).alias("doubt")))
     sure = rough.where("margin >= doubt").select("x", "y")
     close = rough.where("abs(margin) < doubt").select("x", "y")
     if close.isEmpty():
@@ -235,11 +238,14 @@ def verified(documents: DataFrame, nodes: DataFrame, pairs: DataFrame, most_broa
     return sure.unionByName(_overlaps(documents, nodes, close, 64, most_broadcast).where(margin >= 0).select("x", "y"))
 
 
-def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """node, comp (the least node of its component) of every node with a link."""
+def components(links: DataFrame) -> DataFrame:
+    """node, comp (the least node of its component) of every node with a link.
+
+    Each round takes the least label among neighbours and then that label's own; labels only fall, so rounds end.
+    """
     edges = materialize(links.select(F.explode(F.array(F.struct(F.col("x").alias("node"), F.col("y").alias("other")), F.struct(F.col("y").alias("node"), F.col("x").alias("other")))).alias("e")).select("e.*").distinct())
     labels = materialize(edges.groupBy("node").agg(F.least("node", F.min("other")).alias("comp")))
-    for _ in range(most_rounds):
+    while True:
         met = edges.join(labels.select(F.col("node").alias("other"), "comp"), "other").groupBy("node").agg(F.min("comp").alias("_met"))
         lower = labels.join(met, "node").select("node", F.col("comp").alias("_was"), F.least("comp", "_met").alias("_to"))
         jumped = lower.join(labels.select(F.col("node").alias("_to"), F.col("comp").alias("_far")), "_to", "left")
@@ -247,7 +253,6 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
         labels = moved.select("node", "comp")
         if moved.where("comp <> _was").isEmpty():
             return labels
-    raise RuntimeError("components did not settle")
 
 
 def across(wide: DataFrame, comps: DataFrame, nodes: DataFrame, block: int = 4096) -> DataFrame:
@@ -340,7 +345,7 @@ def join(documents: DataFrame, per_bucket: int = 3_000_000, count_links: bool =
     """
     stats = materialize(sets_of(documents))
     total = stats.agg(F.sum("n_shingles")).first()[0] or 0
-    packed = packed_signatures(documents, max(8, total // per_bucket + 1))
+    packed = packed_signatures(documents, max(8, total // per_bucket + 1), min(64, int(total).bit_length() + 14))
     found = materialize(candidates(packed))
     nodes = stats.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch"), F.first("n_shingles").alias("n"))
     pairs = materialize(found.where("kind = 0").select("x", "y").distinct())

@@ -14,7 +14,7 @@ import tokenizers
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quillmark.llm import bytebpe, chat_format, divergence, flac, html_blocks, katz, langid, packing, partenum, url_graph
+from quillmark.llm import bytebpe, chat_format, common, divergence, flac, html_blocks, katz, langid, packing, partenum, url_graph
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, node string, kept string, rank int, bucket int"
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
@@ -67,6 +67,20 @@ def test_jaccard_join_equals_brute_force(spark):
     assert partenum.join(df.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("lengths", [(1, 2), (5,), (6,), (4, 5, 6, 8, 9), ()])
+def test_jaccard_join_of_short_texts_alone(spark, lengths):
+    rows = [(i, " ".join(f"w{j}" for j in range(i % 3, i % 3 + n)), "en") for i, n in enumerate(n for n in lengths for _ in range(4))]
+    rows += [(90, "", "en"), (91, None, None)]
+    df = make_docs(spark, rows)
+    sets = {d: frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if (w := words(t)) else frozenset() for d, t in rows_of(df)}
+    like = lambda a, b: bool(a and b) and 100 * len(a & b) >= 80 * len(a | b)
+    least = {d: d for d in sets}
+    for _ in sets:
+        least = {d: min([least[d], *[least[e] for e in sets if like(sets[d], sets[e])]]) for d in sets}
+    want = sorted((d, len(sets[d]), least[d], len({s for s in sets.values() if s != sets[d] and like(s, sets[d])})) for d in sets)
+    assert sorted((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in partenum.join(df).collect()) == want
+
+
 def test_wide_signatures_lose_no_component(spark):
     r = random.Random(5)
     base = [f"w{r.randint(0, 500)}" for _ in range(120)]
@@ -168,8 +182,8 @@ def test_katz_equals_brute_force_and_is_normalised(spark, order, options, tmp_pa
         assert r.base_score == pytest.approx(base) and r.score == pytest.approx(score)
     stored = spark.read.parquet(path).where("kind in ('ngrams', 'weights')").collect()
     for n in range(1, order + 1):
-        assert sum(int(katz.unpack(r.body)[1].sum()) for r in stored if (r.kind, r.n) == ("ngrams", n)) == sum(count[n].values())
-        assert sorted(round(x, 6) for r in stored if (r.kind, r.n) == ("weights", n) for x in katz.unpack(r.body)[1].tolist()) == sorted(round(math.log10(alpha(h)), 6) for h in after if len(h) == n - 1 and after[h])
+        assert sum(int(common.unpack(r.body)[1].sum()) for r in stored if (r.kind, r.n) == ("ngrams", n)) == sum(count[n].values())
+        assert sorted(round(x, 6) for r in stored if (r.kind, r.n) == ("weights", n) for x in common.unpack(r.body)[1].tolist()) == sorted(round(math.log10(alpha(h)), 6) for h in after if len(h) == n - 1 and after[h])
 
 
 def test_katz_without_learning_or_rows(spark):
@@ -309,10 +323,11 @@ def test_lost_mass_returns_to_seeds(spark):
     path = {"z.net": "de/1", "v.example.com": "en/7", "h0.org": "es/1"}
     df = spark.createDataFrame([(i, f"http://{h}/{path.get(h, 'x')}", " ".join(f"<a href='http://{t}/'>" for t in links.get(h, []))) for i, h in enumerate(hosts)], "page_id long, url string, html string")
     seeds = {"trust": {"v.example.com": 1.0}, "distrust": {"z.net": 0.5, "h0.org": 0.5}}
-    edges = {"trust": [(a, b) for a in links for b in links[a]], "distrust": [(b, a) for a in links for b in links[a]]}
+    joined = [*[(a, b) for a in links for b in links[a]], ("v.example.com", "example.com"), ("example.com", "v.example.com")]  # the last two by domain
+    edges = {"trust": joined, "distrust": [(b, a) for a, b in joined]}
     want = {}
     for walk, seed in seeds.items():
-        every = {*hosts, "u.org"}
+        every = {*hosts, "u.org", "example.com"}
         out = collections.Counter(a for a, _ in edges[walk])
         score = dict.fromkeys(every, 0.0) | seed
         for _ in range(300):
@@ -331,33 +346,49 @@ def test_lost_mass_returns_to_seeds(spark):
 
 def test_chats(spark):
     rows = [
-        (1, 0, "assistant", '{"tool_calls":[{"id":"b","name":"respond","arguments":{"text":"{\\"$ref\\": \\"a\\"}"}},{"id":"a","name":"x","arguments":{"q":"1"}}]}'),
+        (1, 0, "assistant", '{"tool_calls":[{"id":"b","name":"respond","arguments":{"text":{"$ref": "a"}}},{"id":"a","name":"x","arguments":{"q":1.50, "o":{"z":null,"b":[true,2]}}}]}'),
         (1, 1, "tool", '{"tool_call_id":"a","content":"42"}'),
         (1, 2, "user", None),
         (2, 0, "user", "{broken"),
         (2, 1, "assistant", "fine"),
         (2, 1, "assistant", "again"),
-        (3, 0, "assistant", '{"tool_calls":[{"id":"p","name":"respond","arguments":{"text":"{\\"$ref\\": \\"q\\"}","z":"1"}},{"id":"q","name":"respond","arguments":{"text":"{\\"$ref\\":\\"p\\"}"}}]}'),
+        (3, 0, "assistant", '{"tool_calls":[{"id":"p","name":"respond","arguments":"{\\"text\\":[{\\"$ref\\": \\"q\\"}],\\"z\\":1}"},{"id":"q","name":"respond","arguments":{"text":{"$ref":"p"}}}]}'),
         (None, None, "user", "x"),
     ]
     df = spark.createDataFrame([(*r, "clash") for r in rows], "conv_id long, turn long, role string, text string, level string")
     got = {(r.conv_id, r.call_id): r for r in chat_format.format_chat(df, chat_format.SCHEMAS).collect()}
     assert (got[1, "a"].level, got[1, "b"].level, got[3, "p"].level) == (0, 1, -1)
-    assert got[1, "a"].canonical == '{"arguments":{"q":"1"},"id":"a","name":"x","result":"42"}'
-    assert (got[1, "a"].faults, got[1, "turn-2"].faults, got[3, "p"].faults) == ("unknown tool", "invalid text", "unknown argument")
+    assert got[1, "a"].canonical == '{"arguments":{"o":{"b":[true,2],"z":null},"q":1.5},"id":"a","name":"x","result":"42"}'
+    assert (got[1, "a"].faults, got[1, "turn-2"].faults, got[3, "p"].faults) == ("unknown tool", "invalid text", "invalid text; unknown argument")
     assert (got[2, "turn-0"].n_results, got[2, "turn-0"].canonical) == (2, '{"arguments":{"text":"{broken"},"id":"turn-0","name":"respond","result":"again"}')
     assert len(got) == 7 and chat_format.format_chat(df.limit(0), chat_format.SCHEMAS).collect() == []
 
 
 def test_levels_of_long_chains_and_cycles(spark):
     chain = {f"c{i}": [f"c{i - 1}"] if i else [] for i in range(13)} | {"fork": ["c11", "c2"], "p": ["q"], "q": ["p"], "hangs": ["c1", "p"], "self": ["self"], "lost": ["nowhere"]}
-    calls = [{"id": c, "name": "x", "arguments": {str(i): json.dumps({"$ref": n}) for i, n in enumerate(needs)}} for c, needs in chain.items()]
+    calls = [{"id": c, "name": "x", "arguments": {str(i): {"$ref": n} for i, n in enumerate(needs)}} for c, needs in chain.items()]
     rows = [(v, 0, "assistant", json.dumps({"tool_calls": calls[:: 1 if v else -1]})) for v in range(2)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     want = {f"c{i}": i for i in range(13)} | {"fork": 12, "p": -1, "q": -1, "hangs": -1, "self": -1, "lost": 1}
     assert {(r.conv_id, r.call_id): r.level for r in chat_format.format_chat(df, {}).collect()} == {(v, c): n for v in range(2) for c, n in want.items()}
 
 
+def test_arguments_keep_their_types_and_repeated_keys_are_text(spark):
+    schemas = {"t": {"n": ("number", None, True), "o": ("object", None, False), "s": ("string", "a+", False)}}
+    made = lambda arguments: '{"tool_calls":[{"id":"1","name":"t","arguments":' + arguments + "}]}"
+    texts = [made('{"o":{"b":1,"a":2.50},"n":1}'), made('{"n":"1","s":"b"}'), made('{"s":5,"zz":null}'), made('"text"'), made('{"n":1,"n":2}'), made("null")]
+    df = spark.createDataFrame([(i, 0, "assistant", t) for i, t in enumerate(texts)], "conv_id long, turn long, role string, text string")
+    got = {r.conv_id: (r.faults, r.canonical) for r in chat_format.format_chat(df, schemas).collect()}
+    assert got == {
+        0: ("", '{"arguments":{"n":1,"o":{"a":2.5,"b":1}},"id":"1","name":"t"}'),
+        1: ("invalid n; invalid s", '{"arguments":{"n":"1","s":"b"},"id":"1","name":"t"}'),
+        2: ("missing n; invalid s; unknown argument", '{"arguments":{"s":5,"zz":null},"id":"1","name":"t"}'),
+        3: ("missing n", '{"arguments":{},"id":"1","name":"t"}'),
+        4: ("no call", json.dumps({"id": "turn--1", "result": texts[4]}, separators=(",", ":"))),
+        5: ("missing n", '{"arguments":{},"id":"1","name":"t"}'),
+    }
+
+
 def test_every_turn_is_accounted_for(spark):
     rows = [
         (1, 0, "system", "be kind"),
