@@ -1,5 +1,51 @@
-"""DuckDB SQL for those queries that SQL can express."""
+"""DuckDB SQL for the queries that SQL can express, over the same tables."""
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+#: The walks as the sums of their damped steps, 120 of them; every edge of the given tables is one between a host and its domain.
+OP2 = r"""
+with recursive urls as (
+  select page_id, coalesce(lower(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's')), '') as host,
+         coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') as path
+  from pages),
+rules(rule, verdict, domain, start) as (values
+  ('com/en/', 'block', 'com', '/en/'), ('example.com/en/7', 'allow', 'example.com', '/en/7'),
+  ('net/de/', 'block', 'net', '/de/'), ('example.net/de/8', 'block', 'example.net', '/de/8'),
+  ('org/es/', 'block', 'org', '/es/')),
+judged as (
+  select u.*, r.rule, r.verdict,
+         row_number() over (partition by u.page_id, u.host, u.path order by length(r.rule) desc, r.rule) as nth
+  from urls u left join rules r on (u.host = r.domain or u.host like '%.' || r.domain) and starts_with(u.path, r.start)),
+one as (select * from judged where nth = 1),
+seeds as (
+  select host, avg((verdict is not distinct from 'allow')::int) as trust, avg((verdict is not distinct from 'block')::int) as distrust
+  from one where host <> '' group by host),
+links as (
+  select u.host as from_host, lower(regexp_extract(t, '//([^/?#]*)', 1)) as to_host
+  from (select coalesce(lower(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's')), '') as host,
+               unnest(regexp_extract_all(html, '(?i)\bhref\s*=\s*["'']?\s*((?:[a-z][a-z0-9+.\-]*:)?//[^"''\s>]*)', 1)) as t from pages) u),
+parents as (
+  select distinct host, regexp_extract(host, '^[^.]+\.([^.]+\..+)$', 1) as parent from seeds),
+edges as (
+  select from_host, to_host, sum(n) as n from (
+    select from_host, to_host, count(*) as n from links where from_host <> '' and to_host <> '' and from_host <> to_host group by all
+    union all select host, parent, 1 from parents where parent <> ''
+    union all select parent, host, 1 from parents where parent <> '') group by all),
+walks as (
+  select walk, host, next, n / sum(n) over (partition by walk, host) as share from (
+    select 'trust' as walk, from_host as host, to_host as next, n from edges
+    union all select 'distrust', to_host, from_host, n from edges)),
+steps as (
+  select 0 as i, 'trust' as walk, host, 0.15 * trust / sum(trust) over () as score from seeds where trust > 0
+  union all select 0, 'distrust', host, 0.15 * distrust / sum(distrust) over () from seeds where distrust > 0
+  union all
+  select s.i + 1, s.walk, w.next, sum(s.score * w.share * 0.85) from steps s join walks w using (walk, host) where s.i < 120 group by s.i, s.walk, w.next),
+scores as (
+  select host, coalesce(sum(score) filter (walk = 'trust') / any_value(t), 0) as trust, coalesce(sum(score) filter (walk = 'distrust') / any_value(d), 0) as distrust
+  from steps, (select sum(score) filter (walk = 'trust') as t, sum(score) filter (walk = 'distrust') as d from steps) group by host),
+hosts as (select host, distrust * (select count(*) from seeds) > 1 and distrust > trust as suspect from scores)
+select o.page_id, o.host, o.path, o.rule, coalesce(o.verdict, case when h.suspect then 'block' else 'allow' end) as verdict
+from one o left join hosts h using (host)
+"""
+
+ORACLES: dict[str, str] = {"op2_url_filters": OP2}

@@ -14,7 +14,7 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_graph.judge(table(spark, sf_dir, "pages"), url_graph.RULES)
+    return url_graph.judge(table(spark, sf_dir, "pages"), url_graph.RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
