@@ -1,14 +1,14 @@
 """Chat formatting: tool calls and their results, linked, ordered, validated, as canonical JSON.
 
-A turn's text is read as JSON where it is a message with ``tool_calls`` (id, name, arguments) or
-with a ``tool_call_id``. A plain user turn is a call of the tool ``respond`` with the text as its
+A turn's text is read as JSON, with its types, where it is an object with ``tool_calls`` (id, name, arguments; the
+arguments an object, or a text that is one) or with a ``tool_call_id``. A plain user turn is a call of the tool ``respond`` with the text as its
 argument, and the plain turn after it is that call's result, so plain conversations run the same
 way. Calls meet results in a hash join on (conversation, identifier); several results of one
 identifier are first reduced to one, so no identifier multiplies rows. A result that meets no call,
 or is not the one taken, is a row of its own with that fault, and so is a turn that is neither call
 nor result: every turn is in the output. Arguments are held against
-a schema of (tool, argument, type, required). A call that names another call's id in an argument
-``{"$ref": id}`` depends on it; levels of the dependency graph come from joined sweeps, one a level,
+schemas of (tool, argument, type, pattern, required). Canonical JSON has its keys sorted at every depth, no white
+space, and numbers in their shortest form. A call whose arguments hold ``{"$ref": id}`` at any depth depends on the call of that id; levels of the dependency graph come from joined sweeps, one a level,
 until one settles no call; a call on a cycle, or that depends on one, gets level -1. The order of a conversation is
 (level, turn, ordinal). Nothing gathers a conversation into one row or one task.
 
@@ -16,7 +16,7 @@ Defined cases: null text is an empty text; a null conversation or turn keeps its
 only to results with the same null-free key. Repeated rows stay, each with its own call; among several
 results the first by turn, then by text, is taken, n_results says how many there were, and the others
 have rows at the call's level. Broken
-JSON counts as plain text. An empty table gives an empty result. Extra columns are dropped.
+JSON, and JSON in which an object repeats a key, counts as plain text; arguments that are no object are empty ones. Texts are read whole. An empty table gives an empty result. Extra columns are dropped.
 """
 
 from __future__ import annotations
@@ -26,20 +26,32 @@ from pyspark.sql import functions as F
 
 from quillmark.llm.common import materialize
 
-CALL = "struct<id:string,name:string,arguments:map<string,string>>"
-MESSAGE = f"struct<content:string,tool_call_id:string,tool_calls:array<{CALL}>>"
-#: The schemas of the registered query, as tool -> {argument: (pattern of its text, required)}.
-SCHEMAS = {"respond": {"text": (r"(?s).*\S.*", True)}}
+#: A reference as canonical JSON has it; a text that looks like one has its quotes escaped there.
+REFERENCE = r'\{"\$ref":"((?:[^"\\]|\\.)*)"\}'
+CALLS = "array<struct<id:string,name:string,arguments:variant>>"
+#: How the types of JSON values begin in Spark's names for them.
+TYPES = {"string": ("STRING",), "number": ("BIGINT", "DECIMAL", "DOUBLE", "FLOAT"), "boolean": ("BOOLEAN",), "object": ("OBJECT",), "array": ("ARRAY",)}
+#: The schemas of the registered query, as tool -> {argument: (type, pattern of a text or None, required)}.
+SCHEMAS = {"respond": {"text": ("string", r"(?s).*\S.*", True)}}
+Schemas = dict[str, dict[str, tuple[str, str | None, bool]]]
 
 
 def _message() -> Column:
-    return F.when(F.col("text").rlike(r"^\s*\{"), F.from_json("text", MESSAGE))
+    v = F.when(F.col("text").rlike(r"^\s*\{"), F.try_parse_json("text"))
+    get = lambda path, kind: F.try_variant_get(v, path, kind)
+    return F.struct(get("$.content", "string").alias("content"), get("$.tool_call_id", "string").alias("tool_call_id"), get("$.tool_calls", CALLS).alias("tool_calls"))
+
+
+def _object(v: Column) -> Column:
+    """The arguments as an object: as they are, or read from their text; else empty."""
+    whole = F.when(F.schema_of_variant(v) == "STRING", F.try_parse_json(F.try_variant_get(v, "$", "string"))).otherwise(v)
+    return F.when(F.schema_of_variant(whole).startswith("OBJECT"), whole).otherwise(F.parse_json(F.lit("{}")))
 
 
 def turns_of(conversations: DataFrame) -> DataFrame:
     df = conversations.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text")).withColumn("_m", _message())
     df = df.withColumn("_is_call", F.col("_m.tool_calls").isNotNull()).withColumn("_is_result", F.col("_m.tool_call_id").isNotNull())
-    plain = F.array(F.struct(F.concat(F.lit("turn-"), F.col("turn").cast("string")).alias("id"), F.lit("respond").alias("name"), F.create_map(F.lit("text"), F.col("text")).alias("arguments")))
+    plain = F.array(F.struct(F.concat(F.lit("turn-"), F.col("turn").cast("string")).alias("id"), F.lit("respond").alias("name"), F.to_variant_object(F.struct("text")).alias("arguments")))
     calls = F.when(F.col("_is_call"), F.col("_m.tool_calls")).when((F.col("role") == "user") & ~F.col("_is_result"), plain)
     answer = (F.col("role") != "user") & ~F.col("_is_call") & ~F.col("_is_result")
     named = F.when(F.col("_is_result"), F.col("_m.tool_call_id")).when(answer, F.concat(F.lit("turn-"), (F.col("turn") - 1).cast("string")))
@@ -47,8 +59,8 @@ def turns_of(conversations: DataFrame) -> DataFrame:
 
 
 def calls_of(turns: DataFrame) -> DataFrame:
-    """One row per call: conv_id, turn, ordinal, call_id, name, arguments (a map of texts)."""
-    return turns.select("conv_id", "turn", F.posexplode("_calls").alias("ordinal", "c")).select("conv_id", "turn", "ordinal", F.col("c.id").alias("call_id"), F.col("c.name").alias("name"), F.col("c.arguments").alias("arguments"))
+    """One row per call: conv_id, turn, ordinal, call_id, name, arguments (an object)."""
+    return turns.select("conv_id", "turn", F.posexplode("_calls").alias("ordinal", "c")).select("conv_id", "turn", "ordinal", F.col("c.id").alias("call_id"), F.col("c.name").alias("name"), _object(F.col("c.arguments")).alias("arguments"))
 
 
 def results_of(turns: DataFrame) -> DataFrame:
@@ -85,7 +97,9 @@ def levels(calls: DataFrame) -> DataFrame:
     A sweep drops the references to calls settled by the one before; a call that has none left is settled.
     """
     key = ["conv_id", "call_id"]
-    refs = calls.select(*key, F.explode(F.map_values("arguments")).alias("_a")).select(*key, F.regexp_extract("_a", r'^\s*\{\s*"\$ref"\s*:\s*"([^"]*)"\s*\}\s*$', 1).alias("needs")).where("needs != '' and conv_id is not null and call_id is not null").distinct()
+    named = F.regexp_extract_all(F.to_json("arguments"), F.lit(REFERENCE), 1)
+    needs = F.try_variant_get(F.try_parse_json(F.concat(F.lit('"'), F.col("_a"), F.lit('"'))), "$", "string")
+    refs = calls.select(*key, F.explode(named).alias("_a")).select(*key, needs.alias("needs")).where("needs is not null and conv_id is not null and call_id is not null").distinct()
     left = materialize(refs)
     done = left.where("false").select(*key, F.lit(0).alias("level"))
     if left.isEmpty():
@@ -102,25 +116,28 @@ def levels(calls: DataFrame) -> DataFrame:
     return done.unionByName(left.select(*key).distinct().withColumn("level", F.lit(-1)))
 
 
-def _faults(schemas: dict[str, dict[str, tuple[str, bool]]]) -> Column:
+def _faults(schemas: Schemas) -> Column:
     """What is wrong with a call's arguments, as an array of texts."""
-    found = []
+    found, given = [], F.coalesce(F.map_keys(F.try_variant_get("arguments", "$", "map<string,variant>")), F.array().cast("array<string>"))
     for tool, arguments in schemas.items():
         is_tool = F.col("name") == tool
-        for name, (pattern, required) in arguments.items():
-            value = F.element_at("arguments", F.lit(name))
+        for name, (kind, pattern, required) in arguments.items():
+            path = f"$['{name}']"
+            value = F.try_variant_get("arguments", path, "variant")
             if required:
-                found.append(F.when(is_tool & value.isNull(), F.lit(f"missing {name}")))
-            found.append(F.when(is_tool & value.isNotNull() & ~value.rlike(pattern), F.lit(f"invalid {name}")))
-        named = F.array(*map(F.lit, arguments)).cast("array<string>")
-        extra = F.exists(F.map_keys("arguments"), lambda k: ~F.array_contains(named, k)  # noqa: B023
-        )
+                found.append(F.when(is_tool & ~F.array_contains(given, name), F.lit(f"missing {name}")))
+            of_kind = F.lit(False)
+            for start in TYPES[kind]:
+                of_kind = of_kind | F.schema_of_variant(value).startswith(start)
+            fits = of_kind if pattern is None else of_kind & F.coalesce(F.try_variant_get("arguments", path, "string").rlike(pattern), F.lit(False))
+            found.append(F.when(is_tool & F.array_contains(given, name) & ~fits, F.lit(f"invalid {name}")))
+        extra = F.size(F.array_except(given, F.array(*map(F.lit, arguments)).cast("array<string>"))) > 0
         found.append(F.when(is_tool & extra, F.lit("unknown argument")))
     found.append(F.when(~F.coalesce(F.col("name").isin(*schemas), F.lit(False)), F.lit("unknown tool")))
     return F.filter(F.array(*found), lambda x: x.isNotNull())
 
 
-def format_chat(conversations: DataFrame, schemas: dict[str, dict[str, tuple[str, bool]]]) -> DataFrame:
+def format_chat(conversations: DataFrame, schemas: Schemas) -> DataFrame:
     """One row per call: its place, its result, what is wrong with it, and both as canonical JSON.
 
     So too one per result without a call, per surplus result and per turn that is neither.
@@ -131,8 +148,6 @@ def format_chat(conversations: DataFrame, schemas: dict[str, dict[str, tuple[str
     firsts = first_of(results)
     df = calls.join(firsts, ["conv_id", "call_id"], "left").join(depth, ["conv_id", "call_id"], "left")
     df = df.withColumn("faults", _faults(schemas)).withColumn("level", F.coalesce("level", F.lit(0))).withColumn("n_results", F.coalesce("n_results", F.lit(0).cast("long")))
-    keys = F.array_sort(F.map_keys("arguments"))
-    ordered = F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at("arguments", k)))
-    body = F.struct(ordered.alias("arguments"), F.col("call_id").alias("id"), F.col("name"), F.col("result"))
+    body = F.struct("arguments", F.col("call_id").alias("id"), F.col("name"), F.col("result"))
     made = df.select("conv_id", "level", "turn", "ordinal", "call_id", "name", "n_results", "result_turn", F.concat_ws("; ", "faults").alias("faults"), F.to_json(body).alias("canonical"))
     return unlinked(turns, results, firsts, calls, depth).unionByName(made)
