@@ -4,13 +4,13 @@ A text is the vector of its hashed letter n-grams (1 to 3 letters, words apart,
 frequency damped by a root, times inverse document frequency, normalised. Document frequencies come
 from all learning documents: each task counts its own, and what is shuffled is one row per feature
 and task. Centroids come from spherical k-means over a bounded sample: at most ``per_language``
-documents of a language, those of least hash, in every language. Each language's centroids are fitted
+different rows of a language, those of least hash, in every language. Each language's centroids are fitted
 where its sample is, and only centroids reach the driver. The score is the cosine with the nearest centroid; texts nearer to none than
 ``reject_below`` are marked rejected.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0, and rejected. Null
 languages teach nothing; a null doc_id is never held out nor learned from. Without anything to
-learn from every text is ``und``. Repeated rows are judged one by one. An empty table gives an empty
+learn from every text is ``und``. Texts are read whole. Of centroids as near the first by language wins. Repeated rows are judged one by one. An empty table gives an empty
 result. Extra columns pass through where ``carry`` names them, else they are dropped.
 """
 
@@ -63,11 +63,11 @@ def counts(text: str | None, n_features: int = FEATURES) -> np.ndarray | None:
 
 def vectors(texts: list[str | None], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Normalised vectors of the texts that have letters, and which texts those are."""
-    made = [counts(t, len(idf)) for t in texts]
+    made = [None if c is None else c.astype(np.float32) for c in (counts(t, len(idf)) for t in texts)]
     has = np.array([c is not None for c in made], bool)
     if not has.any():
         return np.zeros((0, len(idf)), np.float32), has
-    x = np.sqrt(np.array([c for c in made if c is not None], np.float32)) * idf.astype(np.float32)
+    x = np.sqrt(np.array([c for c in made if c is not None])) * idf.astype(np.float32)
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12), has
 
 
@@ -115,12 +115,16 @@ def fit(learning: DataFrame, per_language: int = 200, k: int = 3, n_features: in
     learning = learning.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
     df, n = document_frequency(learning, n_features)
     idf = np.log((1 + n) / (1 + df)) + 1
-    least = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = learning.select("doc_id", "lang").withColumn("_r", F.row_number().over(least)).where(F.col("_r") <= per_language)
-    picked = learning.join(F.broadcast(ids.select("doc_id").distinct()), "doc_id", "left_semi").select("lang", "text")
+    # Equal rows are one, so a language gives as many texts as are picked, however often a doc_id or a row repeats.
+    keyed = learning.select("lang", "text", F.xxhash64("doc_id", "text").alias("key"))
+    least = Window.partitionBy("lang").orderBy("key")
+    keys = keyed.select("lang", "key").distinct().withColumn("_r", F.row_number().over(least)).where(F.col("_r") <= per_language)
+    picked = keyed.join(keys.select("lang", "key"), ["lang", "key"], "left_semi").dropDuplicates(["lang", "key"]).select("lang", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        import pyarrow.compute  # noqa: F401
+
+        for batch in slices(batches, "text"):
             x, has = vectors(batch["text"].to_pylist(), idf)
             yield pa.RecordBatch.from_arrays([batch["lang"].filter(pa.array(has)), pa.array([v.tobytes() for v in x], pa.binary())], names=["lang", "x"])
 
@@ -146,7 +150,8 @@ def predict(documents: DataFrame, model: tuple[np.ndarray, np.ndarray, list[str]
         import pyarrow.compute  # noqa: F401
 
         idf, cents, langs = shared.value
-        for batch in slices(batches, "_text"):
+        short = (b.slice(i, 1000) for b in slices(batches, "_text") for i in range(0, b.num_rows, 1000))
+        for batch in short:
             x, has = vectors(batch["_text"].to_pylist(), idf)
             lang, score = np.full(batch.num_rows, UNKNOWN, object), np.zeros(batch.num_rows)
             if len(cents) and len(x):

@@ -209,6 +209,54 @@ def test_language_id(spark):
     assert {r.lang_pred for r in langid.query(df.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
+def grams_by_hand(text):
+    """Counts of hashed letter n-grams, one character at a time."""
+    mask, mix, c = (1 << 64) - 1, 0x9E3779B97F4A7C15, [0]
+    for x in (text or "").lower():
+        if x.isalpha():
+            c.append(ord(x))
+        elif c[-1]:
+            c.append(0)
+    c += [0] if c[-1] else []
+    found = collections.Counter()
+    put = lambda h: found.update([(((h & mask) ^ ((h & mask) >> 29)) * mix & mask) >> 52])
+    for i, x in enumerate(c):
+        if x:
+            put(x * mix)
+        if i:
+            put((c[i - 1] << 21 | x) * mix + 1)
+        if i > 1 and c[i - 1]:
+            put((((c[i - 2] << 42) & mask) ^ (c[i - 1] << 21) ^ x) * mix)
+    return found if len(c) > 2 else None
+
+
+def test_language_id_equals_brute_force(spark):
+    df = make_docs(spark)
+    learned = [(r.doc_id, r.text, r.lang) for r in df.collect() if r.doc_id is not None and r.text is not None and r.lang is not None and zlib.crc32(str(r.doc_id).encode()) % 4 != 2]
+    seen = [g for _, t, _ in learned if (g := grams_by_hand(t))]
+    often = collections.Counter(f for g in seen for f in g)
+    idf, cents, langs = langid.fit(df.where("doc_id is not null").where(~langid.held_out(F.col("doc_id"))))
+    assert all(idf[f] == pytest.approx(math.log((1 + len(seen)) / (1 + often[f])) + 1) for f in range(langid.FEATURES))
+    unit = lambda v: {f: x / math.sqrt(sum(y * y for y in v.values())) for f, x in v.items()}
+    for r in langid.query(df).collect():
+        texts = {t for d, t in rows_of(df) if d == r.doc_id}
+        want = set()
+        for t in texts:
+            g = grams_by_hand(t)
+            v = unit({f: math.sqrt(n) * idf[f] for f, n in g.items()}) if g else {}
+            cos = [sum(x * c[f] for f, x in v.items()) for c in cents.astype(float)]
+            want.add((langs[cos.index(max(cos))], round(max(cos), 4), max(cos) < 0.2) if g else ("und", 0.0, True))
+        assert any((r.lang_pred, r.rejected) == (w[0], w[2]) and abs(r.score - w[1]) < 2e-4 for w in want)
+
+
+def test_language_sample_is_bounded_by_rows(spark):
+    words_ = ["alpha", "beta", "gamma", "delta"]
+    rows = [(1, f"{words_[i % 4]} {words_[i // 4 % 4]} {'x' * (i % 50 + 1)}", "en") for i in range(1000)] + [(1, "same text", "en")] * 300 + [(2, "autre texte", "fr")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    _, cents, langs = langid.fit(df, per_language=5, k=50)
+    assert len(cents) == 6 and sorted(langs) == ["en"] * 5 + ["fr"]
+
+
 def test_language_id_learns_every_language(spark):
     r = random.Random(3)
     rows, names = [], [f"l{i:02}" for i in range(60)]
