@@ -48,4 +48,95 @@ select o.page_id, o.host, o.path, o.rule, coalesce(o.verdict, case when h.suspec
 from one o left join hosts h using (host)
 """
 
-ORACLES: dict[str, str] = {"op2_url_filters": OP2}
+#: Every turn of the given tables is plain, so each user turn is the call and the turn after it the result.
+OP1 = r"""
+with t as (select conv_id, turn, role, coalesce(text, '') as text from conversations),
+calls as (select conv_id, turn, 'turn-' || turn as call_id, text from t where role = 'user'),
+results as (select conv_id, 'turn-' || (turn - 1) as call_id, turn as t, text as c, count(*) as copies from t where role <> 'user' and turn is not null group by all),
+firsts as (select conv_id, call_id, min({'t': t, 'c': c}) as r, sum(copies)::bigint as n from results group by all),
+linked as (select distinct conv_id, call_id from calls),
+made as (
+  select c.conv_id, c.turn, c.call_id, 'respond' as name, coalesce(f.n, 0) as n_results, f.r.t as result_turn,
+         case when not regexp_matches(c.text, '[^ \t\n\x0B\f\r]') then 'invalid text' else '' end as faults,
+         '{"arguments":{"text":' || to_json(c.text) || '},"id":' || to_json(c.call_id) || ',"name":"respond"' || case when f.r is null then '' else ',"result":' || to_json(f.r.c) end || '}' as canonical
+  from calls c left join firsts f using (conv_id, call_id)),
+rest as (
+  select r.conv_id, r.t as turn, r.call_id, null as name, f.n as n_results, r.t as result_turn,
+         case when l.call_id is null then 'no call' else 'surplus result' end as faults,
+         '{"id":' || to_json(r.call_id) || ',"result":' || to_json(r.c) || '}' as canonical,
+         r.copies - (case when l.call_id is not null and r.t = f.r.t and r.c = f.r.c then 1 else 0 end) as copies
+  from results r join firsts f using (conv_id, call_id) left join linked l using (conv_id, call_id)),
+other as (
+  select conv_id, turn, null as call_id, null as name, 0 as n_results, null as result_turn, 'neither call nor result' as faults,
+         '{"content":' || to_json(text) || case when role is null then '' else ',"role":' || to_json(role) end || '}' as canonical
+  from t where role is null or (role <> 'user' and turn is null))
+select conv_id, 0 as level, turn, 0 as ordinal, call_id, name, n_results, result_turn, faults, canonical from (
+  select * from made union all select conv_id, turn, call_id, name, n_results, result_turn, faults, canonical from rest, unnest(generate_series(1, copies))
+  union all select * from other)
+"""
+
+OP3 = r"""
+with recursive w as (
+  select row_number() over () as rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+s as (
+  select distinct rid, unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')] else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as sh from w),
+sets as (select rid, count(*) as n, md5(string_agg(sh, '|' order by sh)) as node from s group by rid),
+nodes as (select node, any_value(n) as n, min(doc_id) as rep, min(rid) as rid from sets join w using (rid) group by node),
+own as (select node, sh from s join nodes using (rid)),
+pairs as (
+  select x, y from (select a.node as x, b.node as y, count(*) as c from own a join own b on a.sh = b.sh and a.node < b.node group by all) p
+  join nodes a on a.node = x join nodes b on b.node = y where 100 * c >= 80 * (a.n + b.n - c)),
+edges as (select x, y from pairs union all select y, x from pairs),
+reach as (select distinct x, x as y from edges union select r.x, e.y from reach r join edges e on r.y = e.x),
+least as (select x as node, min(rep) as component_id from reach join nodes on y = node group by x),
+degree as (select x as node, count(*) as n_links from edges group by x)
+select w.doc_id, coalesce(t.n, 0) as n_shingles, coalesce(l.component_id, k.rep, w.doc_id) as component_id, coalesce(d.n_links, 0) as n_links
+from w left join sets t using (rid) left join nodes k using (node) left join least l using (node) left join degree d using (node)
+"""
+
+
+def _divergence() -> str:
+    classes = {"low": r"\p{Ll}", "space": r"[\x20\x09-\x0D]", "up": r"\p{Lu}", "digit": r"\p{Nd}", "mark": r"[.,;:!?''\"()\-]"}
+    size = lambda p: f"length(t) - length(regexp_replace(t, '{p}+', '', 'g'))"
+    words = {"de": "der die das und in den von zu mit sich ist nicht ein für", "en": "the of and to a in that is it for with was on be", "es": "de la que el en y a los se del las por un para", "fr": "de la le et les des en un du une que est pour qui"}
+    lists = " ".join(f"when '{k}' then {v.split()}" for k, v in words.items())
+    shares = lambda h: f"list_transform({h}, lambda x: case when list_sum({h}) > 0 then x / list_sum({h})::double else 0.0 end)"
+    part = lambda x, m: f"case when {x} > 0 and {m} > 0 then {x} * log2({x} / {m}) else 0.0 end"
+    js = lambda p, q: f"sqrt(greatest(0.0, list_sum(list_transform(list_zip({p}, {q}), lambda z: {part('z[1]', '((z[1] + z[2]) / 2)')} + {part('z[2]', '((z[1] + z[2]) / 2)')})) / 2))"
+    return rf"""
+with w as (
+  select row_number() over () as rid, doc_id, coalesce(text, '') as t, case when lang in ('de', 'en', 'es', 'fr') then lang else '*' end as ref,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w, case lang {lists} else null end as list from documents),
+lines as (
+  select rid, count(*) - count(distinct line) as n_dup_lines from (select rid, unnest(string_split(t, chr(10))) as line from w) where regexp_matches(line, '[^\x20\x09-\x0D]') group by rid),
+windows as (
+  select rid, i, count(*) over (partition by rid, win) as times from (select rid, i, array_to_string(w[i:i + 7], ' ') as win from w, unnest(range(1, len(w) - 6)) as u(i))),
+repeats as (select rid, count(distinct i + j) as n_repeat_words from windows, unnest(range(0, 8)) as u(j) where times > 1 group by rid),
+s as (
+  select w.rid, doc_id, ref, len(w)::bigint as n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::bigint as word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) as n_symbols, coalesce(n_dup_lines, 0) as n_dup_lines, coalesce(n_repeat_words, 0) as n_repeat_words,
+         {", ".join(f"{size(p)} as {c}" for c, p in classes.items())}, length(t) as n_chars,
+         list_transform(coalesce(list, []), lambda x: len(list_filter(w, lambda y: y = x or y = upper(x[1]) || x[2:]))) as listed
+  from w left join lines using (rid) left join repeats using (rid)),
+h as (
+  select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed,
+         {shares("[low, space, up, digit, mark, n_chars - low - space - up - digit - mark]")} as chars,
+         {shares("list_append(listed, n_words - coalesce(list_sum(listed), 0))")} as words from s),
+sums as (
+  select ref, kind, i, sum(v) as v from (
+    select ref, 'chars' as kind, i, chars[i] as v from h, unnest(range(1, 7)) as u(i) where n_words >= 20 and ref <> '*'
+    union all select ref, 'words', i, coalesce(words[i], 0) from h, unnest(range(1, 16)) as u(i) where n_words >= 20 and ref <> '*') group by all),
+every as (select ref, kind, i, v from sums union all select '*', kind, i, sum(v) from sums group by kind, i),
+refs as (select ref, list(v order by i) filter (kind = 'chars') as rc, list(v order by i) filter (kind = 'words') as rw from every group by ref),
+padded as (
+  select h.*, {shares("rc")} as rc, {shares("rw")} as rw, list_concat(words, list_transform(range(0, 15 - len(words)), lambda x: 0.0)) as longer
+  from h left join refs using (ref)),
+d as (
+  select *, case when n_words >= 20 and rc is not null then {js("chars", "rc")} end as dc, case when n_words >= 50 and rw is not null then {js("longer", "rw")} end as dw from padded)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       not base_failed and coalesce(dc <= 0.2 + 0.6 / sqrt(n_words), true) and coalesce(dw <= 0.25 + 0.35 / sqrt(n_words), true) as kept
+from d
+"""
+
+
+ORACLES: dict[str, str] = {"op1_chat_formatting": OP1, "op2_url_filters": OP2, "op3_ngram_jaccard": OP3, "op8_distribution_divergence": _divergence()}

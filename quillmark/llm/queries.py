@@ -38,7 +38,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return divergence.judge(table(spark, sf_dir, "documents"))
+    return divergence.judge(table(spark, sf_dir, "documents")).drop("char_distance", "word_distance")
 
 
 def op9_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
