@@ -1,4 +1,9 @@
-"""The corpus pipeline: quality rules, language ID, near-duplicate removal, packing."""
+"""The corpus pipeline: quality rules, language ID, near-duplicate removal, packing.
+
+Defined cases: null and empty texts have no words, so the quality rules drop them; repeated rows with
+one doc_id and text are one document after the third stage; an empty table gives no pieces; extra
+columns, whatever their names, are carried up to the last stage. Long texts are read whole by each stage.
+"""
 
 from __future__ import annotations
 
@@ -26,8 +31,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Rows that repeat a doc_id are copies too; documents without words are no one's copies.
     """
-    first = partenum.join(docs, count_links=False).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    kept = docs.join(first.withColumnRenamed("doc_id", "_kept"), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    first = partenum.join(docs, count_links=False).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept")).distinct().alias("first")
+    own = docs.alias("own")
+    kept = own.join(first, F.col("own.doc_id").eqNullSafe(F.col("first.kept")), "left_semi").select("own.*")
     return kept.dropDuplicates(["doc_id", "text"])
 
 
