@@ -1,15 +1,20 @@
 """HTML extraction by two-pass block rules.
 
-Markup is cut into blocks at block-level tags. The first pass decides each block by its length,
-link density and stop-word density, by whether it lies in markup that never holds the article
-(navigation, asides, forms, notices, comments by element, role, class or id), and by whether it is a
-heading. Short blocks that stay undecided inherit, in the second pass, the label of the nearest
-decided block before or after them (the nearer by number of blocks; of two as near, the article's).
-Where a page marks its article or main part, only that part can hold the text.
+Markup is cut into blocks at block-level tags. The first pass decides blocks by length, stop-word density and
+link density: long or stop-word-rich ones are text, link lists are not. Blocks that stay undecided, short ones above all, inherit,
+in the second pass, the label of the nearest decided block before or after them (the nearer by
+number of blocks; of two as near, the article's; a heading goes with what it heads).
+
+Markup is evidence beside that, for what no density tells from an article: readers' comments, notices and
+sidebars are prose too. A block is set apart that lies in an element for such things (by element, role,
+class or id), but not where that element holds the article or main part, or, on a page that marks none, nearly all
+the page's prose: then it is a wrapper, whatever its name. A paragraph goes by a whole name only, so that
+class="share-price" is no share button. Where a page marks its article or main part, only that part can
+hold the text, link lists in it are undecided, and its undecided blocks are text if nothing in it is decided.
 
 Defined cases: null html is an empty page with an empty text. Repeated rows are extracted one by
 one. Broken markup is read as far as it goes: unclosed elements end with their parents. Pages of any
-length are read whole. An empty table gives an empty result. Extra columns are dropped.
+length are read whole. Ties are settled as said above. An empty table gives an empty result. Extra columns are dropped.
 """
 
 from __future__ import annotations
@@ -46,20 +51,41 @@ RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I) for name in RAW
 PIECES = re.compile(r"[a-z]+")
 
 
-def _around(name: str, attributes: str, in_article: bool) -> bool:
+#: Elements that hold text themselves; their classes count as whole names only.
+TEXT = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre figcaption dd dt td th".split())
+Block = tuple[str, int, tuple[int, ...], bool, bool]
+
+
+def _set_apart(name: str, attributes: str, in_article: bool) -> bool:
+    """Is the element one of those for what is around an article?"""
     if name in AROUND and not (name == "header" and in_article):
         return True
     if name in ("body", "html", "article", "main") or "=" not in attributes:
         return False
-    return any(not NAMES.isdisjoint(PIECES.findall(value.lower())) for _, value in ATTRIBUTE.findall(attributes))
+    for _, value in ATTRIBUTE.findall(attributes):
+        value = value.strip("\"'").lower()
+        if not NAMES.isdisjoint(value.split() if name in TEXT else PIECES.findall(value)):
+            return True
+    return False
+
+
+def _is_prose(text: str, linked: int, short: int, long: int, max_link_density: float, low_stop: float, high_stop: float) -> bool:
+    if linked > max_link_density * len(text):
+        return False
+    words = text.lower().split()
+    stop = sum(w.strip(".,;:!?") in STOP for w in words) / len(words)
+    return len(text) >= long or (len(text) >= short and stop >= low_stop) or (stop >= high_stop and len(words) >= 5)
 
 
-def blocks_of(page: str) -> list[tuple[str, int, bool, bool, bool]]:
-    """Each block with a character: text, characters in links, around?, heading?, in the article?"""
-    out: list[tuple[str, int, bool, bool, bool]] = []
-    stack: list[tuple[str, bool]] = []  # open elements, and whether each is around the article
+def blocks_of(page: str) -> tuple[list[Block], set[int]]:
+    """Each block with a character (text, characters in links, elements that set it apart, heading?, in the
+    article?), and which of those elements hold an article or main part."""
+    out: list[Block] = []
+    stack: list[tuple[str, int | None]] = []  # open elements, and the number of each that sets apart
     text: list[tuple[str, bool]] = []
-    around = links = article = 0
+    apart: list[int] = []
+    holders: set[int] = set()
+    links = article = numbered = 0
     heading = False
 
     def flush() -> None:
@@ -68,14 +94,15 @@ def blocks_of(page: str) -> list[tuple[str, int, bool, bool, bool]]:
             whole = " ".join(html.unescape("".join(t for t, _ in text)).split())
             if whole:
                 linked = len(" ".join(html.unescape("".join(t for t, in_link in text if in_link)).split()))
-                out.append((whole, linked, around > 0, heading, article > 0))
+                out.append((whole, linked, tuple(apart), heading, article > 0))
             text = []
 
     def close(i: int) -> None:
-        nonlocal around, links, article, heading
+        nonlocal links, article, heading
         while len(stack) > i:
-            name, was = stack.pop()
-            around -= was
+            name, number = stack.pop()
+            if number is not None:
+                apart.pop()
             links -= name == "a"
             article -= name in ("article", "main")
             if name[0] == "h" and name[1:] in "123456" and len(name) == 2:
@@ -124,63 +151,74 @@ def blocks_of(page: str) -> list[tuple[str, int, bool, bool, bool]]:
                     break
                 if stack[i][0] in BLOCKS:
                     break
-        is_around = _around(name, m[3], article > 0)
-        stack.append((name, is_around))
-        around += is_around
+        number = None
+        if _set_apart(name, m[3], article > 0):
+            number, numbered = numbered, numbered + 1
+            apart.append(number)
+        elif name in ("article", "main"):
+            holders.update(apart)
+        stack.append((name, number))
         links += name == "a"
         article += name in ("article", "main")
         heading = heading or (len(name) == 2 and name[0] == "h" and name[1] in "123456")
     flush()
-    return out
-
-
-def main_blocks(blocks: list[tuple[str, int, bool, bool, bool]], short: int = 70, long: int = 200, max_link_density: float = 0.4, low_stop: float = 0.12, high_stop: float = 0.2) -> list[str]:
-    """The texts of the article's blocks, in page order."""
-    marked = any(b[4] and not b[2] for b in blocks)
-    labels: list[bool | None] = []
-    for text, linked, around, heading, in_article in blocks:
-        words = text.lower().split()
-        stop = sum(w.strip(".,;:!?") in STOP for w in words) / len(words)
-        if around or (marked and not in_article):
-            labels.append(False)
-        elif marked:
-            # Within a marked article only link lists go; short blocks there are undecided.
-            labels.append(False if linked > max_link_density * len(text) and len(text) < long else True if heading or len(text) >= short or stop >= low_stop else None)
-        elif linked > max_link_density * len(text):
-            labels.append(False)
-        elif len(text) >= long or (len(text) >= short and stop >= low_stop) or (stop >= high_stop and len(words) >= 5):
-            labels.append(True)
+    return out, holders
+
+
+def decisions(blocks: list[Block], holders: set[int], short: int = 70, long: int = 200, max_link_density: float = 0.4, low_stop: float = 0.12, high_stop: float = 0.2, wrapper: float = 0.8) -> list[tuple[bool, str]]:
+    """Is each block the article's, and by which rule: prose, links, apart, outside, or neighbour."""
+    prose = [_is_prose(b[0], b[1], short, long, max_link_density, low_stop, high_stop) for b in blocks]
+    wrappers, marked = set(holders), any(b[4] and holders.issuperset(b[2]) for b in blocks)
+    if not marked:
+        held: dict[int, int] = {}
+        for (text, _, apart, _, _), is_prose in zip(blocks, prose, strict=True):
+            for e in apart if is_prose else ():
+                held[e] = held.get(e, 0) + len(text)
+        total = sum(len(b[0]) for b, is_prose in zip(blocks, prose, strict=True) if is_prose)
+        wrappers |= {e for e, chars in held.items() if chars >= wrapper * total}
+    labels: list[tuple[bool | None, str]] = []
+    for (text, linked, apart, _, in_article), is_prose in zip(blocks, prose, strict=True):
+        if not wrappers.issuperset(apart):
+            labels.append((False, "apart"))
+        elif marked and not in_article:
+            labels.append((False, "outside"))
+        elif is_prose:
+            labels.append((True, "prose"))
+        elif linked > max_link_density * len(text) and not marked:
+            labels.append((False, "links"))
         else:
-            labels.append(None)
+            labels.append((None, "neighbour"))
     n = len(labels)
     # What lies outside a marked article, or is set apart inside it, is no neighbour of its blocks.
-    decided = [label is not None and not (marked and (b[2] or not b[4])) for label, b in zip(labels, blocks, strict=True)]
+    decided = [label is not None and not (marked and rule in ("apart", "outside")) for label, rule in labels]
     before, last = [None] * n, None
     for i in range(n):
         before[i] = last = i if decided[i] else last
     after, last = [None] * n, None
     for i in range(n - 1, -1, -1):
         after[i] = last = i if decided[i] else last
-    kept = []
-    for i, (text, _, _, heading, _) in enumerate(blocks):
-        label = labels[i]
+    made = []
+    for i, (label, rule) in enumerate(labels):
         if label is None:
-            a, b = before[i], after[i]
-            near = [j for j in (a, b) if j is not None]
+            near = [j for j in (before[i], after[i]) if j is not None]
             if not near:
-                label = heading or marked
-            elif heading and b is not None:
-                label = labels[b]  # a heading goes with what it heads
+                label = blocks[i][3] or marked
+            elif blocks[i][3] and after[i] is not None:
+                label = labels[after[i]][0]
             else:
                 least = min(abs(i - j) for j in near)
-                label = any(labels[j] for j in near if abs(i - j) == least)
-        if label:
-            kept.append(text)
-    return kept
+                label = any(labels[j][0] for j in near if abs(i - j) == least)
+        made.append((bool(label), rule))
+    return made
+
+
+def main_blocks(blocks: list[Block], holders: set[int]) -> list[str]:
+    """The texts of the article's blocks, in page order."""
+    return [b[0] for b, (label, _) in zip(blocks, decisions(blocks, holders), strict=True) if label]
 
 
 def extract_text(page: str | None) -> str:
-    return "\n\n".join(main_blocks(blocks_of(page or "")))
+    return "\n\n".join(main_blocks(*blocks_of(page or "")))
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -131,3 +131,20 @@ def test_shingles_are_sets_of_five_words():
     assert len(partenum.shingles("A b\tC")) == 1
     assert np.array_equal(partenum.shingles("A b\tC"), partenum.shingles("a\n B c"))
     assert len(partenum.shingles(" \n")) == len(partenum.shingles(None)) == 0
+
+
+def test_wrappers_and_paragraph_names_cost_no_text():
+    story = "The story of the house is that it was sold to the man in the end."
+    more = story + " And so it was that more of the same came to be told in the town, for the man and the house were known to all of it."
+    extract = html_blocks.extract_text
+    assert extract(f'<div class="page has-sidebar"><article><p>{story}</p></article><div class="sidebar"><p>{more}</p></div></div>') == story
+    assert extract(f"<form id=f><article><h1>T</h1><p>{story}</p></article></form>") == f"T\n\n{story}"
+    assert extract(f'<div class="with-comments"><p>{more}</p><p>{story}</p></div>') == f"{more}\n\n{story}"
+    assert extract(f'<article><p>{story}</p><p class="share-price">Up 3 %</p><ul><li><a href=x>A reference</a></ul></article><div class="comments"><p>{more}</p></div>') == f"{story}\n\nUp 3 %\n\nA reference"
+    assert extract(f"<ul><li><a href=a>One</a><li><a href=b>Two and more</a></ul><p>Short.</p><p>{more}</p><p>{more}</p><footer><p>{story}</p></footer>") == f"Short.\n\n{more}\n\n{more}"
+
+
+def test_each_rule_decides_blocks_of_its_kind():
+    story = "The story of the house is that it was sold to the man in the end, and more of the same came after it."
+    blocks, holders = html_blocks.blocks_of(f"<p>{story}</p><p>Short.</p><ul><li><a href=a>A list of links here</a></ul><nav>Menu</nav>")
+    assert html_blocks.decisions(blocks, holders) == [(True, "prose"), (True, "neighbour"), (False, "links"), (False, "apart")]
