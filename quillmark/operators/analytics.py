@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 from operator import or_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillmark.functions.folding import fold_ascii
 from quillmark.functions.text import grams, nul_count
-from quillmark.operators.search import hit, hit_any, scored, search, with_folds
+from quillmark.operators.search import hit, hit_any, recall, search, with_folds
 from quillmark.plans.query import parse
 
 
@@ -119,9 +121,41 @@ def set_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     return a.withColumn("side", F.lit("left")).unionByName(b.withColumn("side", F.lit("right")))
 
 
-def prefix_stable(chunks: DataFrame, query: str, k: int, more: int) -> DataFrame:
-    """Places among the first k that a longer result does not repeat; empty where limits are prefixes."""
-    terms = parse(query)
+def prefix_places(chunks: DataFrame, query: str, k: int, more: int) -> DataFrame:
+    """place, chunk_id, same: the first k results, and whether a longer result has the same chunk at the place."""
     order = Window.orderBy(F.desc("prose_hit"), F.desc("term_count"), F.desc("score"), F.asc("chunk_id"))
-    place = lambda n: scored(search(chunks, query, n).drop("prose_hit", "term_count", "score").join(chunks.select("chunk_id", "text"), "chunk_id"), terms).withColumn("place", F.row_number().over(order)).select("place", "chunk_id")
-    return set_difference(place(k), place(more).where(F.col("place") <= k))
+    place = lambda n, name: search(chunks, query, n).withColumn("place", F.row_number().over(order)).select("place", F.col("chunk_id").alias(name))
+    both = place(k, "chunk_id").join(place(more, "_other"), "place", "left")
+    return both.select("place", "chunk_id", F.col("chunk_id").eqNullSafe(F.col("_other")).alias("same"))
+
+
+def _sides(left: DataFrame, right: DataFrame, term: str, names: tuple[str, str]) -> DataFrame:
+    """term, how many members each side has, and on_one_side: how many only one of them has."""
+    both = left.select("chunk_id").withColumn("_l", F.lit(1)).join(right.select("chunk_id").withColumn("_r", F.lit(1)), "chunk_id", "full_outer")
+    return both.agg(F.count("_l").alias(names[0]), F.count("_r").alias(names[1]), F.count_if(F.col("_l").isNull() | F.col("_r").isNull()).alias("on_one_side")).select(F.lit(term).alias("term"), *names, "on_one_side")
+
+
+def recall_against_instr(chunks: DataFrame, terms: list[str]) -> DataFrame:
+    """Recall beside the substring union of each term."""
+    return reduce(DataFrame.unionByName, [_sides(recall(chunks, t), substring_union(chunks, t), t, ("recalled", "by_instr")) for t in terms])
+
+
+def like_against_instr(chunks: DataFrame, terms: list[str]) -> DataFrame:
+    """Case-insensitive LIKE with escaped wildcards beside instr over ASCII-folded text, for each term."""
+    low = fold_ascii(F.coalesce("text", F.lit("")))
+    rows = []
+    for t in terms:
+        escaped = re.sub(r"([\\%_])", r"\\\1", t)
+        rows.append(_sides(chunks.where(F.coalesce("text", F.lit("")).ilike(f"%{escaped}%")), chunks.where(F.instr(low, F.lit(t.lower())) > 0), t, ("by_like", "by_instr")))
+    return reduce(DataFrame.unionByName, rows)
+
+
+def literal_union(chunks: DataFrame, terms: list[str]) -> DataFrame:
+    """term, literal and in_text, in_title, in_author: chunks that hold the term as it is written, in one pass for all terms."""
+    fields = {c: F.coalesce(c, F.lit("")) for c in ("text", "title", "author")}
+    made = []
+    for i, t in enumerate(terms):
+        held = {c: F.instr(f, F.lit(t)) > 0 for c, f in fields.items()}
+        made += [F.count_if(reduce(or_, held.values())).alias(f"literal{i}"), *[F.count_if(h).alias(f"{c}{i}") for c, h in held.items()]]
+    rows = [F.struct(F.lit(t).alias("term"), F.col(f"literal{i}").alias("literal"), *[F.col(f"{c}{i}").alias(f"in_{c}") for c in fields]) for i, t in enumerate(terms)]
+    return chunks.agg(*made).select(F.explode(F.array(*rows)).alias("r")).select("r.*")

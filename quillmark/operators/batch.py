@@ -22,21 +22,19 @@ def terms_frame(spark: SparkSession, queries: dict[str, str]) -> DataFrame:
     return spark.createDataFrame(rows, "qid string, pos int, kind string, folded string")
 
 
-def batch_search(chunks: DataFrame, queries: dict[str, str], limit: int, by_source: bool = False) -> DataFrame:
-    """The first ``limit`` chunks of each query (and of each source, with ``by_source``).
+def _fields(chunks: DataFrame) -> DataFrame:
+    """Chunks with both folds of each field, the stored ones where the index has them."""
+    folds = [(c, k, f) for c in FIELDS for k, f in (("ascii", fold_ascii), ("unicode", fold_unicode))]
+    return chunks.select("chunk_id", "source_id", "chunk_type", *[F.col(f"_{c}_{k}") if f"_{c}_{k}" in chunks.columns else f(F.coalesce(c, F.lit(""))).alias(f"_{c}_{k}") for c, k, f in folds])
 
-    The stated terms meet all chunks in blocks: each chunk is folded once, and a term joins where a
-    field holds it. Only hits go on, one row each.
-    """
-    spark = chunks.sparkSession
-    folded = chunks.select("chunk_id", "source_id", "chunk_type", *[f(F.coalesce(c, F.lit(""))).alias(f"_{c}_{k}") for c in FIELDS for k, f in (("ascii", fold_ascii), ("unicode", fold_unicode))])
-    terms = F.broadcast(terms_frame(spark, queries))
+
+def _ranked(hits: DataFrame, limit: int, by_source: bool) -> DataFrame:
+    """The first results of each query from one row per chunk and term (qid, kind, folded) that may hold it."""
     pick = lambda c: F.when(F.col("kind") == "ascii", F.col(f"_{c}_ascii")).otherwise(F.col(f"_{c}_unicode"))
     held = {c: F.contains(pick(c), F.col("folded")) for c in FIELDS}
-    hits = folded.join(terms, held["text"] | held["title"] | held["author"])
     count = lambda c: ((F.length(pick(c)) - F.length(F.replace(pick(c), F.col("folded"), F.lit("")))) / F.length("folded")).cast("long")
     points = sum((F.least(count(c), F.lit(cap)).cast("double") * w for c, (w, cap) in FIELDS.items()), F.lit(0.0))
-    per = hits.select("qid", "chunk_id", "source_id", "chunk_type", held["text"].cast("int").alias("_prose"), points.alias("_points"))
+    per = hits.where(held["text"] | held["title"] | held["author"]).select("qid", "chunk_id", "source_id", "chunk_type", held["text"].cast("int").alias("_prose"), points.alias("_points"))
     bonus = F.when(F.col("chunk_type") == "curated_method", BONUS["curated_method"]).when(F.col("chunk_type") == "conflict", BONUS["conflict"]).otherwise(0.0)
     ranked = per.groupBy("qid", "chunk_id", "source_id", "chunk_type").agg(F.max("_prose").alias("prose_hit"), F.count("*").cast("int").alias("term_count"), F.sum("_points").alias("_p")).withColumn("score", F.col("_p") + bonus)
     keys = ["qid", "source_id"] if by_source else ["qid"]
@@ -44,9 +42,31 @@ def batch_search(chunks: DataFrame, queries: dict[str, str], limit: int, by_sour
     return ranked.withColumn("position", F.row_number().over(order)).where(F.col("position") <= limit).select("qid", "position", "chunk_id", "source_id", "prose_hit", "term_count", "score")
 
 
+def batch_search(chunks: DataFrame, queries: dict[str, str], limit: int, by_source: bool = False) -> DataFrame:
+    """The first ``limit`` chunks of each query (and of each source, with ``by_source``).
+
+    The stated terms meet all chunks in blocks: each chunk is folded once, and a term joins where a
+    field holds it. Only hits go on, one row each.
+    """
+    return _ranked(_fields(chunks).crossJoin(F.broadcast(terms_frame(chunks.sparkSession, queries))), limit, by_source)
+
+
+def indexed_batch(index: DataFrame, index_postings: DataFrame, queries: dict[str, str], limit: int, by_source: bool = False, n: int = MATCH_MIN_LENGTH) -> DataFrame:
+    """batch_search over a stored index: terms as long as a gram meet chunks by an equi-join of grams, shorter ones by a scan."""
+    terms = terms_frame(index.sparkSession, queries)
+    fields = _fields(index)
+    long, short = terms.where(F.length("folded") >= n), terms.where(F.length("folded") < n)
+    wanted = long.select("*", F.array_distinct(grams(F.col("folded"), n)).alias("_g")).select("*", F.size("_g").alias("_n"), F.explode("_g").alias("gram"))
+    having = index_postings.join(F.broadcast(wanted), "gram").groupBy("qid", "pos", "kind", "folded", "chunk_id", "_n").agg(F.count("*").alias("_have")).where("_have = _n")
+    by_gram = fields.join(having.select("qid", "kind", "folded", "chunk_id"), "chunk_id")
+    by_scan = fields.crossJoin(F.broadcast(short.select("qid", "kind", "folded")))
+    return _ranked(by_gram.unionByName(by_scan), limit, by_source)
+
+
 def postings(chunks: DataFrame, n: int = MATCH_MIN_LENGTH) -> DataFrame:
     """gram, chunk_id: the distinct grams of each chunk's folded fields."""
-    parts = [chunks.select("chunk_id", F.explode(grams(fold_unicode(F.coalesce(c, F.lit(""))), n)).alias("gram")) for c in FIELDS]
+    folded = lambda c: F.col(f"_{c}_unicode") if f"_{c}_unicode" in chunks.columns else fold_unicode(F.coalesce(c, F.lit("")))
+    parts = [chunks.select("chunk_id", F.explode(grams(folded(c), n)).alias("gram")) for c in FIELDS]
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).distinct()
 
 
@@ -57,5 +77,6 @@ def posting_recall(chunks: DataFrame, index: DataFrame, term: str, n: int = MATC
         raise ValueError("a term shorter than a gram has no posting")
     wanted = sorted({parsed.folded[i : i + n] for i in range(len(parsed.folded) - n + 1)})
     having = index.where(F.col("gram").isin(wanted)).groupBy("chunk_id").agg(F.count("*").alias("_n")).where(F.col("_n") == len(wanted)).select("chunk_id")
-    holds = [F.contains(fold_unicode(F.coalesce(c, F.lit(""))), F.lit(parsed.folded)) for c in FIELDS]
+    folded = lambda c: F.col(f"_{c}_unicode") if f"_{c}_unicode" in chunks.columns else fold_unicode(F.coalesce(c, F.lit("")))
+    holds = [F.contains(folded(c), F.lit(parsed.folded)) for c in FIELDS]
     return chunks.join(having, "chunk_id", "left_semi").where(holds[0] | holds[1] | holds[2])

@@ -44,14 +44,20 @@ def smoke_length(registry: DataFrame) -> DataFrame:
     return _violations(registry.where(F.length("smoke_query") < MATCH_MIN_LENGTH), "smoke_length", F.col("source_id"), F.col("smoke_query"))
 
 
-def manifest_digest(files: DataFrame) -> DataFrame:
+def manifest_digest(files: DataFrame, per_block: int = 100_000) -> DataFrame:
     """source_id, manifest_digest, file_count of rows of source_id, path, sha256, size.
 
-    A source's digest is over its sorted lines. A line is a path, a hash and a size, so the array
-    is far smaller than the files; it is the one gathering per source that the format asks for.
+    A line is a path, a hash and a size. A source of up to ``per_block`` files has the digest of its sorted
+    lines. The lines of a larger one are dealt by hash into blocks of about that many, and its digest is
+    that of the blocks' digests, so that no task gathers more than a block (or a row a block).
     """
-    line = F.concat_ws("\t", "path", "sha256", F.col("size").cast("string"))
-    return files.groupBy("source_id").agg(F.sha2(F.array_join(F.array_sort(F.collect_list(line)), "\n"), 256).alias("manifest_digest"), F.count("*").alias("file_count"))
+    lines = files.select("source_id", F.concat_ws("\t", "path", "sha256", F.col("size").cast("string")).alias("line"))
+    counts = lines.groupBy("source_id").agg(F.count("*").alias("file_count"), F.ceil(F.count("*") / per_block).alias("blocks"))
+    placed = lines.join(counts, "source_id").withColumn("block", F.when(F.col("blocks") > 1, F.pmod(F.xxhash64("line"), "blocks")).otherwise(0))
+    digests = placed.groupBy("source_id", "file_count", "blocks", "block").agg(F.sha2(F.array_join(F.array_sort(F.collect_list("line")), "\n"), 256).alias("digest"))
+    of_blocks = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "digest"))), lambda b: b["digest"]), "\n")
+    whole = digests.groupBy("source_id", "file_count", "blocks").agg(of_blocks.alias("d"))
+    return whole.select("source_id", F.when(F.col("blocks") > 1, F.sha2("d", 256)).otherwise(F.col("d")).alias("manifest_digest"), "file_count")
 
 
 def manifest_diff(old: DataFrame, new: DataFrame) -> DataFrame:

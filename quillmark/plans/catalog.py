@@ -7,6 +7,8 @@ line, its author the language, its source the source; labels say which chunks ar
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from quillmark.functions.folding import ASCII_LOWER, ASCII_UPPER, fold_pairs
 from quillmark.functions.text import occurrences
 from quillmark.operators import analytics, batch, compare, corpus, search, validate
 from quillmark.plans.query import parse
+from quillmark.sources import sinks
 
 LONG, SHORT, MIXED = "the ment Étion", "en au", "é the en ET"
 TERMS = ["the", "en", "Étion", "ment", "É", "*", "[", "of the"]
@@ -51,6 +54,20 @@ def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "documents").select(F.col("source").alias("source_id")).distinct()
 
 
+_indexes: dict[tuple[str, str], str] = {}
+
+
+def stored_index(spark: SparkSession, sf_dir: str) -> str:
+    """Where the index of a table folder is stored; built once a session, and read by every query that says so."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _indexes:
+        path = f"{sinks.scratch(spark)}/index-{uuid.uuid4().hex}"
+        docs, parents, _ = _built(spark, sf_dir)
+        sinks.write_index(chunks(spark, sf_dir), path, docs, parents)
+        _indexes[key] = path
+    return _indexes[key]
+
+
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
@@ -148,9 +165,12 @@ def literal_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.search(chunks(spark, sf_dir), "* ? [ %", 40)
 
 
-@query(f"{_search_sql(LONG, 40)}".replace("SELECT * FROM ranked", "SELECT * FROM ranked WHERE FALSE"))
+@query(f"SELECT 'blank' AS query, 0::BIGINT AS n UNION ALL SELECT 'sentinel', count(*) FROM ({_search_sql(LONG, 40)})")
 def empty_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search.search(chunks(spark, sf_dir), "  ", 40)
+    """A query without terms finds nothing, where another finds something."""
+    c = chunks(spark, sf_dir)
+    n = lambda name, q: search.search(c, q, 40).agg(F.count("*").alias("n")).select(F.lit(name).alias("query"), "n")
+    return n("blank", "  ").unionByName(n("sentinel", LONG))
 
 
 @query(_recall_sql(SHORT))
@@ -168,16 +188,31 @@ def recall_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.recall(plain_chunks(spark, sf_dir), "*").select("chunk_id")
 
 
-@query("SELECT 'x' AS side, 0::BIGINT AS chunk_id WHERE FALSE")
+SETS = ["Étion", "the", "É", "*"]
+
+
+@query(f"WITH {CHUNKS}, {FOLDED} " + _union([f"SELECT {_lit(t)} AS term, count(*) AS recalled, count(*) AS by_instr, 0::BIGINT AS on_one_side FROM folded WHERE {_any(*parse(t))}" for t in SETS]))
 def recall_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Recall and the substring union, member by member: no rows where they are equal."""
-    c = plain_chunks(spark, sf_dir)
-    return analytics.set_difference(search.recall(c, "Étion").select("chunk_id"), analytics.substring_union(c, "Étion"))
+    """Recall and the substring union, member by member: how many each has, and how many only one has."""
+    return analytics.recall_against_instr(plain_chunks(spark, sf_dir), SETS)
+
+
+@query(f"WITH {CHUNKS} " + _union([f"SELECT {_lit(t)} AS term, count(*) AS literal, count(*) FILTER (WHERE contains(text, {_lit(t)})) AS in_text, count(*) FILTER (WHERE contains(title, {_lit(t)})) AS in_title, count(*) FILTER (WHERE author LIKE {_lit('%' + t + '%')}) AS in_author FROM chunks WHERE contains(text, {_lit(t)}) OR contains(title, {_lit(t)}) OR contains(author, {_lit(t)})" for t in ("The", "the", "ción", "en")]))
+def literal_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The case-sensitive literal union of the three fields, and its parts."""
+    return analytics.literal_union(plain_chunks(spark, sf_dir), ["The", "the", "ción", "en"])
+
 
+@query(f"WITH {CHUNKS} " + _union([f"SELECT {_lit(t)} AS term, count(*) AS by_like, count(*) AS by_instr, 0::BIGINT AS on_one_side FROM chunks WHERE text ILIKE {_lit('%' + t.replace('%', chr(92) + '%').replace('_', chr(92) + '_') + '%')} ESCAPE '{chr(92)}'" for t in ("the", "EN", "%", "a_b")]))
+def like_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """LIKE with its wildcards escaped, and instr, over lower-cased ASCII text, member by member."""
+    return analytics.like_against_instr(plain_chunks(spark, sf_dir), ["the", "EN", "%", "a_b"])
 
-@query("SELECT 'x' AS side, 0 AS place, 0::BIGINT AS chunk_id WHERE FALSE")
+
+@query(f"SELECT row_number() OVER (ORDER BY prose_hit DESC, term_count DESC, score DESC, chunk_id)::INT AS place, chunk_id, TRUE AS same FROM ({_search_sql(LONG, 8)})")
 def prefix_stability(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.prefix_stable(chunks(spark, sf_dir), LONG, 8, 40)
+    """Each place among the first eight, and whether the first forty have the same chunk there."""
+    return analytics.prefix_places(chunks(spark, sf_dir), LONG, 8, 40)
 
 
 @query(_search_sql(compare.expand("the and"), 40))
@@ -196,8 +231,9 @@ def batch_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_recall_sql("Étion"))
 def posting_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = plain_chunks(spark, sf_dir)
-    return batch.posting_recall(c, batch.postings(c), "Étion").select("chunk_id")
+    """A long term by the stored postings of its grams."""
+    path = stored_index(spark, sf_dir)
+    return batch.posting_recall(sinks.read_index(spark, path), sinks.read_index(spark, path, "postings"), "Étion").select("chunk_id")
 
 
 @query(f"{_rank_sql(LONG)} SELECT * EXCLUDE (title, author, chunk_type) FROM (SELECT *, (row_number() OVER (PARTITION BY source_id ORDER BY prose_hit DESC, term_count DESC, score DESC, chunk_id))::INT AS position FROM ranked) WHERE position <= 3")
@@ -344,8 +380,27 @@ def topic_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_recall_sql(MIXED))
 def indexed_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Recall over an index whose folded fields are stored."""
-    return search.recall(corpus.index_of(plain_chunks(spark, sf_dir)), MIXED).select("chunk_id")
+    """Recall over the stored index, whose folds are columns."""
+    return search.recall(sinks.read_index(spark, stored_index(spark, sf_dir)), MIXED).select("chunk_id")
+
+
+@query(_search_sql(LONG, 40))
+def indexed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(sinks.read_index(spark, stored_index(spark, sf_dir)), LONG, 40)
+
+
+@query(ORACLES["batch_search"])
+def indexed_batch_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = stored_index(spark, sf_dir)
+    return batch.indexed_batch(sinks.read_index(spark, path), sinks.read_index(spark, path, "postings"), BATCH, 20)
+
+
+@query(f"WITH {BUILT} SELECT 'chunks' AS table_name, count(*) AS n_rows FROM documents UNION ALL SELECT 'documents', count(*) FROM docs UNION ALL SELECT 'parents', count(*) FROM parents")
+def index_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored index's tables with the rows they hold."""
+    path = stored_index(spark, sf_dir)
+    made = [sinks.read_index(spark, path, name).agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows") for name in ("chunks", "documents", "parents")]
+    return made[0].unionByName(made[1]).unionByName(made[2])
 
 
 # ---- registry and provenance -----------------------------------------------------------------
@@ -372,10 +427,20 @@ def manifest_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.manifest_digest(files)
 
 
-@query("SELECT 'x' AS \"check\", 'x' AS source_id, 'x' AS detail WHERE FALSE")
+@query(
+    f"""WITH {BUILT} SELECT 'fold_version' AS "check", source_id, count(*)::VARCHAR AS detail FROM cut WHERE source_id = 'src3' GROUP BY source_id
+ UNION ALL SELECT 'id_sets', 'nowhere', 'missing in directory,index' UNION ALL SELECT 'id_sets', 'src4', 'missing in registry'
+ UNION ALL SELECT 'integrity', source_id, chunk_id || ' x2' FROM cut WHERE source_id = 'src5' AND ord = 1
+ UNION ALL SELECT 'nul_free', source_id, 'text=' || count(*) FROM cut WHERE source_id = 'src6' GROUP BY source_id
+ UNION ALL SELECT 'nul_free', source_id, 'title=' || count(*) FROM cut WHERE source_id = 'src7' GROUP BY source_id"""
+)
 def corpus_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All checks of a freshly built corpus: no rows."""
+    """All checks of a corpus into which one fault of each kind is put; what has none gives no row."""
     docs, _, cut = _built(spark, sf_dir)
-    index = corpus.index_of(cut)
+    own = F.col("source_id")
+    faulty = cut.unionByName(cut.where((own == "src5") & (F.col("ord") == 1)))
+    faulty = faulty.withColumn("text", F.when(own == "src6", F.concat("text", F.lit("\0"))).otherwise(F.col("text"))).withColumn("title", F.when(own == "src7", F.concat("title", F.lit("\0"))).otherwise(F.col("title")))
+    index = corpus.index_of(cut).withColumn("fold_version", F.when(own == "src3", "fold-0").otherwise(F.col("fold_version")))
     ids = sources(spark, sf_dir)
-    return validate.all_violations(validate.id_sets(ids, docs, cut), validate.integrity(cut), validate.fold_version(index), validate.nul_free(cut, ["text", "title", "author"]))
+    registry = ids.where(own != "src4").unionByName(spark.createDataFrame([("nowhere",)], "source_id string"))
+    return validate.all_violations(validate.id_sets(registry, docs, cut), validate.integrity(faulty), validate.fold_version(index), validate.nul_free(faulty, ["text", "title", "author"]))

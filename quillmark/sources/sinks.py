@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import json
+import tempfile
 import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillmark.functions.folding import FOLD_VERSION
+from quillmark.operators.batch import postings
 from quillmark.operators.corpus import index_of
 
 
@@ -24,9 +27,25 @@ def _put(spark: SparkSession, path: str, text: str) -> None:
     out = fs.create(staged, True)
     out.write(bytearray(text.encode()))
     out.close()
-    fs.delete(target, False)
-    if not fs.rename(staged, target):
-        raise OSError(f"{path} was not put in place")
+    # One rename that replaces: a reader sees the old file or the new one, never none.
+    rename = getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(staged), fs.makeQualified(target), options)
+
+
+def _get(spark: SparkSession, path: str) -> str | None:
+    fs, p = _file(spark, path)
+    return "\n".join(r.value for r in spark.read.text(path, wholetext=True).collect()) if fs.exists(p) else None
+
+
+def scratch(spark: SparkSession) -> str:
+    """A shared folder for what the engine stores: spark.checkpoint.dir; one of our own only where all is one machine."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return named or tempfile.mkdtemp(prefix="quillmark-")
 
 
 def _now() -> str:
@@ -46,14 +65,28 @@ def finish_run(spark: SparkSession, summary: str, state: dict, outputs: dict) ->
     return state
 
 
+def restore(spark: SparkSession, path: str) -> None:
+    """After a crash in the middle of a replacement: the product that was there is put back."""
+    fs, target = _file(spark, path)
+    _, old = _file(spark, f"{path}.old")
+    if not fs.exists(target) and fs.exists(old):
+        fs.rename(old, target)
+
+
 def write_jsonl(frame: DataFrame, path: str) -> None:
-    """Replaces a product as a whole: written aside, then renamed."""
+    """Replaces a product as a whole: written aside; the old one is moved aside, and deleted only when the new one is in place."""
+    spark = frame.sparkSession
     staged = f"{path}.{uuid.uuid4().hex}"
     frame.write.json(staged)
-    fs, target = _file(frame.sparkSession, path)
-    fs.delete(target, True)
-    if not fs.rename(_file(frame.sparkSession, staged)[1], target):
+    restore(spark, path)
+    fs, target = _file(spark, path)
+    _, old = _file(spark, f"{path}.old")
+    fs.delete(old, True)
+    if fs.exists(target):
+        fs.rename(target, old)
+    if not fs.rename(_file(spark, staged)[1], target):
         raise OSError(f"{path} was not put in place")
+    fs.delete(old, True)
 
 
 def output_hashes(spark: SparkSession, path: str) -> DataFrame:
@@ -63,10 +96,33 @@ def output_hashes(spark: SparkSession, path: str) -> DataFrame:
     return files.select("path", F.element_at(F.split("path", "/"), -1).alias("name"), F.sha2("content", 256).alias("sha256")).join(rows, "name", "left").select("path", "sha256", F.coalesce("rows", F.lit(0)).alias("rows"))
 
 
-def write_index(chunks: DataFrame, path: str) -> None:
-    """The index: chunks with stored folds, by source, so that a source filter prunes files."""
-    index_of(chunks).write.mode("overwrite").partitionBy("source_id").parquet(path)
-
-
-def read_index(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def write_index(chunks: DataFrame, path: str, documents: DataFrame | None = None, parents: DataFrame | None = None, source_credentials: dict | None = None) -> None:
+    """The index as a version of its own: chunks with stored folds by source, postings by gram, documents, parents, metadata.
+
+    ``CURRENT`` names the version that readers open; it is replaced in one step when the new one is
+    whole, and versions before that are deleted. A source filter prunes files of chunks, and a gram row groups of postings.
+    """
+    spark, version = chunks.sparkSession, f"v-{uuid.uuid4().hex}"
+    root = f"{path}/{version}"
+    index_of(chunks).write.partitionBy("source_id").parquet(f"{root}/chunks")
+    made = spark.read.schema(index_of(chunks).schema).parquet(f"{root}/chunks")
+    postings(made).repartitionByRange("gram").sortWithinPartitions("gram").write.parquet(f"{root}/postings")
+    for name, frame in (("documents", documents), ("parents", parents)):
+        if frame is not None:
+            frame.write.parquet(f"{root}/{name}")
+    counts = {name: spark.read.parquet(f"{root}/{name}").count() for name, frame in (("chunks", chunks), ("documents", documents), ("parents", parents)) if frame is not None}
+    rows = {"fold_version": FOLD_VERSION, "rows": json.dumps(counts, sort_keys=True), "source_credentials": json.dumps(source_credentials or {}, sort_keys=True)}
+    spark.createDataFrame(sorted(rows.items()), "key string, value string").coalesce(1).write.parquet(f"{root}/metadata")
+    _put(spark, f"{path}/CURRENT", version)
+    fs, top = _file(spark, path)
+    for status in fs.listStatus(top):
+        if status.getPath().getName().startswith("v-") and status.getPath().getName() != version:
+            fs.delete(status.getPath(), True)
+
+
+def read_index(spark: SparkSession, path: str, table: str = "chunks") -> DataFrame:
+    """A table of the index's current version: chunks, postings, documents, parents or metadata."""
+    version = _get(spark, f"{path}/CURRENT")
+    if version is None:
+        raise FileNotFoundError(f"{path} holds no index")
+    return spark.read.parquet(f"{path}/{version.strip()}/{table}")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quillmark.operators.corpus import chunks_of, documents_of, index_of, parents_of
@@ -12,14 +13,21 @@ RAW = "source_id string, path string, text string, author string"
 
 def _append(index: str):
     def put(batch: DataFrame, epoch: int) -> None:
-        docs = documents_of(batch)
-        made = index_of(chunks_of(parents_of(docs), docs))
+        docs = documents_of(batch).dropDuplicates(["doc_id"])
+        made = index_of(chunks_of(parents_of(docs), docs)).withColumn("epoch_id", F.lit(epoch).cast("long"))
         # A repeated epoch replaces its own files, so a retry adds nothing twice.
         made.write.mode("overwrite").partitionBy("source_id").parquet(f"{index}/epoch={epoch}")
 
     return put
 
 
+def imported(spark: SparkSession, index: str) -> DataFrame:
+    """The imported chunks: of a document that was sent more than once, those of its last epoch."""
+    every = spark.read.parquet(f"{index}/epoch=*")
+    last = every.groupBy("doc_id").agg(F.max("epoch_id").alias("epoch_id"))
+    return every.join(last, ["doc_id", "epoch_id"], "left_semi").drop("epoch_id")
+
+
 def import_stream(spark: SparkSession, folder: str, index: str, checkpoint: str) -> StreamingQuery:
     """Imports what lies in ``folder`` now and ends."""
     raw = spark.readStream.schema(RAW).json(folder)

@@ -1,3 +1,4 @@
+import hashlib
 import json
 
 from pyspark.sql import functions as F
@@ -98,5 +99,31 @@ def test_imports(spark, tmp_path):
     assert texts.select(html_chat.json_nul_count(F.col("c"))).first()[0] == 1
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.json").write_text(json.dumps({"source_id": "s", "path": "p", "text": "Hello there", "author": "a"}))
-    imports.import_stream(spark, str(tmp_path / "in"), str(tmp_path / "idx"), str(tmp_path / "ckpt")).awaitTermination()
-    assert spark.read.parquet(str(tmp_path / "idx")).count() == 1
+    run = lambda: imports.import_stream(spark, str(tmp_path / "in"), str(tmp_path / "idx"), str(tmp_path / "ckpt")).awaitTermination()
+    run()
+    assert imports.imported(spark, str(tmp_path / "idx")).count() == 1
+    (tmp_path / "in" / "b.json").write_text(json.dumps({"source_id": "s", "path": "p", "text": "Hello again", "author": "a"}))
+    run()  # the document is sent again
+    assert [r.text for r in imports.imported(spark, str(tmp_path / "idx")).collect()] == ["Hello again"]
+
+
+def test_a_large_manifest_is_digested_in_blocks(spark):
+    rows = [("s", f"p{i}", f"h{i}", i) for i in range(300)] + [("t", "a", "b", 1)]
+    files = spark.createDataFrame(rows, "source_id string, path string, sha256 string, size long")
+    got = [{r.source_id: (r.manifest_digest, r.file_count) for r in validate.manifest_digest(f, 20).collect()} for f in (files, files.orderBy(F.desc("path")), files.where("path <> 'p7'"))]
+    assert got[0] == got[1] and got[0]["s"] != got[2]["s"] and got[0]["t"] == got[2]["t"] == (hashlib.sha256(b"a\tb\t1").hexdigest(), 1)
+
+
+def test_an_index_is_replaced_as_a_whole(spark, tmp_path):
+    docs, parents, chunks = built(spark)
+    path = str(tmp_path / "index")
+    for frame in (chunks.where("ord = 0"), chunks):
+        sinks.write_index(frame, path, docs, parents, {"s1": {"attempt_id": "x"}})
+    assert sinks.read_index(spark, path).count() == chunks.count()
+    meta = {r.key: r.value for r in sinks.read_index(spark, path, "metadata").collect()}
+    assert json.loads(meta["rows"]) == {"chunks": 5, "documents": 2, "parents": 3} and json.loads(meta["source_credentials"]) == {"s1": {"attempt_id": "x"}}
+    assert len([p for p in (tmp_path / "index").iterdir() if p.name.startswith("v-")]) == 1
+    sinks.write_jsonl(chunks.select("chunk_id"), str(tmp_path / "product"))
+    (tmp_path / "product").rename(tmp_path / "product.old")  # as a crash would leave it
+    sinks.restore(spark, str(tmp_path / "product"))
+    assert spark.read.json(str(tmp_path / "product")).count() == 5
