@@ -11,8 +11,8 @@ part that isn't, so only the other, rare sets sign their empty parts.
 
 Signatures travel packed, a row per (slice of documents, bucket); the number of buckets follows the
 number of shingles, so a bucket's size does not grow with the input. A signature shared by at most
-``few`` nodes gives their pairs; by more, its pairs with the least node, and its members. Pairs are
-verified exactly on their sets. Links make components. A wide signature's members that then are
+``few`` nodes gives their pairs; by more, its pairs with the least node, and its members. Pairs whose
+sketches differ too much are dropped, the others verified exactly on their sets. Links make components. A wide signature's members that then are
 in different components are paired across components, where sketches allow it, and verified too, so no link between
 components is lost. Where a wide signature has two members in one component, pairs of that component
 may be untried; since links join members of one component only, its links are counted there: each two
@@ -200,6 +200,20 @@ def candidates(packed: DataFrame, few: int = 3) -> DataFrame:
     return packed.groupBy("bucket").applyInArrow(run, "kind long, x long, y long, n long")
 
 
+def plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Those pairs (x, y) whose sketches allow similarity; the others differ in too much for sure, and their sets are never shipped."""
+    side = lambda c: nodes.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"k{c}"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                a, b = (np.frombuffer(b"".join(batch[c].to_pylist()), np.uint8).reshape(-1, 256).astype(np.int16) for c in ("kx", "ky"))
+                near = 9 * np.abs(a - b).sum(axis=1, dtype=np.int64) <= batch["nx"].to_numpy() + batch["ny"].to_numpy()
+                yield batch.select(["x", "y"]).filter(pa.array(near))
+
+    return pairs.join(side("x"), "x").join(side("y"), "y").select("x", "y", "nx", "ny", "kx", "ky").mapInArrow(run, "x long, y long")
+
+
 def _overlaps(documents: DataFrame, nodes: DataFrame, pairs: DataFrame, bits: int, most_broadcast: int) -> DataFrame:
     """The pairs (x, y) with how many shingles they share by hashes of so many bits, and their sizes nx, ny."""
     touched = pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct()
@@ -348,8 +362,8 @@ def join(documents: DataFrame, per_bucket: int = 3_000_000, count_links: bool =
     packed = packed_signatures(documents, max(8, total // per_bucket + 1), min(64, int(total).bit_length() + 14))
     found = materialize(candidates(packed))
     nodes = stats.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch"), F.first("n_shingles").alias("n"))
-    pairs = materialize(found.where("kind = 0").select("x", "y").distinct())
-    links = materialize(verified(documents, nodes, pairs))
+    pairs = found.where("kind = 0").select("x", "y").distinct()
+    links = materialize(verified(documents, nodes, materialize(plausible(pairs, nodes))))
     comps = components(links)
     wide = found.where("kind = 1").select(F.col("x").alias("sig"), F.col("y").alias("node"), "n")
     more = materialize(across(wide, comps, nodes).join(pairs, ["x", "y"], "left_anti"))
