@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 
 from quillmark.plans import catalog
 
-HEADLINE = ["ranked_search", "ranked_search_short", "ranked_search_mixed", "recall_short", "recall_long", "recall_counts", "hits_by_source", "batch_search", "compare_sources", "indexed_recall", "smoke_terms", "traceability", "manifest_digests"]
+HEADLINE = ["ranked_search", "ranked_search_short", "ranked_search_mixed", "recall_short", "recall_long", "recall_counts", "hits_by_source", "batch_search", "compare_sources", "indexed_recall", "indexed_search", "indexed_batch_search", "posting_search", "smoke_terms", "traceability", "manifest_digests"]
 
 
 def main() -> None:
@@ -25,7 +25,16 @@ def main() -> None:
             catalog.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             runs.append(time.perf_counter() - start)
         times[name] = round(min(runs), 4)
-    print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 4), "unit": "sec", "queries": times, "sf": sf_dir.rstrip("/").rpartition("/sf")[2]}))
+    small = f"{sf_dir.rstrip('/').rpartition('/sf')[0]}/sf0.001"
+    growth = {}  # of a scan and of the index, from the smallest table to this one
+    for name in ("recall_short", "indexed_recall", "posting_search") if os.path.isdir(small) else ():
+        runs = []
+        for _ in range(2):
+            start = time.perf_counter()
+            catalog.QUERIES[name](spark, small).write.format("noop").mode("overwrite").save()
+            runs.append(time.perf_counter() - start)
+        growth[name] = round(times[name] / min(runs), 2)
+    print(json.dumps({"growth_from_sf0.001": growth, "metric": "total_query_seconds", "value": round(sum(times.values()), 4), "unit": "sec", "queries": times, "sf": sf_dir.rstrip("/").rpartition("/sf")[2]}))
     spark.stop()
 
 

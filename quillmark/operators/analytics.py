@@ -159,3 +159,10 @@ def literal_union(chunks: DataFrame, terms: list[str]) -> DataFrame:
         made += [F.count_if(reduce(or_, held.values())).alias(f"literal{i}"), *[F.count_if(h).alias(f"{c}{i}") for c, h in held.items()]]
     rows = [F.struct(F.lit(t).alias("term"), F.col(f"literal{i}").alias("literal"), *[F.col(f"{c}{i}").alias(f"in_{c}") for c in fields]) for i, t in enumerate(terms)]
     return chunks.agg(*made).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
+def author_sources(chunks: DataFrame, query: str, author: str) -> DataFrame:
+    """source_id, has_results of every source that the author has, or that a search of the author gives."""
+    own = chunks.where(F.col("author") == author).select("source_id").distinct()
+    found = recall(chunks, query, author=author).select("source_id").distinct().withColumn("_found", F.lit(True))
+    return own.join(found, "source_id", "full_outer").select("source_id", F.coalesce("_found", F.lit(False)).alias("has_results"))

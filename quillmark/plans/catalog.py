@@ -427,6 +427,12 @@ def manifest_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.manifest_digest(files)
 
 
+@query(f"WITH {CHUNKS}, {FOLDED}, found AS (SELECT DISTINCT source_id FROM folded WHERE author = 'fr' AND {_any(*parse('la'))}) SELECT DISTINCT d.source AS source_id, f.source_id IS NOT NULL AS has_results FROM documents d LEFT JOIN found f ON f.source_id = d.source WHERE d.lang = 'fr'")
+def author_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sources of an author, and which of them a search of that author alone gives; no other source may appear."""
+    return analytics.author_sources(plain_chunks(spark, sf_dir), "la", "fr")
+
+
 @query(
     f"""WITH {BUILT} SELECT 'fold_version' AS "check", source_id, count(*)::VARCHAR AS detail FROM cut WHERE source_id = 'src3' GROUP BY source_id
  UNION ALL SELECT 'id_sets', 'nowhere', 'missing in directory,index' UNION ALL SELECT 'id_sets', 'src4', 'missing in registry'

@@ -23,7 +23,7 @@ def _append(index: str):
 
 def imported(spark: SparkSession, index: str) -> DataFrame:
     """The imported chunks: of a document that was sent more than once, those of its last epoch."""
-    every = spark.read.parquet(f"{index}/epoch=*")
+    every = spark.read.parquet(index).drop("epoch")
     last = every.groupBy("doc_id").agg(F.max("epoch_id").alias("epoch_id"))
     return every.join(last, ["doc_id", "epoch_id"], "left_semi").drop("epoch_id")
 

@@ -3,6 +3,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from quillmark import __main__ as cli
 from quillmark.operators import corpus, search, validate
 from quillmark.sources import html_chat, registry, sinks
 from quillmark.streaming import imports
@@ -127,3 +128,14 @@ def test_an_index_is_replaced_as_a_whole(spark, tmp_path):
     (tmp_path / "product").rename(tmp_path / "product.old")  # as a crash would leave it
     sinks.restore(spark, str(tmp_path / "product"))
     assert spark.read.json(str(tmp_path / "product")).count() == 5
+
+
+def test_command_line(spark, tmp_path, capsys):
+    docs, parents, chunks = built(spark)
+    path = str(tmp_path / "index")
+    sinks.write_index(chunks, path, docs, parents)
+    rows = cli.find(spark, path, "FIRST", 5).collect()
+    assert [(r.path, r.parent_ord, r.topics) for r in rows] == [("s1/a", 1, "articles")]
+    assert cli.find(spark, path, "FIRST", 5, source="s2").count() == cli.find(spark, path, "FIRST", 5, author="Bob").count() == 0
+    cli.main(["query", "first", "--index", path, "--author", "Ann"])
+    assert "s1/a#1" in capsys.readouterr().out
