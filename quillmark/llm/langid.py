@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillmark.llm.bytebpe import slices
-from quillmark.llm.common import crc_mod
+from quillmark.llm.common import crc_mod, materialize
 
 FEATURES = 1 << 12
 UNKNOWN = "und"
@@ -110,7 +110,7 @@ def cluster(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
     return c
 
 
-def fit(learning: DataFrame, per_language: int = 200, k: int = 3, n_features: int = FEATURES) -> tuple[np.ndarray, np.ndarray, list[str]]:
+def fit(learning: DataFrame, per_language: int = 200, k: int = 3, n_features: int = FEATURES, most_broadcast: int = 1_000_000) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """(idf, centroids, language of each centroid) from rows with doc_id, text and lang."""
     learning = learning.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
     df, n = document_frequency(learning, n_features)
@@ -119,7 +119,10 @@ def fit(learning: DataFrame, per_language: int = 200, k: int = 3, n_features: in
     keyed = learning.select("lang", "text", F.xxhash64("doc_id", "text").alias("key"))
     least = Window.partitionBy("lang").orderBy("key")
     keys = keyed.select("lang", "key").distinct().withColumn("_r", F.row_number().over(least)).where(F.col("_r") <= per_language)
-    picked = keyed.join(keys.select("lang", "key"), ["lang", "key"], "left_semi").dropDuplicates(["lang", "key"]).select("lang", "text")
+    keys = materialize(keys.select("lang", "key"))
+    if keys.count() <= most_broadcast:  # else the join is shuffled
+        keys = F.broadcast(keys)
+    picked = keyed.join(keys, ["lang", "key"], "left_semi").dropDuplicates(["lang", "key"]).select("lang", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pyarrow.compute  # noqa: F401
