@@ -31,5 +31,13 @@ def evidence(chunks: DataFrame, sources: DataFrame, query: str, per_source: int
 
 
 def with_level(results: DataFrame) -> DataFrame:
-    """Where a result comes from: a method card or a chunk."""
-    return results.withColumn("level", F.when(F.col("chunk_type") == "curated_method", "method card").otherwise("chunk"))
+    """Where an answer comes from: a method card, a chunk, a whole parent (no chunk named), or the model alone (neither named)."""
+    has = lambda c: F.col(c).isNotNull() if c in results.columns else F.lit(False)
+    level = F.when(has("chunk_id") & (F.col("chunk_type") == "curated_method"), "method card").when(has("chunk_id"), "chunk").when(has("parent_id"), "parent").otherwise("model")
+    return results.withColumn("level", level)
+
+
+def levels_by_source(chunks: DataFrame, sources: DataFrame, query: str) -> DataFrame:
+    """source_id, chunk_id, level of each source's best result; where nothing is found only the model could answer."""
+    best = compare_sources(chunks, query, 1).join(chunks.select("chunk_id", "chunk_type"), "chunk_id").select("source_id", "chunk_id", "chunk_type")
+    return with_level(sources.select("source_id").join(best, "source_id", "left")).select("source_id", "chunk_id", "level")

@@ -90,3 +90,8 @@ def search(chunks: DataFrame, query: str, limit: int = DEFAULT_LIMIT, source: st
     """The first ``limit`` chunks of the order, with their place in each layer."""
     terms = parse(query)
     return ordered(scored(recall(chunks, terms, source, author), terms).select(*RESULT)).limit(limit)
+
+
+def with_rank(results: DataFrame) -> DataFrame:
+    """Results with the constant rank that callers of an index's own ranking expect; nothing is ordered by it."""
+    return results.withColumn("rank", F.lit(0.0))

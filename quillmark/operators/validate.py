@@ -11,6 +11,10 @@ from quillmark.functions.folding import FOLD_VERSION, MATCH_MIN_LENGTH
 from quillmark.functions.text import nul_count
 
 
+#: Every check by name.
+CHECKS = ["id_sets", "integrity", "fold_version", "nul_free", "smoke_length", "raw_unchanged", "run_status", "manifest_digest", "outputs", "source_credentials"]
+
+
 def _violations(frame: DataFrame, check: str, source: Column, detail: Column) -> DataFrame:
     return frame.select(F.lit(check).alias("check"), source.cast("string").alias("source_id"), detail.cast("string").alias("detail"))
 
@@ -88,3 +92,10 @@ def credentials(summaries: DataFrame, files: DataFrame, outputs: DataFrame, inde
 
 def all_violations(*frames: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
+
+
+def report(violations: DataFrame) -> DataFrame:
+    """check, violations, passed: one run over every check; a check without a violation passes."""
+    counts = violations.groupBy("check").agg(F.count("*").alias("n"))
+    every = violations.sparkSession.createDataFrame([(c,) for c in CHECKS], "check string")
+    return every.join(counts, "check", "left").select("check", F.coalesce("n", F.lit(0).cast("long")).alias("violations"), F.col("n").isNull().alias("passed"))

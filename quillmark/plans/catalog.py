@@ -16,7 +16,7 @@ from quillmark.functions.folding import ASCII_LOWER, ASCII_UPPER, fold_pairs
 from quillmark.functions.text import occurrences
 from quillmark.operators import analytics, batch, compare, corpus, search, validate
 from quillmark.plans.query import parse
-from quillmark.sources import sinks
+from quillmark.sources import html_chat, registry, sinks
 
 LONG, SHORT, MIXED = "the ment Étion", "en au", "é the en ET"
 TERMS = ["the", "en", "Étion", "ment", "É", "*", "[", "of the"]
@@ -29,10 +29,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = _table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("_q"), F.max("toxic").alias("_t"))
-    kind = F.when(F.col("_q") == 1, "curated_method").when(F.col("_t") == 1, "conflict").otherwise("text")
-    docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("chunk_id"), F.col("source").alias("source_id"), "text", F.substring_index("text", "\n", 1).alias("title"), F.col("lang").alias("author"))
-    return docs.join(labels.withColumnRenamed("doc_id", "chunk_id"), "chunk_id", "left").withColumn("chunk_type", kind).drop("_q", "_t")
+    labels = _table(spark, sf_dir, "labels").select(F.col("doc_id").alias("chunk_id"), "quality", "toxic")
+    return corpus.typed(plain_chunks(spark, sf_dir), labels.where("quality = 1"), labels.where("toxic = 1"))
 
 
 def plain_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -251,6 +249,16 @@ def provenance_level(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare.with_level(search.search(chunks(spark, sf_dir), LONG, 40)).select("chunk_id", "level")
 
 
+@query(f"{_rank_sql('tionthe')}, best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY prose_hit DESC, term_count DESC, score DESC, chunk_id) AS r FROM ranked) WHERE r = 1) SELECT s.source_id, b.chunk_id, CASE WHEN b.chunk_id IS NULL THEN 'model' WHEN b.chunk_type = 'curated_method' THEN 'method card' ELSE 'chunk' END AS level FROM (SELECT DISTINCT source AS source_id FROM documents) s LEFT JOIN best b USING (source_id)")
+def provenance_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare.levels_by_source(chunks(spark, sf_dir), sources(spark, sf_dir), "tionthe")
+
+
+@query(f"SELECT *, 0.0::DOUBLE AS rank FROM ({_search_sql(SHORT, 8)})")
+def search_with_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.with_rank(search.search(chunks(spark, sf_dir), SHORT))
+
+
 # ---- counts ----------------------------------------------------------------------------------
 
 
@@ -357,6 +365,19 @@ def corpus_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _built(spark, sf_dir)[0].drop("text")
 
 
+@query(f"WITH {BUILT} SELECT d.doc_id, d.source_id, d.title, d.author, d.path, d.sha256, coalesce(p.n, 0) AS n_parents, coalesce(c.n, 0) AS n_chunks FROM docs d LEFT JOIN (SELECT doc_id, count(*) AS n FROM parents GROUP BY doc_id) p USING (doc_id) LEFT JOIN (SELECT doc_id, count(*) AS n FROM cut GROUP BY doc_id) c USING (doc_id) WHERE d.source_id = 'src3'")
+def registration_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What registering one source would add, document by document."""
+    return registry.preview_documents(raw_files(spark, sf_dir).where("source_id = 'src3'"))
+
+
+@query("SELECT event_id, (CASE WHEN event_id % 2 = 0 THEN 2 ELSE 0 END)::BIGINT AS nuls FROM events WHERE json_valid(props)")
+def json_nul_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NULs in parsed JSON at any depth: two are put into every second row, as escapes inside nested values; the rest have none."""
+    props = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit('{"a":[{"k\\u0000":"x\\u0000"}],"b":"\\\\u0000","c":'), F.col("props"), F.lit("}"))).otherwise(F.col("props"))
+    return _table(spark, sf_dir, "events").select("event_id", html_chat.parsed_nul_count(props).alias("nuls"))
+
+
 @query(f"WITH {BUILT} SELECT * FROM parents")
 def paragraph_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _built(spark, sf_dir)[1]
@@ -450,3 +471,17 @@ def corpus_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = sources(spark, sf_dir)
     registry = ids.where(own != "src4").unionByName(spark.createDataFrame([("nowhere",)], "source_id string"))
     return validate.all_violations(validate.id_sets(registry, docs, cut), validate.integrity(faulty), validate.fold_version(index), validate.nul_free(faulty, ["text", "title", "author"]))
+
+
+@query(
+    f"""SELECT c."check", coalesce(v.n, 0) AS violations, v.n IS NULL AS passed FROM (VALUES {', '.join(f"('{c}')" for c in validate.CHECKS)}) AS c("check")
+ LEFT JOIN (SELECT "check", count(*) AS n FROM ({ORACLES['corpus_violations']} UNION ALL SELECT * FROM (VALUES ('run_status', 'src1', ''), ('manifest_digest', 'src2', ''), ('outputs', 'src8', ''), ('source_credentials', 'src9', '')) AS w) GROUP BY "check") v ON v."check" = c."check\""""
+)
+def validator_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every check with its number of violations, over a corpus with one fault of several kinds put in."""
+    files = raw_files(spark, sf_dir).select("source_id", "path", F.sha2("text", 256).alias("sha256"), F.octet_length("text").cast("long").alias("size"))
+    own, ids = F.col("source_id"), sources(spark, sf_dir)
+    good = ids.join(validate.manifest_digest(files), "source_id").select("source_id", F.when(own == "src1", "in_progress").otherwise("success").alias("status"), F.lit("run").alias("attempt_id"), F.when(own == "src2", "other").otherwise(F.col("manifest_digest")).alias("manifest_digest"), F.lit("out").alias("outputs_sha256"))
+    outputs = ids.select("source_id", F.when(own == "src8", "changed").otherwise("out").alias("outputs_sha256"))
+    indexed = ids.select("source_id", F.when(own == "src9", "old run").otherwise("run").alias("attempt_id"))
+    return validate.report(validate.all_violations(corpus_violations(spark, sf_dir), validate.credentials(good, files, outputs, indexed)))

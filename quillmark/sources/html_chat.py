@@ -51,3 +51,9 @@ def json_nul_count(c: Column) -> Column:
     """NULs in the string values and keys of a JSON text: escapes \\u0000 outside of escaped backslashes, and raw ones."""
     plain = F.regexp_replace(c, r"\\\\", "")
     return (F.coalesce(F.regexp_count(plain, F.lit(r"\\u0000")), F.lit(0)) + F.length(c) - F.length(F.translate(c, "\0", ""))).cast("long")
+
+
+def parsed_nul_count(c: Column) -> Column:
+    """NULs in all keys and string values, at any depth, of the parsed JSON; of a text that is not JSON, the raw ones."""
+    parsed = F.to_json(F.try_parse_json(c))
+    return F.when(parsed.isNotNull(), json_nul_count(parsed)).otherwise((F.length(c) - F.length(F.translate(c, "\0", ""))).cast("long"))

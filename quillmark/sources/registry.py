@@ -7,11 +7,14 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillmark.operators import corpus
+
 SOURCES = "source_id string, display_name string, status string, source_path string, approved_on date, smoke_query string, author string"
 DOCUMENTS = "doc_id string, source_id string, title string, author string, path string, sha256 string"
 PARENTS = "parent_id string, doc_id string, source_id string, ord int, text string"
 CHUNKS = "chunk_id string, parent_id string, doc_id string, source_id string, ord int, text string, title string, author string, topics array<string>, chunk_type string, claim_type string"
 METHODS = "method_id string, source_id string, chunk_id string, title string"
+CONFLICTS = "conflict_id string, source_id string, chunk_id string, title string"
 APPROVED = "approved"
 
 
@@ -77,3 +80,13 @@ def raw_manifest(spark: SparkSession, root: str) -> DataFrame:
 def preview(raw: DataFrame, source_id: str) -> DataFrame:
     """What registering a source would add, without a write."""
     return raw.groupBy().agg(F.count("*").alias("files"), F.sum("size").alias("bytes")).select(F.lit(source_id).alias("source_id"), "files", "bytes")
+
+
+def preview_documents(raw: DataFrame) -> DataFrame:
+    """The documents that registering raw texts would add, with the parents and chunks of each; nothing is written."""
+    docs = corpus.documents_of(raw)
+    parents = corpus.parents_of(docs)
+    chunks = corpus.chunks_of(parents, docs)
+    count = lambda frame, name: frame.groupBy("doc_id").agg(F.count("*").alias(name))
+    whole = docs.drop("text").join(count(parents, "n_parents"), "doc_id", "left").join(count(chunks, "n_chunks"), "doc_id", "left")
+    return whole.fillna(0, ["n_parents", "n_chunks"])
