@@ -8,7 +8,7 @@ stream's MD5, undoes Rice codes and predictors, and gives PCM with the offset of
 sample and byte, so a reader can seek.
 
 Defined cases: a null text counts as empty, whose payload is 192 spaces. Repeated rows are stored
-one by one, equal texts to equal bytes. A damaged stream raises ValueError. An empty table gives an
+one by one, equal texts to equal bytes; of predictors as cheap the first is taken. Long texts are stored whole, in as many frames as they need. A damaged stream raises ValueError. An empty table gives an
 empty result. Extra columns are dropped.
 """
 
@@ -279,6 +279,113 @@ def decode(streams: list[bytes]) -> list[tuple[bytes, list[int]]]:
     return out
 
 
+class _Bits:
+    """A reader of single streams, bit by bit."""
+
+    def __init__(self, data: bytes, at: int):
+        self.data, self.at = data, at * 8
+
+    def read(self, n: int) -> int:
+        end = self.at + n
+        if end > 8 * len(self.data):
+            raise ValueError("the stream ends within a frame")
+        whole = int.from_bytes(self.data[self.at >> 3 : (end + 7) >> 3], "big")
+        self.at = end
+        return whole >> (-end % 8) & ((1 << n) - 1)
+
+    def signed(self, n: int) -> int:
+        x = self.read(n)
+        return x - (1 << n) if n and x >> (n - 1) else x
+
+    def unary(self) -> int:
+        n = 0
+        while not self.read(1):
+            n += 1
+        return n
+
+
+def _subframe(bits: _Bits, size: int, depth: int) -> list[int]:
+    head = bits.read(8)
+    kind, wasted = head >> 1, bits.unary() + 1 if head & 1 else 0
+    depth -= wasted
+    if head & 0x80 or not (kind in (0, 1) or 8 <= kind <= 12 or kind >= 32):
+        raise ValueError("a reserved kind of subframe")
+    if kind == 0:
+        return [bits.signed(depth) << wasted] * size
+    if kind == 1:
+        return [bits.signed(depth) << wasted for _ in range(size)]
+    order = kind - 31 if kind >= 32 else kind - 8
+    x = [bits.signed(depth) for _ in range(order)]
+    if kind >= 32:
+        precision = bits.read(4) + 1
+        shift = bits.signed(5)
+        coefs = [bits.signed(precision) for _ in range(order)]
+    else:
+        shift, coefs = 0, [[], [1], [2, -1], [3, -3, 1], [4, -6, 4, -1]][order]
+    method, parts = bits.read(2), 1 << bits.read(4)
+    if method > 1 or size % parts or size // parts < order or shift < 0:
+        raise ValueError("a reserved residual coding")
+    width = 4 + method
+    for part in range(parts):
+        k = bits.read(width)
+        raw = bits.read(5) if k == (1 << width) - 1 else None
+        for _ in range(size // parts - (order if part == 0 else 0)):
+            if raw is None:
+                u = bits.unary() << k | bits.read(k)
+                residual = (u >> 1) ^ -(u & 1)
+            else:
+                residual = bits.signed(raw)
+            x.append(residual + (sum(c * x[-1 - j] for j, c in enumerate(coefs)) >> shift))
+    return [v << wasted for v in x]
+
+
+def decode_any(stream: bytes) -> tuple[int, list[int], list[tuple[int, int]]]:
+    """Bits a sample, samples, and (sample offset, byte offset) of each frame of any mono stream, whatever encoder wrote it.
+
+    Frames are parsed one after the other, each from where the one before ends, with both checksums and the digest verified.
+    """
+    if stream[:4] != b"fLaC":
+        raise ValueError("not a stream of this form")
+    at, last, info = 4, False, None
+    while not last:
+        last, kind, size = bool(stream[at] & 0x80), stream[at] & 0x7F, int.from_bytes(stream[at + 1 : at + 4], "big")
+        info = stream[at + 4 : at + 4 + size] if kind == 0 else info
+        at += 4 + size
+    if info is None or len(info) < 34:
+        raise ValueError("a stream without its description")
+    packed = int.from_bytes(info[10:18], "big")
+    channels, depth, total = (packed >> 41 & 7) + 1, (packed >> 36 & 31) + 1, packed & ((1 << 36) - 1)
+    if channels != 1:
+        raise ValueError("more than one channel")
+    data, samples, places = np.frombuffer(stream, np.uint8), [], []
+    check = lambda a, b, table, width: int(_crc(data, np.array([a]), np.array([b - a]), table, width)[0])
+    while at < len(stream) and (not total or len(samples) < total):
+        bits, start = _Bits(stream, at), at
+        if bits.read(15) != 0x7FFC:
+            raise ValueError("no frame where one should start")
+        bits.read(1)
+        code, rate, _, deep, _ = bits.read(4), bits.read(4), bits.read(4), bits.read(3), bits.read(1)
+        lead = bits.read(8)
+        bits.read(8 * max(0, 8 - (lead ^ 0xFF).bit_length() - 1))
+        size = bits.read(8) + 1 if code == 6 else bits.read(16) + 1 if code == 7 else 192 if code == 1 else 576 << (code - 2) if 2 <= code <= 5 else 256 << (code - 8) if code >= 8 else 0
+        bits.read(8 if rate == 12 else 16 if rate in (13, 14) else 0)
+        end = bits.at >> 3
+        if not size or bits.read(8) != check(start, end, CRC8, 8):
+            raise ValueError("a frame's head doesn't hold")
+        own = {1: 8, 2: 12, 4: 16, 5: 20, 6: 24, 7: 32}.get(deep, depth)
+        places.append((len(samples), start))
+        samples += _subframe(bits, size, own)
+        end = bits.at + 7 >> 3
+        bits.at = 8 * end
+        if bits.read(16) != check(start, end, CRC16, 16):
+            raise ValueError("a frame's checksum doesn't hold")
+        at = end + 2
+    width = (depth + 7) // 8
+    if any(info[18:34]) and hashlib.md5(b"".join(v.to_bytes(width, "little", signed=True) for v in samples)).digest() != info[18:34]:
+        raise ValueError("the stream's digest doesn't hold")
+    return depth, samples, places
+
+
 def payload_of(text: str | None) -> bytes:
     """A text's UTF-8, filled with spaces up to a positive multiple of a frame."""
     raw = (text or "").encode()

@@ -1,6 +1,7 @@
 """Operators that need no session: exact round trips and brute force."""
 
 import os
+import hashlib
 import random
 
 import numpy as np
@@ -148,3 +149,45 @@ def test_each_rule_decides_blocks_of_its_kind():
     story = "The story of the house is that it was sold to the man in the end, and more of the same came after it."
     blocks, holders = html_blocks.blocks_of(f"<p>{story}</p><p>Short.</p><ul><li><a href=a>A list of links here</a></ul><nav>Menu</nav>")
     assert html_blocks.decisions(blocks, holders) == [(True, "prose"), (True, "neighbour"), (False, "links"), (False, "apart")]
+
+
+def foreign_flac(frames):
+    """A stream put together bit by bit: 16 bits a sample, blocks of any size, each subframe as given."""
+    out, samples = b"", []
+    for number, (size, subframe, own) in enumerate(frames):
+        head = f"{0x7FFC:015b}" + "0" + "0111" + "0000" + "0000" + "100" + "0" + f"{number:08b}" + f"{size - 1:016b}"
+        raw = int(head, 2).to_bytes(len(head) // 8, "big")
+        crc = lambda b, table, width: int(flac._crc(np.frombuffer(b, np.uint8), np.array([0]), np.array([len(b)]), table, width)[0])
+        raw += bytes([crc(raw, flac.CRC8, 8)])
+        body = subframe + "0" * (-len(subframe) % 8)
+        raw += int(body, 2).to_bytes(len(body) // 8, "big")
+        out += raw + crc(raw, flac.CRC16, 16).to_bytes(2, "big")
+        samples += own
+    packed = 44100 << 44 | 15 << 36 | len(samples)
+    digest = hashlib.md5(b"".join(v.to_bytes(2, "little", signed=True) for v in samples)).digest()
+    return b"fLaC" + bytes([0, 0, 0, 34]) + bytes(10) + packed.to_bytes(8, "big") + digest + bytes([0x81, 0, 0, 3]) + b"pad" + out, samples
+
+
+def test_flac_of_another_encoder():
+    bits = lambda v, n: f"{v & ((1 << n) - 1):0{n}b}"
+    rice = lambda v, k: "0" * ((2 * v if v >= 0 else -2 * v - 1) >> k) + "1" + (bits((2 * v if v >= 0 else -2 * v - 1), k) if k else "")
+    constant = (5, "0" + "000000" + "0" + bits(-7, 16), [-7] * 5)
+    verbatim = (3, "0" + "000001" + "0" + bits(1, 16) + bits(-2, 16) + bits(30000, 16), [1, -2, 30000])
+    ramp = [10, 13, 17, 16, 12, 4, -9, -30]
+    steps = [b - a for a, b in zip(ramp, ramp[1:])]
+    # First differences in two partitions, the second with raw values of six bits.
+    fixed = (8, "0" + "001001" + "0" + bits(10, 16) + "00" + "0001" + bits(2, 4) + "".join(rice(v, 2) for v in steps[:3]) + "1111" + bits(6, 5) + "".join(bits(v, 6) for v in steps[3:]), ramp)
+    # Second-order prediction 2a - b, halved values (one wasted bit), five-bit parameters.
+    even = [4, 8, 14, 20, 30, 28]
+    half = [v // 2 for v in even]
+    left = [half[i] - ((half[i - 1] * 4 - half[i - 2] * 2) >> 1) for i in range(2, 6)]
+    lpc = (6, "0" + "100001" + "1" + "1" + bits(half[0], 15) + bits(half[1], 15) + bits(3, 4) + bits(1, 5) + bits(4, 4) + bits(-2, 4) + "01" + "0000" + bits(1, 5) + "".join(rice(v, 1) for v in left), even)
+    stream, samples = foreign_flac([constant, verbatim, fixed, lpc])
+    depth, got, places = flac.decode_any(stream)
+    assert (depth, got, [p for p, _ in places]) == (16, samples, [0, 5, 8, 16])
+    for i in range(46, len(stream), 5):
+        with pytest.raises(ValueError):
+            flac.decode_any(stream[:i] + bytes([stream[i] ^ 4]) + stream[i + 1 :]) if i > 52 else flac.decode_any(stream[:i])
+    own = flac.encode([flac.payload_of("Some text for both decoders. " * 40)])
+    _, plain, _ = flac.decode_any(own[0])
+    assert bytes(v + 128 for v in plain) == flac.decode(own)[0][0]
