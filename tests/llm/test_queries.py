@@ -465,6 +465,12 @@ def test_every_turn_is_accounted_for(spark):
     assert collections.Counter((r.conv_id, r.turn, r.call_id, r.faults, r.n_results, r.canonical) for r in got) == collections.Counter(want)
 
 
+def test_near_duplicates_whatever_the_columns_and_lengths(spark):
+    df = make_docs(spark, [(1, "one two", "en"), (2, "One two", "en"), (3, "hello", "en"), (4, None, "en"), (4, None, "en")]).withColumn("_kept", F.lit(1)).withColumn("first", F.lit(2)).withColumn("own", F.lit(3))
+    got = corpus_pipeline.near_duplicates(spark, df, "")
+    assert got.columns == df.columns and sorted(r.doc_id for r in got.collect()) == [1, 3, 4]
+
+
 def test_pipeline(spark, tmp_path):
     df = make_docs(spark)
     docs, names = df, df.columns
