@@ -139,4 +139,28 @@ from d
 """
 
 
-ORACLES: dict[str, str] = {"op1_chat_formatting": OP1, "op2_url_filters": OP2, "op3_ngram_jaccard": OP3, "op8_distribution_divergence": _divergence()}
+OP11 = r"""
+with u as (
+  select doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') as u, sha256('42:' || coalesce(doc_id::varchar, '')) as h from documents),
+d as (
+  select doc_id, t, u, len(u)::bigint as n, [('0x' || substr(h, 1, 8))::bigint, ('0x' || substr(h, 9, 8))::bigint, ('0x' || substr(h, 17, 8))::bigint, ('0x' || substr(h, 25, 8))::bigint] as h from u),
+c as (
+  select doc_id, t, u, n, least(h[1] % (n + 1), h[2] % (n + 1)) as a, greatest(h[1] % (n + 1), h[2] % (n + 1)) as b,
+         case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h[3] % 100 >= 50 then 'plain' when h[4] % 100 < 80 then 'spm' else 'psm' end as form from d),
+p as (
+  select doc_id, t, n, form, array_to_string(u[1:a], '') as prefix, array_to_string(u[a + 1:b], '') as middle, array_to_string(u[b + 1:], '') as suffix from c)
+select doc_id, n, form, case when form <> 'plain' then length(prefix) end as prefix_chars, case when form <> 'plain' then length(middle) end as middle_chars,
+       sha256(case form when 'plain' then t when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+       sha256(t) as restored_sha256
+from p
+"""
+
+OP12 = r"""
+with w as (select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents)
+select doc_id, max(doc_id) over (partition by t) as keep_id, count(*) over (partition by t) as group_size,
+       row_number() over (partition by t order by doc_id desc nulls last) = 1 as kept, sha256(t) as text_sha256
+from w
+"""
+
+
+ORACLES: dict[str, str] = {"op1_chat_formatting": OP1, "op2_url_filters": OP2, "op3_ngram_jaccard": OP3, "op8_distribution_divergence": _divergence(), "op11_fill_middle": OP11, "op12_exact_dedup": OP12}

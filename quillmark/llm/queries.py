@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmark.llm import bytebpe, chat_format, divergence, flac, html_blocks, katz, langid, packing, partenum, url_graph
+from quillmark.llm import bytebpe, chat_format, divergence, exact_dedup, fill_middle, flac, html_blocks, katz, langid, packing, partenum, url_graph, whitening
 from quillmark.llm.common import table
 
 
@@ -49,4 +49,16 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_formatting, op2_url_filters, op3_ngram_jaccard, op4_katz_scoring, op5_language_id, op6_html_extraction, op7_packing, op8_distribution_divergence, op9_flac, op10_byte_bpe)}
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(fill_middle.transform(table(spark, sf_dir, "documents")))
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.judge(table(spark, sf_dir, "documents"), keep="largest")
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.components(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_chat_formatting, op2_url_filters, op3_ngram_jaccard, op4_katz_scoring, op5_language_id, op6_html_extraction, op7_packing, op8_distribution_divergence, op9_flac, op10_byte_bpe, op11_fill_middle, op12_exact_dedup, op13_whitening)}
