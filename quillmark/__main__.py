@@ -8,16 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmark.operators import corpus, search
-from quillmark.sources import sinks
+from quillmark.sources import index as stored
 
 
 def find(spark: SparkSession, index: str, words: str, limit: int, source: str | None = None, author: str | None = None) -> DataFrame:
     """Results in order: their place, chunk, topics, and locator (path of the file, number of the paragraph)."""
-    chunks = sinks.read_index(spark, index)
-    top = search.search(chunks, words, limit, source, author)
-    found = top.join(chunks.select("chunk_id", "parent_id", "doc_id", "text", F.concat_ws(", ", "topics").alias("topics")), "chunk_id")
-    traced = corpus.trace(found, sinks.read_index(spark, index, "parents"), sinks.read_index(spark, index, "documents"))
-    return search.ordered(traced).limit(limit)
+    snapshot = stored.open_index(spark, index)
+    found = stored.find(snapshot, words, limit, source, author, ("title", "parent_id", "text", "topics")).withColumn("topics", F.concat_ws(", ", "topics"))
+    return search.ordered(corpus.trace(F.broadcast(found), snapshot.table("parents"), snapshot.table("documents"))).limit(limit)
 
 
 def main(argv: list[str] | None = None) -> int:

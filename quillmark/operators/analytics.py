@@ -102,9 +102,9 @@ def nul_audit(frame: DataFrame, columns: list[str]) -> DataFrame:
     return counts.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"n_{c}").alias("nuls"), F.col(f"r_{c}").alias("rows_with_nul")) for c in columns])).alias("r")).select("r.*")
 
 
-def precision_at_k(chunks: DataFrame, query: str, k: int = 8) -> DataFrame:
+def precision_at_k(chunks: DataFrame, query: str, k: int = 8, kinds: DataFrame | None = None) -> DataFrame:
     """query, k, precision: the share of the first k results whose text holds a term."""
-    return search(chunks, query, k).agg(F.avg("prose_hit").alias("precision")).select(F.lit(query).alias("query"), F.lit(k).alias("k"), "precision")
+    return search(chunks, query, k, kinds=kinds).agg(F.avg("prose_hit").alias("precision")).select(F.lit(query).alias("query"), F.lit(k).alias("k"), "precision")
 
 
 def substring_union(chunks: DataFrame, term: str) -> DataFrame:
@@ -121,10 +121,10 @@ def set_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     return a.withColumn("side", F.lit("left")).unionByName(b.withColumn("side", F.lit("right")))
 
 
-def prefix_places(chunks: DataFrame, query: str, k: int, more: int) -> DataFrame:
+def prefix_places(chunks: DataFrame, query: str, k: int, more: int, kinds: DataFrame | None = None) -> DataFrame:
     """place, chunk_id, same: the first k results, and whether a longer result has the same chunk at the place."""
     order = Window.orderBy(F.desc("prose_hit"), F.desc("term_count"), F.desc("score"), F.asc("chunk_id"))
-    place = lambda n, name: search(chunks, query, n).withColumn("place", F.row_number().over(order)).select("place", F.col("chunk_id").alias(name))
+    place = lambda n, name: search(chunks, query, n, kinds=kinds).withColumn("place", F.row_number().over(order)).select("place", F.col("chunk_id").alias(name))
     both = place(k, "chunk_id").join(place(more, "_other"), "place", "left")
     return both.select("place", "chunk_id", F.col("chunk_id").eqNullSafe(F.col("_other")).alias("same"))
 

@@ -1,82 +1,98 @@
-"""Many queries in one pass, and postings of grams as another way to long terms."""
+"""Many queries in one pass over raw chunks: an automaton of all terms reads each folded field once."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quillmark.functions.folding import MATCH_MIN_LENGTH, fold_ascii, fold_unicode
-from quillmark.functions.text import grams
-from quillmark.operators.search import BONUS, FIELDS
+from quillmark.functions.folding import fold_ascii, fold_unicode
+from quillmark.functions.workers import ship
+from quillmark.operators.postings import _points
+from quillmark.operators.search import FIELDS, bonus_of, with_kinds
 from quillmark.plans.query import parse
 
-#: Queries come from a driver-side list, so their terms are bounded; more is an error, not a broadcast.
-MOST_TERMS = 10_000
-
-
-def terms_frame(spark: SparkSession, queries: dict[str, str]) -> DataFrame:
-    """qid, pos, kind and folded of every term of every query."""
-    rows = [(qid, pos, t.kind, t.folded) for qid, q in queries.items() for pos, t in enumerate(parse(q))]
-    if len(rows) > MOST_TERMS:
-        raise ValueError(f"{len(rows)} terms; at most {MOST_TERMS}")
-    return spark.createDataFrame(rows, "qid string, pos int, kind string, folded string")
-
-
-def _fields(chunks: DataFrame) -> DataFrame:
-    """Chunks with both folds of each field, the stored ones where the index has them."""
-    folds = [(c, k, f) for c in FIELDS for k, f in (("ascii", fold_ascii), ("unicode", fold_unicode))]
-    return chunks.select("chunk_id", "source_id", "chunk_type", *[F.col(f"_{c}_{k}") if f"_{c}_{k}" in chunks.columns else f(F.coalesce(c, F.lit(""))).alias(f"_{c}_{k}") for c, k, f in folds])
-
+FOLDS = {"ascii": fold_ascii, "unicode": fold_unicode}
+#: Terms of one automaton; more of them are matched in further passes, so a task's memory is bounded whatever their number.
+TERMS_PER_PASS = 200_000
+
+
+def distinct_terms(queries: dict[str, str]) -> tuple[list[tuple[str, str]], list[tuple[str, int]]]:
+    """kind and folded form of the different terms, and which query has which of them."""
+    numbers: dict[tuple[str, str], int] = {}
+    wanted = [(qid, numbers.setdefault((t.kind, t.folded), len(numbers))) for qid, q in queries.items() for t in parse(q)]
+    return list(numbers), wanted
+
+
+def counted(text: str, automaton) -> dict[int, int]:
+    """How often each term of the automaton is in a text, without overlaps with itself."""
+    found: dict[int, int] = {}
+    free: dict[int, int] = {}  # where each term's next occurrence may begin
+    for end, (term, size) in automaton.iter(text):
+        if end - size + 1 >= free.get(term, 0):
+            found[term] = found.get(term, 0) + 1
+            free[term] = end + 1
+    return found
+
+
+def term_hits(chunks: DataFrame, terms: list[tuple[str, str]], first: int = 0, keys: tuple[str, ...] = ("chunk_id", "source_id")) -> DataFrame:
+    """``keys`` of each chunk that holds a term, the term's number (from ``first``), and its count in each field."""
+    spark, kinds = chunks.sparkSession, sorted({k for k, _ in terms})
+    ship(spark)
+    sent = spark.sparkContext.broadcast(terms)
+    schema = ", ".join([*(f"`{k}` {chunks.schema[k].dataType.simpleString()}" for k in keys), "term int", *(f"{f} long" for f in FIELDS)])
+    names = [*keys, "term", *FIELDS]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ahocorasick
+
+        made = {k: ahocorasick.Automaton() for k in kinds}
+        for i, (kind, folded) in enumerate(sent.value):
+            made[kind].add_word(folded, (first + i, len(folded)))
+        for automaton in made.values():
+            automaton.make_automaton()
+        for batch in batches:
+            rows, each = [], []
+            for field in FIELDS:
+                totals = [{} for _ in range(batch.num_rows)]
+                for kind, automaton in made.items():
+                    for total, text in zip(totals, batch[f"{field}_{kind}"].to_pylist(), strict=True):
+                        if text:
+                            total.update(counted(text, automaton))
+                each.append(totals)
+            for i, fields in enumerate(zip(*each, strict=True)):
+                rows += [(i, term, *(f.get(term, 0) for f in fields)) for term in sorted(set().union(*fields))]
+            if rows:
+                at, *columns = zip(*rows, strict=True)
+                taken = batch.select(list(keys)).take(pa.array(at, pa.int64()))
+                yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(columns[0], pa.int32()), *[pa.array(c, pa.int64()) for c in columns[1:]]], names=names)
+
+    folded = [FOLDS[k](F.coalesce(f, F.lit(""))).alias(f"{f}_{k}") for f in FIELDS for k in kinds]
+    return chunks.select(*keys, *folded).mapInArrow(run, schema)
+
+
+def batch_search(chunks: DataFrame, queries: dict[str, str], limit: int, by_source: bool = False, kinds: DataFrame | None = None, per_pass: int = TERMS_PER_PASS) -> DataFrame:
+    """The first ``limit`` chunks of each query (and of each source, with ``by_source``).
 
-def _ranked(hits: DataFrame, limit: int, by_source: bool) -> DataFrame:
-    """The first results of each query from one row per chunk and term (qid, kind, folded) that may hold it."""
-    pick = lambda c: F.when(F.col("kind") == "ascii", F.col(f"_{c}_ascii")).otherwise(F.col(f"_{c}_unicode"))
-    held = {c: F.contains(pick(c), F.col("folded")) for c in FIELDS}
-    count = lambda c: ((F.length(pick(c)) - F.length(F.replace(pick(c), F.col("folded"), F.lit("")))) / F.length("folded")).cast("long")
-    points = sum((F.least(count(c), F.lit(cap)).cast("double") * w for c, (w, cap) in FIELDS.items()), F.lit(0.0))
-    per = hits.where(held["text"] | held["title"] | held["author"]).select("qid", "chunk_id", "source_id", "chunk_type", held["text"].cast("int").alias("_prose"), points.alias("_points"))
-    bonus = F.when(F.col("chunk_type") == "curated_method", BONUS["curated_method"]).when(F.col("chunk_type") == "conflict", BONUS["conflict"]).otherwise(0.0)
-    ranked = per.groupBy("qid", "chunk_id", "source_id", "chunk_type").agg(F.max("_prose").alias("prose_hit"), F.count("*").cast("int").alias("term_count"), F.sum("_points").alias("_p")).withColumn("score", F.col("_p") + bonus)
-    keys = ["qid", "source_id"] if by_source else ["qid"]
-    order = Window.partitionBy(*keys).orderBy(F.desc("prose_hit"), F.desc("term_count"), F.desc("score"), F.asc("chunk_id"))
+    ``kinds`` (chunk_id, chunk_type) are joined to the candidates, or chunk_type is a column of the chunks. Only rows of
+    hits leave a task, without text; those of a query and chunk are summed before they are ranked.
+    """
+    spark, (terms, wanted) = chunks.sparkSession, distinct_terms(queries)
+    if not terms:
+        return _empty(spark, chunks)
+    typed = kinds is None and "chunk_type" in chunks.columns
+    keys = ("chunk_id", "source_id", "chunk_type") if typed else ("chunk_id", "source_id")
+    hits = reduce(DataFrame.unionByName, [term_hits(chunks, terms[i : i + per_pass], i, keys) for i in range(0, len(terms), per_pass)])
+    of = spark.createDataFrame(wanted, "qid string, term int")
+    per = hits.join(F.broadcast(of) if len(wanted) <= 1_000_000 else of, "term")
+    ranked = per.groupBy("qid", *keys).agg(F.max((F.col("text") > 0).cast("int")).alias("prose_hit"), F.count("*").cast("int").alias("term_count"), F.sum(_points()).alias("_points"))
+    ranked = with_kinds(ranked, kinds).withColumn("score", F.col("_points") + bonus_of(F.col("chunk_type")))
+    order = Window.partitionBy("qid", *["source_id"] * by_source).orderBy(F.desc("prose_hit"), F.desc("term_count"), F.desc("score"), F.asc("chunk_id"))
     return ranked.withColumn("position", F.row_number().over(order)).where(F.col("position") <= limit).select("qid", "position", "chunk_id", "source_id", "prose_hit", "term_count", "score")
 
 
-def batch_search(chunks: DataFrame, queries: dict[str, str], limit: int, by_source: bool = False) -> DataFrame:
-    """The first ``limit`` chunks of each query (and of each source, with ``by_source``).
-
-    The stated terms meet all chunks in blocks: each chunk is folded once, and a term joins where a
-    field holds it. Only hits go on, one row each.
-    """
-    return _ranked(_fields(chunks).crossJoin(F.broadcast(terms_frame(chunks.sparkSession, queries))), limit, by_source)
-
-
-def indexed_batch(index: DataFrame, index_postings: DataFrame, queries: dict[str, str], limit: int, by_source: bool = False, n: int = MATCH_MIN_LENGTH) -> DataFrame:
-    """batch_search over a stored index: terms as long as a gram meet chunks by an equi-join of grams, shorter ones by a scan."""
-    terms = terms_frame(index.sparkSession, queries)
-    fields = _fields(index)
-    long, short = terms.where(F.length("folded") >= n), terms.where(F.length("folded") < n)
-    wanted = long.select("*", F.array_distinct(grams(F.col("folded"), n)).alias("_g")).select("*", F.size("_g").alias("_n"), F.explode("_g").alias("gram"))
-    having = index_postings.join(F.broadcast(wanted), "gram").groupBy("qid", "pos", "kind", "folded", "chunk_id", "_n").agg(F.count("*").alias("_have")).where("_have = _n")
-    by_gram = fields.join(having.select("qid", "kind", "folded", "chunk_id"), "chunk_id")
-    by_scan = fields.crossJoin(F.broadcast(short.select("qid", "kind", "folded")))
-    return _ranked(by_gram.unionByName(by_scan), limit, by_source)
-
-
-def postings(chunks: DataFrame, n: int = MATCH_MIN_LENGTH) -> DataFrame:
-    """gram, chunk_id: the distinct grams of each chunk's folded fields."""
-    folded = lambda c: F.col(f"_{c}_unicode") if f"_{c}_unicode" in chunks.columns else fold_unicode(F.coalesce(c, F.lit("")))
-    parts = [chunks.select("chunk_id", F.explode(grams(folded(c), n)).alias("gram")) for c in FIELDS]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).distinct()
-
-
-def posting_recall(chunks: DataFrame, index: DataFrame, term: str, n: int = MATCH_MIN_LENGTH) -> DataFrame:
-    """Chunks that hold a long term: those with all its grams, then checked against the fields."""
-    (parsed,) = parse(term)
-    if len(parsed.folded) < n:
-        raise ValueError("a term shorter than a gram has no posting")
-    wanted = sorted({parsed.folded[i : i + n] for i in range(len(parsed.folded) - n + 1)})
-    having = index.where(F.col("gram").isin(wanted)).groupBy("chunk_id").agg(F.count("*").alias("_n")).where(F.col("_n") == len(wanted)).select("chunk_id")
-    folded = lambda c: F.col(f"_{c}_unicode") if f"_{c}_unicode" in chunks.columns else fold_unicode(F.coalesce(c, F.lit("")))
-    holds = [F.contains(folded(c), F.lit(parsed.folded)) for c in FIELDS]
-    return chunks.join(having, "chunk_id", "left_semi").where(holds[0] | holds[1] | holds[2])
+def _empty(spark: SparkSession, chunks: DataFrame) -> DataFrame:
+    return spark.createDataFrame([], f"qid string, position int, chunk_id {chunks.schema['chunk_id'].dataType.simpleString()}, source_id string, prose_hit int, term_count int, score double")

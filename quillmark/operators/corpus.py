@@ -39,12 +39,17 @@ def chunks_of(parents: DataFrame, documents: DataFrame, size: int = CHUNK_CHARS)
     )
 
 
+def kinds(methods: DataFrame, conflicts: DataFrame) -> DataFrame:
+    """chunk_id, chunk_type of the chunks that a method (curated_method) or else a conflict names."""
+    named = methods.select("chunk_id", F.lit(1).alias("_m")).unionByName(conflicts.select("chunk_id", F.lit(0).alias("_m")))
+    return named.groupBy("chunk_id").agg(F.when(F.max("_m") == 1, "curated_method").otherwise("conflict").alias("chunk_type"))
+
+
 def typed(chunks: DataFrame, methods: DataFrame, conflicts: DataFrame) -> DataFrame:
     """Chunks with chunk_type: curated_method where a method names the chunk, conflict where a conflict does, else as it was or text."""
-    kinds = methods.select("chunk_id", F.lit(1).alias("_m")).unionByName(conflicts.select("chunk_id", F.lit(0).alias("_m"))).groupBy("chunk_id").agg(F.max("_m").alias("_m"))
     old = F.coalesce(F.col("chunk_type"), F.lit("text")) if "chunk_type" in chunks.columns else F.lit("text")
-    made = chunks.join(kinds, "chunk_id", "left")
-    return made.withColumn("chunk_type", F.when(F.col("_m") == 1, "curated_method").when(F.col("_m") == 0, "conflict").otherwise(old)).drop("_m")
+    made = chunks.join(kinds(methods, conflicts).withColumnRenamed("chunk_type", "_kind"), "chunk_id", "left")
+    return made.withColumn("chunk_type", F.coalesce("_kind", old)).drop("_kind")
 
 
 def infer_topics(text: Column, topics: dict[str, list[str]] = TOPICS, least: int = 1) -> Column:

@@ -67,16 +67,33 @@ def recall(chunks: DataFrame, query: str | tuple[Term, ...], source: str | None
     return with_folds(chunks, terms).where(reduce(or_, [hit_any(t) for t in terms]))
 
 
-def scored(candidates: DataFrame, terms: tuple[Term, ...]) -> DataFrame:
-    """Adds prose_hit, term_count and score."""
+def with_kinds(candidates: DataFrame, kinds: DataFrame | None) -> DataFrame:
+    """Candidates with chunk_type from ``kinds`` (chunk_id, chunk_type); else their own, or text."""
+    if kinds is not None:
+        return candidates.drop("chunk_type").join(kinds.select("chunk_id", "chunk_type"), "chunk_id", "left").withColumn("chunk_type", F.coalesce("chunk_type", F.lit("text")))
+    return candidates if "chunk_type" in candidates.columns else candidates.withColumn("chunk_type", F.lit("text"))
+
+
+def bonus_of(kind: Column) -> Column:
+    """What a chunk's kind adds to its score."""
+    return reduce(lambda otherwise, k: F.when(kind == k, F.lit(BONUS[k])).otherwise(otherwise), BONUS, F.lit(0.0))
+
+
+def layered(candidates: DataFrame, terms: tuple[Term, ...]) -> DataFrame:
+    """Adds prose_hit, term_count and _points: the score without what the kind of a chunk adds."""
     candidates = with_folds(candidates, terms)
     if not terms:
-        return candidates.select("*", F.lit(0).alias("prose_hit"), F.lit(0).alias("term_count"), F.lit(0.0).alias("score"))
+        return candidates.select("*", F.lit(0).alias("prose_hit"), F.lit(0).alias("term_count"), F.lit(0.0).alias("_points"))
     prose = reduce(or_, [hit("text", t) for t in terms]).cast("int")
     count = reduce(add, [hit_any(t).cast("int") for t in terms])
     points = [F.least(occurrences(field_of(f, t), t.folded), F.lit(cap)).cast("double") * weight for f, (weight, cap) in FIELDS.items() for t in terms]
-    bonus = reduce(lambda otherwise, k: F.when(F.col("chunk_type") == k, F.lit(BONUS[k])).otherwise(otherwise), BONUS, F.lit(0.0))
-    return candidates.select("*", prose.alias("prose_hit"), count.alias("term_count"), (reduce(add, points) + bonus).alias("score"))
+    return candidates.select("*", prose.alias("prose_hit"), count.alias("term_count"), reduce(add, points).alias("_points"))
+
+
+def scored(candidates: DataFrame, terms: tuple[Term, ...]) -> DataFrame:
+    """Adds prose_hit, term_count and score."""
+    made = layered(with_kinds(candidates, None), terms)
+    return made.withColumn("score", F.col("_points") + bonus_of(F.col("chunk_type"))).drop("_points")
 
 
 def ordered(ranked: DataFrame) -> DataFrame:
@@ -86,10 +103,15 @@ def ordered(ranked: DataFrame) -> DataFrame:
 RESULT = ["chunk_id", "source_id", "title", "author", "chunk_type", "prose_hit", "term_count", "score"]
 
 
-def search(chunks: DataFrame, query: str, limit: int = DEFAULT_LIMIT, source: str | None = None, author: str | None = None) -> DataFrame:
-    """The first ``limit`` chunks of the order, with their place in each layer."""
+def search(chunks: DataFrame, query: str, limit: int = DEFAULT_LIMIT, source: str | None = None, author: str | None = None, kinds: DataFrame | None = None) -> DataFrame:
+    """The first ``limit`` chunks of the order, with their place in each layer.
+
+    ``kinds`` (chunk_id, chunk_type) are joined to the candidates when their texts are scored and dropped, so no text is shuffled.
+    """
     terms = parse(query)
-    return ordered(scored(recall(chunks, terms, source, author), terms).select(*RESULT)).limit(limit)
+    found = layered(recall(chunks, terms, source, author), terms)
+    lean = found.select(*[c for c in RESULT if c in found.columns], "_points")
+    return ordered(with_kinds(lean, kinds).withColumn("score", F.col("_points") + bonus_of(F.col("chunk_type"))).select(*RESULT)).limit(limit)
 
 
 def with_rank(results: DataFrame) -> DataFrame:

@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 
 from quillmark.functions.folding import ASCII_LOWER, ASCII_UPPER, fold_pairs
 from quillmark.functions.text import occurrences
-from quillmark.operators import analytics, batch, compare, corpus, search, validate
+from quillmark.operators import analytics, batch, compare, corpus, postings, search, validate
 from quillmark.plans.query import parse
-from quillmark.sources import html_chat, registry, sinks
+from quillmark.sources import html_chat, index, registry, sinks
 
 LONG, SHORT, MIXED = "the ment Étion", "en au", "é the en ET"
 TERMS = ["the", "en", "Étion", "ment", "É", "*", "[", "of the"]
@@ -33,6 +33,12 @@ def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.typed(plain_chunks(spark, sf_dir), labels.where("quality = 1"), labels.where("toxic = 1"))
 
 
+def kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """chunk_id, chunk_type of labelled chunks; searches join them to candidates alone."""
+    labels = _table(spark, sf_dir, "labels").select(F.col("doc_id").alias("chunk_id"), "quality", "toxic")
+    return corpus.kinds(labels.where("quality = 1"), labels.where("toxic = 1"))
+
+
 def plain_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chunks without their types, for queries that don't rank."""
     return _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("chunk_id"), F.col("source").alias("source_id"), "text", F.substring_index("text", "\n", 1).alias("title"), F.col("lang").alias("author"))
@@ -52,20 +58,34 @@ def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "documents").select(F.col("source").alias("source_id")).distinct()
 
 
-_indexes: dict[tuple[str, str], str] = {}
+_indexes: dict[tuple[str, str, str], str] = {}
 
 
-def stored_index(spark: SparkSession, sf_dir: str) -> str:
-    """Where the index of a table folder is stored; built once a session, and read by every query that says so."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+def _once(spark: SparkSession, sf_dir: str, name: str, write) -> str:
+    """Where an index of a table folder is stored; written once a session."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _indexes:
-        path = f"{sinks.scratch(spark)}/index-{uuid.uuid4().hex}"
-        docs, parents, _ = _built(spark, sf_dir)
-        sinks.write_index(chunks(spark, sf_dir), path, docs, parents)
+        path = f"{sinks.scratch(spark)}/{name}-{uuid.uuid4().hex}"
+        write(path)
         _indexes[key] = path
     return _indexes[key]
 
 
+def stored_index(spark: SparkSession, sf_dir: str) -> index.Snapshot:
+    """The stored index of documents as chunks."""
+    return index.open_index(spark, _once(spark, sf_dir, "index", lambda path: index.write(path, chunks(spark, sf_dir))))
+
+
+def library(spark: SparkSession, sf_dir: str) -> index.Snapshot:
+    """The stored index of documents cut into parents and chunks."""
+
+    def write(path: str) -> None:
+        docs, parents, cut = _built(spark, sf_dir)
+        index.write(path, cut, docs.drop("text"), parents)
+
+    return index.open_index(spark, _once(spark, sf_dir, "library", write))
+
+
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
@@ -135,39 +155,39 @@ def _union(rows: list[str]) -> str:
 
 @query(_search_sql(LONG, 40))
 def ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search.search(chunks(spark, sf_dir), LONG, 40)
+    return search.search(plain_chunks(spark, sf_dir), LONG, 40, kinds=kinds(spark, sf_dir))
 
 
 @query(_search_sql(LONG, 40, "source_id = 'src3'"))
 def ranked_search_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search.search(chunks(spark, sf_dir), LONG, 40, source="src3")
+    return search.search(plain_chunks(spark, sf_dir), LONG, 40, source="src3", kinds=kinds(spark, sf_dir))
 
 
 @query(_search_sql(LONG, 40, "author = 'fr'"))
 def ranked_search_author(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search.search(chunks(spark, sf_dir), LONG, 40, author="fr")
+    return search.search(plain_chunks(spark, sf_dir), LONG, 40, author="fr", kinds=kinds(spark, sf_dir))
 
 
 @query(_search_sql(MIXED, 40))
 def ranked_search_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search.search(chunks(spark, sf_dir), MIXED, 40)
+    return search.search(plain_chunks(spark, sf_dir), MIXED, 40, kinds=kinds(spark, sf_dir))
 
 
 @query(_search_sql(SHORT, 8))
 def ranked_search_short(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search.search(chunks(spark, sf_dir), SHORT)
+    return search.search(plain_chunks(spark, sf_dir), SHORT, kinds=kinds(spark, sf_dir))
 
 
 @query(_search_sql("* ? [ %", 40))
 def literal_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search.search(chunks(spark, sf_dir), "* ? [ %", 40)
+    return search.search(plain_chunks(spark, sf_dir), "* ? [ %", 40, kinds=kinds(spark, sf_dir))
 
 
 @query(f"SELECT 'blank' AS query, 0::BIGINT AS n UNION ALL SELECT 'sentinel', count(*) FROM ({_search_sql(LONG, 40)})")
 def empty_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A query without terms finds nothing, where another finds something."""
-    c = chunks(spark, sf_dir)
-    n = lambda name, q: search.search(c, q, 40).agg(F.count("*").alias("n")).select(F.lit(name).alias("query"), "n")
+    c, k = plain_chunks(spark, sf_dir), kinds(spark, sf_dir)
+    n = lambda name, q: search.search(c, q, 40, kinds=k).agg(F.count("*").alias("n")).select(F.lit(name).alias("query"), "n")
     return n("blank", "  ").unionByName(n("sentinel", LONG))
 
 
@@ -210,12 +230,12 @@ def like_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"SELECT row_number() OVER (ORDER BY prose_hit DESC, term_count DESC, score DESC, chunk_id)::INT AS place, chunk_id, TRUE AS same FROM ({_search_sql(LONG, 8)})")
 def prefix_stability(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each place among the first eight, and whether the first forty have the same chunk there."""
-    return analytics.prefix_places(chunks(spark, sf_dir), LONG, 8, 40)
+    return analytics.prefix_places(plain_chunks(spark, sf_dir), LONG, 8, 40, kinds(spark, sf_dir))
 
 
 @query(_search_sql(compare.expand("the and"), 40))
 def synonym_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search.search(chunks(spark, sf_dir), compare.expand("the and"), 40)
+    return search.search(plain_chunks(spark, sf_dir), compare.expand("the and"), 40, kinds=kinds(spark, sf_dir))
 
 
 @query(
@@ -224,39 +244,38 @@ def synonym_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     + ") WHERE position <= 20"
 )
 def batch_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return batch.batch_search(chunks(spark, sf_dir), BATCH, 20)
+    return batch.batch_search(plain_chunks(spark, sf_dir), BATCH, 20, kinds=kinds(spark, sf_dir))
 
 
 @query(_recall_sql("Étion"))
 def posting_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A long term by the stored postings of its grams."""
-    path = stored_index(spark, sf_dir)
-    return batch.posting_recall(sinks.read_index(spark, path), sinks.read_index(spark, path, "postings"), "Étion").select("chunk_id")
+    """A long term by the stored postings of its rarest grams, without text."""
+    return postings.recall(stored_index(spark, sf_dir).index(), "Étion")
 
 
 @query(f"{_rank_sql(LONG)} SELECT * EXCLUDE (title, author, chunk_type) FROM (SELECT *, (row_number() OVER (PARTITION BY source_id ORDER BY prose_hit DESC, term_count DESC, score DESC, chunk_id))::INT AS position FROM ranked) WHERE position <= 3")
 def compare_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return compare.compare_sources(chunks(spark, sf_dir), LONG)
+    return compare.compare_sources(plain_chunks(spark, sf_dir), LONG, kinds=kinds(spark, sf_dir))
 
 
 @query(f"{_rank_sql('**')}, top AS (SELECT source_id, count(*) AS n, min(chunk_id) AS c FROM ranked GROUP BY source_id) SELECT s.source_id, CASE WHEN n IS NULL THEN 0 ELSE least(n, 3) END AS n_hits, n IS NOT NULL AS found FROM (SELECT DISTINCT source AS source_id FROM documents) s LEFT JOIN top USING (source_id)")
 def not_found_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return compare.evidence(chunks(spark, sf_dir), sources(spark, sf_dir), "**").select("source_id", "n_hits", "found")
+    return compare.evidence(plain_chunks(spark, sf_dir), sources(spark, sf_dir), "**", kinds=kinds(spark, sf_dir)).select("source_id", "n_hits", "found")
 
 
 @query(f"{_search_sql(LONG, 40)}".replace("SELECT * FROM ranked", "SELECT chunk_id, CASE chunk_type WHEN 'curated_method' THEN 'method card' ELSE 'chunk' END AS level FROM ranked"))
 def provenance_level(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return compare.with_level(search.search(chunks(spark, sf_dir), LONG, 40)).select("chunk_id", "level")
+    return compare.with_level(search.search(plain_chunks(spark, sf_dir), LONG, 40, kinds=kinds(spark, sf_dir))).select("chunk_id", "level")
 
 
 @query(f"{_rank_sql('tionthe')}, best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY prose_hit DESC, term_count DESC, score DESC, chunk_id) AS r FROM ranked) WHERE r = 1) SELECT s.source_id, b.chunk_id, CASE WHEN b.chunk_id IS NULL THEN 'model' WHEN b.chunk_type = 'curated_method' THEN 'method card' ELSE 'chunk' END AS level FROM (SELECT DISTINCT source AS source_id FROM documents) s LEFT JOIN best b USING (source_id)")
 def provenance_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return compare.levels_by_source(chunks(spark, sf_dir), sources(spark, sf_dir), "tionthe")
+    return compare.levels_by_source(plain_chunks(spark, sf_dir), sources(spark, sf_dir), "tionthe", kinds(spark, sf_dir))
 
 
 @query(f"SELECT *, 0.0::DOUBLE AS rank FROM ({_search_sql(SHORT, 8)})")
 def search_with_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search.with_rank(search.search(chunks(spark, sf_dir), SHORT))
+    return search.with_rank(search.search(plain_chunks(spark, sf_dir), SHORT, kinds=kinds(spark, sf_dir)))
 
 
 # ---- counts ----------------------------------------------------------------------------------
@@ -338,7 +357,7 @@ def distinct_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT 'the ment Étion' AS query, 8 AS k, avg(prose_hit) AS precision FROM ({_search_sql(LONG, 8)})")
 def precision_at_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.precision_at_k(chunks(spark, sf_dir), LONG)
+    return analytics.precision_at_k(plain_chunks(spark, sf_dir), LONG, kinds=kinds(spark, sf_dir))
 
 
 @query(_union([f"SELECT '{c}' AS column_name, coalesce(sum(length({c}) - length(replace({c}, chr(0), ''))), 0)::BIGINT AS nuls, count(*) FILTER (WHERE contains({c}, chr(0))) AS rows_with_nul FROM documents" for c in ("text", "lang", "source")]))
@@ -401,29 +420,99 @@ def topic_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_recall_sql(MIXED))
 def indexed_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Recall over the stored index, whose folds are columns."""
-    return search.recall(sinks.read_index(spark, stored_index(spark, sf_dir)), MIXED).select("chunk_id")
+    """Recall of short and long terms by the stored postings."""
+    return postings.recall(stored_index(spark, sf_dir).index(), MIXED)
+
+
+@query(_recall_sql("É * tionthe"))
+def indexed_recall_rare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recall of rare short terms, whose lists name few blocks, and of a long one."""
+    return postings.recall(stored_index(spark, sf_dir).index(), "É * tionthe")
 
 
 @query(_search_sql(LONG, 40))
 def indexed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search.search(sinks.read_index(spark, stored_index(spark, sf_dir)), LONG, 40)
+    return index.find(stored_index(spark, sf_dir), LONG, 40, stepwise=False).select(*search.RESULT)
+
+
+@query(_search_sql(MIXED, 8))
+def top_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first results by blocks of falling bound."""
+    return index.find(stored_index(spark, sf_dir), MIXED, 8).select(*search.RESULT)
+
+
+@query(_search_sql("tionthe *", 8, "source_id = 'src3'"))
+def top_search_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return index.find(stored_index(spark, sf_dir), "tionthe *", 8, source="src3").select(*search.RESULT)
 
 
 @query(ORACLES["batch_search"])
 def indexed_batch_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = stored_index(spark, sf_dir)
-    return batch.indexed_batch(sinks.read_index(spark, path), sinks.read_index(spark, path, "postings"), BATCH, 20)
+    return postings.batch(stored_index(spark, sf_dir).index(), BATCH, 20)
+
+
+@query(ORACLES["compare_sources"])
+def indexed_compare_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return postings.batch(stored_index(spark, sf_dir).index(), {"q": LONG}, 3, by_source=True).drop("qid")
 
 
-@query(f"WITH {BUILT} SELECT 'chunks' AS table_name, count(*) AS n_rows FROM documents UNION ALL SELECT 'documents', count(*) FROM docs UNION ALL SELECT 'parents', count(*) FROM parents")
+@query(f"WITH {CHUNKS}, {FOLDED} " + _union([f"SELECT {_lit(t)} AS term, source_id, count(*) AS hits, count(*) FILTER (WHERE {_has(parse(t)[0], 'text')}) AS prose, count(*) FILTER (WHERE NOT {_has(parse(t)[0], 'text')}) AS title_author_only FROM folded WHERE {_any(*parse(t))} GROUP BY source_id" for t in TERMS[:7]]))
+def indexed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hits of each term by source and field, counted from postings alone."""
+    held = postings.hits(stored_index(spark, sf_dir).index(), TERMS[:7])
+    prose = F.col("text") > 0
+    return held.groupBy("term", "source_id").agg(F.count("*").alias("hits"), F.count_if(prose).alias("prose"), F.count_if(~prose).alias("title_author_only"))
+
+
+@query(f"WITH {BUILT} SELECT 'chunks' AS table_name, count(*) AS n_rows FROM cut UNION ALL SELECT 'documents', count(*) FROM docs UNION ALL SELECT 'parents', count(*) FROM parents")
 def index_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stored index's tables with the rows they hold."""
-    path = stored_index(spark, sf_dir)
-    made = [sinks.read_index(spark, path, name).agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows") for name in ("chunks", "documents", "parents")]
+    """The stored library's tables with the rows they hold."""
+    snapshot = library(spark, sf_dir)
+    made = [snapshot.table(name).agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows") for name in ("chunks", "documents", "parents")]
     return made[0].unionByName(made[1]).unionByName(made[2])
 
 
+LIBRARY = BUILT + """, chunks AS (SELECT c.chunk_id, c.parent_id, c.doc_id, c.source_id, c.text, d.title, d.author, 'text' AS chunk_type, p.ord AS parent_ord, d.path, d.sha256
+ FROM cut c JOIN docs d USING (doc_id) JOIN parents p ON p.parent_id = c.parent_id)"""
+
+
+@query(_search_sql(LONG, 40).replace(CHUNKS, LIBRARY).replace("SELECT * FROM ranked ORDER", "SELECT ranked.chunk_id, ranked.source_id, prose_hit, term_count, score, parent_ord, path, sha256 FROM ranked JOIN chunks USING (chunk_id) ORDER").replace("score DESC, chunk_id", "score DESC, ranked.chunk_id"))
+def library_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the command line asks: results of the stored library, each with its locator."""
+    snapshot = library(spark, sf_dir)
+    found = index.find(snapshot, LONG, 40, columns=("parent_id",))
+    return corpus.trace(F.broadcast(found), snapshot.table("parents"), snapshot.table("documents")).select("chunk_id", "source_id", "prose_hit", "term_count", "score", "parent_ord", "path", "sha256")
+
+
+def _earlier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw files in an earlier state: some missing, some with another text, one more."""
+    raw, number = raw_files(spark, sf_dir), F.crc32("path")
+    old = raw.where(number % 5 != 0).withColumn("text", F.when(number % 7 == 0, F.concat(F.lit("earlier the "), "text")).otherwise(F.col("text")))
+    return old.unionByName(raw.limit(1).withColumn("path", F.lit("src0/gone")))
+
+
+def _updated(spark: SparkSession, sf_dir: str) -> index.Snapshot:
+    def write(path: str) -> None:
+        index.update(path, _earlier(spark, sf_dir))
+        index.update(path, raw_files(spark, sf_dir))
+
+    return index.open_index(spark, _once(spark, sf_dir, "updated", write))
+
+
+@query(f"WITH {BUILT} SELECT chunk_id, parent_id, doc_id, source_id, ord, text FROM cut")
+def incremental_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chunks of an index that was brought from an earlier state to this one by what changed."""
+    return _updated(spark, sf_dir).table("chunks").select("chunk_id", "parent_id", "doc_id", "source_id", "ord", "text")
+
+
+@query(ORACLES["library_search"])
+def incremental_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The library search over that index: two segments and a removal."""
+    snapshot = _updated(spark, sf_dir)
+    found = index.find(snapshot, LONG, 40, columns=("parent_id",))
+    return corpus.trace(F.broadcast(found), snapshot.table("parents"), snapshot.table("documents")).select("chunk_id", "source_id", "prose_hit", "term_count", "score", "parent_ord", "path", "sha256")
+
+
 # ---- registry and provenance -----------------------------------------------------------------
 
 

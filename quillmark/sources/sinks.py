@@ -1,4 +1,4 @@
-"""Products, the stored index, and the run credentials that tie them to their inputs."""
+"""Products, and the run credentials that tie them to their inputs."""
 
 from __future__ import annotations
 
@@ -10,10 +10,6 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmark.functions.folding import FOLD_VERSION
-from quillmark.operators.batch import postings
-from quillmark.operators.corpus import index_of
-
 
 def _file(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -94,35 +90,3 @@ def output_hashes(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true").load(path)
     rows = spark.read.option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true").text(path).groupBy(F.col("_metadata.file_name").alias("name")).agg(F.count("*").alias("rows"))
     return files.select("path", F.element_at(F.split("path", "/"), -1).alias("name"), F.sha2("content", 256).alias("sha256")).join(rows, "name", "left").select("path", "sha256", F.coalesce("rows", F.lit(0)).alias("rows"))
-
-
-def write_index(chunks: DataFrame, path: str, documents: DataFrame | None = None, parents: DataFrame | None = None, source_credentials: dict | None = None) -> None:
-    """The index as a version of its own: chunks with stored folds by source, postings by gram, documents, parents, metadata.
-
-    ``CURRENT`` names the version that readers open; it is replaced in one step when the new one is
-    whole, and versions before that are deleted. A source filter prunes files of chunks, and a gram row groups of postings.
-    """
-    spark, version = chunks.sparkSession, f"v-{uuid.uuid4().hex}"
-    root = f"{path}/{version}"
-    index_of(chunks).write.partitionBy("source_id").parquet(f"{root}/chunks")
-    made = spark.read.schema(index_of(chunks).schema).parquet(f"{root}/chunks")
-    postings(made).repartitionByRange("gram").sortWithinPartitions("gram").write.parquet(f"{root}/postings")
-    for name, frame in (("documents", documents), ("parents", parents)):
-        if frame is not None:
-            frame.write.parquet(f"{root}/{name}")
-    counts = {name: spark.read.parquet(f"{root}/{name}").count() for name, frame in (("chunks", chunks), ("documents", documents), ("parents", parents)) if frame is not None}
-    rows = {"fold_version": FOLD_VERSION, "rows": json.dumps(counts, sort_keys=True), "source_credentials": json.dumps(source_credentials or {}, sort_keys=True)}
-    spark.createDataFrame(sorted(rows.items()), "key string, value string").coalesce(1).write.parquet(f"{root}/metadata")
-    _put(spark, f"{path}/CURRENT", version)
-    fs, top = _file(spark, path)
-    for status in fs.listStatus(top):
-        if status.getPath().getName().startswith("v-") and status.getPath().getName() != version:
-            fs.delete(status.getPath(), True)
-
-
-def read_index(spark: SparkSession, path: str, table: str = "chunks") -> DataFrame:
-    """A table of the index's current version: chunks, postings, documents, parents or metadata."""
-    version = _get(spark, f"{path}/CURRENT")
-    if version is None:
-        raise FileNotFoundError(f"{path} holds no index")
-    return spark.read.parquet(f"{path}/{version.strip()}/{table}")

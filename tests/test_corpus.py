@@ -4,8 +4,9 @@ import json
 from pyspark.sql import functions as F
 
 from quillmark import __main__ as cli
-from quillmark.operators import corpus, search, validate
+from quillmark.operators import corpus, postings, search, validate
 from quillmark.sources import html_chat, registry, sinks
+from quillmark.sources import index as stored
 from quillmark.streaming import imports
 
 RAW = "source_id string, path string, text string, author string"
@@ -82,9 +83,8 @@ def test_registry_and_libraries(spark, tmp_path):
 
 def test_index_products_and_runs(spark, tmp_path):
     _, _, chunks = built(spark)
-    sinks.write_index(chunks, str(tmp_path / "index"))
-    index = sinks.read_index(spark, str(tmp_path / "index"))
-    assert {r.chunk_id for r in search.recall(index, "FIRST").collect()} == {r.chunk_id for r in search.recall(chunks, "FIRST").collect()} != set()
+    index = stored.write(str(tmp_path / "index"), chunks)
+    assert {r.chunk_id for r in postings.recall(index.index(), "FIRST").collect()} == {r.chunk_id for r in search.recall(chunks, "FIRST").collect()} != set()
     state = sinks.start_run(spark, str(tmp_path / "summary.json"), {"file_count": 1})
     assert json.loads((tmp_path / "summary.json").read_text())["run"]["status"] == "in_progress"
     sinks.write_jsonl(chunks.select("chunk_id", "text"), str(tmp_path / "chunks"))
@@ -99,13 +99,24 @@ def test_imports(spark, tmp_path):
     texts = spark.createDataFrame([(r'{"a": "x\u0000y", "b": "\\u0000"}',)], "c string")
     assert texts.select(html_chat.json_nul_count(F.col("c"))).first()[0] == 1
     (tmp_path / "in").mkdir()
-    (tmp_path / "in" / "a.json").write_text(json.dumps({"source_id": "s", "path": "p", "text": "Hello there", "author": "a"}))
     run = lambda: imports.import_stream(spark, str(tmp_path / "in"), str(tmp_path / "idx"), str(tmp_path / "ckpt")).awaitTermination()
-    run()
-    assert imports.imported(spark, str(tmp_path / "idx")).count() == 1
-    (tmp_path / "in" / "b.json").write_text(json.dumps({"source_id": "s", "path": "p", "text": "Hello again", "author": "a"}))
-    run()  # the document is sent again
-    assert [r.text for r in imports.imported(spark, str(tmp_path / "idx")).collect()] == ["Hello again"]
+    texts = lambda: sorted(r.text for r in imports.imported(spark, str(tmp_path / "idx")).collect())
+
+    def send(name, *rows):
+        (tmp_path / "in" / name).write_text("\n".join(json.dumps({"source_id": "s", "path": p, "text": t, "author": "a", "sent_at": at}) for p, t, at in rows))
+        run()
+
+    send("a.json", ("p", "Hello there", None), ("q", "Other", None))
+    assert texts() == ["Hello there", "Other"]
+    send("b.json", ("p", "Hello twice", "2024-01-02T00:00:00"), ("p", "Hello again", "2024-01-03T00:00:00"), ("p", "Hello first", None))
+    assert texts() == ["Hello again", "Other"]
+    send("c.json", ("p", "", None))  # sent empty: nothing of it stays
+    assert texts() == ["Other"]
+    index = stored.open_index(spark, str(tmp_path / "idx"))
+    assert [r.chunk_id for r in postings.recall(index.index(), "hello").collect()] == []
+    before = index.version  # an epoch that is repeated after a crash changes nothing
+    batch = spark.createDataFrame([("s", "z", "Late", "a")], "source_id string, path string, text string, author string")
+    assert stored.upsert(str(tmp_path / "idx"), batch, mark=("import", index.state["marks"]["import"])).version == before and texts() == ["Other"]
 
 
 def test_a_large_manifest_is_digested_in_blocks(spark):
@@ -119,11 +130,11 @@ def test_an_index_is_replaced_as_a_whole(spark, tmp_path):
     docs, parents, chunks = built(spark)
     path = str(tmp_path / "index")
     for frame in (chunks.where("ord = 0"), chunks):
-        sinks.write_index(frame, path, docs, parents, {"s1": {"attempt_id": "x"}})
-    assert sinks.read_index(spark, path).count() == chunks.count()
-    meta = {r.key: r.value for r in sinks.read_index(spark, path, "metadata").collect()}
+        stored.write(path, frame, docs.drop("text"), parents, {"s1": {"attempt_id": "x"}})
+    snapshot = stored.open_index(spark, path)
+    assert snapshot.table("chunks").count() == chunks.count() and snapshot.version == 1
+    meta = snapshot.metadata()
     assert json.loads(meta["rows"]) == {"chunks": 5, "documents": 2, "parents": 3} and json.loads(meta["source_credentials"]) == {"s1": {"attempt_id": "x"}}
-    assert len([p for p in (tmp_path / "index").iterdir() if p.name.startswith("v-")]) == 1
     sinks.write_jsonl(chunks.select("chunk_id"), str(tmp_path / "product"))
     (tmp_path / "product").rename(tmp_path / "product.old")  # as a crash would leave it
     sinks.restore(spark, str(tmp_path / "product"))
@@ -133,7 +144,7 @@ def test_an_index_is_replaced_as_a_whole(spark, tmp_path):
 def test_command_line(spark, tmp_path, capsys):
     docs, parents, chunks = built(spark)
     path = str(tmp_path / "index")
-    sinks.write_index(chunks, path, docs, parents)
+    stored.write(path, chunks, docs.drop("text"), parents)
     rows = cli.find(spark, path, "FIRST", 5).collect()
     assert [(r.path, r.parent_ord, r.topics) for r in rows] == [("s1/a", 1, "articles")]
     assert cli.find(spark, path, "FIRST", 5, source="s2").count() == cli.find(spark, path, "FIRST", 5, author="Bob").count() == 0

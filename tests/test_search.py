@@ -83,13 +83,33 @@ def test_batch_equals_single_searches(layers):
         assert [(r.chunk_id, r.prose_hit, r.term_count, r.score) for r in sorted((r for r in got if r.qid == qid), key=lambda r: r.position)] == [(r.chunk_id, r.prose_hit, r.term_count, r.score) for r in single]
 
 
-def test_postings_equal_recall(layers):
-    index = batch.postings(layers)
-    for term in ("apple", "plums", "zzz", "le ap"):
-        if " " not in term:
-            assert sorted(ids(batch.posting_recall(layers, index, term))) == sorted(ids(search.recall(layers, term)))
-    with pytest.raises(ValueError):
-        batch.posting_recall(layers, index, "ap")
+def test_batch_in_several_passes_and_without_terms(layers):
+    queries = {str(i): w for i, w in enumerate(["apple", "pear ap", "le", "PLUMS and", "pp", "e", "zzz"])}
+    want = sorted(map(tuple, batch.batch_search(layers, queries, 9).collect()))
+    assert sorted(map(tuple, batch.batch_search(layers, queries, 9, per_pass=2).collect())) == want and want
+    assert batch.batch_search(layers, {"a": " "}, 9).collect() == []
+
+
+def test_an_automaton_counts_without_overlaps(spark):
+    df = frame(spark, [("c", "s", "aaaaa ababa anan", "aa", None, "text")])
+    terms = [("unicode", "aaa"), ("ascii", "aa"), ("unicode", "aba"), ("ascii", "a"), ("unicode", "anan"), ("unicode", "none")]
+    got = {terms[r.term][1]: (r.text, r.title, r.author) for r in batch.term_hits(df, terms).collect()}
+    assert got == {w: ("aaaaa ababa anan".count(w), "aa".count(w), 0) for w in ("aaa", "aa", "aba", "a", "anan")}
+
+
+def test_kinds_joined_late_rank_alike_and_no_text_is_shuffled(spark, layers):
+    kinds = layers.where("chunk_type is not null").select("chunk_id", "chunk_type")
+    plain = layers.drop("chunk_type")
+    for q in ("apple", "apple plums", "pe"):
+        assert search.search(plain, q, 9, kinds=kinds).collect() == search.search(layers.fillna("text", ["chunk_type"]), q, 9).collect()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = search.search(plain, "apple", 9, kinds=kinds)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        sides = "\n".join(lines[next(i for i, x in enumerate(lines) if "Join" in x) :])
+        below = sides.splitlines()[1]
+        assert "text" not in below.partition("Project [")[2].replace("chunk_type", "").split(" AS ")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_sources_are_compared_apart(spark, layers):
