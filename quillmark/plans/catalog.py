@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from quillmark.functions.folding import ASCII_LOWER, ASCII_UPPER, fold_pairs
 from quillmark.functions.text import occurrences
-from quillmark.operators import analytics, batch, compare, corpus, postings, search, validate
+from quillmark.operators import analytics, batch, compare, corpus, merkle, postings, search, validate
 from quillmark.plans.query import parse
 from quillmark.sources import html_chat, index, registry, sinks
 
@@ -486,9 +486,9 @@ def library_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _earlier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw files in an earlier state: some missing, some with another text, one more."""
-    raw, number = raw_files(spark, sf_dir), F.crc32("path")
+    raw, number = raw_files(spark, sf_dir), F.substring_index("path", "/", -1).try_cast("long")
     old = raw.where(number % 5 != 0).withColumn("text", F.when(number % 7 == 0, F.concat(F.lit("earlier the "), "text")).otherwise(F.col("text")))
-    return old.unionByName(raw.limit(1).withColumn("path", F.lit("src0/gone")))
+    return old.unionByName(spark.createDataFrame([("src0", "src0/gone", "gone the", "en")], "source_id string, path string, text string, author string"))
 
 
 def _updated(spark: SparkSession, sf_dir: str) -> index.Snapshot:
@@ -531,10 +531,42 @@ def manifest_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.manifest_diff(_manifest(_table(spark, sf_dir, "documents"), "doc_id"), _manifest(_table(spark, sf_dir, "benchmark"), "item_id"))
 
 
-@query("SELECT source AS source_id, sha256(string_agg(line, chr(10) ORDER BY line)) AS manifest_digest, count(*) AS file_count FROM (SELECT source, source || '/' || doc_id || chr(9) || sha256(text) || chr(9) || octet_length(encode(text)) AS line FROM documents) GROUP BY source")
+def _files(raw: DataFrame) -> DataFrame:
+    return raw.select("source_id", "path", F.sha2("text", 256).alias("sha256"), F.octet_length("text").cast("long").alias("size"))
+
+
+def _tree_sql(lines: str) -> str:
+    """A manifest's tree of rows (source_id, path, line); level6 to level0."""
+    levels = [f"level6 AS (SELECT source_id, substr(sha256(path), 1, 6) AS p, sha256(string_agg(line, chr(10) ORDER BY line)) AS d, count(*) AS n FROM ({lines}) GROUP BY ALL)"]
+    levels += [f"level{k} AS (SELECT source_id, substr(p, 1, {k}) AS p, sha256(string_agg(p || ':' || d, chr(10) ORDER BY p)) AS d, sum(n)::BIGINT AS n FROM level{k + 2} GROUP BY source_id, substr(p, 1, {k}))" for k in (4, 2, 0)]
+    return ", ".join(levels)
+
+
+DOCUMENT_LINES = "SELECT source AS source_id, source || '/' || doc_id AS path, source || '/' || doc_id || chr(9) || sha256(text) || chr(9) || octet_length(encode(text)) AS line FROM documents"
+
+
+@query(f"WITH {_tree_sql(DOCUMENT_LINES)} SELECT source_id, d AS manifest_digest, n AS file_count FROM level0")
 def manifest_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = raw_files(spark, sf_dir).select("source_id", "path", F.sha2("text", 256).alias("sha256"), F.octet_length("text").cast("long").alias("size"))
-    return validate.manifest_digest(files)
+    return merkle.digests(_files(raw_files(spark, sf_dir)))
+
+
+@query(f"WITH {_tree_sql(DOCUMENT_LINES)} SELECT source_id, 4 AS level, p AS prefix, d AS digest, n AS file_count FROM level4 UNION ALL SELECT source_id, 2, p, d, n FROM level2")
+def manifest_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The inner nodes of the sources' manifest trees."""
+    return merkle.tree(_files(raw_files(spark, sf_dir))).where("level in (4, 2)").select("source_id", "level", "prefix", "digest", "file_count")
+
+
+@query("SELECT source AS source_id, source || '/' || doc_id AS path, CASE WHEN doc_id % 5 = 0 THEN 'added' ELSE 'changed' END AS state FROM documents WHERE doc_id % 5 = 0 OR doc_id % 7 = 0 UNION ALL SELECT 'src0', 'src0/gone', 'removed'")
+def manifest_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What changed since an earlier state, found by descending two stored manifest trees."""
+    old, new = _files(_earlier(spark, sf_dir)), _files(raw_files(spark, sf_dir))
+
+    def write(path: str) -> None:
+        merkle.tree(old).write.parquet(f"{path}/old")
+        merkle.tree(new).write.parquet(f"{path}/new")
+
+    path = _once(spark, sf_dir, "trees", write)
+    return merkle.changes(old, new, spark.read.parquet(f"{path}/old"), spark.read.parquet(f"{path}/new"))
 
 
 @query(f"WITH {CHUNKS}, {FOLDED}, found AS (SELECT DISTINCT source_id FROM folded WHERE author = 'fr' AND {_any(*parse('la'))}) SELECT DISTINCT d.source AS source_id, f.source_id IS NOT NULL AS has_results FROM documents d LEFT JOIN found f ON f.source_id = d.source WHERE d.lang = 'fr'")
@@ -562,15 +594,33 @@ def corpus_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.all_violations(validate.id_sets(registry, docs, cut), validate.integrity(faulty), validate.fold_version(index), validate.nul_free(faulty, ["text", "title", "author"]))
 
 
+_RAN = [c for c in validate.CHECKS if c not in ("smoke_length", "source_reachable", "author_reachable", "recall_coverage")]
+
+
 @query(
-    f"""SELECT c."check", coalesce(v.n, 0) AS violations, v.n IS NULL AS passed FROM (VALUES {', '.join(f"('{c}')" for c in validate.CHECKS)}) AS c("check")
- LEFT JOIN (SELECT "check", count(*) AS n FROM ({ORACLES['corpus_violations']} UNION ALL SELECT * FROM (VALUES ('run_status', 'src1', ''), ('manifest_digest', 'src2', ''), ('outputs', 'src8', ''), ('source_credentials', 'src9', '')) AS w) GROUP BY "check") v ON v."check" = c."check\""""
+    f"""WITH {BUILT}, v AS (SELECT "check" FROM ({ORACLES['corpus_violations']}) UNION ALL SELECT w FROM (VALUES ('run_status'), ('source_credentials'), ('row_counts'), ('nonempty')) AS t(w)
+  UNION ALL SELECT 'raw_unchanged' FROM documents WHERE source = 'src2' AND doc_id % 3 = 0
+  UNION ALL SELECT 'manifest_digest' WHERE EXISTS (FROM documents WHERE source = 'src2' AND doc_id % 3 = 0)
+  UNION ALL SELECT 'outputs' WHERE EXISTS (FROM cut WHERE source_id = 'src8' AND ord = 1))
+ SELECT c AS "check", CASE WHEN c IN ({', '.join(_lit(c) for c in _RAN)}) THEN (SELECT count(*) FROM v WHERE v."check" = c) END AS violations,
+ CASE WHEN c NOT IN ({', '.join(_lit(c) for c in _RAN)}) THEN 'not run' WHEN EXISTS (SELECT 1 FROM v WHERE v."check" = c) THEN 'failed' ELSE 'passed' END AS status
+ FROM (VALUES {', '.join(f"('{c}')" for c in validate.CHECKS)}) AS t(c)"""
 )
 def validator_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every check with its number of violations, over a corpus with one fault of several kinds put in."""
-    files = raw_files(spark, sf_dir).select("source_id", "path", F.sha2("text", 256).alias("sha256"), F.octet_length("text").cast("long").alias("size"))
+    """The checks of a corpus and its credentials, digests made anew from the tables, with faults of several kinds put in; those of a stored index are not run here."""
+    docs, parents, cut = _built(spark, sf_dir)
     own, ids = F.col("source_id"), sources(spark, sf_dir)
-    good = ids.join(validate.manifest_digest(files), "source_id").select("source_id", F.when(own == "src1", "in_progress").otherwise("success").alias("status"), F.lit("run").alias("attempt_id"), F.when(own == "src2", "other").otherwise(F.col("manifest_digest")).alias("manifest_digest"), F.lit("out").alias("outputs_sha256"))
-    outputs = ids.select("source_id", F.when(own == "src8", "changed").otherwise("out").alias("outputs_sha256"))
-    indexed = ids.select("source_id", F.when(own == "src9", "old run").otherwise("run").alias("attempt_id"))
-    return validate.report(validate.all_violations(corpus_violations(spark, sf_dir), validate.credentials(good, files, outputs, indexed)))
+    then = _files(raw_files(spark, sf_dir))
+    now = _files(raw_files(spark, sf_dir).withColumn("text", F.when((own == "src2") & (F.substring_index("path", "/", -1).try_cast("long") % 3 == 0), F.concat("text", F.lit("!"))).otherwise(F.col("text"))))
+    product = lambda c: merkle.digests(c.select("source_id", F.col("chunk_id").alias("path"), F.sha2("text", 256).alias("sha256"), F.length("text").cast("long").alias("size"))).select("source_id", F.col("manifest_digest").alias("outputs_sha256"))
+    altered = cut.withColumn("text", F.when((own == "src8") & (F.col("ord") == 1), F.concat("text", F.lit("!"))).otherwise(F.col("text")))
+    credential = lambda status, attempt: ids.join(merkle.digests(then), "source_id").join(product(cut), "source_id", "left").select("source_id", status.alias("status"), attempt.alias("attempt_id"), "manifest_digest", "outputs_sha256")
+    status = F.when(own == "src1", "in_progress").otherwise("success")
+    said, has = credential(status, F.lit("run")), credential(status, F.when(own == "src9", "old run").otherwise("run"))
+    faults = [
+        corpus_violations(spark, sf_dir),
+        validate.nonempty(ids.unionByName(spark.createDataFrame([("empty",)], "source_id string")), {"documents": docs}),
+        validate.row_counts({"documents": -1}, {"documents": docs}),
+        validate.raw_unchanged(then, now), validate.run_status(said), validate.manifest_digests(said, now), validate.outputs(said, product(altered)), validate.source_credentials(said, has),
+    ]
+    return validate.report(validate.all_violations(*faults), _RAN)

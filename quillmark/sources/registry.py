@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmark.operators import corpus
+from quillmark.sources import sinks
 
 SOURCES = "source_id string, display_name string, status string, source_path string, approved_on date, smoke_query string, author string"
 DOCUMENTS = "doc_id string, source_id string, title string, author string, path string, sha256 string"
@@ -43,21 +44,18 @@ def registered_sources(spark: SparkSession, path: str) -> DataFrame:
     return made.withColumn("approved_on", F.to_date("approved_on"))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p)
-    return found is not None and len(found) > 0
-
-
 def jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """JSON lines under a fixed schema; no rows where an optional file is missing."""
-    return spark.read.schema(schema).json(path) if _exists(spark, path) else spark.createDataFrame([], schema)
+    """JSON lines of a product or plain file under a fixed schema; no rows where an optional one is missing."""
+    found = sinks.product(spark, path)
+    return spark.read.schema(schema).json(found) if found else spark.createDataFrame([], schema)
 
 
 def libraries(spark: SparkSession, root: str, sources: DataFrame, name: str, schema: str) -> DataFrame:
-    """One kind of record from every library directory of an approved source."""
-    approved = sources.where(F.col("status") == APPROVED).select("source_id")
-    return jsonl(spark, f"{root}/*/{name}.jsonl", schema).join(approved, "source_id", "left_semi")
+    """One kind of record from the library directory of every approved source; records that name another source are left out."""
+    approved = sorted(r.source_id for r in sources.where(F.col("status") == APPROVED).select("source_id").distinct().collect())  # the registry is a short list
+    paths = [p for p in (sinks.product(spark, f"{root}/{s}/{name}.jsonl") for s in approved) if p]
+    rows = spark.read.schema(schema).json(paths) if paths else spark.createDataFrame([], schema)
+    return rows.where(F.col("source_id").isin(approved))
 
 
 def directories(spark: SparkSession, root: str) -> DataFrame:

@@ -61,28 +61,30 @@ def finish_run(spark: SparkSession, summary: str, state: dict, outputs: dict) ->
     return state
 
 
-def restore(spark: SparkSession, path: str) -> None:
-    """After a crash in the middle of a replacement: the product that was there is put back."""
-    fs, target = _file(spark, path)
-    _, old = _file(spark, f"{path}.old")
-    if not fs.exists(target) and fs.exists(old):
-        fs.rename(old, target)
-
-
 def write_jsonl(frame: DataFrame, path: str) -> None:
-    """Replaces a product as a whole: written aside; the old one is moved aside, and deleted only when the new one is in place."""
-    spark = frame.sparkSession
-    staged = f"{path}.{uuid.uuid4().hex}"
-    frame.write.json(staged)
-    restore(spark, path)
-    fs, target = _file(spark, path)
-    _, old = _file(spark, f"{path}.old")
-    fs.delete(old, True)
-    if fs.exists(target):
-        fs.rename(target, old)
-    if not fs.rename(_file(spark, staged)[1], target):
-        raise OSError(f"{path} was not put in place")
-    fs.delete(old, True)
+    """Replaces a product as a whole: a folder of its own in ``path``, which ``CURRENT`` names from one moment on.
+
+    At every moment the old product or the new one is there; the one before the last is deleted, so a reader that
+    began before a replacement can end.
+    """
+    spark, version = frame.sparkSession, f"v-{uuid.uuid4().hex}"
+    before = _get(spark, f"{path}/CURRENT")
+    frame.write.json(f"{path}/{version}")
+    _put(spark, f"{path}/CURRENT", version)
+    fs, top = _file(spark, path)
+    for status in fs.listStatus(top):
+        name = status.getPath().getName()
+        if name.startswith("v-") and name not in (version, before):
+            fs.delete(status.getPath(), True)
+
+
+def product(spark: SparkSession, path: str) -> str | None:
+    """The folder of a product's files; a plain file or folder is its own; none where nothing is."""
+    fs, p = _file(spark, path)
+    if not fs.exists(p):
+        return None
+    version = _get(spark, f"{path}/CURRENT")
+    return f"{path}/{version.strip()}" if version else path
 
 
 def output_hashes(spark: SparkSession, path: str) -> DataFrame:
