@@ -2,7 +2,8 @@
 
 Defined cases: null and empty texts have no words, so the quality rules drop them; repeated rows with
 one doc_id and text are one document after the third stage; an empty table gives no pieces; extra
-columns, whatever their names, are carried up to the last stage. Long texts are read whole by each stage.
+columns, whatever their names, are carried up to the last stage. Of documents alike in all that a stage compares, any one may
+stay, and always the same. Long texts are read whole by each stage.
 """
 
 from __future__ import annotations
@@ -29,11 +30,14 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of least doc_id, of each component of the n-gram Jaccard join.
 
-    Rows that repeat a doc_id are copies too; documents without words are no one's copies.
+    Rows go by a number, a hash of their doc_id and text, so those that share a doc_id are told apart, and only
+    repeated rows share a number; of these one stays. Documents without words are no one's copies.
     """
-    first = partenum.join(docs, count_links=False).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept")).distinct().alias("first")
+    numbered = docs.select(F.xxhash64(docs["doc_id"], docs["text"]).alias("doc_id"), docs["text"].alias("text"), docs["doc_id"].alias("own_id"))
+    found = partenum.join(numbered, count_links=False, carry="own_id")
+    first = found.groupBy("component_id").agg(F.min(F.struct(F.col("own_id").isNull().alias("none"), "own_id", "doc_id")).alias("r")).select(F.col("r.doc_id").alias("kept")).alias("first")
     own = docs.alias("own")
-    kept = own.join(first, F.col("own.doc_id").eqNullSafe(F.col("first.kept")), "left_semi").select("own.*")
+    kept = own.join(first, F.xxhash64("own.doc_id", "own.text") == F.col("first.kept"), "left_semi").select("own.*")
     return kept.dropDuplicates(["doc_id", "text"])
 
 
