@@ -1,30 +1,36 @@
 """Distribution divergence: quality verdicts from Jensen-Shannon distances to language references.
 
-A document's character-class histogram and its histogram of common words are compared with the
-reference of its language: the mean of the histograms, as shares, of all documents of that language
-with words enough for the base rules, so that no long text outweighs the others. Documents whose
-language has no word list are held against all such languages together, by their characters alone.
-Everything is one pass of built-in functions over the text (no shuffle of texts or words); the
-references are at most one row for each word list and one more, so joining them is a broadcast of
-proven size.
+A document's character-class histogram and its histogram of common words are compared with the reference of its language.
+Both are learned from the table: the common words are the ``common`` most frequent ones of all documents of the language, and
+the reference is the mean of the histograms, as shares, of its documents with words enough for the base rules, so that
+no long text outweighs the others. A language with fewer than ``least_documents`` of them has no
+reference, and its documents no verdict beyond the base rules. So too those of languages beyond the ``most_languages`` with
+most documents, and those without a language.
+
+Words are counted on each task before they are shuffled, by language and word, and each task hands on only its first words of a
+language. All else is one pass of built-in functions over the text, without a shuffle. Word lists and references are
+at most ``most_languages`` rows, so collecting the one and broadcasting the other is of proven size.
 
 Defined cases: a null text counts as empty (no words, base_failed). Repeated rows are judged one by
 one. A short text's histogram is noisy, so both limits are wider by an allowance over the root of
-its number of words. An empty table gives an empty result. Extra columns of the input are dropped (or
+its number of words. Words as frequent as one another are taken in order of their characters. A distance equal to its limit keeps. Texts of any
+length are read whole. An empty table gives an empty result. Extra columns of the input are dropped (or
 carried, whatever their names); only doc_id, text and lang are read. Texts with fewer words than ``min_words_common`` are judged by characters
 alone, those with fewer than ``min_words_chars`` by the base rules alone.
 """
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillmark.llm.common import NOT_SPACE, SPACE, materialize, words_of
+from quillmark.llm.common import NOT_SPACE, SPACE, lower_ascii, materialize, words_of
+from quillmark.llm.exact_dedup import fold
 
-#: Frequent function words of each language.
+#: Frequent function words of some languages, which other operators read; no verdict here depends on them.
 COMMON_WORDS = {
     "de": ["der", "die", "das", "und", "in", "den", "von", "zu", "mit", "sich", "ist", "nicht", "ein", "für"],
     "en": ["the", "of", "and", "to", "a", "in", "that", "is", "it", "for", "with", "was", "on", "be"],
@@ -32,8 +38,7 @@ COMMON_WORDS = {
     "fr": ["de", "la", "le", "et", "les", "des", "en", "un", "du", "une", "que", "est", "pour", "qui"],
 }
 #: Character classes as regular expressions; the last bin takes the rest.
-CLASSES = [r"\p{Ll}", SPACE, r"\p{Lu}", r"\p{Nd}", r"[.,;:!?'\"()\-]"]
-POOLED = "*"
+CLASSES = [r"\p{Ll}", SPACE, r"\p{Lu}", r"\p{Nd}", r"[.,;:!?'\"()\-]", r"\p{Lo}", r"\p{M}"]
 SYMBOLS = "#*$%&|<>"
 WINDOW, MIN_WORDS = 8, 20
 
@@ -56,7 +61,26 @@ def _repeat_words(df: DataFrame) -> DataFrame:
     return df.withColumn("n_repeat_words", F.coalesce(_sum(gap), F.lit(0).cast("long"))).drop("_h", "_e", "_p")
 
 
-def document_statistics(documents: DataFrame, carry: bool = False) -> DataFrame:
+def common_words(documents: DataFrame, common: int = 16, least_documents: int = 20, most_languages: int = 1000) -> dict[str, list[str]]:
+    """The most frequent words, A-Z lower-cased, of each language with enough documents, most frequent first."""
+    named = documents.where(F.col("lang").isNotNull())
+    sizes = named.groupBy("lang").agg(F.count("*").alias("_n")).where(F.col("_n") >= least_documents).orderBy(F.desc("_n"), "lang").limit(most_languages)
+    kept = [r.lang for r in sizes.select("lang").collect()]  # at most ``most_languages``
+    words = named.where(F.col("lang").isin(kept)).select("lang", F.explode(words_of(fold(F.col("text")))).alias("word"))
+    counts = words.groupBy("lang", "word").agg(F.count("*").alias("n"))
+    best = counts.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))).where(F.col("r") <= common)
+    found: dict[str, list[str]] = {}
+    for r in sorted(best.collect(), key=lambda r: (r.lang, r.r)):  # ``common`` rows a language
+        found.setdefault(r.lang, []).append(r.word)
+    return found
+
+
+def _spellings(word: str) -> list[str]:
+    """The word as it is, and with a first letter of A-Z as a capital."""
+    return [word, word[0].upper() + word[1:]] if "a" <= word[:1] <= "z" else [word]
+
+
+def document_statistics(documents: DataFrame, lists: dict[str, list[str]], carry: bool = False) -> DataFrame:
     """The base figures and the two histograms of each document; its whole row too, as _row, to carry it."""
     t = F.coalesce(F.col("text"), F.lit(""))
     row = [F.struct(*[documents[c] for c in documents.columns]).alias("_row")] if carry else []
@@ -72,16 +96,19 @@ def document_statistics(documents: DataFrame, carry: bool = False) -> DataFrame:
     df = df.withColumn("_classes", F.array(*[x - y for x, y in zip(lengths, lengths[1:], strict=False)], lengths[-1]))
     df = df.withColumn("_lines", F.filter(F.split("_t", "\n"), lambda x: x.rlike(NOT_SPACE)))
     symbols = F.length(f"_left{spaces}") - F.length(F.translate(f"_left{spaces}", SYMBOLS, ""))
-    known = F.col("lang").isin(*COMMON_WORDS)
-    lists = F.create_map(*[x for k, v in COMMON_WORDS.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
-    listed = sorted({w for v in COMMON_WORDS.values() for w in v})
-    df = df.withColumn("_list", F.when(known, F.element_at(lists, F.col("lang"))))
-    df = df.withColumn("_common", F.when(known, F.transform(F.filter("_words", lambda w: w.isin(*listed, *[x.capitalize() for x in listed])), F.lower)))
+    known = F.col("lang").isin(*lists) if lists else F.lit(False)
+    spelled = sorted({x for words in lists.values() for w in words for x in _spellings(w)})
+    if lists:
+        by_language = F.from_json(F.lit(json.dumps(lists)), F.lit("map<string,array<string>>"))
+        df = df.withColumn("_list", F.when(known, F.element_at(by_language, F.col("lang"))))
+        df = df.withColumn("_common", F.when(known, F.transform(F.filter("_words", lambda w: w.isin(*spelled)), lower_ascii)))
+    else:
+        df = df.withColumns({c: F.lit(None).cast("array<string>") for c in ("_list", "_common")})
     df = df.withColumn("_counts", F.transform("_list", lambda w: (F.size("_common") - F.size(F.array_remove("_common", w))).cast("long")))
     return df.select(
         "doc_id",
         *["_row"] * carry,
-        F.when(known, F.col("lang")).otherwise(POOLED).alias("ref"),
+        F.when(known, F.col("lang")).alias("ref"),
         "n_words",
         (lengths[0] - F.element_at("_classes", spaces + 1)).alias("word_chars"),
         symbols.cast("long").alias("n_symbols"),
@@ -108,14 +135,11 @@ def js_distance(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(parts, F.lit(0.0), lambda a, x: a + x) / 2))
 
 
-def references(stats: DataFrame) -> DataFrame:
-    """One row for each word list and one for all documents: ref, ref_chars, ref_words."""
-    widest = max(map(len, COMMON_WORDS.values())) + 1
-    good = stats.where(F.col("n_words") >= MIN_WORDS).select("ref", _shares(F.col("char_hist")).alias("ref_chars"), _shares(F.col("word_hist")).alias("ref_words"))
-    sums = [F.array(*[F.coalesce(F.sum(F.get(F.col(c), F.lit(i))), F.lit(0.0)) for i in range(n)]).alias(c) for c, n in (("ref_chars", len(CLASSES) + 1), ("ref_words", widest))]
-    per = good.groupBy("ref").agg(*sums)
-    pooled = per.where(F.col("ref") != POOLED).agg(*sums).select(F.lit(POOLED).alias("ref"), "ref_chars", "ref_words")
-    return per.where(F.col("ref") != POOLED).unionByName(pooled)
+def references(stats: DataFrame, common: int = 16, least_documents: int = 20) -> DataFrame:
+    """ref, ref_chars and ref_words of each language with enough documents that the base rules may keep."""
+    good = stats.where(F.col("ref").isNotNull() & (F.col("n_words") >= MIN_WORDS)).select("ref", _shares(F.col("char_hist")).alias("ref_chars"), _shares(F.col("word_hist")).alias("ref_words"))
+    sums = [F.array(*[F.coalesce(F.sum(F.get(F.col(c), F.lit(i))), F.lit(0.0)) for i in range(n)]).alias(c) for c, n in (("ref_chars", len(CLASSES) + 1), ("ref_words", common + 1))]
+    return good.groupBy("ref").agg(*sums, F.count("*").alias("_n")).where(F.col("_n") >= least_documents).drop("_n")
 
 
 def judge(
@@ -123,9 +147,12 @@ def judge(
     max_char_distance: float = 0.2,
     max_word_distance: float = 0.25,
     char_allowance: float = 0.6,
-    word_allowance: float = 0.35,
+    word_allowance: float = 0.6,
     min_words_chars: int = 20,
     min_words_common: int = 50,
+    common: int = 16,
+    least_documents: int = 20,
+    most_languages: int = 1000,
     carry: bool = False,
 ) -> DataFrame:
     """One row per document: the base figures, both distances (null under their guard), and kept.
@@ -133,10 +160,11 @@ def judge(
     With ``carry`` the result is the kept documents' own columns. Then the figures are computed
     again rather than written beside a second copy of all texts.
     """
-    stats = document_statistics(documents)
+    lists = common_words(documents, common, least_documents, most_languages)
+    stats = document_statistics(documents, lists)
     stats = materialize(stats.select("ref", "n_words", "char_hist", "word_hist") if carry else stats)
-    refs = materialize(references(stats))
-    df = (document_statistics(documents, True) if carry else stats).join(F.broadcast(refs), "ref", "left")
+    refs = materialize(references(stats, common, least_documents))
+    df = (document_statistics(documents, lists, True) if carry else stats).join(F.broadcast(refs), "ref", "left")
     chars = F.when((F.col("n_words") >= min_words_chars) & (_total(F.col("ref_chars")) > 0), js_distance(_shares(F.col("char_hist")), _shares(F.col("ref_chars"))))
     words = F.when((F.col("n_words") >= min_words_common) & (_total(F.col("ref_words")) > 0), js_distance(_shares(F.col("word_hist")), _shares(F.col("ref_words"))))
     df = df.withColumn("char_distance", chars).withColumn("word_distance", words)

@@ -10,7 +10,8 @@ sidebars are prose too. A block is set apart that lies in an element for such th
 class or id), but not where that element holds the article or main part, or, on a page that marks none, nearly all
 the page's prose: then it is a wrapper, whatever its name. A paragraph goes by a whole name only, so that
 class="share-price" is no share button. Where a page marks its article or main part, only that part can
-hold the text, link lists in it are undecided, and its undecided blocks are text if nothing in it is decided.
+hold the text. Density still decides in it: three blocks of links or more in a row are a list and no text, short blocks go
+with their neighbours, be those text or list, and a lone link too; where nothing in it is decided, its undecided blocks without links are text.
 
 Defined cases: null html is an empty page with an empty text. Repeated rows are extracted one by
 one. Broken markup is read as far as it goes: unclosed elements end with their parents. Pages of any
@@ -177,14 +178,17 @@ def decisions(blocks: list[Block], holders: set[int], short: int = 70, long: int
         total = sum(len(b[0]) for b, is_prose in zip(blocks, prose, strict=True) if is_prose)
         wrappers |= {e for e, chars in held.items() if chars >= wrapper * total}
     labels: list[tuple[bool | None, str]] = []
-    for (text, linked, apart, _, in_article), is_prose in zip(blocks, prose, strict=True):
+    dense = [linked > max_link_density * len(text) for text, linked, _, _, _ in blocks]
+    # In a marked article a link alone may be a sentence of it; three in a row are a list of links.
+    listed = [any(all(dense[max(0, j) : j + 3]) and j >= 0 and j + 3 <= len(blocks) for j in (i - 2, i - 1, i)) for i in range(len(blocks))]
+    for i, ((text, linked, apart, _, in_article), is_prose) in enumerate(zip(blocks, prose, strict=True)):
         if not wrappers.issuperset(apart):
             labels.append((False, "apart"))
         elif marked and not in_article:
             labels.append((False, "outside"))
         elif is_prose:
             labels.append((True, "prose"))
-        elif linked > max_link_density * len(text) and not marked:
+        elif linked > max_link_density * len(text) and (not marked or listed[i]):
             labels.append((False, "links"))
         else:
             labels.append((None, "neighbour"))
@@ -202,7 +206,7 @@ def decisions(blocks: list[Block], holders: set[int], short: int = 70, long: int
         if label is None:
             near = [j for j in (before[i], after[i]) if j is not None]
             if not near:
-                label = blocks[i][3] or marked
+                label = blocks[i][3] or (marked and not dense[i])
             elif blocks[i][3] and after[i] is not None:
                 label = labels[after[i]][0]
             else:

@@ -25,7 +25,9 @@ links as (
   from (select coalesce(lower(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's')), '') as host,
                unnest(regexp_extract_all(html, '(?i)\bhref\s*=\s*["'']?\s*((?:[a-z][a-z0-9+.\-]*:)?//[^"''\s>]*)', 1)) as t from pages) u),
 parents as (
-  select distinct host, regexp_extract(host, '^[^.]+\.([^.]+\..+)$', 1) as parent from seeds),
+  select distinct host, parent from (select host, regexp_extract(host, '^[^.:@\[\]]+\.([^.:@\[\]]+\.[^:@\[\]]+)$', 1) as parent from seeds)
+  where not regexp_matches(parent, '^(ac|co|com|edu|gob|gouv|gov|go|gv|id|info|mil|ne|net|nom|or|org|sch)\.[a-z]{2}$') and not regexp_matches(host, '^[0-9.]+$')
+    and parent not in ('appspot.com', 'azurewebsites.net', 'blogspot.com', 'cloudfront.net', 'github.io', 'gitlab.io', 'herokuapp.com', 'netlify.app', 'pages.dev', 's3.amazonaws.com', 'tumblr.com', 'vercel.app', 'web.app', 'weebly.com', 'wixsite.com', 'wordpress.com')),
 edges as (
   select from_host, to_host, sum(n) as n from (
     select from_host, to_host, count(*) as n from links where from_host <> '' and to_host <> '' and from_host <> to_host group by all
@@ -96,17 +98,20 @@ from w left join sets t using (rid) left join nodes k using (node) left join lea
 
 
 def _divergence() -> str:
-    classes = {"low": r"\p{Ll}", "space": r"[\x20\x09-\x0D]", "up": r"\p{Lu}", "digit": r"\p{Nd}", "mark": r"[.,;:!?''\"()\-]"}
+    classes = {"low": r"\p{Ll}", "space": r"[\x20\x09-\x0D]", "up": r"\p{Lu}", "digit": r"\p{Nd}", "mark": r"[.,;:!?''\"()\-]", "other": r"\p{Lo}", "joined": r"\p{M}"}
     size = lambda p: f"length(t) - length(regexp_replace(t, '{p}+', '', 'g'))"
-    words = {"de": "der die das und in den von zu mit sich ist nicht ein für", "en": "the of and to a in that is it for with was on be", "es": "de la que el en y a los se del las por un para", "fr": "de la le et les des en un du une que est pour qui"}
-    lists = " ".join(f"when '{k}' then {v.split()}" for k, v in words.items())
     shares = lambda h: f"list_transform({h}, lambda x: case when list_sum({h}) > 0 then x / list_sum({h})::double else 0.0 end)"
     part = lambda x, m: f"case when {x} > 0 and {m} > 0 then {x} * log2({x} / {m}) else 0.0 end"
     js = lambda p, q: f"sqrt(greatest(0.0, list_sum(list_transform(list_zip({p}, {q}), lambda z: {part('z[1]', '((z[1] + z[2]) / 2)')} + {part('z[2]', '((z[1] + z[2]) / 2)')})) / 2))"
     return rf"""
-with w as (
-  select row_number() over () as rid, doc_id, coalesce(text, '') as t, case when lang in ('de', 'en', 'es', 'fr') then lang else '*' end as ref,
-         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w, case lang {lists} else null end as list from documents),
+with known as (select lang from documents where lang is not null group by lang having count(*) >= 20 order by count(*) desc, lang limit 1000),
+counted as (
+  select lang, word, count(*) as n from (
+    select lang, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')) as word from documents semi join known using (lang)) group by all),
+lists as (select lang, list(word order by n desc, word) as list from (select *, row_number() over (partition by lang order by n desc, word) as r from counted) where r <= 16 group by lang),
+w as (
+  select row_number() over () as rid, doc_id, coalesce(text, '') as t, l.lang as ref, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w, list
+  from documents left join lists l using (lang)),
 lines as (
   select rid, count(*) - count(distinct line) as n_dup_lines from (select rid, unnest(string_split(t, chr(10))) as line from w) where regexp_matches(line, '[^\x20\x09-\x0D]') group by rid),
 windows as (
@@ -116,25 +121,24 @@ s as (
   select w.rid, doc_id, ref, len(w)::bigint as n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::bigint as word_chars,
          length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) as n_symbols, coalesce(n_dup_lines, 0) as n_dup_lines, coalesce(n_repeat_words, 0) as n_repeat_words,
          {", ".join(f"{size(p)} as {c}" for c, p in classes.items())}, length(t) as n_chars,
-         list_transform(coalesce(list, []), lambda x: len(list_filter(w, lambda y: y = x or y = upper(x[1]) || x[2:]))) as listed
+         list_transform(coalesce(list, []), lambda x: len(list_filter(w, lambda y: y = x or (x[1] between 'a' and 'z' and y = upper(x[1]) || x[2:])))) as listed
   from w left join lines using (rid) left join repeats using (rid)),
 h as (
   select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed,
-         {shares("[low, space, up, digit, mark, n_chars - low - space - up - digit - mark]")} as chars,
+         {shares("[low, space, up, digit, mark, other, joined, n_chars - low - space - up - digit - mark - other - joined]")} as chars,
          {shares("list_append(listed, n_words - coalesce(list_sum(listed), 0))")} as words from s),
 sums as (
   select ref, kind, i, sum(v) as v from (
-    select ref, 'chars' as kind, i, chars[i] as v from h, unnest(range(1, 7)) as u(i) where n_words >= 20 and ref <> '*'
-    union all select ref, 'words', i, coalesce(words[i], 0) from h, unnest(range(1, 16)) as u(i) where n_words >= 20 and ref <> '*') group by all),
-every as (select ref, kind, i, v from sums union all select '*', kind, i, sum(v) from sums group by kind, i),
-refs as (select ref, list(v order by i) filter (kind = 'chars') as rc, list(v order by i) filter (kind = 'words') as rw from every group by ref),
+    select ref, 'chars' as kind, i, chars[i] as v from h, unnest(range(1, 9)) as u(i) where n_words >= 20 and ref is not null
+    union all select ref, 'words', i, coalesce(words[i], 0) from h, unnest(range(1, 18)) as u(i) where n_words >= 20 and ref is not null) group by all),
+refs as (select ref, list(v order by i) filter (kind = 'chars') as rc, list(v order by i) filter (kind = 'words') as rw from sums where ref in (select ref from h where n_words >= 20 group by ref having count(*) >= 20) group by ref),
 padded as (
-  select h.*, {shares("rc")} as rc, {shares("rw")} as rw, list_concat(words, list_transform(range(0, 15 - len(words)), lambda x: 0.0)) as longer
+  select h.*, {shares("rc")} as rc, {shares("rw")} as rw, list_concat(words, list_transform(range(0, 17 - len(words)), lambda x: 0.0)) as longer
   from h left join refs using (ref)),
 d as (
   select *, case when n_words >= 20 and rc is not null then {js("chars", "rc")} end as dc, case when n_words >= 50 and rw is not null then {js("longer", "rw")} end as dw from padded)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       not base_failed and coalesce(dc <= 0.2 + 0.6 / sqrt(n_words), true) and coalesce(dw <= 0.25 + 0.35 / sqrt(n_words), true) as kept
+       not base_failed and coalesce(dc <= 0.2 + 0.6 / sqrt(n_words), true) and coalesce(dw <= 0.25 + 0.6 / sqrt(n_words), true) as kept
 from d
 """
 

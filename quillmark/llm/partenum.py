@@ -112,17 +112,18 @@ def signatures(s: np.ndarray) -> np.ndarray:
     return np.concatenate(made) if made else np.zeros(0, np.uint64)
 
 
-def sets_of(documents: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, node (null for an empty set) and sketch of each document."""
+def sets_of(documents: DataFrame, carry: str | None = None) -> DataFrame:
+    """doc_id, n_shingles, node (null for an empty set), sketch and carried (a column of longs, if one is named) of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pyarrow.compute  # noqa: F401
 
         for batch in slices(batches, "text"):
             made = [shingles(t) for t in batch["text"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"].cast(pa.int64()), pa.array(map(len, made), pa.int64()), pa.array(map(node_of, made), pa.int64()), pa.array(map(sketch, made), pa.binary())], names=["doc_id", "n_shingles", "node", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"].cast(pa.int64()), pa.array(map(len, made), pa.int64()), pa.array(map(node_of, made), pa.int64()), pa.array(map(sketch, made), pa.binary()), batch["carried"]], names=["doc_id", "n_shingles", "node", "sketch", "carried"])
 
-    return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, node long, sketch binary")
+    carried = F.col(carry).cast("long") if carry else F.lit(None).cast("long")
+    return documents.select("doc_id", "text", carried.alias("carried")).mapInArrow(run, "doc_id long, n_shingles long, node long, sketch binary, carried long")
 
 
 def packed_signatures(documents: DataFrame, buckets: int, bits: int = 64) -> DataFrame:
@@ -352,12 +353,12 @@ def links_within(documents: DataFrame, members: DataFrame, block: int = 512, mos
     return met.groupBy("comp", "low", "high").applyInArrow(run, "node long, n_links long").groupBy("node").agg(F.sum("n_links").alias("n_links"))
 
 
-def join(documents: DataFrame, per_bucket: int = 3_000_000, count_links: bool = True, block: int = 512) -> DataFrame:
+def join(documents: DataFrame, per_bucket: int = 3_000_000, count_links: bool = True, block: int = 512, carry: str | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id and n_links (links of its set with different sets) of every document.
 
-    Without count_links there is no n_links, and the work for it is not done.
+    Without count_links there is no n_links, and the work for it is not done; a column of longs may then be carried.
     """
-    stats = materialize(sets_of(documents))
+    stats = materialize(sets_of(documents, carry))
     total = stats.agg(F.sum("n_shingles")).first()[0] or 0
     packed = packed_signatures(documents, max(8, total // per_bucket + 1), min(64, int(total).bit_length() + 14))
     found = materialize(candidates(packed))
@@ -374,7 +375,7 @@ def join(documents: DataFrame, per_bucket: int = 3_000_000, count_links: bool =
     least = linked.groupBy("comp").agg(F.min("rep").alias("component_id"))
     of_node = nodes.join(linked.join(least, "comp").select("node", "component_id"), "node", "left").select("node", F.coalesce("component_id", "rep").alias("component_id"))
     if not count_links:
-        return stats.join(of_node, "node", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+        return stats.join(of_node, "node", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), *[F.col("carried").alias(carry)] * bool(carry))
     untried = wide.join(comps, "node").groupBy("sig", "comp").agg(F.count("*").alias("_n")).where("_n > 1").select("comp").distinct()
     members = materialize(linked.join(untried, "comp", "left_semi").select("node", "rep", "n", "comp"))
     formed = links.select(F.explode(F.array("x", "y")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))

@@ -324,6 +324,22 @@ def test_quality_rules(spark):
     assert divergence.judge(df.limit(0)).collect() == []
 
 
+def test_quality_references_are_learned_for_every_language(spark):
+    r = random.Random(3)
+    vocabulary = {"zh": "情绪周期 弱转强 竞价 龙头 今天 市场 学习 我们", "hi": "यह एक परीक्षण है और हम इसे देखते हैं", "ar": "هذا اختبار في على من إلى عن كتاب", "el": "ο και το να είναι για με του"}
+    rows = [(k, " ".join(r.choice(v.split()) for _ in range(60)), lang) for i, (lang, v) in enumerate(vocabulary.items()) for k in range(100 * i, 100 * i + 40)]
+    rows += [(900, " ".join(f"x{i}%%% | ###" for i in range(60)), "zh"), (901, " ".join(f"w{i}" for i in range(60)), "rare"), (902, " ".join(f"w{i}" for i in range(60)), None)]
+    df = make_docs(spark, rows)
+    got = {x.doc_id: x for x in divergence.judge(df).collect()}
+    assert [d for d, x in got.items() if not x.kept] == [900]
+    assert got[901].char_distance is got[902].char_distance is None and got[0].char_distance is not None  # no reference, no verdict
+    lists = divergence.common_words(df, common=3)
+    for lang in vocabulary:
+        counts = collections.Counter(w for _, t, x in rows if x == lang for w in words(t))
+        assert lists[lang] == [w for w, _ in sorted(counts.items(), key=lambda c: (-c[1], c[0]))[:3]]
+    assert set(divergence.common_words(df, most_languages=2)) == {"ar", "zh"} or len(divergence.common_words(df, most_languages=2)) == 2
+
+
 def test_jensen_shannon_distance(spark):
     p, q = [0.5, 0.5, 0.0], [0.1, 0.2, 0.7]
     kl = lambda a, b: sum(x * math.log2(x / y) for x, y in zip(a, b, strict=True) if x)
@@ -365,6 +381,14 @@ def test_pages(spark):
     assert texts.count() == 10 and html_blocks.extract(df.limit(0)).collect() == []
 
 
+def test_owners_of_shared_suffixes_and_addresses_do_not_answer_for_each_other(spark):
+    rules = [("bad.co.uk/", "block"), ("bad.github.io/", "block"), ("7.0.0.1/", "block"), ("www.bad.example.org/", "block")]
+    hosts = [f"{n}.{s}" for s in ("co.uk", "github.io", "0.0.1") for n in ("bad", "good0", "good1")] + ["7.0.0.1", "10.0.0.1", "www.bad.example.org", "shop.bad.example.org", *[f"h{i}.net" for i in range(40)]]
+    df = spark.createDataFrame([(i, f"http://{h}/x", None) for i, h in enumerate(hosts)], "page_id long, url string, html string")
+    blocked = {r.host for r in url_graph.judge(df, rules).collect() if r.verdict == "block"}
+    assert blocked == {"bad.co.uk", "bad.github.io", "7.0.0.1", "www.bad.example.org", "shop.bad.example.org"}
+
+
 def test_lost_mass_returns_to_seeds(spark):
     links = {"a.net": ["z.net"], "b.org": ["a.net", "c.org"], "d.org": ["b.org"], "c.org": ["d.org", "e.org"], "v.example.com": ["c.org", "u.org"]}
     hosts = [*links, "z.net", "e.org", *[f"h{i}.org" for i in range(8)]]
@@ -471,6 +495,20 @@ def test_near_duplicates_whatever_the_columns_and_lengths(spark):
     assert got.columns == df.columns and sorted(r.doc_id for r in got.collect()) == [1, 3, 4]
 
 
+def test_near_duplicates_tell_rows_of_one_doc_id_apart(spark):
+    a, b = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
+    got = corpus_pipeline.near_duplicates(spark, make_docs(spark, [(1, a, "en"), (7, a, "en"), (7, b, "en"), (7, b, "en")]), "").collect()
+    assert sorted(r.text for r in got) == sorted([a, b])
+
+
+def test_pipeline_of_tables_without_a_word(spark):
+    for rows in ([], [(None, None, None), (1, None, "en"), (2, "", None)]):
+        docs = make_docs(spark, rows)
+        for name, stage in corpus_pipeline.STAGES:
+            docs = stage(spark, docs, "")
+        assert docs.collect() == []
+
+
 def test_pipeline(spark, tmp_path):
     df = make_docs(spark)
     docs, names = df, df.columns

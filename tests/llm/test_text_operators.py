@@ -191,3 +191,15 @@ def test_flac_of_another_encoder():
     own = flac.encode([flac.payload_of("Some text for both decoders. " * 40)])
     _, plain, _ = flac.decode_any(own[0])
     assert bytes(v + 128 for v in plain) == flac.decode(own)[0][0]
+
+
+def test_density_decides_inside_a_marked_article():
+    story = "The story of the house is that it was sold to the man in the end, and more of the same came after it."
+    links = "".join(f"<p><a href={i}>Read more about part {i} here</a></p>" for i in range(5))
+    extract = html_blocks.extract_text
+    assert extract(f"<article>{links}</article>") == ""
+    assert extract(f"<article><h1>Head</h1><p>{story}</p><p>Short.</p>{links}<p>Near the list</p></article>") == f"Head\n\n{story}\n\nShort."
+    assert extract(f"<article><p>{story}</p><p><a href=x>A single link</a></p><p>{story}</p></article>") == f"{story}\n\nA single link\n\n{story}"
+    blocks, holders = html_blocks.blocks_of(f"<article><p>{story}</p>{links}<p>Near the list</p></article>")
+    off = html_blocks.decisions(blocks, holders, max_link_density=1.0)
+    assert [x for x, _ in off] == [True] * 7 != [x for x, _ in html_blocks.decisions(blocks, holders)]
