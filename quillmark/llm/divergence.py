@@ -28,7 +28,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillmark.llm.common import NOT_SPACE, SPACE, lower_ascii, materialize, words_of
-from quillmark.llm.exact_dedup import fold
 
 #: Frequent function words of some languages, which other operators read; no verdict here depends on them.
 COMMON_WORDS = {
@@ -66,8 +65,9 @@ def common_words(documents: DataFrame, common: int = 16, least_documents: int =
     named = documents.where(F.col("lang").isNotNull())
     sizes = named.groupBy("lang").agg(F.count("*").alias("_n")).where(F.col("_n") >= least_documents).orderBy(F.desc("_n"), "lang").limit(most_languages)
     kept = [r.lang for r in sizes.select("lang").collect()]  # at most ``most_languages``
-    words = named.where(F.col("lang").isin(kept)).select("lang", F.explode(words_of(fold(F.col("text")))).alias("word"))
-    counts = words.groupBy("lang", "word").agg(F.count("*").alias("n"))
+    words = named.where(F.col("lang").isin(kept)).select("lang", F.explode(words_of(F.col("text"))).alias("word"))
+    # Different words are few beside the texts, so they are counted as they stand and lower-cased then.
+    counts = words.groupBy("lang", "word").agg(F.count("*").alias("n")).groupBy("lang", lower_ascii(F.col("word")).alias("word")).agg(F.sum("n").alias("n"))
     best = counts.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))).where(F.col("r") <= common)
     found: dict[str, list[str]] = {}
     for r in sorted(best.collect(), key=lambda r: (r.lang, r.r)):  # ``common`` rows a language
