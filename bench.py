@@ -10,13 +10,16 @@ from pyspark.sql import SparkSession
 
 from quillmark.plans import catalog
 
-HEADLINE = ["ranked_search", "ranked_search_short", "ranked_search_mixed", "recall_short", "recall_long", "recall_counts", "hits_by_source", "batch_search", "compare_sources", "indexed_recall", "indexed_search", "indexed_batch_search", "posting_search", "smoke_terms", "traceability", "manifest_digests"]
+HEADLINE = ["ranked_search", "ranked_search_short", "ranked_search_mixed", "recall_short", "recall_long", "recall_counts", "hits_by_source", "batch_search", "compare_sources", "indexed_recall", "indexed_search", "top_search", "indexed_batch_search", "posting_search", "indexed_counts", "smoke_terms", "traceability", "manifest_digests"]
 
 
 def main() -> None:
     sf_dir, cpus = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1"), os.environ.get("BENCH_CPUS", "8")
     spark = SparkSession.builder.master(f"local[{cpus}]").config("spark.driver.memory", "8g").config("spark.sql.shuffle.partitions", cpus).config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    start = time.perf_counter()
+    catalog.stored_index(spark, sf_dir)
+    built = round(time.perf_counter() - start, 4)  # also the session's first job
     times = {}
     for name in HEADLINE:
         runs = []
@@ -34,7 +37,7 @@ def main() -> None:
             catalog.QUERIES[name](spark, small).write.format("noop").mode("overwrite").save()
             runs.append(time.perf_counter() - start)
         growth[name] = round(times[name] / min(runs), 2)
-    print(json.dumps({"growth_from_sf0.001": growth, "metric": "total_query_seconds", "value": round(sum(times.values()), 4), "unit": "sec", "queries": times, "sf": sf_dir.rstrip("/").rpartition("/sf")[2]}))
+    print(json.dumps({"growth_from_sf0.001": growth, "index_build_seconds": built, "metric": "total_query_seconds", "value": round(sum(times.values()), 4), "unit": "sec", "queries": times, "sf": sf_dir.rstrip("/").rpartition("/sf")[2]}))
     spark.stop()
 
 
