@@ -1,7 +1,7 @@
 """The command line.
 
     python -m quillmark query "<words>" --index <folder>     ranked results of a stored index, with where each was found
-    python -m quillmark import <source> --root <library>     cuts a source's raw files into its products
+    python -m quillmark import <source> --root <library> [--kind pdf]     cuts a source's raw files into its products
     python -m quillmark build --root <library> --registry <file> --index <folder>
     python -m quillmark validate --root <library> --registry <file> --index <folder>     1 if a check fails or didn't run
 """
@@ -33,7 +33,9 @@ def main(argv: list[str] | None = None) -> int:
     query.add_argument("--limit", type=int, default=search.DEFAULT_LIMIT)
     query.add_argument("--source")
     query.add_argument("--author")
-    commands.add_parser("import", help="cut a source's raw files").add_argument("source")
+    cut = commands.add_parser("import", help="cut a source's raw files")
+    cut.add_argument("source")
+    cut.add_argument("--kind", choices=["text", "pdf"], default="text")
     for name, command in commands.choices.items():
         if name != "query":
             command.add_argument("--root", required=True)
@@ -48,7 +50,7 @@ def main(argv: list[str] | None = None) -> int:
     if asked.command == "query":
         return _query(spark, asked)
     if asked.command == "import":
-        print(library.import_source(spark, asked.root, asked.source)["run"]["status"])
+        print(library.import_source(spark, asked.root, asked.source, library.pdf_texts if asked.kind == "pdf" else library.raw_texts)["run"]["status"])
         return 0
     sources = registry.registered_sources(spark, asked.registry)
     if asked.command == "build":

@@ -16,7 +16,7 @@ from quillmark.functions.folding import ASCII_LOWER, ASCII_UPPER, fold_pairs
 from quillmark.functions.text import occurrences
 from quillmark.operators import analytics, batch, compare, corpus, merkle, postings, search, validate
 from quillmark.plans.query import parse
-from quillmark.sources import html_chat, index, registry, sinks
+from quillmark.sources import html_chat, index, json_walk, pdf, registry, sinks
 
 LONG, SHORT, MIXED = "the ment Étion", "en au", "é the en ET"
 TERMS = ["the", "en", "Étion", "ment", "É", "*", "[", "of the"]
@@ -397,6 +397,30 @@ def json_nul_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "events").select("event_id", html_chat.parsed_nul_count(props).alias("nuls"))
 
 
+@query("""WITH e AS (SELECT event_id, '{"id":' || event_id || ',"at":[[{"type":' || to_json(event_type) || '}],[]],"props":' || props || '}' AS j FROM events WHERE json_valid(props))
+SELECT event_id, t.fullkey AS path, CASE t.type WHEN 'OBJECT' THEN '{}' WHEN 'ARRAY' THEN '[]' ELSE t.atom::VARCHAR END AS value FROM e, json_tree(e.j) t
+WHERE t.type NOT IN ('OBJECT', 'ARRAY') OR t.value::VARCHAR IN ('{}', '[]')""")
+def json_leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each leaf of nested JSON with its path."""
+    whole = F.concat(F.lit('{"id":'), F.col("event_id").cast("string"), F.lit(',"at":[[{"type":"'), "event_type", F.lit('"}],[]],"props":'), "props", F.lit("}"))
+    return json_walk.leaves(_table(spark, sf_dir, "events").select("event_id", whole.alias("j")), "j", ["event_id"])
+
+
+@query("""SELECT event_id, path, kind, position::BIGINT AS position FROM events, (VALUES ('$.a[0]."k\\u0000"', 'key', 2), ('$.a[0]."k\\u0000"', 'value', 1), ('$.a[0]."k\\u0000"', 'value', 3)) n(path, kind, position)
+WHERE json_valid(props) AND event_id % 2 = 0""".replace("\\\\", "\\"))
+def json_nul_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per NUL of parsed JSON: three are put into every second row, in a nested key and its value; the rest have none."""
+    props = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit('{"a":[{"k\\u0000":"\\u0000x\\u0000"}],"b":"\\\\u0000","c":'), F.col("props"), F.lit("}"))).otherwise(F.col("props"))
+    return json_walk.nuls(_table(spark, sf_dir, "events").select("event_id", props.alias("j")), "j", ["event_id"])
+
+
+@query("SELECT doc_id, 1::INT AS page, rtrim(text, chr(10)) AS text FROM documents WHERE text IS NOT NULL")
+def pdf_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text layers of PDF files made of each document, read back."""
+    made = _table(spark, sf_dir, "documents").where("text is not null").select(F.col("doc_id").cast("string").alias("sha256"), pdf.as_pdf(F.split("text", "\n")).alias("content"))
+    return pdf.pages_of(made).select(F.col("sha256").cast("long").alias("doc_id"), "page", F.rtrim("text", F.lit("\n")).alias("text"))
+
+
 @query(f"WITH {BUILT} SELECT * FROM parents")
 def paragraph_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _built(spark, sf_dir)[1]

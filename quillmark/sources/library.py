@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmark.operators import analytics, corpus, merkle, validate
-from quillmark.sources import index, registry, sinks
+from quillmark.sources import index, pdf, registry, sinks
 
 PRODUCTS = {"documents": registry.DOCUMENTS, "parents": registry.PARENTS, "chunks": registry.CHUNKS}
 
@@ -35,6 +35,12 @@ def raw_texts(spark: SparkSession, root: str, source_id: str) -> DataFrame:
     return texts.select(F.lit(source_id).alias("source_id"), F.regexp_extract("_metadata.file_path", r"/([^/]+/raw/.*)$", 1).alias("path"), F.col("value").alias("text"))
 
 
+def pdf_texts(spark: SparkSession, root: str, source_id: str) -> DataFrame:
+    """source_id, path, text of the pages of a source's raw PDF files; pages once read are kept beside the products, by the file's hash."""
+    pages = pdf.import_pdf(spark, f"{root}/{source_id}/raw", f"{root}/{source_id}/page_texts")
+    return pdf.texts_of(pages.withColumn("path", F.regexp_extract("path", r"/([^/]+/raw/.*)$", 1)), source_id)
+
+
 def product_digests(spark: SparkSession, root: str, sources: list[str]) -> DataFrame:
     """source_id and outputs_sha256: one digest of the files of all products of each source, with their rows."""
     made = []
