@@ -6,9 +6,9 @@ argument, and the plain turn after it is that call's result, so plain conversati
 way. Calls meet results in a hash join on (conversation, identifier); several results of one
 identifier are first reduced to one, so no identifier multiplies rows. A result that meets no call,
 or is not the one taken, is a row of its own with that fault, and so is a turn that is neither call
-nor result: every turn is in the output. Arguments are held against
+nor result, and what a turn of calls says beside them: every turn is in the output, whole. Arguments are held against
 schemas of (tool, argument, type, pattern, required). Canonical JSON has its keys sorted at every depth, no white
-space, and numbers in their shortest form. A call whose arguments hold ``{"$ref": id}`` at any depth depends on the call of that id; levels of the dependency graph come from joined sweeps, one a level,
+space, and one form for equal numbers: plain digits without needless zeros, an exponent only where 38 digits don't hold the number. A call whose arguments hold ``{"$ref": id}`` at any depth depends on the call of that id; levels of the dependency graph come from joined sweeps, one a level,
 until one settles no call; a call on a cycle, or that depends on one, gets level -1. The order of a conversation is
 (level, turn, ordinal). Nothing gathers a conversation into one row or one task.
 
@@ -36,6 +36,18 @@ SCHEMAS = {"respond": {"text": ("string", r"(?s).*\S.*", True)}}
 Schemas = dict[str, dict[str, tuple[str, str | None, bool]]]
 
 
+def canonical_numbers(json: Column) -> Column:
+    """JSON as Spark writes it, with one form for equal numbers; Spark writes 100 and 100.0, 10000000 and 1.0E7. Strings stay as they are."""
+    tokens = F.regexp_extract_all(json, F.lit(r'"[^"\\]*+(?:\\.[^"\\]*+)*+"|-?[0-9][0-9.E+-]*+|[^"0-9-]++'), 0)
+
+    def plain(t: Column) -> Column:
+        found = F.coalesce(*[F.when(t.try_cast(f"decimal(38,{s})").cast("double") == t.cast("double"), t.try_cast(f"decimal(38,{s})").cast("string")) for s in (*range(0, 37, 4), 38)])
+        digits = F.when(found.contains("."), F.regexp_replace(found, r"\.?0+\z", "")).otherwise(found)
+        return F.when(t.rlike(r"^-?[0-9].*(E|\.0\z)"), F.coalesce(digits, t)).otherwise(t)
+
+    return F.when(json.rlike(r"[0-9](?:\.0(?![0-9])|E-?[0-9])"), F.array_join(F.transform(tokens, plain), "")).otherwise(json)
+
+
 def _message() -> Column:
     v = F.when(F.col("text").rlike(r"^\s*\{"), F.try_parse_json("text"))
     get = lambda path, kind: F.try_variant_get(v, path, kind)
@@ -87,8 +99,10 @@ def unlinked(turns: DataFrame, results: DataFrame, firsts: DataFrame, calls: Dat
     fault = F.when(F.col("_linked"), "surplus result").otherwise("no call")
     row = lambda level, turn, call_id, n, at, fault, *body: ["conv_id", level.alias("level"), turn.alias("turn"), F.lit(0).alias("ordinal"), call_id.alias("call_id"), F.lit(None).cast("string").alias("name"), n.alias("n_results"), at.alias("result_turn"), fault.alias("faults"), F.to_json(F.struct(*body)).alias("canonical")]
     rest = rest.select(*row(F.coalesce("level", F.lit(0)), F.col("r.t"), F.col("call_id"), F.col("n_results"), F.col("r.t"), fault, F.col("call_id").alias("id"), F.col("r.c").alias("result")))
-    other = turns.where((F.coalesce(F.size("_calls"), F.lit(0)) <= 0) & F.col("_answers").isNull())
-    return rest.unionByName(other.select(*row(F.lit(0), F.col("turn"), F.lit(None).cast("string"), F.lit(0).cast("long"), F.lit(None).cast(turns.schema["turn"].dataType), F.lit("neither call nor result"), F.col("text").alias("content"), F.col("role"))))
+    calling = F.coalesce(F.size("_calls"), F.lit(0)) > 0
+    said = F.when(calling, F.when(F.col("_is_call") & ~F.col("_is_result"), F.col("_m.content"))).when(F.col("_answers").isNull(), F.col("text"))
+    other = turns.withColumn("_said", said).where("_said is not null")
+    return rest.unionByName(other.select(*row(F.lit(0), F.col("turn"), F.lit(None).cast("string"), F.lit(0).cast("long"), F.lit(None).cast(turns.schema["turn"].dataType), F.when(calling, F.lit("")).otherwise(F.lit("neither call nor result")), F.col("_said").alias("content"), F.col("role"))))
 
 
 def levels(calls: DataFrame) -> DataFrame:
@@ -140,7 +154,7 @@ def _faults(schemas: Schemas) -> Column:
 def format_chat(conversations: DataFrame, schemas: Schemas) -> DataFrame:
     """One row per call: its place, its result, what is wrong with it, and both as canonical JSON.
 
-    So too one per result without a call, per surplus result and per turn that is neither.
+    So too one per result without a call, per surplus result, per turn that is neither, and per content beside calls.
     """
     turns = turns_of(conversations)
     calls = calls_of(turns)
@@ -149,5 +163,5 @@ def format_chat(conversations: DataFrame, schemas: Schemas) -> DataFrame:
     df = calls.join(firsts, ["conv_id", "call_id"], "left").join(depth, ["conv_id", "call_id"], "left")
     df = df.withColumn("faults", _faults(schemas)).withColumn("level", F.coalesce("level", F.lit(0))).withColumn("n_results", F.coalesce("n_results", F.lit(0).cast("long")))
     body = F.struct("arguments", F.col("call_id").alias("id"), F.col("name"), F.col("result"))
-    made = df.select("conv_id", "level", "turn", "ordinal", "call_id", "name", "n_results", "result_turn", F.concat_ws("; ", "faults").alias("faults"), F.to_json(body).alias("canonical"))
+    made = df.select("conv_id", "level", "turn", "ordinal", "call_id", "name", "n_results", "result_turn", F.concat_ws("; ", "faults").alias("faults"), canonical_numbers(F.to_json(body)).alias("canonical"))
     return unlinked(turns, results, firsts, calls, depth).unionByName(made)
