@@ -3,11 +3,12 @@
 A document's set is its distinct 5-word shingles, hashed to 64 bits; equal sets are one node. Sizes
 fall into bands [l, l / 0.8], so a pair of similarity 0.8 lies in one band or two neighbouring ones,
 and differs in at most k = 2 r / 9 shingles, r the upper end of the pair's band. For each band the
-domain of shingles is dealt into n parts, n > k: two such sets agree wholly on more than n - k - 1
-parts, so they share the signature (band, part, what the set has in the part) of one. (Subsets of
-more parts, as PartEnum has them, are not enumerated.) Parts that are empty in a set would share
-signatures for nothing; a set with fewer than n - k of them is sure to agree with any partner on a
-part that isn't, so only the other, rare sets sign their empty parts.
+domain of shingles is dealt, on a first level, into k / 2 + 1 + e groups; two such sets differ by more than one
+shingle in at most k / 2 of them. Each group is dealt, on a second level, into three parts, and its signatures are the subsets of
+two: sets that differ there by one shingle at most agree on one of these wholly, so they share the signature
+(band, group, subset, what the set has in it). A subset that is empty in a set would be shared for nothing. A set with at
+most e groups that have such a subset needs none of them, since e + 1 groups are as near as said with any partner;
+only the other, rare sets sign their empty subsets.
 
 Signatures travel packed, a row per (slice of documents, bucket); the number of buckets follows the
 number of shingles, so a bucket's size does not grow with the input. A signature shared by at most
@@ -91,6 +92,16 @@ _BANDS = bands(1 << 40)
 _ENDS = np.array([r for _, r in _BANDS])
 
 
+#: The two parts of each subset.
+PAIRS = np.array([[1, 2], [0, 2], [0, 1]])
+
+
+def groups_of(k: int) -> tuple[int, int]:
+    """How many groups of the first level a band has whose sets differ in at most k shingles, and how many of those are spare."""
+    spare = max(2, k // 12)
+    return k // 2 + 1 + spare, spare
+
+
 def signatures(s: np.ndarray) -> np.ndarray:
     """All signatures of a set."""
     made, band = [], int(np.searchsorted(_ENDS, len(s)))
@@ -98,17 +109,19 @@ def signatures(s: np.ndarray) -> np.ndarray:
         k = 2 * int(_ENDS[i]) // 9
         if k == 0:
             continue  # such sets are equal or not similar
-        n = k + 1 + max(2, -(-k // 4))
+        groups, spare = groups_of(k)
         salt = mix(np.array([i + 1], np.uint64) * K1)
         x = mix(s ^ salt)
-        part = ((x >> S32) * np.uint64(n) >> S32).astype(np.int64)
+        part = ((x >> S32) * np.uint64(3 * groups) >> S32).astype(np.int64)
         order = np.argsort(part, kind="stable")
         starts = np.flatnonzero(np.append(True, np.diff(part[order]) != 0))
-        parts = part[order][starts].astype(np.uint64)
-        made.append(mix(np.add.reduceat(mix(x * K1)[order], starts) + salt * (parts + np.uint64(1))))
-        if n - len(parts) >= n - k:
-            empty = np.setdiff1d(np.arange(n, dtype=np.uint64), parts)
-            made.append(mix(salt * (empty + np.uint64(1)) + np.uint64(1)))
+        held = np.zeros(3 * groups, np.uint64)  # a sum of hashes for each part, 0 for an empty one
+        held[part[order][starts]] = mix(np.add.reduceat(mix(x * K1)[order], starts)) | np.uint64(1)
+        both = held.reshape(groups, 3)[:, PAIRS]
+        subset = salt * np.arange(1, 3 * groups + 1, dtype=np.uint64).reshape(groups, 3)
+        own = mix(both[:, :, 0] * K1 + both[:, :, 1] * K2 + subset)
+        some = both.any(axis=2)
+        made.append(own.reshape(-1) if (~some.all(axis=1)).sum() > spare else own[some])
     return np.concatenate(made) if made else np.zeros(0, np.uint64)
 
 
@@ -353,7 +366,7 @@ def links_within(documents: DataFrame, members: DataFrame, block: int = 512, mos
     return met.groupBy("comp", "low", "high").applyInArrow(run, "node long, n_links long").groupBy("node").agg(F.sum("n_links").alias("n_links"))
 
 
-def join(documents: DataFrame, per_bucket: int = 3_000_000, count_links: bool = True, block: int = 512, carry: str | None = None) -> DataFrame:
+def join(documents: DataFrame, per_bucket: int = 2_000_000, count_links: bool = True, block: int = 512, carry: str | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id and n_links (links of its set with different sets) of every document.
 
     Without count_links there is no n_links, and the work for it is not done; a column of longs may then be carried.

@@ -461,6 +461,24 @@ def test_arguments_keep_their_types_and_repeated_keys_are_text(spark):
     }
 
 
+def test_equal_numbers_have_one_form_and_content_beside_calls_stays(spark):
+    equal = [["1", "1.0", "1e0", "10E-1"], ["100", "1e2", "100.0"], ["10000000", "1e7", "1.0E+7"], ["0", "-0", "-0.0", "-0e0", "0e9"], ["0.00001", "1e-5"], ["-1250000000000000000000", "-1.25e21"], ["0.001234", "1.234e-3"], ["1e300", "1.0e300"], ["12345678901234567890123", "12345678901234567890123.0"]]
+    made = lambda n: json.dumps({"content": "thinking 1.0", "tool_calls": [{"id": "1.0", "name": "t", "arguments": "@"}]}).replace('"@"', '{"n":[' + n + '],"s":"a\\\\\\"1.0,1.0E7"}')
+    rows = [(i, j, "assistant", made(n)) for i, forms in enumerate(equal) for j, n in enumerate(forms)]
+    got = chat_format.format_chat(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), {}).collect()
+    calls = collections.defaultdict(set)
+    for r in got:
+        if r.name:
+            calls[r.conv_id].add(r.canonical)
+    assert [len(calls[i]) for i in range(len(equal))] == [1] * len(equal)
+    for i in range(8):
+        read = json.loads(next(iter(calls[i])))
+        assert float(read["arguments"]["n"][0]) == float(equal[i][0]) and read["id"] == "1.0" and read["arguments"]["s"] == 'a\\"1.0,1.0E7'
+    assert '"n":[100]' in next(iter(calls[1])) and '"n":[0.00001]' in next(iter(calls[4])) and '"n":[0]' in next(iter(calls[3]))
+    beside = [(r.conv_id, r.turn, r.faults, r.canonical) for r in got if not r.name]
+    assert sorted(beside) == sorted((c, t, "", '{"content":"thinking 1.0","role":"assistant"}') for c, t, *_ in rows)
+
+
 def test_every_turn_is_accounted_for(spark):
     rows = [
         (1, 0, "system", "be kind"),

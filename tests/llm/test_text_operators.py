@@ -125,6 +125,22 @@ def test_bands_and_signatures_lose_no_pair():
                 assert len(np.intersect1d(partenum.signatures(a), partenum.signatures(b)))
 
 
+def test_subsets_of_two_parts_in_a_group_near_enough():
+    """Two sets that differ in k shingles have a spare group more than they need, whichever those are."""
+    for k in range(1, 400):
+        groups, spare = partenum.groups_of(k)
+        assert groups - k // 2 == spare + 1 and spare >= 2
+    r = np.random.default_rng(3)
+    a = np.unique(r.integers(0, 1 << 63, 300).astype(np.uint64))
+    k = 2 * int(partenum._ENDS[np.searchsorted(partenum._ENDS, len(a))]) // 9
+    groups, spare = partenum.groups_of(k)
+    made = partenum.signatures(a)
+    assert len(np.unique(made)) == len(made) and len(made) > 2.9 * groups
+    assert len(np.intersect1d(made, partenum.signatures(a[1:]))) < len(made)  # a signature holds two parts: one shingle changes two of three
+    few = np.unique(r.integers(0, 1 << 63, 12).astype(np.uint64))  # empties are signed where most groups have one
+    assert len(partenum.signatures(few))
+
+
 def test_shingles_are_sets_of_five_words():
     words = [f"w{i % 7}" for i in range(40)]
     brute = {tuple(words[i : i + 5]) for i in range(36)}
