@@ -1,10 +1,14 @@
 """Postings: where each gram stands, in blocks of chunks, so that terms are found, counted and ranked without text.
 
-Chunks are numbered in blocks of 64. A posting is a row of a gram and a block: how many of the block's
+Chunks are numbered in blocks of 64. A posting is a gram and a block: how many of the block's
 chunks hold the gram, the most occurrences in any one of them for each field (the block's bound), and a list of
-packed keys. Grams of three characters, under the fold of long terms, list the position of each occurrence; grams of one
+keys. Grams of three characters, under the fold of long terms, list the position of each occurrence; grams of one
 and two, under the fold of short terms, list a count for each chunk and field, without overlaps.
 
+Stored are rows of a gram and 16 blocks: the cells (chunk and field) that hold the gram, how often each does, and the
+positions there, each as differences in as few bytes as they need. Bounds and short terms need no positions. A task writes the
+rows of the chunks that it read, so no list is shuffled.
+
 A long term needs only grams that cover it, and of those the rarest: the cover is the one whose lists hold least. The
 positions of its grams, each less its own place in the term, intersect in exactly the term's
 occurrences, so no text is read to verify. A short term is one gram. Terms of many queries share one pass.
@@ -31,9 +35,11 @@ from quillmark.functions.workers import ship
 from quillmark.operators.search import FIELDS, bonus_of
 from quillmark.plans.query import Term, parse
 
-BLOCK_BITS, FIELD_BITS, COUNT_BITS, SEGMENT_BITS, BUCKETS = 6, 2, 34, 46, 16
+BLOCK_BITS, FIELD_BITS, COUNT_BITS, SEGMENT_BITS, UNIT_BITS, BUCKETS = 6, 2, 34, 46, 4, 16
+PLACE_BITS = BLOCK_BITS + FIELD_BITS
 COUNT_MASK = (1 << COUNT_BITS) - 1
-SCHEMA = "gram string, block long, n int, max_text int, max_title int, max_author int, keys array<long>"
+#: As stored: ``unit`` is a run of blocks; ``n`` chunks and ``n_blocks`` blocks of it hold the gram.
+SCHEMA = "gram string, unit long, n int, n_blocks int, cells binary, sizes binary, positions binary"
 #: Plans of terms up to so many rows are broadcast, beyond that joined by a shuffle.
 MOST_BROADCAST = 1_000_000
 
@@ -72,31 +78,99 @@ def _starts(*columns: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
+def _packed(values: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """Numbers from 0 up, seven bits a byte, the low ones first; a binary for each run that begins at ``starts``."""
+    values = values.astype(np.uint64)
+    sizes = np.ones(len(values), np.int64)
+    for k in range(7, 64, 7):
+        if not (more := values >> np.uint64(k) > 0).any():
+            break
+        sizes += more
+    ends = np.cumsum(sizes)
+    out = np.zeros(int(ends[-1]) if len(ends) else 0, np.uint8)
+    for k in range(int(sizes.max(initial=0))):
+        has = np.flatnonzero(sizes > k)
+        out[ends[has] - sizes[has] + k] = (values[has] >> np.uint64(7 * k) & np.uint64(127)) | np.where(sizes[has] > k + 1, 128, 0).astype(np.uint64)
+    offsets = np.concatenate([[0], ends])[[*starts, len(values)]].astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(out)])
+
+
+def _unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all runs, and how many each run has."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, 4 * column.offset)
+    body = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]] if len(column) else np.zeros(0, np.uint8)
+    ends = np.flatnonzero(body < 128)
+    starts = np.concatenate([[0], ends[:-1] + 1]) if len(ends) else ends
+    shifts = 7 * (np.arange(len(body)) - np.repeat(starts, ends - starts + 1))
+    values = np.add.reduceat((body & 127).astype(np.int64) << shifts, starts) if len(ends) else np.zeros(0, np.int64)
+    return values, np.diff(np.searchsorted(ends, offsets - offsets[0]))
+
+
+def _differences(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    out = np.diff(values, prepend=0)
+    out[starts] = values[starts]
+    return out
+
+
+def _sums(differences: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """What ``_differences`` had, from runs of ``sizes``."""
+    total = np.cumsum(differences)
+    before = np.concatenate([[0], total])[np.cumsum(sizes) - sizes]
+    return total - np.repeat(before, sizes)
+
+
 def _rows(codes: np.ndarray, blocks: np.ndarray, places: np.ndarray, values: np.ndarray, n: int, counted: bool) -> Iterator[pa.RecordBatch]:
     """Posting rows of one length of grams, from occurrences in order of block and place (place and field packed)."""
     if not len(codes):
         return
     order = np.argsort(codes, kind="stable")
     codes, blocks, places, values = codes[order], blocks[order], places[order], values[order]
-    cells = _starts(codes, blocks, places)
+    units, at = blocks >> UNIT_BITS, (blocks & ((1 << UNIT_BITS) - 1)) << PLACE_BITS | places
+    cells = _starts(codes, units, at)
     sizes = np.diff([*cells, len(codes)])
-    fields = places[cells] & ((1 << FIELD_BITS) - 1)
-    rows = _starts(codes[cells], blocks[cells])
-    chunk = np.zeros(len(cells), np.int64)
-    chunk[_starts(codes[cells], blocks[cells], places[cells] >> FIELD_BITS)] = 1
-    most = [np.maximum.reduceat(np.where(fields == f, sizes, 0), rows) for f in range(3)]
-    if counted:
-        keys, offsets = places[cells] << COUNT_BITS | sizes, [*rows, len(cells)]
-    else:
-        keys, offsets = places << COUNT_BITS | values, [*cells[rows], len(codes)]
+    codes, units, at = codes[cells], units[cells], at[cells]
+    rows = _starts(codes, units)
+
+    def different(bits: int) -> pa.Array:
+        new = np.zeros(len(cells), np.int64)
+        new[_starts(codes, units, at >> bits)] = 1
+        return pa.array(np.add.reduceat(new, rows).astype(np.int32))
+
+    positions = _packed(values[:0], np.zeros(len(rows), np.int64)) if counted else _packed(_differences(values, cells), cells[rows])
     yield pa.RecordBatch.from_arrays(
-        [pa.array(_grams_of(codes[cells[rows]], n)), pa.array(blocks[cells[rows]]), pa.array(np.add.reduceat(chunk, rows).astype(np.int32)), *[pa.array(m.astype(np.int32)) for m in most], pa.ListArray.from_arrays(pa.array(np.array(offsets, np.int32)), pa.array(keys))],
+        [pa.array(_grams_of(codes[rows], n)), pa.array(units[rows]), different(FIELD_BITS), different(PLACE_BITS), _packed(_differences(at, rows), rows), _packed(sizes - 1, rows), positions],
         names=[c.split()[0] for c in SCHEMA.split(", ")],
     )
 
 
+def _blocks_of(batch: pa.RecordBatch, keys: bool) -> pa.RecordBatch:
+    """Stored rows by gram and block: their bounds, or else their keys."""
+    gaps, per_row = _unpacked(batch["cells"])
+    sizes = _unpacked(batch["sizes"])[0] + 1
+    row, at = np.repeat(np.arange(len(batch)), per_row), _sums(gaps, per_row)
+    blocks = batch["unit"].to_numpy()[row] << UNIT_BITS | at >> PLACE_BITS
+    starts = _starts(row, blocks) if len(row) else row
+    named = [batch["gram"].take(pa.array(row[starts])), pa.array(blocks[starts])]
+    if not keys:
+        field = at & ((1 << FIELD_BITS) - 1)
+        most = [np.maximum.reduceat(np.where(field == f, sizes, 0), starts) if len(starts) else starts for f in range(3)]
+        return pa.RecordBatch.from_arrays([*named, *[pa.array(m.astype(np.int32)) for m in most]], names=["gram", "block", *[f"max_{f}" for f in FIELDS]])
+    counted = np.array([len(g) < MATCH_MIN_LENGTH for g in batch["gram"].to_pylist()], bool)[row]
+    per_cell = np.where(counted, 1, sizes)
+    values = np.zeros(int(per_cell.sum()), np.int64)
+    one = np.repeat(counted, per_cell)
+    values[one] = sizes[counted]
+    values[~one] = _sums(_unpacked(batch["positions"])[0], sizes[~counted])
+    found = np.repeat((at & ((1 << PLACE_BITS) - 1)) << COUNT_BITS, per_cell) | values
+    offsets = np.concatenate([[0], np.cumsum(per_cell)])[[*starts, len(row)]].astype(np.int32)
+    return pa.RecordBatch.from_arrays([*named, pa.ListArray.from_arrays(pa.array(offsets), pa.array(found))], names=["gram", "block", "keys"])
+
+
 def _occurrences(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     ascii_, unicode = _tables()
+    order = np.lexsort([batch["place"].to_numpy(), batch["block"].to_numpy()])
+    if np.any(np.diff(order) < 0):  # a task may read parts of a file in another order
+        batch = batch.take(pa.array(order))
     texts = [batch[f].to_pylist() for f in FIELDS]
     parts = [np.frombuffer((t or "").encode("utf-32-le"), "<u4") for row in zip(*texts, strict=True) for t in row]
     sizes = np.array([len(p) for p in parts], np.int64)
@@ -120,7 +194,7 @@ def _occurrences(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 
 
 def build(placed_chunks: DataFrame, most_chars: int = 1_000_000) -> DataFrame:
-    """The postings of placed chunks. A block that a task's input cuts has two rows a gram, with the parts of its list."""
+    """The postings of placed chunks as stored. Blocks that a task's input or ``most_chars`` cut have two rows a gram, with the parts of their lists."""
     ship(placed_chunks.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,6 +207,20 @@ def build(placed_chunks: DataFrame, most_chars: int = 1_000_000) -> DataFrame:
     return placed_chunks.select("block", "place", *FIELDS).mapInArrow(run, SCHEMA)
 
 
+def by_block(stored: DataFrame, keys: bool, most_bytes: int = 1_000_000) -> DataFrame:
+    """gram, block, and either max_text, max_title and max_author or keys, of stored rows."""
+    ship(stored.sparkSession)
+    columns = ["cells", "sizes", *["positions"] * keys]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = np.cumsum(sum(np.diff(np.frombuffer(batch[c].buffers()[1], np.int32, len(batch) + 1, 4 * batch[c].offset).astype(np.int64)) for c in columns)) // most_bytes if batch.num_rows else np.zeros(0, np.int64)
+            for a, b in zip(starts := _starts(parts).tolist() if len(parts) else [], [*starts[1:], batch.num_rows], strict=True):
+                yield _blocks_of(batch.slice(a, b - a), keys)
+
+    return stored.select("gram", "unit", *columns).mapInArrow(run, "gram string, block long, " + ("keys array<long>" if keys else ", ".join(f"max_{f} int" for f in FIELDS)))
+
+
 def bucket_of(gram: Column) -> Column:
     return (F.crc32(gram) % BUCKETS).cast("int")
 
@@ -211,9 +299,12 @@ def plan(index: Index, terms: list[Term]) -> Plan:
     return Plan(rows, spark.createDataFrame(rows, "term int, gram string, shift int, parts int, size int, greedy boolean"))
 
 
-def _read(index: Index, planned: Plan, columns: list[str], blocks: DataFrame | None = None) -> DataFrame:
+def _read(index: Index, planned: Plan, keys: bool, blocks: DataFrame | None = None) -> DataFrame:
     """The postings of the planned grams, a row for each term that reads them, blocks together."""
-    rows = _in({r[1] for r in planned.rows}, index.postings).select("gram", "block", *columns)
+    rows = _in({r[1] for r in planned.rows}, index.postings).join(planned.small().select("gram"), "gram", "left_semi")
+    if blocks is not None:
+        rows = rows.join(blocks.select(F.shiftright("block", UNIT_BITS).alias("unit")), "unit", "left_semi")
+    rows = by_block(rows, keys)
     if blocks is not None:
         rows = rows.join(blocks.select("block"), "block", "left_semi")
     return rows.join(planned.small(), "gram").repartition("block")
@@ -222,13 +313,13 @@ def _read(index: Index, planned: Plan, columns: list[str], blocks: DataFrame | N
 def bounds(index: Index, planned: Plan) -> DataFrame:
     """term, block and the most occurrences that a chunk of the block can have in each field."""
     most = [f"max_{f}" for f in FIELDS]
-    each = _read(index, planned, most).groupBy("block", "term", "shift", "parts").agg(*[F.max(m).alias(m) for m in most])
+    each = _read(index, planned, False).groupBy("block", "term", "shift", "parts").agg(*[F.max(m).alias(m) for m in most])
     return each.groupBy("block", "term", "parts").agg(F.count("*").alias("_have"), *[F.min(m).alias(m) for m in most]).where("_have = parts").drop("_have", "parts")
 
 
 def counts(index: Index, planned: Plan, blocks: DataFrame | None = None) -> DataFrame:
     """block, place, term, text, title, author: how often each chunk that holds a term holds it in each field."""
-    rows = _read(index, planned, ["keys"], blocks)
+    rows = _read(index, planned, True, blocks)
     # A key less the gram's place in the term is the term's start, if it begins in the field.
     starts = F.transform(F.filter("keys", lambda k: k.bitwiseAND(COUNT_MASK) >= F.col("shift")), lambda k: k - F.col("shift"))
     short = F.col("size") < MATCH_MIN_LENGTH

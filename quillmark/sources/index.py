@@ -172,23 +172,23 @@ def write_segment(path: str, chunks: DataFrame, documents: DataFrame | None = No
         chunks = chunks.withColumn("doc_id", F.col("chunk_id"))
     if "chunk_type" not in chunks.columns:
         chunks = chunks.withColumn("chunk_type", F.lit("text"))
-    postings.placed(chunks, number).withColumn("fold_version", F.lit(FOLD_VERSION)).write.parquet(f"{root}/chunks")
+    postings.placed(chunks, number).withColumn("fold_version", F.lit(FOLD_VERSION)).write.option("compression", "zstd").parquet(f"{root}/chunks")
     made = spark.read.parquet(f"{root}/chunks")
     rows, tables = {"chunks": made.count()}, ["chunks"]
     if rows["chunks"]:
         lists = postings.build(made).withColumn("bucket", postings.bucket_of(F.col("gram")))
-        # A frequent gram's list is dealt by ranges of blocks, so no task gets all of it.
-        lists = lists.repartition("bucket", F.shiftright("block", 8)).sortWithinPartitions("bucket", "gram", "block")
+        # Each task sorts and writes the lists of its own chunks: a shuffle of all positions would need as much disk again and more.
+        lists = lists.sortWithinPartitions("bucket", "gram", "unit")
         lists.write.partitionBy("bucket").option("compression", "zstd").parquet(f"{root}/postings")
-        df = spark.read.schema(f"{postings.SCHEMA}, bucket int").parquet(f"{root}/postings").groupBy("bucket", "gram").agg(F.sum("n").alias("df"), F.count("*").alias("n_blocks"))
-        df.repartition("bucket").sortWithinPartitions("bucket", "gram").write.partitionBy("bucket").parquet(f"{root}/grams")
-        postings.blocks_of(made).write.parquet(f"{root}/blocks")
+        df = spark.read.schema(f"{postings.SCHEMA}, bucket int").parquet(f"{root}/postings").groupBy("bucket", "gram").agg(F.sum("n").alias("df"), F.sum("n_blocks").alias("n_blocks"))
+        df.repartition("bucket").sortWithinPartitions("bucket", "gram").write.partitionBy("bucket").option("compression", "zstd").parquet(f"{root}/grams")
+        postings.blocks_of(made).write.option("compression", "zstd").parquet(f"{root}/blocks")
         if _file(spark, f"{root}/grams/bucket=*")[0].globStatus(_file(spark, f"{root}/grams/bucket=*")[1]):
             tables += ["postings", "grams"]
         tables.append("blocks")
     for name, frame in (("documents", documents), ("parents", parents)):
         if frame is not None:
-            frame.write.parquet(f"{root}/{name}")
+            frame.write.option("compression", "zstd").parquet(f"{root}/{name}")
             rows[name] = spark.read.parquet(f"{root}/{name}").count()
             tables.append(name)
     return str(number), {"tables": tables, "rows": rows}
@@ -197,7 +197,7 @@ def write_segment(path: str, chunks: DataFrame, documents: DataFrame | None = No
 def _segment_of(path: str, raw: DataFrame) -> tuple[tuple[str, dict], DataFrame]:
     """A segment of raw texts, and their doc_ids. What they are is worked out once, and read again from where it was written."""
     spark, staged = raw.sparkSession, f"{path}/staged/{uuid.uuid4().hex}"
-    corpus.documents_of(raw).write.parquet(staged)
+    corpus.documents_of(raw).write.option("compression", "zstd").parquet(staged)
     docs = spark.read.parquet(staged)
     parents = corpus.parents_of(docs)
     segment = write_segment(path, corpus.chunks_of(parents, docs), docs.drop("text"), parents)

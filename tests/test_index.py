@@ -5,6 +5,7 @@ import random
 import re
 import threading
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -207,3 +208,40 @@ def test_a_segment_that_no_version_names_is_not_seen(spark, tmp_path):
     assert json.loads(index.open_index(spark, path).metadata()["rows"])["chunks"] == 10
     assert len(live_ids(index.write(path, chunks_of(spark, 12)))) == 12
     assert index.vacuum(spark, path, keep=1) == ["_log/00000000000000000000.json", "segments/1", "segments/2"]
+
+
+def test_positions_take_few_bytes_and_no_shuffle(spark, tmp_path):
+    r = random.Random(8)
+    words = ["".join(r.choice("etaoinshrdlu") for _ in range(r.randint(2, 9))) for _ in range(800)]
+    rows = [(f"c{i:04}", "s", " ".join(r.choice(words) for _ in range(400)), "t", "a", "text") for i in range(300)]
+    chars, chunks = sum(len(row[2]) for row in rows), spark.createDataFrame(rows, SCHEMA)
+    shuffled = lambda: spark.sparkContext._jsc.sc().statusStore().executorSummary("driver").totalShuffleWrite()
+    before = shuffled()
+    snapshot = index.write(str(tmp_path / "index"), chunks)
+    assert shuffled() - before < 2 * chars
+    assert sum(p.stat().st_size for p in (tmp_path / "index").rglob("postings/bucket=*/part-*")) < 3 * chars
+    assert keys(postings.search(snapshot.index(), f"{words[0]} {words[1][:2]}", 300)) == keys(search.search(chunks, f"{words[0]} {words[1][:2]}", 300))
+
+
+def test_packed_numbers_come_back():
+    values = np.array([0, 1, 127, 128, 16383, 16384, 2**34 - 1, 2**61, 5, 0, 300], np.int64)
+    starts = np.array([0, 4, 5, 9])
+    packed = postings._packed(values, starts)
+    assert [len(x) for x in packed.to_pylist()] == [5, 2, 18, 3]
+    for a, b in ((0, 4), (1, 3), (2, 2)):
+        got, n = postings._unpacked(packed.slice(a, b - a))
+        ends = [*starts, len(values)]
+        assert got.tolist() == values[ends[a] : ends[b]].tolist() and n.tolist() == [ends[i + 1] - ends[i] for i in range(a, b)]
+    assert postings._unpacked(postings._packed(values[:0], np.zeros(3, np.int64)))[1].tolist() == [0, 0, 0]
+
+
+def test_blocks_cut_by_a_task_keep_their_lists(spark):
+    chunks = chunks_of(spark, 200, 6).where("text is not null")
+    placed = postings.placed(chunks.coalesce(1)).cache()
+    terms = {r.chunk_id: (r.block, r.place) for r in placed.collect()}
+    small = postings.build(placed, most_chars=150).withColumn("bucket", postings.bucket_of(F.col("gram"))).cache()
+    grams = small.groupBy("bucket", "gram").agg(F.sum("n").alias("df"), F.sum("n_blocks").alias("n_blocks"))
+    ix = postings.Index(small, grams, postings.blocks_of(placed))
+    assert small.groupBy("gram", "unit").count().where("count > 1").count() and len(set(terms.values())) == len(terms)
+    for q in ("the ab", "anan x", "étion e"):
+        assert keys(postings.search(ix, q, 200)) == keys(search.search(chunks, q, 200)) == keys(postings.top(ix, q, 200, first=1).rows)
