@@ -6,7 +6,8 @@ keys. Grams of three characters, under the fold of long terms, list the position
 and two, under the fold of short terms, list a count for each chunk and field, without overlaps.
 
 Stored are rows of a gram and 16 blocks: the cells (chunk and field) that hold the gram, how often each does, and the
-positions there, each as differences in as few bytes as they need. Bounds and short terms need no positions. A task writes the
+positions there, each as differences in as few bytes as they need. Bounds and short terms need no positions. A field that is the same
+in neighbouring chunks, as the title is in all chunks of a document, is listed once, with how many chunks after its own repeat it. A task writes the
 rows of the chunks that it read, so no list is shuffled.
 
 A long term needs only grams that cover it, and of those the rarest: the cover is the one whose lists hold least. The
@@ -39,7 +40,7 @@ BLOCK_BITS, FIELD_BITS, COUNT_BITS, SEGMENT_BITS, UNIT_BITS, BUCKETS = 6, 2, 34,
 PLACE_BITS = BLOCK_BITS + FIELD_BITS
 COUNT_MASK = (1 << COUNT_BITS) - 1
 #: As stored: ``unit`` is a run of blocks; ``n`` chunks and ``n_blocks`` blocks of it hold the gram.
-SCHEMA = "gram string, unit long, n int, n_blocks int, cells binary, sizes binary, positions binary"
+SCHEMA = "gram string, unit long, n int, n_blocks int, cells binary, sizes binary, runs binary, positions binary"
 #: Plans of terms up to so many rows are broadcast, beyond that joined by a shuffle.
 MOST_BROADCAST = 1_000_000
 
@@ -119,26 +120,37 @@ def _sums(differences: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return total - np.repeat(before, sizes)
 
 
-def _rows(codes: np.ndarray, blocks: np.ndarray, places: np.ndarray, values: np.ndarray, n: int, counted: bool) -> Iterator[pa.RecordBatch]:
+def _spread(runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each number, 0 to itself: whose it is, and the step."""
+    owner = np.repeat(np.arange(len(runs)), runs + 1)
+    return owner, np.arange(len(owner)) - np.repeat(np.cumsum(runs + 1) - runs - 1, runs + 1)
+
+
+def _rows(codes: np.ndarray, blocks: np.ndarray, places: np.ndarray, values: np.ndarray, runs: np.ndarray, n: int, counted: bool) -> Iterator[pa.RecordBatch]:
     """Posting rows of one length of grams, from occurrences in order of block and place (place and field packed)."""
     if not len(codes):
         return
     order = np.argsort(codes, kind="stable")
-    codes, blocks, places, values = codes[order], blocks[order], places[order], values[order]
+    codes, blocks, places, values, runs = codes[order], blocks[order], places[order], values[order], runs[order]
     units, at = blocks >> UNIT_BITS, (blocks & ((1 << UNIT_BITS) - 1)) << PLACE_BITS | places
     cells = _starts(codes, units, at)
     sizes = np.diff([*cells, len(codes)])
-    codes, units, at = codes[cells], units[cells], at[cells]
+    codes, units, at, runs = codes[cells], units[cells], at[cells], runs[cells]
     rows = _starts(codes, units)
+    per_row = np.diff([*rows, len(cells)])
+    row = np.repeat(np.arange(len(rows)), per_row)
+    owner, step = _spread(runs)
+    held = np.sort(row[owner] << UNIT_BITS + PLACE_BITS | at[owner] + (step << FIELD_BITS))
+    some = np.maximum.reduceat(runs, rows) > 0  # the runs of other rows are not stored
+    kept = np.concatenate([[0], np.cumsum(np.where(some, per_row, 0))[:-1]])
 
     def different(bits: int) -> pa.Array:
-        new = np.zeros(len(cells), np.int64)
-        new[_starts(codes, units, at >> bits)] = 1
-        return pa.array(np.add.reduceat(new, rows).astype(np.int32))
+        first = held[_starts(held >> bits)]
+        return pa.array(np.bincount(first >> UNIT_BITS + PLACE_BITS, minlength=len(rows)).astype(np.int32))
 
     positions = _packed(values[:0], np.zeros(len(rows), np.int64)) if counted else _packed(_differences(values, cells), cells[rows])
     yield pa.RecordBatch.from_arrays(
-        [pa.array(_grams_of(codes[rows], n)), pa.array(units[rows]), different(FIELD_BITS), different(PLACE_BITS), _packed(_differences(at, rows), rows), _packed(sizes - 1, rows), positions],
+        [pa.array(_grams_of(codes[rows], n)), pa.array(units[rows]), different(FIELD_BITS), different(PLACE_BITS), _packed(_differences(at, rows), rows), _packed(sizes - 1, rows), _packed(runs[some[row]], kept), positions],
         names=[c.split()[0] for c in SCHEMA.split(", ")],
     )
 
@@ -148,6 +160,13 @@ def _blocks_of(batch: pa.RecordBatch, keys: bool) -> pa.RecordBatch:
     gaps, per_row = _unpacked(batch["cells"])
     sizes = _unpacked(batch["sizes"])[0] + 1
     row, at = np.repeat(np.arange(len(batch)), per_row), _sums(gaps, per_row)
+    own, n_runs = _unpacked(batch["runs"])
+    runs = np.zeros(len(row), np.int64)
+    runs[np.repeat(n_runs > 0, per_row)] = own
+    cell, step = _spread(runs)
+    sorted_ = np.argsort(row[cell] << UNIT_BITS + PLACE_BITS | at[cell] + (step << FIELD_BITS), kind="stable")
+    cell, step, stored = cell[sorted_], step[sorted_], (row, sizes)
+    row, at, sizes = row[cell], at[cell] + (step << FIELD_BITS), sizes[cell]
     blocks = batch["unit"].to_numpy()[row] << UNIT_BITS | at >> PLACE_BITS
     starts = _starts(row, blocks) if len(row) else row
     named = [batch["gram"].take(pa.array(row[starts])), pa.array(blocks[starts])]
@@ -155,12 +174,15 @@ def _blocks_of(batch: pa.RecordBatch, keys: bool) -> pa.RecordBatch:
         field = at & ((1 << FIELD_BITS) - 1)
         most = [np.maximum.reduceat(np.where(field == f, sizes, 0), starts) if len(starts) else starts for f in range(3)]
         return pa.RecordBatch.from_arrays([*named, *[pa.array(m.astype(np.int32)) for m in most]], names=["gram", "block", *[f"max_{f}" for f in FIELDS]])
-    counted = np.array([len(g) < MATCH_MIN_LENGTH for g in batch["gram"].to_pylist()], bool)[row]
-    per_cell = np.where(counted, 1, sizes)
-    values = np.zeros(int(per_cell.sum()), np.int64)
-    one = np.repeat(counted, per_cell)
-    values[one] = sizes[counted]
-    values[~one] = _sums(_unpacked(batch["positions"])[0], sizes[~counted])
+    counted = np.array([len(g) < MATCH_MIN_LENGTH for g in batch["gram"].to_pylist()], bool)
+    per_stored = np.where(counted[stored[0]], 1, stored[1])
+    values = np.zeros(int(per_stored.sum()), np.int64)
+    one = np.repeat(counted[stored[0]], per_stored)
+    values[one] = stored[1][counted[stored[0]]]
+    values[~one] = _sums(_unpacked(batch["positions"])[0], stored[1][~counted[stored[0]]])
+    per_cell = per_stored[cell]
+    begun = (np.cumsum(per_stored) - per_stored)[cell]
+    values = values[np.arange(int(per_cell.sum())) + np.repeat(begun - np.cumsum(per_cell) + per_cell, per_cell)]
     found = np.repeat((at & ((1 << PLACE_BITS) - 1)) << COUNT_BITS, per_cell) | values
     offsets = np.concatenate([[0], np.cumsum(per_cell)])[[*starts, len(row)]].astype(np.int32)
     return pa.RecordBatch.from_arrays([*named, pa.ListArray.from_arrays(pa.array(offsets), pa.array(found))], names=["gram", "block", "keys"])
@@ -171,7 +193,16 @@ def _occurrences(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     order = np.lexsort([batch["place"].to_numpy(), batch["block"].to_numpy()])
     if np.any(np.diff(order) < 0):  # a task may read parts of a file in another order
         batch = batch.take(pa.array(order))
-    texts = [batch[f].to_pylist() for f in FIELDS]
+    at = batch["block"].to_numpy() << BLOCK_BITS | batch["place"].to_numpy()
+    follows = np.append(False, (np.diff(at) == 1) & (np.diff(at >> UNIT_BITS + BLOCK_BITS) == 0))[: len(at)]
+    texts, repeats = [batch[f].to_pylist() for f in FIELDS], []
+    for k, field in enumerate(texts):
+        again = np.array([a and t == before for t, before, a in zip(field, [None, *field], follows.tolist(), strict=False)], bool)
+        firsts = np.flatnonzero(~again)
+        runs = np.zeros(len(again), np.int64)
+        runs[firsts] = np.diff([*firsts, len(again)]) - 1
+        repeats.append(runs)
+        texts[k] = [None if a else t for t, a in zip(field, again.tolist(), strict=True)]
     parts = [np.frombuffer((t or "").encode("utf-32-le"), "<u4") for row in zip(*texts, strict=True) for t in row]
     sizes = np.array([len(p) for p in parts], np.int64)
     points = np.concatenate(parts)
@@ -179,18 +210,19 @@ def _occurrences(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     at = np.arange(len(points)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     blocks = np.repeat(batch["block"].to_numpy(), 3)[owner]
     places = (np.repeat(batch["place"].to_numpy().astype(np.int64) << FIELD_BITS, 3) + np.tile(np.arange(3), len(batch)))[owner]
+    runs = np.stack(repeats, axis=1).reshape(-1)[owner]
     left = sizes[owner] - at  # characters from here to the field's end
     long, short = unicode[points], ascii_[points]
     i = np.flatnonzero(left >= 3)
-    yield from _rows(long[i] << 42 | long[i + 1] << 21 | long[i + 2] if len(i) else long[:0], blocks[i], places[i], at[i], 3, False)
-    yield from _rows(short, blocks, places, at, 1, True)
+    yield from _rows(long[i] << 42 | long[i + 1] << 21 | long[i + 2] if len(i) else long[:0], blocks[i], places[i], at[i], runs[i], 3, False)
+    yield from _rows(short, blocks, places, at, runs, 1, True)
     i = np.flatnonzero(left >= 2)
     if len(i):
         twin = short[i] == short[i + 1]
         # In a run of one character every second pair overlaps the one before it.
         breaks = np.where(twin & np.concatenate([[False], twin[:-1] & (np.diff(i) == 1)]), -1, np.arange(len(i)))
         i = i[~twin | ((np.arange(len(i)) - np.maximum.accumulate(breaks)) % 2 == 0)]
-        yield from _rows(short[i] << 21 | short[i + 1], blocks[i], places[i], at[i], 2, True)
+        yield from _rows(short[i] << 21 | short[i + 1], blocks[i], places[i], at[i], runs[i], 2, True)
 
 
 def build(placed_chunks: DataFrame, most_chars: int = 1_000_000) -> DataFrame:
@@ -210,7 +242,7 @@ def build(placed_chunks: DataFrame, most_chars: int = 1_000_000) -> DataFrame:
 def by_block(stored: DataFrame, keys: bool, most_bytes: int = 1_000_000) -> DataFrame:
     """gram, block, and either max_text, max_title and max_author or keys, of stored rows."""
     ship(stored.sparkSession)
-    columns = ["cells", "sizes", *["positions"] * keys]
+    columns = ["cells", "sizes", "runs", *["positions"] * keys]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -245,3 +245,23 @@ def test_blocks_cut_by_a_task_keep_their_lists(spark):
     assert small.groupBy("gram", "unit").count().where("count > 1").count() and len(set(terms.values())) == len(terms)
     for q in ("the ab", "anan x", "étion e"):
         assert keys(postings.search(ix, q, 200)) == keys(search.search(chunks, q, 200)) == keys(postings.top(ix, q, 200, first=1).rows)
+
+
+def test_a_repeated_title_is_listed_once(spark, tmp_path):
+    """As many lists as for one chunk a document, and the same results; runs end with a block's unit, a document and an empty title."""
+    r = random.Random(3)
+    words = ["".join(r.choice("etaoinshrdlu") for _ in range(r.randint(2, 9))) for _ in range(300)]
+    titles = [" ".join(r.choice([*words, "aaaa aaa"]) for _ in range(30)) for _ in range(40)]
+    rows = [(f"c{i:04}", "s", words[i % 300] if i % 9 else None, titles[i // 60] if i % 150 else None, titles[i // 700][:20], "text") for i in range(2400)]
+    chunks = spark.createDataFrame(rows, SCHEMA)
+    snapshot = index.write(str(tmp_path / "index"), chunks)
+    lists = snapshot._raw("postings").agg(sum(F.sum(F.octet_length(c)) for c in ("cells", "sizes", "runs", "positions"))).first()[0]
+    assert lists < 0.4 * sum(len(row[3] or "") for row in rows)
+    for query in ("aa", "aaa", "aaaa", "e", titles[7][:9], f"{words[0]} {words[1][:2]}"):
+        assert keys(postings.search(snapshot.index(), query, 3000)) == keys(search.search(chunks, query, 3000))
+        assert keys(postings.top(snapshot.index(), query, 25, first=2).rows) == keys(search.search(chunks, query, 25))
+    placed = postings.placed(chunks.coalesce(1)).cache()
+    df = lambda most: sorted(tuple(x) for x in postings.build(placed, most).groupBy("gram").agg(F.sum("n")).collect())
+    brute = {w: sum(w in (row[2] or "") or w in (row[3] or "") or w in row[4] for row in rows) for w in ("e", "aa", "the", "aaa")}
+    found = dict(df(1_000_000))
+    assert {w: found.get(w, 0) for w in brute} == brute and dict(df(70_000)).keys() == found.keys()
