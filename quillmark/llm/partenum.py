@@ -11,7 +11,7 @@ most e groups that have such a subset needs none of them, since e + 1 groups are
 only the other, rare sets sign their empty subsets.
 
 Signatures travel packed, a row per (slice of documents, bucket); the number of buckets follows the
-number of shingles, so a bucket's size does not grow with the input. A signature shared by at most
+number of shingles, so a bucket's size does not grow with the input, and a bucket's signatures meet range by range. A signature shared by at most
 ``few`` nodes gives their pairs; by more, its pairs with the least node, and its members. Pairs whose
 sketches differ too much are dropped, the others verified exactly on their sets. Links make components. A wide signature's members that then are
 in different components are paired across components, where sketches allow it, and verified too, so no link between
@@ -173,14 +173,21 @@ def packed_signatures(documents: DataFrame, buckets: int, bits: int = 64) -> Dat
                 continue
             nodes, sizes = np.fromiter(seen, np.int64, len(seen)), np.array([n for n, _ in seen.values()], np.int64)
             sigs = np.concatenate([s for _, s in seen.values()]) >> np.uint64(64 - bits)
-            owner = np.repeat(np.arange(len(seen)), [len(s) for _, s in seen.values()])
-            order = np.argsort(sigs, kind="stable")
-            sigs, owner = sigs[order], owner[order]
+            owner = np.repeat(np.arange(len(seen), dtype=np.uint64), [len(s) for _, s in seen.values()])
+            low = np.uint64(len(seen).bit_length())
+            if bits + int(low) <= 64:  # one number for both is sorted several times as fast
+                both = np.sort(sigs << low | owner)
+                sigs, owner = both >> low, (both & ((np.uint64(1) << low) - np.uint64(1))).astype(np.int64)
+            else:
+                order = np.argsort(sigs, kind="stable")
+                sigs, owner = sigs[order], owner[order].astype(np.int64)
             cut = [*np.searchsorted(sigs, starts >> np.uint64(64 - bits)).tolist(), len(sigs)]
             rows = []
             for i, (a, b) in enumerate(itertools.pairwise(cut)):
                 if b > a:
-                    own, index = np.unique(owner[a:b], return_inverse=True)
+                    held = np.zeros(len(seen), bool)
+                    held[owner[a:b]] = True
+                    own, index = np.flatnonzero(held), (np.cumsum(held) - 1)[owner[a:b]]
                     rows.append((i, pack(sigs[a:b], index, nodes[own].view(np.float64), sizes[own])))
             cols = list(zip(*rows, strict=True))
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.binary())], names=["bucket", "body"])
@@ -188,16 +195,15 @@ def packed_signatures(documents: DataFrame, buckets: int, bits: int = 64) -> Dat
     return documents.select("text").mapInArrow(run, "bucket long, body binary")
 
 
-def candidates(packed: DataFrame, few: int = 3) -> DataFrame:
+def candidates(packed: DataFrame, few: int = 3, most: int = 1_000_000) -> DataFrame:
     """kind 0: a pair of nodes (x, y) that share a signature; kind 1: a wide signature x and its member y, of size n."""
 
-    def run(group: pa.Table) -> pa.Table:
-        made = [unpack(body.as_py()) for body in group["body"]]
-        sigs = np.concatenate([m[0] for m in made])
-        nodes = np.concatenate([m[2].view(np.int64)[m[1]] for m in made])
-        sizes = np.concatenate([m[3][m[1]] for m in made]).astype(np.int64)
-        _, inverse, shared = np.unique(sigs, return_inverse=True, return_counts=True)
-        live = shared[inverse] > 1
+    def meet(sigs: np.ndarray, nodes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Pairs, and the wide signatures with their members and sizes."""
+        order = np.argsort(sigs)
+        sigs, nodes, sizes = sigs[order], nodes[order], sizes[order]
+        same = np.concatenate([[False], sigs[1:] == sigs[:-1], [False]])
+        live = same[1:] | same[:-1]
         sigs, nodes, sizes = sigs[live], nodes[live], sizes[live]
         order = np.lexsort((nodes, sigs))
         sigs, nodes, sizes = sigs[order], nodes[order], sizes[order]
@@ -216,12 +222,28 @@ def candidates(packed: DataFrame, few: int = 3) -> DataFrame:
         near = 100 * np.minimum(sizes[a], sizes[b]) >= 80 * np.maximum(sizes[a], sizes[b])
         pairs = np.unique(np.stack([np.minimum(nodes[a], nodes[b])[near], np.maximum(nodes[a], nodes[b])[near]], axis=1), axis=0)
         wide = each > few
+        return pairs, sigs[wide].view(np.int64), nodes[wide], sizes[wide]
+
+    def run(group: pa.Table) -> pa.Table:
+        made = [unpack(body.as_py()) for body in group["body"]]
+        low, high = min(int(m[0][0]) for m in made), max(int(m[0][-1]) for m in made)
+        parts = -(-sum(len(m[0]) for m in made) // most)
+        # A bucket's signatures meet range by range, so that what sorting takes does not grow with the bucket.
+        starts = np.array([low + (high - low + 1) * i // parts for i in range(1, parts)], np.uint64)
+        cuts = [[0, *np.searchsorted(m[0], starts).tolist(), len(m[0])] for m in made]
+        met = []
+        for i in range(parts):
+            own = [(m, slice(c[i], c[i + 1])) for m, c in zip(made, cuts, strict=True) if c[i + 1] > c[i]]
+            if own:
+                met.append(meet(*(np.concatenate(x) for x in ([m[0][r] for m, r in own], [m[2].view(np.int64)[m[1][r]] for m, r in own], [m[3][m[1][r]].astype(np.int64) for m, r in own]))))
+        pairs = np.unique(np.concatenate([m[0] for m in met]), axis=0)
+        sigs, nodes, sizes = (np.concatenate([m[k] for m in met]) for k in (1, 2, 3))
         ints = lambda *parts: pa.array(np.concatenate(parts).astype(np.int64))
         return pa.table({
-            "kind": ints(np.zeros(len(pairs)), np.ones(int(wide.sum()))),
-            "x": ints(pairs[:, 0], sigs[wide].view(np.int64)),
-            "y": ints(pairs[:, 1], nodes[wide]),
-            "n": ints(np.zeros(len(pairs)), sizes[wide]),
+            "kind": ints(np.zeros(len(pairs)), np.ones(len(sigs))),
+            "x": ints(pairs[:, 0], sigs),
+            "y": ints(pairs[:, 1], nodes),
+            "n": ints(np.zeros(len(pairs)), sizes),
         })
 
     return packed.groupBy("bucket").applyInArrow(run, "kind long, x long, y long, n long")

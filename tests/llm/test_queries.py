@@ -555,3 +555,14 @@ def test_pipeline(spark, tmp_path):
     kept = {r.doc_id for r in docs.collect()}
     assert len(kept) > 40 and kept.isdisjoint({80, 81, 82, 85, None})
     assert {r.doc_id for r in stage["packing"](spark, docs, "").collect()} == kept
+
+
+def test_signatures_meet_alike_in_ranges(spark):
+    """A bucket taken in ranges of few signatures gives the same candidates."""
+    packed = partenum.packed_signatures(make_docs(spark), 3).cache()
+    met = lambda **options: sorted(tuple(r) for r in partenum.candidates(packed, **options).distinct().collect())
+    for few, kinds in ((1, {1}), (3, {0})):
+        whole = met(few=few, most=1 << 30)
+        assert {r[0] for r in whole} >= kinds and met(few=few, most=40) == whole == met(few=few)
+    other = partenum.candidates(partenum.packed_signatures(make_docs(spark), 3, 64 - 4), few=1)  # sorted as one number with the owner
+    assert {r.y for r in other.collect()} == {r[2] for r in met(few=1)}
