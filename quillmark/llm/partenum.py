@@ -10,7 +10,7 @@ two: sets that differ there by one shingle at most agree on one of these wholly,
 most e groups that have such a subset needs none of them, since e + 1 groups are as near as said with any partner;
 only the other, rare sets sign their empty subsets.
 
-Signatures travel packed, a row per (slice of documents, bucket); the number of buckets follows the
+Signatures travel packed, a row per (slice of documents, bucket) with the nodes of their owners; the number of buckets follows the
 number of shingles, so a bucket's size does not grow with the input, and a bucket's signatures meet range by range. A signature shared by at most
 ``few`` nodes gives their pairs; by more, its pairs with the least node, and its members. Pairs whose
 sketches differ too much are dropped, the others verified exactly on their sets. Links make components. A wide signature's members that then are
@@ -152,6 +152,15 @@ def sets_of(documents: DataFrame, carry: str | None = None) -> DataFrame:
     return documents.select("doc_id", "text", carried.alias("carried")).mapInArrow(run, "doc_id long, n_shingles long, node long, sketch binary, carried long")
 
 
+def dealing(total: int, per_bucket: int = 8_000_000) -> tuple[int, int]:
+    """Buckets for so many shingles, and the bits that their signatures keep.
+
+    Each bucket holds the node of nearly every document again, so many small ones cost more than the signatures. There are about
+    as many signatures as shingles; with ten bits beyond their number one in some thousand meets another by chance.
+    """
+    return max(8, total // per_bucket + 1), min(64, total.bit_length() + 10)
+
+
 def packed_signatures(documents: DataFrame, buckets: int, bits: int = 64) -> DataFrame:
     """(bucket, body): a slice's signatures in a range of them, ascending, the owner of each, the owners' nodes and sizes.
 
@@ -401,14 +410,14 @@ def links_within(documents: DataFrame, members: DataFrame, block: int = 512, mos
     return met.groupBy("comp", "low", "high").applyInArrow(run, "node long, n_links long").groupBy("node").agg(F.sum("n_links").alias("n_links"))
 
 
-def join(documents: DataFrame, per_bucket: int = 2_000_000, count_links: bool = True, block: int = 512, carry: str | None = None) -> DataFrame:
+def join(documents: DataFrame, per_bucket: int = 8_000_000, count_links: bool = True, block: int = 512, carry: str | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id and n_links (links of its set with different sets) of every document.
 
     Without count_links there is no n_links, and the work for it is not done; a column of longs may then be carried.
     """
     stats = materialize(sets_of(documents, carry))
     total = stats.agg(F.sum("n_shingles")).first()[0] or 0
-    packed = packed_signatures(documents, max(8, total // per_bucket + 1), min(64, int(total).bit_length() + 14))
+    packed = packed_signatures(documents, *dealing(int(total), per_bucket))
     found = materialize(candidates(packed))
     nodes = stats.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch"), F.first("n_shingles").alias("n"))
     pairs = found.where("kind = 0").select("x", "y").distinct()

@@ -566,3 +566,16 @@ def test_signatures_meet_alike_in_ranges(spark):
         assert {r[0] for r in whole} >= kinds and met(few=few, most=40) == whole == met(few=few)
     other = partenum.candidates(partenum.packed_signatures(make_docs(spark), 3, 64 - 4), few=1)  # sorted as one number with the owner
     assert {r.y for r in other.collect()} == {r[2] for r in met(few=1)}
+
+
+def test_packed_signatures_follow_the_documents(spark):
+    """Dealt as for five times as many shingles, the same documents ship about as many bytes, and meet in the same similar pairs."""
+    r = random.Random(11)
+    texts = [" ".join(f"w{r.randrange(3000)}" for _ in range(400)) for _ in range(300)]
+    df = make_docs(spark, [(i, t, "en") for i, t in enumerate([*texts, *(t.rsplit(" ", 3)[0] for t in texts[:40])])])
+    packed = {bits: partenum.packed_signatures(df.coalesce(1), buckets, bits).cache() for buckets, bits in map(partenum.dealing, (25_000_000, 125_000_000))}
+    small, large = (p.agg(F.sum(F.length("body"))).first()[0] for p in packed.values())
+    assert large < 1.13 * small
+    near = {tuple(sorted(map(partenum.node_of, map(partenum.shingles, (t, t.rsplit(" ", 3)[0]))))) for t in texts[:40]}
+    for p in packed.values():
+        assert near <= {(x.x, x.y) for x in partenum.candidates(p).where("kind = 0").collect()}
