@@ -327,10 +327,10 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def across(wide: DataFrame, comps: DataFrame, nodes: DataFrame, block: int = 4096) -> DataFrame:
+def across(wide: DataFrame, comps: DataFrame, nodes: DataFrame, block: int = 4096, most: int = 8192) -> DataFrame:
     """Pairs (x, y) of members of a wide signature that lie in different components and may be similar.
 
-    Members meet in blocks of a bounded size, where a pair whose sketches differ too much is dropped;
+    Members meet in blocks of a bounded size, about ``most`` pairs at once, where a pair whose sketches differ too much is dropped;
     it differs too much itself.
     """
     members = wide.join(comps, "node", "left").select("sig", "node", "n", F.coalesce("comp", "node").alias("comp"))
@@ -345,13 +345,15 @@ def across(wide: DataFrame, comps: DataFrame, nodes: DataFrame, block: int = 409
         low, high = group["low"][0].as_py(), group["high"][0].as_py()
         left, right = np.flatnonzero(part == low), np.flatnonzero(part == high)
         xs, ys = [], []
-        for i in left.tolist():
-            j = right[right > i] if low == high else right
-            j = j[(comp[j] != comp[i]) & (100 * np.minimum(n[j], n[i]) >= 80 * np.maximum(n[j], n[i]))]
-            if len(j):
-                j = j[9 * np.abs(counts[j] - counts[i]).sum(axis=1, dtype=np.int64) <= n[j] + n[i]]
-                xs.append(np.minimum(node[j], node[i]))
-                ys.append(np.maximum(node[j], node[i]))
+        rows = max(1, most // max(1, len(right)))
+        for start in range(0, len(left), rows):  # most signatures have few members, which all meet at once
+            one, two = left[start : start + rows, None], right[None, :]
+            fits = (comp[one] != comp[two]) & (100 * np.minimum(n[one], n[two]) >= 80 * np.maximum(n[one], n[two]))
+            a, b = np.nonzero(fits & (one < two) if low == high else fits)
+            i, j = one[a, 0], two[0, b]
+            near = 9 * np.abs(counts[i] - counts[j]).sum(axis=1, dtype=np.int32) <= n[i] + n[j]
+            xs.append(np.minimum(node[i], node[j])[near])
+            ys.append(np.maximum(node[i], node[j])[near])
         whole = lambda v: pa.array(np.concatenate(v) if v else np.zeros(0, np.int64), pa.int64())
         return pa.table({"x": whole(xs), "y": whole(ys)})
 

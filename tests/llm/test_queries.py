@@ -2,6 +2,7 @@
 
 import array
 import collections
+import itertools
 import json
 import math
 import random
@@ -579,3 +580,29 @@ def test_packed_signatures_follow_the_documents(spark):
     near = {tuple(sorted(map(partenum.node_of, map(partenum.shingles, (t, t.rsplit(" ", 3)[0]))))) for t in texts[:40]}
     for p in packed.values():
         assert near <= {(x.x, x.y) for x in partenum.candidates(p).where("kind = 0").collect()}
+
+
+def test_members_of_wide_signatures_meet_whole(spark):
+    """In steps of few pairs or in many blocks, members across components meet in the pairs that brute force finds."""
+    r = random.Random(3)
+    base = [[r.randrange(4) for _ in range(256)] for _ in range(3)]
+    nodes = {}
+    for i in range(60):
+        counts = list(base[i % 3])
+        for _ in range(i % 7):
+            counts[r.randrange(256)] += 3 * (i % 5)
+        nodes[r.randrange(-(1 << 62), 1 << 62)] = (sum(counts), bytes(counts))
+    ids = list(nodes)
+    comps = {x: min(ids[i % 4 :: 4]) for i, x in enumerate(ids) if i % 4 < 2}
+    wide = {1: ids[:45], 2: ids[20:], 3: ids[:4], 4: [x for x in ids if comps.get(x) == min(ids[::4])]}
+    want = set()
+    for members in wide.values():
+        for x, y in itertools.combinations(sorted(members), 2):
+            (n, a), (m, b) = nodes[x], nodes[y]
+            if comps.get(x, x) != comps.get(y, y) and 100 * min(n, m) >= 80 * max(n, m) and 9 * sum(abs(c - d) for c, d in zip(a, b, strict=True)) <= n + m:
+                want.add((x, y))
+    frame = lambda rows, columns: spark.createDataFrame(rows, columns)
+    args = frame([(s, x, nodes[x][0]) for s, own in wide.items() for x in own], "sig long, node long, n long"), frame(list(comps.items()), "node long, comp long"), frame([(x, bytearray(s)) for x, (_, s) in nodes.items()], "node long, sketch binary")
+    assert len(want) > 50
+    for options in ({}, {"most": 1}, {"most": 100, "block": 9}):
+        assert {tuple(p) for p in partenum.across(*args, **options).collect()} == want
