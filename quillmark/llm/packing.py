@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import itertools
 import re
+import threading
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -32,11 +33,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillmark.llm.bytebpe import WHITE, slices
-from quillmark.llm.common import materialize
+from quillmark.llm.common import materialize, release
 
 CAPACITY, GRAIN, END_ID = 4096, 64, 2
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
-REMEMBERED = 1_200_000
+REMEMBERED = 600_000
+#: A worker without a task for so long lets its tokenizer go.
+IDLE_SECONDS = 3.0
 #: The vocabulary's pattern, on lower-case text, and as it is for ASCII.
 CUT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^" + WHITE + r"\p{L}\p{N}]+").findall
 ASCII_CUT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\x09-\x0d\x20a-z0-9]+").findall
@@ -123,10 +126,14 @@ class WordTokenizer:
             first = self._learn([distinct[i] for i in fresh])
             for n, i in enumerate(fresh, first):
                 found[i] = n
-        number = np.array(found, np.int64)[flat.indices.to_numpy()]
+        number = np.array(found, np.int32)[flat.indices.to_numpy()]
         size = self.size[number]
         ends = np.cumsum(size)
-        ids = self.flat[np.repeat(self.start[number] - ends + size, size) + np.arange(int(ends[-1]) if len(ends) else 0)].astype("<u4").tobytes()
+        n = int(ends[-1]) if len(ends) else 0
+        index = np.int32 if max(n, self.used) < 1 << 31 else np.int64
+        place = np.repeat((self.start[number] - ends + size).astype(index), size)
+        place += np.arange(n, dtype=index)
+        ids = self.flat[place].astype("<u4", copy=False).tobytes()
         at = 4 * np.append(0, ends)[words.offsets.to_numpy() - words.offsets[0].as_py()]
         made = [ids[a:b] for a, b in itertools.pairwise(at.tolist())]
         if any(map(self.special, distinct)):
@@ -137,6 +144,26 @@ class WordTokenizer:
 
 
 _made: dict[str, WordTokenizer] = {}
+_unused: dict[str, threading.Timer] = {}
+
+
+def tokenizer_of(path: str) -> WordTokenizer:
+    """This worker's tokenizer, which knows the words of the worker's tasks before."""
+    if path in _unused:
+        _unused.pop(path).cancel()
+    return _made.setdefault(path, WordTokenizer(path)) if path not in _made else _made[path]
+
+
+def leave(path: str, seconds: float = IDLE_SECONDS) -> None:
+    """Lets the worker's tokenizer go unless a task asks for it soon, since Spark keeps idle workers for a minute beside other stages."""
+
+    def drop() -> None:
+        _made.pop(path, None)
+        release()
+
+    _unused[path] = threading.Timer(seconds, drop)
+    _unused[path].daemon = True
+    _unused[path].start()
 
 
 def cuts(length: int, capacity: int = CAPACITY, grain: int = GRAIN) -> list[int]:
@@ -154,17 +181,21 @@ def pieces(documents: DataFrame, path: str, capacity: int = CAPACITY, grain: int
         import pyarrow.compute  # noqa: F401
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        tokenizer = _made.setdefault(path, WordTokenizer(path)) if path not in _made else _made[path]
+        tokenizer = tokenizer_of(path)
         end = np.array([END_ID], "<u4").tobytes()
-        for batch in slices(batches, "text", 6_000_000):
-            rows = []
-            for doc_id, ids in zip(batch["doc_id"].to_pylist(), tokenizer.encode(batch["text"]), strict=True):
-                ids += end
-                n, start = len(ids) // 4, 0
-                for length in cuts(n, capacity, grain):
-                    rows.append((doc_id, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)]), n))
-                    start += length
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in zip(*rows, strict=True)], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+        try:
+            for batch in slices(batches, "text", 3_000_000):
+                rows = []
+                for doc_id, ids in zip(batch["doc_id"].to_pylist(), tokenizer.encode(batch["text"]), strict=True):
+                    ids += end
+                    n, start = len(ids) // 4, 0
+                    for length in cuts(n, capacity, grain):
+                        rows.append((doc_id, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)]), n))
+                        start += length
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in zip(*rows, strict=True)], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+                release()
+        finally:
+            leave(path)
 
     return documents.select("doc_id", "text").mapInArrow(run, PIECES)
 

@@ -7,9 +7,11 @@ import json
 import math
 import random
 import re
+import time
 import zlib
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tokenizers
 from pyspark.sql import functions as F
@@ -293,6 +295,27 @@ def test_packing_holds_every_id_once(spark):
     assert packing.pack(df.limit(0), path).collect() == []
 
 
+def test_idle_workers_hold_no_tokenizer(spark):
+    """Workers outlive their stage by a minute; what they know of words goes before, and is there for the next task of the same stage."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+
+    def held(batches):
+        for _ in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(packing._made)])], names=["n"])
+
+    packing.pack(make_docs(spark), path).collect()
+    time.sleep(6)
+    assert {r.n for r in spark.range(0, 8, 1, 8).mapInArrow(held, "n long").collect()} == {0}
+    own = packing.tokenizer_of(path)
+    packing.leave(path, 0.3)
+    assert packing.tokenizer_of(path) is own
+    time.sleep(0.6)
+    assert packing.tokenizer_of(path) is own
+    packing.leave(path, 0.05)
+    time.sleep(0.5)
+    assert path not in packing._made
+
+
 def base_figures(text):
     w = words(text)
     lines, seen, dup = (text or "").split("\n"), set(), 0
