@@ -386,8 +386,11 @@ def _points(prefix: str = "") -> Column:
 
 
 def _named(index: Index, found: DataFrame, source: str | None = None, author: str | None = None) -> DataFrame:
-    """Rows of block and place with their chunk's id, source, author and kind; filtered, and without removed documents."""
-    rows = found.join(index.blocks.select("block", "chunks"), "block").withColumn("_c", F.get("chunks", F.col("place"))).drop("chunks")
+    """Rows of block and place with their chunk's id, source, author and kind; filtered, and without removed documents.
+
+    The blocks are never broadcast: Spark goes by the size of their files, and in memory they take sixty times that, more than the driver holds.
+    """
+    rows = found.join(index.blocks.select("block", "chunks").hint("merge"), "block").withColumn("_c", F.get("chunks", F.col("place"))).drop("chunks")
     rows = rows.select(*found.columns, "_c.chunk_id", "_c.doc_id", "_c.source_id", "_c.author", "_c.chunk_type")
     if source is not None:
         rows = rows.where(F.col("source_id") == source)

@@ -60,6 +60,20 @@ def test_filters_and_more_columns(stored):
     assert index.find(snapshot, "  ", 5).collect() == []
 
 
+def broadcasts_chunks(monkeypatch, run):
+    """Whether a search sends the chunks of all blocks to each task, by the plans of the joins that name its results."""
+    made, named = [], postings._named
+    monkeypatch.setattr(postings, "_named", lambda *a: made.append(named(*a)) or made[-1])
+    run()
+    plans = [d._jdf.queryExecution().sparkPlan().toString() for d in made]
+    assert plans and all(" Inner" in p for p in plans)
+    return any(re.search(r"BroadcastHashJoin \[block#\d+L\], \[block#\d+L\], Inner", p) for p in plans)
+
+
+def test_a_search_of_one_source_does_not_broadcast_blocks(stored, monkeypatch):
+    assert not broadcasts_chunks(monkeypatch, lambda: index.find(stored[1], "the ab", 7, source="s1"))
+
+
 def test_batches_and_counts(stored):
     chunks, snapshot = stored
     queries = {str(i): q for i, q in enumerate(QUERIES)}
