@@ -385,12 +385,16 @@ def _points(prefix: str = "") -> Column:
     return points
 
 
-def _named(index: Index, found: DataFrame, source: str | None = None, author: str | None = None) -> DataFrame:
+def _named(index: Index, found: DataFrame, source: str | None = None, author: str | None = None, blocks: DataFrame | None = None) -> DataFrame:
     """Rows of block and place with their chunk's id, source, author and kind; filtered, and without removed documents.
 
     The blocks are never broadcast: Spark goes by the size of their files, and in memory they take sixty times that, more than the driver holds.
+    Where ``found`` lies in ``blocks`` alone, only those are shuffled.
     """
-    rows = found.join(index.blocks.select("block", "chunks").hint("merge"), "block").withColumn("_c", F.get("chunks", F.col("place"))).drop("chunks")
+    held = index.blocks.select("block", "chunks")
+    if blocks is not None:
+        held = held.join(blocks.select("block"), "block", "left_semi")
+    rows = found.join(held.hint("merge"), "block").withColumn("_c", F.get("chunks", F.col("place"))).drop("chunks")
     rows = rows.select(*found.columns, "_c.chunk_id", "_c.doc_id", "_c.source_id", "_c.author", "_c.chunk_type")
     if source is not None:
         rows = rows.where(F.col("source_id") == source)
@@ -431,7 +435,7 @@ def _layers(index: Index, planned: Plan, wanted: DataFrame, source: str | None =
     """Each query's candidates with what they are ordered by."""
     per = counts(index, planned, blocks).join(F.broadcast(wanted), "term")
     whole = per.groupBy("block", "place", "qid").agg(F.max((F.col("text") > 0).cast("int")).alias("prose_hit"), F.count("*").cast("int").alias("term_count"), F.sum(_points()).alias("_points"))
-    return _named(index, whole, source, author).withColumn("score", F.col("_points") + bonus_of(F.col("chunk_type"))).drop("_points")
+    return _named(index, whole, source, author, blocks).withColumn("score", F.col("_points") + bonus_of(F.col("chunk_type"))).drop("_points")
 
 
 def _order() -> list[Column]:

@@ -74,6 +74,18 @@ def test_a_search_of_one_source_does_not_broadcast_blocks(stored, monkeypatch):
     assert not broadcasts_chunks(monkeypatch, lambda: index.find(stored[1], "the ab", 7, source="s1"))
 
 
+def test_a_stepwise_search_shuffles_only_the_blocks_it_looks_at(stored, monkeypatch):
+    """Other blocks' chunks are dropped before the join that names the results, as their lists are."""
+    made, named = [], postings._named
+    monkeypatch.setattr(postings, "_named", lambda *a: made.append(named(*a)) or made[-1])
+    found = postings.top(stored[1].index(), "the ab", 7, first=1)
+    assert len(made) == 2 and keys(found.rows) == keys(search.search(stored[0], "the ab", 7))
+    for d in made:
+        plan = d._jdf.queryExecution().sparkPlan().toString()
+        assert len(re.findall(r"Join \[block#\d+L\], \[block#\d+L\], LeftSemi", plan)) == 2  # lists and chunks
+    assert not broadcasts_chunks(monkeypatch, lambda: index.find(stored[1], "é the en ET", 8))
+
+
 def test_batches_and_counts(stored):
     chunks, snapshot = stored
     queries = {str(i): q for i, q in enumerate(QUERIES)}
