@@ -391,11 +391,12 @@ def _named(index: Index, found: DataFrame, source: str | None = None, author: st
     The blocks are never broadcast: Spark goes by the size of their files, and in memory they take sixty times that, more than the driver holds.
     Where ``found`` lies in ``blocks`` alone, only those are shuffled.
     """
-    held = index.blocks.select("block", "chunks")
+    names = ["chunk_id", "doc_id", "source_id", "author", "chunk_type"]
+    # An array a field, so that those which nobody asks for are neither read nor shuffled.
+    held = index.blocks.select("block", *[F.col(f"chunks.{c}").alias(f"_{c}") for c in names])
     if blocks is not None:
         held = held.join(blocks.select("block"), "block", "left_semi")
-    rows = found.join(held.hint("merge"), "block").withColumn("_c", F.get("chunks", F.col("place"))).drop("chunks")
-    rows = rows.select(*found.columns, "_c.chunk_id", "_c.doc_id", "_c.source_id", "_c.author", "_c.chunk_type")
+    rows = found.join(held.hint("merge"), "block").select(*found.columns, *[F.get(f"_{c}", F.col("place")).alias(c) for c in names])
     if source is not None:
         rows = rows.where(F.col("source_id") == source)
     if author is not None:

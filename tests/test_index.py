@@ -86,6 +86,14 @@ def test_a_stepwise_search_shuffles_only_the_blocks_it_looks_at(stored, monkeypa
     assert not broadcasts_chunks(monkeypatch, lambda: index.find(stored[1], "é the en ET", 8))
 
 
+def test_a_batch_does_not_broadcast_blocks_and_shuffles_what_it_needs_of_them(stored, monkeypatch):
+    ix = stored[1].index()
+    assert not broadcasts_chunks(monkeypatch, lambda: postings.batch(ix, {"a": "the ab", "b": "é e"}, 5))
+    for frame, unread in ((postings.batch(ix, {"a": "the ab"}, 5), ("author", "doc_id")), (postings.recall(ix, "the ab"), ("author", "doc_id", "source_id", "chunk_type"))):
+        read = re.findall(r"chunks:array<struct<[^>]*>", frame._jdf.queryExecution().sparkPlan().toString())
+        assert read and not any(f"{c}:" in r for c in unread for r in read)
+
+
 def test_batches_and_counts(stored):
     chunks, snapshot = stored
     queries = {str(i): q for i, q in enumerate(QUERIES)}
